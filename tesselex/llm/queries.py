@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselex.llm import packing, site_lines, splitting, tokens
+from tesselex.llm import packing, residue, site_lines, splitting, tokens
 from tesselex.plans.lineage import ready
 from tesselex.sources.tables import table
 
@@ -57,6 +57,14 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "n_tokens", CAPACITY, docs.count()).withColumnRenamed("item_id", "doc_id")
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue(table(ready(spark), d, "documents"), "doc_id", "source", "text").select("doc_id")
+
+
+def p9_fit(spark: SparkSession, d: str) -> DataFrame:
+    return residue.fit_for_use(table(ready(spark), d, "documents").select("doc_id", "source", "text"), "doc_id", "source", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_cleaned": p2_cleaned,
@@ -66,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_documents": p6_documents,
     "p7_ids": p7_ids,
     "p8_containers": p8_containers,
+    "p9_found": p9_found,
+    "p9_fit": p9_fit,
 }
 
 SQL: dict[str, str] = {

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesselex.plans.lineage import written
+
 SHARE = 0.05
 LEAST_ROWS = 10
 #: Error of a summary as a share of its rows; must be below SHARE.
@@ -80,14 +82,14 @@ def candidates(df: DataFrame, source: str, text: str, share: float = SHARE, leas
             yield pa.RecordBatch.from_arrays([pa.array([own] * (len(keys) + 1), pa.string()), pa.array([None, *keys], pa.string()), pa.array([s.rows, *[s.held[k][0] for k in keys]], pa.int64()), pa.array([s.floor, *[s.held[k][1] for k in keys]], pa.int64())], ["fonte", "chave", "n", "erro"])
 
     rows = df.select(F.col(source).cast("string").alias("fonte"), F.col(text).cast("string").alias("t")).where("t is not null")
-    merged = rows.mapInArrow(summarised, "fonte string, chave string, n long, erro long").groupBy("fonte", "chave").agg(F.sum("n").alias("n"), F.sum("erro").alias("erro"), F.count("*").alias("k"))
+    merged = written(rows.mapInArrow(summarised, "fonte string, chave string, n long, erro long").groupBy("fonte", "chave").agg(F.sum("n").alias("n"), F.sum("erro").alias("erro")), "line-summaries")
     # a line that some summaries do not hold may have had up to the floor of each of them: all floors together bound it
     total = merged.where("chave is null").select("fonte", F.col("n").alias("linhas"), F.col("erro").alias("folga"))
     lines = merged.where("chave is not null").select("fonte", "chave", "n")
     return lines.join(total, lines.fonte.eqNullSafe(total.fonte)).where(F.col("n") + F.col("folga") >= F.greatest(F.lit(least), F.col("linhas") * F.lit(share))).select(lines.fonte, "chave", "linhas")
 
 
-def _held(known: DataFrame) -> dict[str | None, set[str]]:
+def held(known: DataFrame) -> dict[str | None, set[str]]:
     """Lines by source, on the driver: bounded by sources * lines per row / (share - error), see candidates."""
     out: dict[str | None, set[str]] = {}
     for own, key in known.select("fonte", "chave").toLocalIterator():
@@ -117,12 +119,10 @@ def _places(df: DataFrame, key: str, source: str, text: str, known: dict[str | N
     return rows.mapInArrow(run, "registro_id long, linha_no int, fonte string, chave string")
 
 
-def confirmed(df: DataFrame, key: str, source: str, text: str, share: float = SHARE, least: int = LEAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def confirmed(df: DataFrame, key: str, source: str, text: str, share: float = SHARE, least: int = LEAST_ROWS, error: float = ERROR) -> tuple[DataFrame, DataFrame]:
     """The places of candidate lines and, of these lines, those whose exact count of rows reaches the threshold: (fonte, chave, registros, linhas)."""
-    from tesselex.plans.lineage import written
-
-    first = written(candidates(df, source, text, share, least), "candidate-lines")
-    places = written(_places(df, key, source, text, _held(first)), "line-places")
+    first = written(candidates(df, source, text, share, least, error), "candidate-lines")
+    places = written(_places(df, key, source, text, held(first)), "line-places")
     exact = places.select("fonte", "chave", "registro_id").distinct().groupBy("fonte", "chave").agg(F.count("*").alias("registros"))
     f = first.withColumnRenamed("fonte", "f").withColumnRenamed("chave", "c")
     kept = exact.join(f, F.col("fonte").eqNullSafe(F.col("f")) & (F.col("chave") == F.col("c"))).where(F.col("registros") >= F.greatest(F.lit(least), F.col("linhas") * F.lit(share))).select("fonte", "chave", "registros", "linhas")
@@ -139,7 +139,7 @@ def repeated_lines(df: DataFrame, key: str, source: str, text: str, share: float
 def without_lines(df: DataFrame, key: str, source: str, text: str, share: float = SHARE, least: int = LEAST_ROWS) -> DataFrame:
     """(registro_id, texto, linhas_removidas) of every row, its confirmed lines left out and the rest as it was; a null text stays null."""
     _, kept = confirmed(df, key, source, text, share, least)
-    shared = df.sparkSession.sparkContext.broadcast(_held(kept))
+    shared = df.sparkSession.sparkContext.broadcast(held(kept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = shared.value
