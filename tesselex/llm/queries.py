@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselex.llm import packing, residue, site_lines, splitting, tokens
+from tesselex.llm import encoding, packing, residue, site_lines, splitting, tokens
 from tesselex.plans.lineage import ready
 from tesselex.sources.tables import table
 
@@ -37,6 +37,18 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _oversized(spark, d, True)
 
 
+def _garbled(spark: SparkSession, d: str, restored: bool) -> DataFrame:
+    return encoding.garbled_fields(table(ready(spark), d, "corpus_documentos"), "registro_id", ["texto", "ementa", "titulo"], restored=restored)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _garbled(spark, d, False).select("registro_id", "campo")
+
+
+def p4_restored(spark: SparkSession, d: str) -> DataFrame:
+    return _garbled(spark, d, True)
+
+
 def p6_chunks(spark: SparkSession, d: str) -> DataFrame:
     rows = tokens.first_of(table(ready(spark), d, "chunks_hierarquicos").select("row_id", "chunk_id", "tipo_documento", "ano", "texto"), "chunk_id", "row_id")
     return tokens.token_budget(rows, {"tipo_documento": F.col("tipo_documento"), "ano": F.col("ano")}, "texto")
@@ -70,6 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_cleaned": p2_cleaned,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
+    "p4_found": p4_found,
+    "p4_restored": p4_restored,
     "p6_chunks": p6_chunks,
     "p6_documents": p6_documents,
     "p7_ids": p7_ids,
