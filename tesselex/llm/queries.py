@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselex.llm import encoding, packing, residue, site_lines, splitting, tokens
+from tesselex.llm import encoding, packing, residue, scan_noise, site_lines, splitting, tokens
 from tesselex.plans.lineage import ready
 from tesselex.sources.tables import table
 
@@ -49,6 +49,14 @@ def p4_restored(spark: SparkSession, d: str) -> DataFrame:
     return _garbled(spark, d, True)
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.scan_noise(table(ready(spark), d, "corpus_documentos"), "registro_id", "texto")
+
+
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return scan_noise.paragraphs(table(ready(spark), d, "corpus_documentos"), "registro_id", "texto")
+
+
 def p6_chunks(spark: SparkSession, d: str) -> DataFrame:
     rows = tokens.first_of(table(ready(spark), d, "chunks_hierarquicos").select("row_id", "chunk_id", "tipo_documento", "ano", "texto"), "chunk_id", "row_id")
     return tokens.token_budget(rows, {"tipo_documento": F.col("tipo_documento"), "ano": F.col("ano")}, "texto")
@@ -84,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_pieces": p3_pieces,
     "p4_found": p4_found,
     "p4_restored": p4_restored,
+    "p5_found": p5_found,
+    "p5_paragraphs": p5_paragraphs,
     "p6_chunks": p6_chunks,
     "p6_documents": p6_documents,
     "p7_ids": p7_ids,
