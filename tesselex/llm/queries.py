@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselex.llm import encoding, packing, residue, scan_noise, site_lines, splitting, tokens
+from tesselex.llm import encoding, near_dup, packing, residue, scan_noise, site_lines, splitting, tokens
 from tesselex.plans.lineage import ready
 from tesselex.sources.tables import table
 
@@ -16,6 +16,14 @@ CHUNK_LIMITS = {"texto": 1200, "texto_pai": 2400}
 DOCUMENT_LIMITS = {"texto": 6000}
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_dup.pairs(table(ready(spark), d, "corpus_documentos"), "registro_id", "texto")
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_dup.groups(table(ready(spark), d, "corpus_documentos"), "registro_id", "texto")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return site_lines.repeated_lines(table(ready(spark), d, "corpus_documentos"), "registro_id", "tipo_documento", "texto")
 
@@ -86,6 +94,8 @@ def p9_fit(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_groups": p1_groups,
     "p2_found": p2_found,
     "p2_cleaned": p2_cleaned,
     "p3_found": p3_found,
