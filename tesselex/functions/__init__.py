@@ -1 +1 @@
-
+"""Scalar functions as Columns: everything here stays inside generated code."""

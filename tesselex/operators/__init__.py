@@ -1 +1 @@
-
+"""DataFrame operators: acts, pages, chunks, search and evaluation."""
