@@ -34,7 +34,7 @@ def act_id(name: Column) -> Column:
     stem = F.regexp_replace(F.lower(file_stem(name)), r"_[0-9]+$", "")
     part = lambda i: F.regexp_extract(stem, r"^([a-z]+)(20[0-9]{2})([0-9]+)", i)
     kind = F.when(part(1).rlike("^[an]."), F.substring(part(1), 2, 1000)).otherwise(part(1))
-    return F.when(part(1) == "", stem).otherwise(F.concat_ws("_", kind, part(3), part(2)))
+    return F.when(part(1) == "", stem).when(part(1) != "", F.concat_ws("_", kind, part(3), part(2)))
 
 
 def document_type(raw: Column) -> Column:

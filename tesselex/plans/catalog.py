@@ -48,7 +48,7 @@ def _act(x: str) -> str:
     s = rf"regexp_replace(lower({_stem(x)}), '_[0-9]+$', '')"
     p = "'^([a-z]+)(20[0-9]{2})([0-9]+)'"
     kind = f"regexp_extract({s}, {p}, 1)"
-    return f"case when {kind} = '' then {s} else concat_ws('_', case when regexp_matches({kind}, '^[an].') then {kind}[2:] else {kind} end, regexp_extract({s}, {p}, 3), regexp_extract({s}, {p}, 2)) end"
+    return f"case when {x} is null then null when {kind} = '' then {s} else concat_ws('_', case when regexp_matches({kind}, '^[an].') then {kind}[2:] else {kind} end, regexp_extract({s}, {p}, 3), regexp_extract({s}, {p}, 2)) end"
 
 
 def _kind(x: str) -> str:
@@ -568,8 +568,9 @@ _RERANKED = f"""ordenado as (select pergunta_id, row_id, ato_id, tipo_documento,
 def _expanded_sql(reserve: bool) -> str:
     rest = "where posicao >= 1000 or posicao < 5 - x" if reserve else ""
     return f"""atos as (select pergunta_id, ato_id, min(posicao) as de from ordenado where posicao < 3 and tipo_documento in ('voto', 'nota_tecnica') and coalesce(ato_id, '') <> '' group by 1, 2),
-extra as (select pergunta_id, row_id, ato_id, 'texto_integral' as tipo_documento, 0.0::double as bruto, 0.0::double as escore, de + 1000 as posicao from atos join (select ato_id, min(row_id) as row_id from chunks_hierarquicos where tipo_documento = 'texto_integral' group by 1) using (ato_id)
-    where not exists (select 1 from ordenado o where o.pergunta_id = atos.pergunta_id and o.row_id = row_id and o.row_id in (select row_id from ordenado o2 where o2.pergunta_id = atos.pergunta_id) and o.row_id = (select min(row_id) from chunks_hierarquicos c where c.tipo_documento = 'texto_integral' and c.ato_id = atos.ato_id))),
+primeiro as (select ato_id, min(row_id) as row_id from chunks_hierarquicos where tipo_documento = 'texto_integral' group by 1),
+extra as (select atos.pergunta_id, primeiro.row_id, ato_id, 'texto_integral' as tipo_documento, 0.0::double as bruto, 0.0::double as escore, de + 1000 as posicao from atos join primeiro using (ato_id)
+    where not exists (select 1 from ordenado o where o.pergunta_id = atos.pergunta_id and o.row_id = primeiro.row_id)),
 ambos as (select *, count(*) filter (where posicao >= 1000) over (partition by pergunta_id) as x from (select * from ordenado union all select * from extra)),
 ampliado as (select pergunta_id, row_id, ato_id, tipo_documento, bruto, escore, row_number() over (partition by pergunta_id order by posicao) - 1 as posicao from ambos {rest} qualify posicao < 5)"""
 
