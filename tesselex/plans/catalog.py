@@ -572,7 +572,7 @@ primeiro as (select ato_id, min(row_id) as row_id from chunks_hierarquicos where
 extra as (select atos.pergunta_id, primeiro.row_id, ato_id, 'texto_integral' as tipo_documento, 0.0::double as bruto, 0.0::double as escore, de + 1000 as posicao from atos join primeiro using (ato_id)
     where not exists (select 1 from ordenado o where o.pergunta_id = atos.pergunta_id and o.row_id = primeiro.row_id)),
 ambos as (select *, count(*) filter (where posicao >= 1000) over (partition by pergunta_id) as x from (select * from ordenado union all select * from extra)),
-ampliado as (select pergunta_id, row_id, ato_id, tipo_documento, bruto, escore, row_number() over (partition by pergunta_id order by posicao) - 1 as posicao from ambos {rest} qualify posicao < 5)"""
+ampliado as (select pergunta_id, row_id, ato_id, tipo_documento, bruto, escore, row_number() over (partition by pergunta_id order by posicao) - 1 as posicao from ambos {rest} qualify row_number() over (partition by pergunta_id order by posicao) <= 5)"""
 
 
 _BLOCKS_TEXT = """blocos as (select pergunta_id, posicao, concat_ws(chr(10), '━━━ DOCUMENTO ' || (posicao + 1) || ' ━━━', 'Título:      ' || coalesce(titulo, ''), 'Tipo:        ' || coalesce(upper(c.tipo_documento), ''), 'Publicação:  ' || coalesce(publicacao, ''),
