@@ -25,7 +25,7 @@ WORDS = 3
 LEAST_WORDS = 20
 SIMILARITY = 0.7
 SLOTS = 256
-BANDS, BAND_SLOTS = 48, 6
+BANDS, BAND_SLOTS = 64, 6
 #: Bits of slack of a fingerprint's distance, in standard deviations.
 SLACK = 4.0
 LEAF = 48

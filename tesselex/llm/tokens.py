@@ -69,7 +69,7 @@ def token_budget(df: DataFrame, slices: dict[str, Column], text: str, vocabulary
     """
     names = list(slices)
     kinds = df.select(*[c.alias(n) for n, c in slices.items()]).schema
-    out = T.StructType([*kinds.fields, T.StructField("piece", T.StringType()), T.StructField("n", T.LongType())])
+    out = T.StructType([*kinds.fields, T.StructField("__piece", T.StringType()), T.StructField("__n", T.LongType())])
     arrow_kinds: list[pa.DataType] = []
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +81,7 @@ def token_budget(df: DataFrame, slices: dict[str, Column], text: str, vocabulary
             for own, counts in held.items():
                 keys = list(counts)
                 cols = [pa.array([v] * len(keys), k) for v, k in zip(own, arrow_kinds)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(keys, pa.string()), pa.array([counts[k] for k in keys], pa.int64())], [*names, "piece", "n"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(keys, pa.string()), pa.array([counts[k] for k in keys], pa.int64())], [*names, "__piece", "__n"])
             held.clear()
 
         for batch in batches:
@@ -105,9 +105,11 @@ def token_budget(df: DataFrame, slices: dict[str, Column], text: str, vocabulary
         enc = encoder(vocabulary)
         for batch in batches:
             own = batch.column(0)
-            yield pa.RecordBatch.from_arrays([own, pa.array([len(enc[p]) for p in own.to_pylist()], pa.int64())], ["piece", "length"])
+            yield pa.RecordBatch.from_arrays([own, pa.array([len(enc[p]) for p in own.to_pylist()], pa.int64())], ["__piece", "__length"])
 
     freq = written(df.select(*[c.alias(n) for n, c in slices.items()], F.col(text).cast("string").alias("__text")).mapInArrow(counted, out), "piece-frequencies")
-    each = freq.where("piece is not null").select("piece").distinct().mapInArrow(lengths, "piece string, length long")
-    own = freq.groupBy("piece", *names).agg(F.sum("n").alias("n"))
-    return own.join(each, "piece", "left").groupBy(*names).agg(F.sum(F.when(F.col("piece").isNull(), F.col("n"))).alias("registros"), F.coalesce(F.sum(F.col("n") * F.col("length")), F.lit(0)).cast("long").alias("tokens"))
+    each = freq.where("__piece is not null").select("__piece").distinct().mapInArrow(lengths, "__piece string, __length long")
+    own = freq.groupBy("__piece", *names).agg(F.sum("__n").alias("__n"))
+    records = F.sum(F.when(F.col("__piece").isNull(), F.col("__n")))
+    total = F.coalesce(F.sum(F.col("__n") * F.col("__length")), F.lit(0)).cast("long")
+    return own.join(each, "__piece", "left").groupBy(*names).agg(records.alias("registros"), total.alias("tokens"))
