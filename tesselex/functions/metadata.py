@@ -100,8 +100,21 @@ def failure(status: Column, message: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    """Size with one decimal in units of 1024."""
-    out = F.format_string("%.1f PB", n / F.lit(1024.0**5))
+    """Size with one decimal (ties to even) in units of 1024."""
+    out = F.format_string("%.1f PB", F.bround(n / F.lit(1024.0**5), 1))
     for i, unit in reversed(list(enumerate(("B", "KB", "MB", "GB", "TB")))):
-        out = F.when(n < 1024 ** (i + 1), F.format_string(f"%.1f {unit}", n / F.lit(1024.0**i))).otherwise(out)
+        out = F.when(n < 1024 ** (i + 1), F.format_string(f"%.1f {unit}", F.bround(n / F.lit(1024.0**i), 1))).otherwise(out)
     return F.when(n.isNotNull(), out)
+
+
+#: The instruction before a question that is embedded, of either variant.
+ASKED = "Instruct: Given a question about Brazilian electric sector regulations, retrieve relevant legal passages\nQuery: "
+
+
+def question_prompt(c: Column, instruction: str = ASKED) -> Column:
+    return F.concat(F.lit(instruction), c)
+
+
+def year_of_path(path: Column, folder: str = "pdfs") -> Column:
+    """The folder after `folder` as a number; null where it is none."""
+    return F.nullif(F.regexp_extract(path, f"(?:^|/){folder}/([^/]+)/", 1), F.lit("")).try_cast("int")

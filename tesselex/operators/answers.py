@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +41,28 @@ def messages(blocks: DataFrame, questions: DataFrame) -> DataFrame:
     return questions.join(text, "pergunta_id", "left").select("pergunta_id", F.array(say("system", F.lit(SYSTEM)), say("user", F.coalesce(user, F.lit(NOTHING_FOUND)))).alias("mensagens"))
 
 
+def answered(prompts: DataFrame, generate: Callable[[list[dict]], str], model: str) -> DataFrame:
+    """(pergunta_id, modelo, resposta, erro): `generate` called with the messages of each prompt; an exception becomes the row's erro and ends nothing. Evaluation takes the rows without erro."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for i, said in zip(batch.pergunta_id, batch.mensagens):
+                try:
+                    out.append((i, model, generate([{"role": m["role"], "content": m["content"]} for m in said]), None))
+                except Exception as e:  # noqa: BLE001 - kept as the row's error
+                    out.append((i, model, None, str(e)))
+            yield pd.DataFrame(out, columns=["pergunta_id", "modelo", "resposta", "erro"])
+
+    return prompts.select("pergunta_id", "mensagens").mapInPandas(run, "pergunta_id long, modelo string, resposta string, erro string")
+
+
+def compared(prompts: DataFrame, models: dict[str, Callable[[list[dict]], str]]) -> DataFrame:
+    """The same prompts answered by several generators."""
+    parts = [answered(prompts, g, name) for name, g in sorted(models.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def proxies(results: DataFrame, chunks: DataFrame, questions: DataFrame, key: str) -> DataFrame:
     """(pergunta_id, tipo, cobertura, precisao): lexical stand-ins for judged metrics, so named: the share of the question's words that the retrieved texts hold, and the share of texts that hold any."""
     q = questions.select("pergunta_id", "tipo", F.array_distinct(search_words(F.col("pergunta"))).alias("qw"))

@@ -169,7 +169,12 @@ def truncated(documents: DataFrame, caps: dict[str, int] | None = None) -> DataF
 
 
 def packed(t: Column, size: int = CHILD, least: int = 100) -> Column:
-    """The other packing: blank-line units joined greedily by a blank line, a unit that no longer fits beginning the next batch; units over the size go in windows of their own; results under `least` characters are dropped."""
+    """Blank-line units of a text, see pack_units."""
+    return pack_units(F.filter(F.transform(F.split(t, r"\n[\s ]*\n"), strip), lambda p: p != ""), size, least)
+
+
+def pack_units(units_in: Column, size: int = CHILD, least: int = 100) -> Column:
+    """The other packing: units joined greedily by a blank line, a unit that no longer fits beginning the next batch; units over the size go in windows of their own; results under `least` characters are dropped."""
     empty = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur"), F.lit(0).alias("n"))
     none = F.array().cast("array<string>")
 
@@ -182,11 +187,68 @@ def packed(t: Column, size: int = CHILD, least: int = 100) -> Column:
             F.when(big, F.lit(0)).when(fits, acc["n"] + x["n"]).otherwise(x["n"]).alias("n"),
         )
 
-    units_ = F.transform(F.filter(F.transform(F.split(t, r"\n[\s ]*\n"), strip), lambda p: p != ""), lambda p: F.struct(p.alias("p"), P.count(p).alias("n")))
+    units_ = F.transform(units_in, lambda p: F.struct(p.alias("p"), P.count(p).alias("n")))
     done = F.aggregate(units_, empty, add, lambda acc: F.concat(acc["out"], F.when(acc["cur"] != "", F.array(acc["cur"])).otherwise(none)))
     return F.filter(F.transform(done, strip), lambda x: F.length(x) >= least)
 
 
+#: Fixed values of the packed variant: least characters of a chunk, its caps, header size and overlap of annexes.
+LEAST_CHARS, HEADER_PIECES, ANNEX_OVERLAP = 100, 50, 20
+PACKED_CAPS = {"texto_integral": 120, "voto": 80, "nota_tecnica": 100, "anexo": 150, "decisao": 50, "outro": 40}
+_BLANK = r"\n[\s ]*\n+"
+
+
+def by_pieces(t: Column, size: int | Column, overlap: int = 0) -> Column:
+    """A stripped text whole if it fits, else its windows, stripped, those under LEAST_CHARS characters dropped."""
+    p = P.pieces(strip(t))
+
+    def cut_(x: Column) -> Column:
+        step = F.lit(size) - overlap
+        last = F.greatest(F.ceil((F.size(x) - size) / step), F.lit(0)).cast("int")
+        many = F.transform(F.sequence(F.lit(0), last), lambda i: strip(F.array_join(F.slice(x, i * step + 1, F.lit(size)), "")))
+        whole = F.when(F.size(x) > 0, F.array(F.array_join(x, ""))).otherwise(F.array().cast("array<string>"))
+        return F.when(F.size(x) <= size, whole).otherwise(F.filter(many, lambda c: F.length(c) >= LEAST_CHARS))
+
+    return F.flatten(F.transform(F.array(p), cut_))
+
+
+def _split_where(t: Column, begins: str) -> Column:
+    return F.filter(F.transform(F.split(t, f"(?={begins})"), strip), lambda x: x != "")
+
+
+def packed_by_type(kind: Column, t: Column, title: Column) -> Column:
+    """Chunks of the packed variant: articles, else paragraphs, else blank lines, packed; notes by numbered sections; annexes in windows under their first three lines (the title if these are long)."""
+    lines = F.filter(F.transform(F.split(t, _BLANK), strip), lambda x: x != "")
+    articles, paragraphs = _split_where(t, r"(?<![\p{L}\p{N}_])Art\.[\s ]*[0-9]"), _split_where(t, r"§[\s ]*[0-9]|(?<![\p{L}\p{N}_])Parágrafo único(?![\p{L}\p{N}_])")
+    sections = _split_where(t, r"\n[\s ]*[0-9]+\.[\s ]*[A-Z]")
+    integral = F.when(F.size(articles) >= 2, articles).when(F.size(paragraphs) >= 2, paragraphs).otherwise(lines)
+    note = F.when(F.size(sections) >= 2, sections).otherwise(lines)
+    rows = F.split(t, "\n")
+    first = strip(F.array_join(F.slice(rows, 1, 3), "\n"))
+    head = F.when(P.count(first) > HEADER_PIECES, F.coalesce(title, F.lit(""))).otherwise(first)
+    body = F.when(P.count(head) > 0, F.array_join(F.slice(rows, 4, 1_000_000), "\n")).otherwise(t)
+    annex = F.transform(by_pieces(body, F.greatest(CHILD - P.count(head) - 5, F.lit(100)), ANNEX_OVERLAP), lambda c: F.when(head != "", F.concat(head, F.lit("\n\n"), c)).otherwise(c))
+    return F.when(kind == "texto_integral", pack_units(integral)).when(kind == "nota_tecnica", pack_units(note)).when(kind == "decisao", pack_units(lines)).when(kind == "anexo", annex).otherwise(by_pieces(t, CHILD, OVERLAP))
+
+
+def children_packed(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
+    """One row per chunk of the packed variant with its size and parent: neighbours joined by blank lines; over PARENT pieces, half of what the chunk leaves goes to the end of the one before and half to the beginning of the next, none if it leaves nothing."""
+    kind = F.coalesce("tipo_documento", F.lit("outro"))
+    c = documents.where(strip(F.col("texto")) != "").withColumn("__c", packed_by_type(kind, F.col("texto"), F.col("titulo")))
+    kept = F.filter(F.transform(F.slice("__c", F.lit(1), _by_type(kind, caps or PACKED_CAPS, OTHER_CAP)), strip), lambda x: F.length(x) >= LEAST_CHARS)
+    c = c.withColumn("__k", kept).withColumn("total_chunks", F.size("__k"))
+    rows = c.select("registro_id", "ato_id", "tipo_documento", "titulo", "ano", "total_chunks", "__k", F.posexplode("__k").alias("chunk_idx", "texto"))
+    before, after = F.try_element_at("__k", F.when(F.col("chunk_idx") > 0, F.col("chunk_idx"))), F.try_element_at("__k", F.col("chunk_idx") + 2)
+    none = lambda x: F.nullif(x, F.lit(""))
+    rows = rows.withColumn("__b", before).withColumn("__a", after).withColumn("tokens", P.count(F.col("texto")))
+    whole = F.concat_ws("\n\n", "__b", "texto", "__a")
+    half = F.floor((F.lit(PARENT) - F.col("tokens")) / 2).cast("int")
+    tail = F.when(half > 0, strip(F.array_join(F.slice(P.pieces(F.col("__b")), F.greatest(P.count(F.col("__b")) - half + 1, F.lit(1)), half), "")))
+    front = F.when(half > 0, strip(F.array_join(F.slice(P.pieces(F.col("__a")), F.lit(1), half), "")))
+    parent = F.when(P.count(whole) <= PARENT, whole).otherwise(F.concat_ws("\n\n", none(tail), "texto", none(front)))
+    return rows.select("registro_id", "ato_id", "tipo_documento", "ano", "chunk_idx", "total_chunks", "tokens", legal_context(F.col("titulo"), F.col("ato_id"), F.col("texto")).alias("contexto_juridico"), "texto", parent.alias("texto_pai"))
+
+
 def legal_context(title: Column, act: Column, t: Column) -> Column:
     """Title (or act) with the first article and the first paragraph that a text names."""
     art, par = F.regexp_extract(t, r"(?<![\p{L}\p{N}_])Art\.[\s ]*([0-9]+)", 1), F.regexp_extract(t, r"§[\s ]*([0-9]+)", 1)

@@ -109,3 +109,20 @@ def ocr_confidence(words: DataFrame, key: str) -> DataFrame:
     """(key, confianca): mean of the page means of word confidences of at least 0, each rounded to one decimal."""
     page = words.where("conf >= 0").groupBy(key, "pagina").agg((F.floor(F.avg("conf") * 10 + 0.5) / 10).alias("m"))
     return page.groupBy(key).agg((F.floor(F.avg("m") * 10 + 0.5) / 10).alias("confianca"))
+
+
+#: Fixed value: a file with no more text than this is scanned.
+SCANNED_CHARS = 50
+
+
+def scanned(pages: DataFrame, key: str) -> DataFrame:
+    """(key, classe): tem_texto or escaneado by the stripped characters of all pages."""
+    n = F.sum(F.coalesce(F.length(strip(F.col("texto"))), F.lit(0)))
+    return pages.groupBy(key).agg(F.when(n > SCANNED_CHARS, "tem_texto").otherwise("escaneado").alias("classe"))
+
+
+def document_metrics(documents: DataFrame) -> DataFrame:
+    """(registro_id, densidade_texto, proporcao_tabela): characters a page to one decimal, share of table characters to three; 0 where there are none. Table characters are those of Markdown table lines."""
+    table = F.aggregate(F.filter(F.split(F.coalesce("texto", F.lit("")), "\n"), lambda x: x.rlike(r"^[\s ]*\|[^\n]*\|[\s ]*$")), F.lit(0), lambda a, x: a + F.length(x))
+    c, p = F.coalesce("caracteres_extraidos", F.lit(0)).cast("double"), F.coalesce("paginas", F.lit(0))
+    return documents.select("registro_id", F.coalesce(F.floor(F.try_divide(c * 10, p) + 0.5) / 10, F.lit(0.0)).alias("densidade_texto"), F.coalesce(F.floor(F.try_divide(table * 1000, c) + 0.5) / 1000, F.lit(0.0)).alias("proporcao_tabela"))

@@ -215,3 +215,24 @@ def hybrid(chunks: DataFrame, questions: DataFrame, kinds: list[str] | None = No
     sparse_rows = chunks.where(F.col("tipo_documento").isin(*kinds)) if kinds and filter_sparse else chunks
     fused = fuse(dense_questions(chunks, questions, TOP_DENSE, kinds), bm25(sparse_rows, "row_id", "texto", questions, "pergunta"), "row_id")
     return expand(rerank(fused, chunks, "row_id", questions), chunks, "row_id", mode)
+
+
+#: Fixed values of the variant with its own list sizes: dense and sparse, fused, reranked, final, rows added, rows a document.
+VARIANT = {"lists": 30, "fused": 25, "reranked": 6, "final": 5, "extra": 2, "per_document": 2}
+
+
+def hybrid_variant(chunks: DataFrame, questions: DataFrame, kinds: list[str] | None = None, use_reranking: bool = True, use_expansion: bool = True, final: int = VARIANT["final"]) -> DataFrame:
+    """Longer lists, reranking and expansion optional, at most two rows of a document, then the cut. Without reranking the fused score stands for both scores."""
+    v = VARIANT
+    fused = fuse(dense_questions(chunks, questions, v["lists"], kinds), bm25(chunks, "row_id", "texto", questions, "pergunta", v["lists"]), "row_id", v["fused"])
+    if use_reranking:
+        top = rerank(fused, chunks, "row_id", questions, v["reranked"])
+    else:
+        few = F.broadcast(fused.where(F.col("posicao") < v["reranked"])) if _few(questions) else fused.where(F.col("posicao") < v["reranked"])
+        top = chunks.select("row_id", "ato_id", "tipo_documento").join(few, "row_id").select("pergunta_id", "row_id", "ato_id", "tipo_documento", F.col("escore").alias("bruto"), "escore", "posicao")
+    if use_expansion:
+        top = expand(top, chunks, "row_id", "append_then_cut", v["reranked"] + v["extra"])
+    source = chunks.select("row_id", "arquivo_origem").join(F.broadcast(top.select("row_id").distinct()), "row_id")  # a few rows a question
+    kept = at_most_per_document(top.join(source, "row_id"), ["ato_id", "arquivo_origem"], v["per_document"])
+    w = Window.partitionBy("pergunta_id").orderBy("posicao")
+    return kept.withColumn("posicao", F.row_number().over(w) - 1).where(F.col("posicao") < final).select("pergunta_id", "row_id", "ato_id", "tipo_documento", "bruto", "escore", "posicao")

@@ -681,3 +681,56 @@ def question_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("select pergunta_id, tipo, pergunta from perguntas_benchmark order by md5(pergunta_id || '-42'), pergunta_id limit 5")
 def benchmark_sample(spark: SparkSession, d: str) -> DataFrame:
     return answers.sample(_questions(spark, d)).select("pergunta_id", "tipo", "pergunta")
+
+
+_VARIANT = ", ".join((_BM25.replace("posicao < 20", "posicao < 30"), _DENSE.replace("posicao < 20", "posicao < 30"), _FUSED.replace("posicao < 20", "posicao < 25"), _RERANKED.replace("qualify posicao < 5", "qualify posicao < 6"), _expanded_sql(False).replace("<= 5)", "<= 8)")))
+
+
+@query(f"""with {_VARIANT}, dois as (select a.*, c.arquivo_origem from ampliado a join chunks_hierarquicos c using (row_id) qualify row_number() over (partition by a.pergunta_id, a.ato_id, arquivo_origem order by a.posicao) <= 2)
+select pergunta_id, row_id, ato_id, tipo_documento, bruto, escore, n - 1 as posicao from (select *, row_number() over (partition by pergunta_id order by posicao) as n from dois) where n <= 5""")
+def hybrid_variant(spark: SparkSession, d: str) -> DataFrame:
+    return search.hybrid_variant(_chunks(spark, d), _questions(spark, d))
+
+
+@query(f"""with {_VARIANT.split(", ordenado as (")[0]} select pergunta_id, row_id, ato_id, tipo_documento, bruto, escore, n - 1 as posicao from (select f.pergunta_id, row_id, ato_id, tipo_documento, f.escore as bruto, f.escore, row_number() over (partition by f.pergunta_id order by f.posicao) as n
+    from (select * from fundido where posicao < 6) f join chunks_hierarquicos using (row_id) qualify row_number() over (partition by f.pergunta_id, ato_id, arquivo_origem order by f.posicao) <= 2) where n <= 5""".replace("row_number() over (partition by f.pergunta_id order by f.posicao) as n", "f.posicao as p").replace("select pergunta_id, row_id, ato_id, tipo_documento, bruto, escore, n - 1 as posicao from (select", "select pergunta_id, row_id, ato_id, tipo_documento, bruto, escore, row_number() over (partition by pergunta_id order by p) - 1 as posicao from (select").replace(") where n <= 5", ") qualify row_number() over (partition by pergunta_id order by p) <= 5"))
+def hybrid_no_rerank(spark: SparkSession, d: str) -> DataFrame:
+    return search.hybrid_variant(_chunks(spark, d), _questions(spark, d), use_reranking=False, use_expansion=False)
+
+
+@query()
+def chunk_packed_documents(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.children_packed(_documents(spark, d))
+
+
+@query(r"""select registro_id, case when p = 0 then 0.0 else floor(c * 10 / p + 0.5) / 10 end as densidade_texto, case when c = 0 then 0.0 else floor(t * 1000 / c + 0.5) / 1000 end as proporcao_tabela
+    from (select registro_id, coalesce(caracteres_extraidos, 0)::double as c, coalesce(paginas, 0) as p, coalesce(list_sum(list_transform(list_filter(string_split(coalesce(texto, ''), chr(10)), lambda x: regexp_matches(x, '^[\s\x{a0}]*\|[^\n]*\|[\s\x{a0}]*$')), lambda x: length(x))), 0) as t from corpus_documentos)""")
+def document_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return pages.document_metrics(_documents(spark, d))
+
+
+@query(f"select pergunta_id, '{M.ASKED}' || pergunta as consulta from perguntas_benchmark")
+def query_build(spark: SparkSession, d: str) -> DataFrame:
+    return _questions(spark, d).select("pergunta_id", M.question_prompt(F.col("pergunta")).alias("consulta"))
+
+
+@query("select registro_id, case when n < 1024 then printf('%.1f B', n::double) when n < 1048576 then printf('%.1f KB', n / 1024.0::double) else printf('%.1f MB', n / 1048576.0::double) end as tamanho from (select registro_id, caracteres_extraidos * 64 as n from corpus_documentos where caracteres_extraidos is not null)")
+def byte_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return _documents(spark, d).where("caracteres_extraidos is not null").select("registro_id", M.human_bytes(F.col("caracteres_extraidos").cast("long") * 64).alias("tamanho"))
+
+
+@query(f"with {_SCORED} select d.autor as autor, count(*) as anexos, sum(coalesce(d.caracteres_extraidos, 0))::bigint as caracteres, count(*) filter (where {_SCORE} = 1) as plenos, count(*) filter (where d.tem_tabela) as com_tabela from corpus_documentos d join q using (registro_id) where d.tipo_documento = 'anexo' group by 1")
+def annex_totals(spark: SparkSession, d: str) -> DataFrame:
+    a = _scored(spark, d).where("tipo_documento = 'anexo'")
+    return a.groupBy("autor").agg(F.count("*").alias("anexos"), F.sum(F.coalesce(F.col("caracteres_extraidos").cast("long"), F.lit(0))).alias("caracteres"), F.count_if(F.col("escore") == 1).alias("plenos"), F.count_if("tem_tabela").alias("com_tabela"))
+
+
+@query(f"select tipo_documento, count(*) as documentos, sum(length(texto) - length({_layer1('texto')}))::bigint as removidos, count(*) filter (where length(texto) > length({_layer1('texto')})) as alterados from corpus_documentos where texto is not null group by 1")
+def clean_totals(spark: SparkSession, d: str) -> DataFrame:
+    gone = _documents(spark, d).where("texto is not null").select("tipo_documento", (F.length("texto") - F.length(C.boilerplate_removed(F.col("texto")))).alias("n"))
+    return gone.groupBy("tipo_documento").agg(F.count("*").alias("documentos"), F.sum("n").cast("long").alias("removidos"), F.count_if(F.col("n") > 0).alias("alterados"))
+
+
+@query(f"with {_PAGES} select registro_id, case when sum(length({_strip('texto')})) > 50 then 'tem_texto' else 'escaneado' end as classe from paginas group by 1")
+def scanned_class(spark: SparkSession, d: str) -> DataFrame:
+    return pages.scanned(pages.pages_of(_documents(spark, d), "registro_id", "texto"), "registro_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -106,3 +107,72 @@ def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
     """(arquivos, bytes) below a folder; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("length").agg(F.count("*").alias("arquivos"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+
+
+def _sheets(content: bytes) -> str:
+    """Text of a workbook: "[sheet]" and its rows, cells three spaces apart, empty cells and rows left out."""
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        names = set(z.namelist())
+        shared = []
+        if "xl/sharedStrings.xml" in names:
+            shared = ["".join(t.text or "" for t in si.iter(f"{_NS}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_NS}si")]
+        titles = [s.get("name", "") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_NS}sheet")]
+        out = []
+        for i, title in enumerate(titles, 1):
+            if f"xl/worksheets/sheet{i}.xml" not in names:
+                continue
+            rows = []
+            for row in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{i}.xml")).iter(f"{_NS}row"):
+                cells = []
+                for c in row.iter(f"{_NS}c"):
+                    v = c.findtext(f"{_NS}v")
+                    text = "".join(t.text or "" for t in c.iter(f"{_NS}t")) if c.get("t") == "inlineStr" else shared[int(v)] if c.get("t") == "s" and v else v or ""
+                    if text.strip():
+                        cells.append(text.strip())
+                if cells:
+                    rows.append("   ".join(cells))
+            out.append(f"[{title}]\n" + "\n".join(rows))
+        return "\n\n".join(out)
+
+
+def workbooks(spark: SparkSession, path: str) -> DataFrame:
+    """(arquivo, texto, erro) of .xlsx and .xlsm files, read with the standard library; a broken file gives a row with erro."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.xls[xm]").load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    rows.append((path.rsplit("/", 1)[-1], _sheets(content), None))
+                except Exception as e:  # noqa: BLE001 - a broken file must not end the job
+                    rows.append((path.rsplit("/", 1)[-1], None, str(e)))
+            cols = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], ["arquivo", "texto", "erro"])
+
+    return raw.mapInArrow(run, "arquivo string, texto string, erro string")
+
+
+def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(arquivo, pagina, texto, erro) of PDF files where a PDF library (fitz) is installed on the executors; a broken file gives a row with erro."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                name = path.rsplit("/", 1)[-1]
+                try:
+                    import fitz
+
+                    with fitz.open(stream=content, filetype="pdf") as doc:
+                        rows += [(name, i, page.get_text(), None) for i, page in enumerate(doc)]
+                except Exception as e:  # noqa: BLE001 - also where the library is missing
+                    rows.append((name, None, None, f"{type(e).__name__}: {e}"))
+            cols = list(zip(*rows)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.string()))], ["arquivo", "pagina", "texto", "erro"])
+
+    return raw.mapInArrow(run, "arquivo string, pagina int, texto string, erro string")

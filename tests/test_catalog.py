@@ -47,4 +47,4 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_names_without_sql():
-    assert set(catalog.QUERIES) - set(catalog.SQL) == {"chunk_documents", "chunk_packed"}
+    assert set(catalog.QUERIES) - set(catalog.SQL) == {"chunk_documents", "chunk_packed", "chunk_packed_documents"}

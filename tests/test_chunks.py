@@ -100,3 +100,21 @@ def test_packed_against_brute_force(spark, size):
     if cur:
         want.append("\n\n".join(cur))
     assert one(spark, text, lambda c: chunks.packed(c, size, 1)) == want
+
+
+def test_packed_documents(spark):
+    long = " ".join(f"w{i}" for i in range(700))
+    rows = [(1, "a1", "voto", 2020, "T1", long), (2, "a2", "texto_integral", 2020, "T2", "\n".join(f"Art. {i} " + "palavra " * 60 for i in range(1, 9))), (3, "a3", "anexo", 2021, "T3", "Cab 1\nCab 2\nCab 3\n" + "x " * 400), (4, "a4", "outro", 2021, None, "curto"), (5, None, None, None, None, None), (6, "a6", "anexo", 2021, "T6", "um dois\n" + "y " * 60)]
+    df = spark.createDataFrame(rows, "registro_id long, ato_id string, tipo_documento string, ano int, titulo string, texto string")
+    got = chunks.children_packed(df).orderBy("registro_id", "chunk_idx").collect()
+    by = {i: [r for r in got if r.registro_id == i] for i in range(1, 7)}
+    assert [r.tokens for r in by[1]] == [256, 256, 256, 82] and not by[4] and not by[5]
+    assert all(r.texto.startswith("Art.") for r in by[2]) and by[2][0].contexto_juridico == "T2 - Art. 1"
+    assert all(r.texto.startswith("Cab 1\nCab 2\nCab 3\n\nx") for r in by[3]) and len(by[3]) == 2
+    middle = by[1][1]
+    assert middle.texto in middle.texto_pai and middle.texto_pai.startswith("w128 ") and P_COUNT(middle.texto_pai) == 512
+    assert [r.tokens for r in chunks.children_packed(df.where("registro_id = 1"), {"voto": 2}).collect()] == [256, 256]
+
+
+def P_COUNT(t):
+    return len(brute_pieces(t))

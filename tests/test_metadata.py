@@ -55,3 +55,8 @@ def test_cleaning(spark):
 def test_html(spark):
     page = "<html><head><style>p{}</style></head><body><nav>Menu</nav><p>A &amp; B</p><!-- c --><script>x<y</script><footer>F</footer><p>C</p></body></html>"
     assert values(spark, [page], C.html_text) == ["A & B\n\nC"]
+
+
+def test_paths_and_prompts(spark):
+    assert values(spark, ["raiz/pdfs/2016/a.pdf", "pdfs/x/a.pdf", "a.pdf", None], M.year_of_path) == [2016, None, None, None]
+    assert values(spark, ["q"], M.question_prompt)[0].endswith("Query: q")

@@ -100,3 +100,25 @@ def test_at_most_per_document(spark):
 
 def test_sample_is_stable(tables):
     assert [r.pergunta_id for r in answers.sample(tables[1], 2).collect()] == [r.pergunta_id for r in answers.sample(tables[1].repartition(3), 2).collect()]
+
+
+def test_variant(tables):
+    chunks, questions = tables
+    chunks = chunks.withColumn("arquivo_origem", F.lit("um.pdf"))
+    got = search.hybrid_variant(chunks, questions)
+    assert got.groupBy("pergunta_id").count().agg(F.max("count")).first()[0] <= 5
+    plain = search.hybrid_variant(chunks, questions, use_reranking=False, use_expansion=False, final=2).collect()
+    assert all(r.bruto == r.escore and r.posicao < 2 for r in plain)
+
+
+def test_generators(spark, tables):
+    prompts = answers.messages(spark.createDataFrame([(1, 0, "bloco")], "pergunta_id long, posicao int, bloco string"), tables[1])
+
+    def good(said):
+        return said[1]["content"][:10]
+
+    def bad(said):
+        raise RuntimeError("limite")
+
+    got = {(r.pergunta_id, r.modelo): (r.resposta, r.erro) for r in answers.compared(prompts, {"a": good, "b": bad}).collect()}
+    assert len(got) == 8 and got[1, "a"] == ("DOCUMENTOS", None) and got[1, "b"] == (None, "limite")

@@ -76,3 +76,21 @@ def test_failures_per_day(spark, tmp_path):
     q = failures_per_day(spark, f"{tmp_path}/in", df.schema).writeStream.format("memory").queryName("falhas_dia").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {(r.motivo, r.falhas) for r in spark.sql("select * from falhas_dia").collect()} == {("timeout", 2), ("x", 1)}
+
+
+def test_workbooks(spark, tmp_path):
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="Um"/><sheet name="Dois"/></sheets></workbook>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>ação</t></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData><row><c t="s"><v>0</v></c><c><v>12</v></c></row><row><c/></row></sheetData></worksheet>')
+        z.writestr("xl/worksheets/sheet2.xml", f'<worksheet {ns}><sheetData><row><c t="inlineStr"><is><t>x</t></is></c></row></sheetData></worksheet>')
+    (tmp_path / "b.xlsx").write_bytes(b"no")
+    got = {r.arquivo: (r.texto, r.erro is None) for r in files.workbooks(spark, str(tmp_path)).collect()}
+    assert got == {"a.xlsx": ("[Um]\nação   12\n\n[Dois]\nx", True), "b.xlsx": (None, False)}
+
+
+def test_pdf_without_library_or_broken(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"no pdf")
+    r = files.pdf_pages(spark, str(tmp_path)).first()
+    assert r.arquivo == "a.pdf" and r.texto is None and r.erro
