@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = r"[ \t\n\r\f]*(?:[\p{L}\p{N}_]+|[^ \t\n\r\f\p{L}\p{N}_])"
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) for a body that yields an array, `value` being computed once however often the body, and functions inside it, name it. (A plain expression would be evaluated again for every element of an inner array.)"""
+    return F.flatten(F.transform(F.array(value), body))
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with a costly column that is computed once a row: the optimizer copies an expression into every filter and projection that uses it, but not through a generator."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def pieces(t: Column) -> Column:
     return F.regexp_extract_all(t, F.lit(PIECE), F.lit(0))
 
@@ -30,5 +42,4 @@ def windows(t: Column, size: int, overlap: int = 0) -> Column:
         last = F.when(F.size(p) <= size, 0).otherwise(F.ceil((F.size(p) - size) / step)).cast("int")
         return F.when(F.size(p) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(p, i * step + 1, size), ""))).otherwise(F.array().cast("array<string>"))
 
-    # one evaluation of the pieces, however often `cut` names them
-    return F.flatten(F.transform(F.array(pieces(t)), cut))
+    return bound(pieces(t), cut)

@@ -47,18 +47,22 @@ def _whole(t: Column, mode: str) -> Column:
     return F.array(F.struct(t.alias("texto"), F.lit("").alias("contexto"), F.lit(mode).alias("modo")))
 
 
-def blocks(t: Column) -> Column:
-    """array<struct<tabela, bloco>>: runs of Markdown table lines and of other lines; the latter stripped, blank ones dropped."""
-    line = lambda x: F.struct(x.rlike(r"^[\s ]*\|[^\n]*\|[\s ]*$").alias("tabela"), x.alias("bloco"))
-    flagged = F.transform(F.split(t, "\n"), line)
+def runs(t: Column) -> Column:
+    """array<struct<tabela, bloco>>: alternating runs of Markdown table lines and of other lines, the latter stripped and perhaps blank."""
 
-    def add(acc: Column, x: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(x["tabela"].alias("tabela"), F.concat(last["bloco"], F.lit("\n"), x["bloco"]).alias("bloco"))))
-        return F.when(last["tabela"] == x["tabela"], joined).otherwise(F.concat(acc, F.array(x)))
+    def of_lines(x: Column) -> Column:
+        begin = F.filter(F.transform(x["f"], lambda f, i: F.when((i == 0) | (f != F.try_element_at(x["f"], F.greatest(i, F.lit(1)))), i + 1)), lambda i: i.isNotNull())
+        ends = F.concat(F.slice(begin, 2, F.size(begin)), F.array(F.size(x["f"]) + 1))
+        return F.zip_with(begin, ends, lambda i, j: of_run(F.element_at(x["f"], i), F.array_join(F.slice(x["l"], i, j - i), "\n")))
 
-    runs = F.aggregate(flagged, F.array().cast("array<struct<tabela:boolean,bloco:string>>"), add)
-    return F.filter(F.transform(runs, lambda b: F.struct(b["tabela"].alias("tabela"), F.when(b["tabela"], b["bloco"]).otherwise(strip(b["bloco"])).alias("bloco"))), lambda b: b["bloco"] != "")
+    of_run = lambda f, text: F.struct(f.alias("tabela"), F.when(f, text).otherwise(strip(text)).alias("bloco"))
+    flagged = lambda lines: P.bound(F.struct(F.transform(lines["l"], lambda x: x.rlike(r"^[\s ]*\|[^\n]*\|[\s ]*$")).alias("f"), lines["l"].alias("l")), of_lines)
+    return P.bound(F.struct(F.split(t, "\n").alias("l")), flagged)
+
+
+def blocks(t: Column) -> Column:
+    """The runs of a text, blank ones dropped."""
+    return F.filter(runs(t), lambda b: b["bloco"] != "")
 
 
 def fitted(t: Column, size: int = CHILD) -> Column:
@@ -83,21 +87,27 @@ def fitted(t: Column, size: int = CHILD) -> Column:
 
 def table_rows(t: Column, size: int = CHILD) -> Column:
     """A Markdown table as tables of at most `size` pieces under its own header (all lines up to the separator). A row too long for that, and a table without rows or separator, stay whole."""
-    lines = F.split(t, "\n")
-    at = F.coalesce(F.array_min(F.transform(lines, lambda x, i: F.when(x.rlike(r"^[\s ]*\|[-:| ]+\|[\s ]*$"), i + 1))), F.size(lines))
-    head = F.array_join(F.slice(lines, 1, at), "\n")
-    rows = F.slice(lines, at + 1, F.size(lines))
-    base = P.count(head)
-    empty = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur"), F.lit(0).alias("n"))
+    none = F.array().cast("array<string>")
+    empty = F.struct(none.alias("out"), F.lit("").alias("cur"), F.lit(0).alias("n"))
 
-    def add(acc: Column, x: Column) -> Column:
-        n = P.count(x)
-        fits = base + acc["n"] + n <= size
-        flush = F.concat(acc["out"], F.when(acc["n"] > 0, F.array(F.concat(head, acc["cur"]))).otherwise(F.array().cast("array<string>")))
-        return F.struct(F.when(fits, acc["out"]).otherwise(flush).alias("out"), F.when(fits, F.concat(acc["cur"], F.lit("\n"), x)).otherwise(F.concat(F.lit("\n"), x)).alias("cur"), F.when(fits, acc["n"] + n).otherwise(n).alias("n"))
+    def of_lines(x: Column) -> Column:
+        at = F.coalesce(F.array_min(F.transform(x["l"], lambda y, i: F.when(y.rlike(r"^[\s ]*\|[-:| ]+\|[\s ]*$"), i + 1))), F.size(x["l"]))
+        return P.bound(F.struct(x["l"].alias("l"), at.alias("at")), of_parts)
+
+    def of_parts(x: Column) -> Column:
+        head = F.array_join(F.slice(x["l"], 1, x["at"]), "\n")
+        return P.bound(F.struct(head.alias("head"), P.count(head).alias("base"), F.slice(x["l"], x["at"] + 1, F.size(x["l"])).alias("rows")), of_rows)
+
+    def of_rows(x: Column) -> Column:
+        done = lambda acc: F.concat(acc["out"], F.when(acc["n"] > 0, F.array(F.concat(x["head"], acc["cur"]))).otherwise(none))
+
+        def add(acc: Column, r: Column) -> Column:
+            fits = x["base"] + acc["n"] + r["n"] <= size
+            return F.struct(F.when(fits, acc["out"]).otherwise(done(acc)).alias("out"), F.when(fits, F.concat(acc["cur"], F.lit("\n"), r["r"])).otherwise(F.concat(F.lit("\n"), r["r"])).alias("cur"), F.when(fits, acc["n"] + r["n"]).otherwise(r["n"]).alias("n"))
 
-    cut = F.aggregate(rows, empty, add, lambda acc: F.concat(acc["out"], F.when(acc["n"] > 0, F.array(F.concat(head, acc["cur"]))).otherwise(F.array().cast("array<string>"))))
-    return F.when((F.size(rows) == 0) | (P.count(t) <= size), F.array(t)).otherwise(cut)
+        return F.when(F.size(x["rows"]) == 0, F.array(x["head"])).otherwise(F.aggregate(F.transform(x["rows"], lambda r: F.struct(r.alias("r"), P.count(r).alias("n"))), empty, add, done))
+
+    return F.when(P.count(t) <= size, F.array(t)).otherwise(P.bound(F.struct(F.split(t, "\n").alias("l")), of_lines))
 
 
 def units(kind: Column, t: Column) -> Column:
@@ -137,7 +147,7 @@ def _by_type(kind: Column, values: dict, other) -> Column:
 def chunked(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
     """One row per document with text: its chunks (capped) as an array, and how many there were before. Needs registro_id, arquivo_origem, tipo_documento, texto; other columns stay."""
     kind = F.coalesce("tipo_documento", F.lit("outro"))
-    full = documents.where(strip(F.col("texto")) != "").withColumn("__u", units(kind, F.col("texto"))).withColumn("__c", cut(F.col("__u"))).drop("__u").withColumn("gerados", F.size("__c")).where("gerados > 0")
+    full = P.once(documents.where(strip(F.col("texto")) != ""), "__c", cut(units(kind, F.col("texto")))).withColumn("gerados", F.size("__c")).where("gerados > 0")
     cap = _by_type(kind, caps or CAPS, OTHER_CAP)
     return full.withColumn("limite", cap).withColumn("chunks", F.slice("__c", 1, F.col("limite"))).drop("__c")
 
@@ -148,16 +158,21 @@ def children(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFr
     prefix = F.concat_ws("_", file_stem(F.col("arquivo_origem")), _by_type(F.coalesce("tipo_documento", F.lit("outro")), SHORT, "ou"))
     ident = lambda letter, n: F.concat("__p", F.lit(f"_{letter}"), F.when(n < 1000, F.lpad(n.cast("string"), 3, "0")).otherwise(n.cast("string")))
     rows = c.withColumn("__p", prefix).withColumn("total_chunks", F.size("chunks"))
-    rows = rows.select("*", F.posexplode("chunks").alias("__i", "__x")).withColumn("numero_chunk", F.col("__i") + 1)
+
+    def with_neighbours(x: Column) -> Column:
+        near = lambda i: F.array_join(F.transform(F.slice(x, F.greatest(i, F.lit(1)), F.least(i + 2, F.size(x)) - F.greatest(i, F.lit(1)) + 1), lambda y: y["texto"]), "\n")
+        return F.transform(x, lambda y, i: F.struct(y["texto"].alias("texto"), y["contexto"].alias("contexto"), P.head(near(i), PARENT).alias("pai")))
+
+    rows = P.once(rows, "__n", P.bound(F.col("chunks"), with_neighbours))
+    rows = rows.select("registro_id", "ato_id", "tipo_documento", "ano", "__p", "gerados", "limite", "total_chunks", F.posexplode("__n").alias("__i", "__x")).withColumn("numero_chunk", F.col("__i") + 1)
     n, total = F.col("numero_chunk"), F.col("total_chunks")
-    around = F.array_join(F.transform(F.slice("chunks", F.greatest(F.col("__i"), F.lit(1)), F.least(n + 1, total) - F.greatest(F.col("__i"), F.lit(1)) + 1), lambda x: x["texto"]), "\n")
     return rows.select(
         "registro_id", "ato_id", "tipo_documento", "ano",
         ident("c", n).alias("chunk_id"), ident("p", n).alias("chunk_pai_id"),
         F.col("__x.contexto").alias("contexto_juridico"), "numero_chunk", "total_chunks",
         (F.floor(n * 10000 / total + 0.5) / 10000).alias("posicao_relativa"),
         F.when(n > 1, ident("c", n - 1)).alias("chunk_anterior_id"), F.when(n < total, ident("c", n + 1)).alias("chunk_proximo_id"),
-        F.col("__x.texto").alias("texto"), P.head(around, PARENT).alias("texto_pai"),
+        F.col("__x.texto").alias("texto"), F.col("__x.pai").alias("texto_pai"),
         F.when((F.col("gerados") > F.col("limite")) & (F.col("tipo_documento") == "anexo"), F.lit(TRUNCATED)).alias("aviso"),
     )
 
@@ -203,9 +218,9 @@ def by_pieces(t: Column, size: int | Column, overlap: int = 0) -> Column:
     p = P.pieces(strip(t))
 
     def cut_(x: Column) -> Column:
-        step = F.lit(size) - overlap
+        step = size - overlap if isinstance(size, int) else size - F.lit(overlap)
         last = F.greatest(F.ceil((F.size(x) - size) / step), F.lit(0)).cast("int")
-        many = F.transform(F.sequence(F.lit(0), last), lambda i: strip(F.array_join(F.slice(x, i * step + 1, F.lit(size)), "")))
+        many = F.transform(F.sequence(F.lit(0), last), lambda i: strip(F.array_join(F.slice(x, (i * step + 1).cast("int"), size if isinstance(size, Column) else F.lit(size)), "")))
         whole = F.when(F.size(x) > 0, F.array(F.array_join(x, ""))).otherwise(F.array().cast("array<string>"))
         return F.when(F.size(x) <= size, whole).otherwise(F.filter(many, lambda c: F.length(c) >= LEAST_CHARS))
 
@@ -223,24 +238,25 @@ def packed_by_type(kind: Column, t: Column, title: Column) -> Column:
     sections = _split_where(t, r"\n[\s ]*[0-9]+\.[\s ]*[A-Z]")
     integral = F.when(F.size(articles) >= 2, articles).when(F.size(paragraphs) >= 2, paragraphs).otherwise(lines)
     note = F.when(F.size(sections) >= 2, sections).otherwise(lines)
-    rows = F.split(t, "\n")
-    first = strip(F.array_join(F.slice(rows, 1, 3), "\n"))
-    head = F.when(P.count(first) > HEADER_PIECES, F.coalesce(title, F.lit(""))).otherwise(first)
-    body = F.when(P.count(head) > 0, F.array_join(F.slice(rows, 4, 1_000_000), "\n")).otherwise(t)
-    annex = F.transform(by_pieces(body, F.greatest(CHILD - P.count(head) - 5, F.lit(100)), ANNEX_OVERLAP), lambda c: F.when(head != "", F.concat(head, F.lit("\n\n"), c)).otherwise(c))
+    first = lambda x: strip(F.array_join(F.slice(x["l"], 1, 3), "\n"))
+    headed = lambda x: P.bound(F.struct(x["l"].alias("l"), F.when(P.count(first(x)) > HEADER_PIECES, F.coalesce(title, F.lit(""))).otherwise(first(x)).alias("h")), sized)
+    sized = lambda x: P.bound(F.struct(x["h"].alias("h"), F.when(P.count(x["h"]) > 0, F.array_join(F.slice(x["l"], 4, F.size(x["l"])), "\n")).otherwise(F.array_join(x["l"], "\n")).alias("body"), F.greatest(CHILD - P.count(x["h"]) - 5, F.lit(100)).alias("n")), under)
+    under = lambda x: F.transform(by_pieces(x["body"], x["n"], ANNEX_OVERLAP), lambda c: F.when(x["h"] != "", F.concat(x["h"], F.lit("\n\n"), c)).otherwise(c))
+    annex = P.bound(F.struct(F.split(t, "\n").alias("l")), headed)
     return F.when(kind == "texto_integral", pack_units(integral)).when(kind == "nota_tecnica", pack_units(note)).when(kind == "decisao", pack_units(lines)).when(kind == "anexo", annex).otherwise(by_pieces(t, CHILD, OVERLAP))
 
 
 def children_packed(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
     """One row per chunk of the packed variant with its size and parent: neighbours joined by blank lines; over PARENT pieces, half of what the chunk leaves goes to the end of the one before and half to the beginning of the next, none if it leaves nothing."""
     kind = F.coalesce("tipo_documento", F.lit("outro"))
-    c = documents.where(strip(F.col("texto")) != "").withColumn("__c", packed_by_type(kind, F.col("texto"), F.col("titulo")))
+    c = P.once(documents.where(strip(F.col("texto")) != ""), "__c", packed_by_type(kind, F.col("texto"), F.col("titulo")))
     kept = F.filter(F.transform(F.slice("__c", F.lit(1), _by_type(kind, caps or PACKED_CAPS, OTHER_CAP)), strip), lambda x: F.length(x) >= LEAST_CHARS)
-    c = c.withColumn("__k", kept).withColumn("total_chunks", F.size("__k"))
-    rows = c.select("registro_id", "ato_id", "tipo_documento", "titulo", "ano", "total_chunks", "__k", F.posexplode("__k").alias("chunk_idx", "texto"))
-    before, after = F.try_element_at("__k", F.when(F.col("chunk_idx") > 0, F.col("chunk_idx"))), F.try_element_at("__k", F.col("chunk_idx") + 2)
+    c = P.once(c, "__k", kept).withColumn("total_chunks", F.size("__k"))
+    near = P.bound(F.col("__k"), lambda x: F.transform(x, lambda y, i: F.struct(y.alias("texto"), F.when(i > 0, F.try_element_at(x, F.greatest(i, F.lit(1)))).alias("antes"), F.try_element_at(x, i + 2).alias("depois"))))
+    rows = P.once(c, "__n", near).select("registro_id", "ato_id", "tipo_documento", "titulo", "ano", "total_chunks", F.posexplode("__n").alias("chunk_idx", "__x"))
+    rows = rows.select("*", F.col("__x.texto").alias("texto"), F.col("__x.antes").alias("__b"), F.col("__x.depois").alias("__a")).drop("__x")
     none = lambda x: F.nullif(x, F.lit(""))
-    rows = rows.withColumn("__b", before).withColumn("__a", after).withColumn("tokens", P.count(F.col("texto")))
+    rows = rows.withColumn("tokens", P.count(F.col("texto")))
     whole = F.concat_ws("\n\n", "__b", "texto", "__a")
     half = F.floor((F.lit(PARENT) - F.col("tokens")) / 2).cast("int")
     tail = F.when(half > 0, strip(F.array_join(F.slice(P.pieces(F.col("__b")), F.greatest(P.count(F.col("__b")) - half + 1, F.lit(1)), half), "")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tesselex.functions import cleaning as C
 from tesselex.functions.metadata import strip
+from tesselex.operators.chunks import runs
 
 #: Fixed values of table detection: characters of a line, of a cell, cells of a line, lines of a table.
 LINE_CHARS, CELL_CHARS, LINE_CELLS, TABLE_LINES = 20, 3, 3, 4
@@ -82,11 +83,10 @@ def lines_of(documents: DataFrame, key: str, text: Column) -> DataFrame:
     return documents.select(key, F.posexplode(F.split(text, "\n")).alias("linha_no", "linha"))
 
 
-def table_blocks(lines: DataFrame, key: str) -> DataFrame:
-    """(key, ordem, tabela, bloco): alternating Markdown tables and text; blank text is dropped."""
-    run = islands(lines, key, F.col("linha").rlike(r"^[\s ]*\|[^\n]*\|[\s ]*$"))
-    text = F.array_join("linhas", "\n")
-    return run.select(key, "ordem", "tabela", F.when(F.col("tabela"), text).otherwise(strip(text)).alias("bloco")).where("tabela or bloco <> ''")
+def table_blocks(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, ordem, tabela, bloco): alternating Markdown tables and text in order from 1, within the row; blank text is dropped."""
+    found = documents.where(F.col(text).isNotNull()).select(key, F.posexplode(runs(F.col(text))).alias("i", "b"))
+    return found.select(key, (F.col("i") + 1).cast("long").alias("ordem"), "b.tabela", "b.bloco").where("bloco <> ''")
 
 
 def rollup(pages: DataFrame, key: str) -> DataFrame:

@@ -381,7 +381,7 @@ blocos as (select * from (select registro_id, cast(ordem as bigint) as ordem, an
 
 @query(f"with {_BLOCKS} select * from blocos")
 def table_blocks(spark: SparkSession, d: str) -> DataFrame:
-    return pages.table_blocks(pages.lines_of(_documents(spark, d).where("texto is not null"), "registro_id", F.col("texto")), "registro_id")
+    return pages.table_blocks(_documents(spark, d), "registro_id", "texto")
 
 
 # --- chunks --------------------------------------------------------------------------------------------------------

@@ -40,5 +40,5 @@ def test_ocr_confidence(spark):
 
 def test_table_blocks(spark):
     t = "a\n| x | y |\n|---|---|\n\n\nb\n| z |"
-    got = [(r.tabela, r.bloco) for r in pages.table_blocks(pages.lines_of(spark.createDataFrame([(1, t)], "id long, t string"), "id", F.col("t")), "id").orderBy("ordem").collect()]
+    got = [(r.tabela, r.bloco) for r in pages.table_blocks(spark.createDataFrame([(1, t), (2, None)], "id long, t string"), "id", "t").orderBy("ordem").collect()]
     assert got == [(False, "a"), (True, "| x | y |\n|---|---|"), (False, "b"), (True, "| z |")]
