@@ -112,13 +112,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_fit": p9_fit,
 }
 
-SQL: dict[str, str] = {
-    "p2_found": r"""
+_REPEATED = r"""
 with linhas as (
     select registro_id, tipo_documento, generate_subscripts(string_split(texto, chr(10)), 1) - 1 as linha_no, unnest(string_split(texto, chr(10))) as l
     from corpus_documentos where texto is not null),
 normal as (
-    select registro_id, tipo_documento, linha_no,
+    select registro_id, tipo_documento, linha_no, l,
         regexp_replace(lower(trim(regexp_replace(l, '[\s\x{1c}-\x{1f}\x{85}\p{Z}]+', ' ', 'g'))), '\p{Nd}+', '0', 'g') as k
     from linhas),
 total as (select tipo_documento, count(*) as n from corpus_documentos where texto is not null group by 1),
@@ -126,7 +125,21 @@ alta as (
     select tipo_documento, k from normal join total using (tipo_documento)
     where regexp_matches(k, '\p{L}') group by tipo_documento, k, n
     having count(distinct registro_id) >= greatest(10, 0.05 * n))
-select registro_id, cast(linha_no as integer) as linha_no from normal join alta using (tipo_documento, k)
+"""
+
+SQL: dict[str, str] = {
+    "p1_found": r"""
+with palavras as (select registro_id, regexp_extract_all(lower(texto), '[\p{L}\p{N}]+') as w from corpus_documentos where texto is not null),
+trios as (select registro_id, unnest(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as g from palavras where len(w) >= 20),
+total as (select registro_id, count(*) as n from trios group by 1),
+comuns as (select a.registro_id as a, b.registro_id as b, count(*) as k from trios a join trios b on a.g = b.g and a.registro_id < b.registro_id group by 1, 2)
+select a as registro_id_a, b as registro_id_b from comuns join total x on x.registro_id = a join total y on y.registro_id = b where k >= 0.7 * (x.n + y.n - k)
+""",
+    "p2_found": _REPEATED + "select registro_id, cast(linha_no as integer) as linha_no from normal join alta using (tipo_documento, k)",
+    "p2_cleaned": _REPEATED + """
+, marcadas as (select n.registro_id, n.linha_no, n.l, a.k is not null as fora from normal n left join alta a on n.tipo_documento = a.tipo_documento and n.k = a.k),
+limpas as (select registro_id, coalesce(string_agg(l, chr(10) order by linha_no) filter (where not fora), '') as texto, cast(count(*) filter (where fora) as integer) as linhas_removidas from marcadas group by 1)
+select registro_id, t.texto as texto, coalesce(linhas_removidas, 0) as linhas_removidas from corpus_documentos left join limpas t using (registro_id)
 """,
     "p3_found": """
 select 'chunks_hierarquicos' as tabela, row_id as item_id, 'texto' as campo from chunks_hierarquicos where length(texto) > 1200
