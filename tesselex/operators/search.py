@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesselex.functions.words import search_words
+from tesselex.plans.lineage import written
 
 #: BM25, fusion and candidates.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -38,25 +39,28 @@ def _small(df: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
-def term_stats(documents: DataFrame, text: str) -> DataFrame:
-    """(termo, df, idf) of every search word; an idf below 0 becomes EPSILON times the mean idf of the vocabulary."""
-    words = documents.select(F.explode(F.array_distinct(search_words(F.col(text)))).alias("termo"))
-    df = words.groupBy("termo").agg(F.count("*").alias("df"))
-    n = documents.agg(F.count("*").alias("n"))
+def analysed(documents: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
+    """(key, kept columns, w): the search words of every row. Statistics, postings and vectors all read it, so a caller that needs several writes it once."""
+    return documents.select(key, *keep, search_words(F.col(text)).alias("w"))
+
+
+def term_stats(words: DataFrame) -> DataFrame:
+    """(termo, df, idf) of every search word of analysed rows; an idf below 0 becomes EPSILON times the mean idf of the vocabulary."""
+    df = words.select(F.explode(F.array_distinct("w")).alias("termo")).groupBy("termo").agg(F.count("*").alias("df"))
+    n = words.agg(F.count("*").alias("n"))
     raw = df.crossJoin(F.broadcast(n)).withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))  # one row
     mean = raw.agg(F.avg("raw").alias("media"))
     return raw.crossJoin(F.broadcast(mean)).select("termo", "df", F.when(F.col("raw") < 0, EPSILON * F.col("media")).otherwise(F.col("raw")).alias("idf"))
 
 
-def bm25(documents: DataFrame, key: str, text: str, questions: DataFrame, question: str, k: int = TOP_SPARSE) -> DataFrame:
-    """(pergunta_id, key, escore, posicao): the k best rows of each question with a score above 0; ties by key. Only words of questions are kept as postings; a word repeated in a question counts again."""
+def bm25(words: DataFrame, key: str, questions: DataFrame, question: str, k: int = TOP_SPARSE) -> DataFrame:
+    """(pergunta_id, key, escore, posicao): the k best analysed rows of each question with a score above 0; ties by key. Only words of questions are kept as postings; a word repeated in a question counts again."""
     few = _few(questions)
     asked = questions.select("pergunta_id", F.explode(search_words(F.col(question))).alias("termo")).groupBy("pergunta_id", "termo").agg(F.count("*").alias("vezes"))
-    words = documents.select(key, search_words(F.col(text)).alias("w"))
     size = words.agg(F.avg(F.size("w")).alias("media_dl"))
     known = _small(asked.select("termo").distinct(), few)
     posts = words.select(key, F.size("w").alias("dl"), F.explode("w").alias("termo")).join(known, "termo", "left_semi").groupBy(key, "dl", "termo").agg(F.count("*").alias("tf"))
-    idf = term_stats(documents, text).join(known, "termo", "left_semi").select("termo", "idf")
+    idf = term_stats(words).join(known, "termo", "left_semi").select("termo", "idf")
     part = F.col("idf") * F.col("vezes") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("media_dl")))
     scored = posts.join(_small(asked, few), "termo").join(_small(idf, few), "termo").crossJoin(F.broadcast(size)).groupBy("pergunta_id", key).agg(rounded(F.sum(part)).alias("escore")).where("escore > 0")
     return ranked(scored, k, F.desc("escore"), F.asc(key))
@@ -81,9 +85,9 @@ def _vector(words: list[str], known: dict[str, tuple[int, float]]) -> np.ndarray
     return v / n if n else v
 
 
-def embedded(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, vetor array<double>): a stand-in for a sentence encoder with the same contract: search words hashed to signed dimensions, unit length, all zero without words. A model may take its place."""
-    rows = documents.select(F.col(key).cast("long").alias(key), search_words(F.col(text)).alias("w"))
+def embedded(words: DataFrame, key: str) -> DataFrame:
+    """(key, vetor array<double>) of analysed rows: a stand-in for a sentence encoder with the same contract: search words hashed to signed dimensions, unit length, all zero without words. A model may take its place."""
+    rows = words.select(F.col(key).cast("long").alias(key), "w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, float]] = {}
@@ -204,17 +208,28 @@ def at_most_per_document(results: DataFrame, keys: list[str], most: int = 2) ->
     return results.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")
 
 
-def dense_questions(chunks: DataFrame, questions: DataFrame, k: int = TOP_DENSE, kinds: list[str] | None = None) -> DataFrame:
-    """Dense search of questions in chunk texts; a filter by type goes before the k best."""
-    rows = chunks.where(F.col("tipo_documento").isin(*kinds)) if kinds else chunks
-    return nearest(embedded(rows, "row_id", "texto"), "row_id", "vetor", embedded(questions, "pergunta_id", "pergunta"), k)
+def dense_questions(words: DataFrame, questions: DataFrame, k: int = TOP_DENSE, kinds: list[str] | None = None) -> DataFrame:
+    """Dense search of questions in analysed chunks (row_id, tipo_documento, w); a filter by type goes before the k best."""
+    rows = words.where(F.col("tipo_documento").isin(*kinds)) if kinds else words
+    return nearest(embedded(rows, "row_id"), "row_id", "vetor", embedded(analysed(questions, "pergunta_id", "pergunta"), "pergunta_id"), k)
+
+
+def words_of(chunks: DataFrame) -> DataFrame:
+    """Analysed chunks, written once for all that read them."""
+    return written(analysed(chunks, "row_id", "texto", "tipo_documento"), "words")
+
+
+def fused(words: DataFrame, questions: DataFrame, kinds: list[str] | None = None, filter_sparse: bool = False, lists: int = TOP_DENSE, k: int = TOP_FUSED) -> DataFrame:
+    """Both lists of analysed chunks, fused. The type filter concerns the dense list only unless filter_sparse is set."""
+    sparse_rows = words.where(F.col("tipo_documento").isin(*kinds)) if kinds and filter_sparse else words
+    return fuse(dense_questions(words, questions, lists, kinds), bm25(sparse_rows, "row_id", questions, "pergunta", lists), "row_id", k)
 
 
 def hybrid(chunks: DataFrame, questions: DataFrame, kinds: list[str] | None = None, mode: str = "append_then_cut", filter_sparse: bool = False) -> DataFrame:
-    """Dense and sparse lists fused, reranked and expanded. The type filter concerns the dense list only unless filter_sparse is set."""
-    sparse_rows = chunks.where(F.col("tipo_documento").isin(*kinds)) if kinds and filter_sparse else chunks
-    fused = fuse(dense_questions(chunks, questions, TOP_DENSE, kinds), bm25(sparse_rows, "row_id", "texto", questions, "pergunta"), "row_id")
-    return expand(rerank(fused, chunks, "row_id", questions), chunks, "row_id", mode)
+    """Dense and sparse lists fused, reranked and expanded."""
+    both = fused(words_of(chunks), questions, kinds, filter_sparse)
+    top = written(rerank(both, chunks, "row_id", questions), "reranked")  # a few rows a question, read three times below
+    return expand(top, chunks, "row_id", mode)
 
 
 #: Fixed values of the variant with its own list sizes: dense and sparse, fused, reranked, final, rows added, rows a document.
@@ -224,12 +239,14 @@ VARIANT = {"lists": 30, "fused": 25, "reranked": 6, "final": 5, "extra": 2, "per
 def hybrid_variant(chunks: DataFrame, questions: DataFrame, kinds: list[str] | None = None, use_reranking: bool = True, use_expansion: bool = True, final: int = VARIANT["final"]) -> DataFrame:
     """Longer lists, reranking and expansion optional, at most two rows of a document, then the cut. Without reranking the fused score stands for both scores."""
     v = VARIANT
-    fused = fuse(dense_questions(chunks, questions, v["lists"], kinds), bm25(chunks, "row_id", "texto", questions, "pergunta", v["lists"]), "row_id", v["fused"])
+    both = fused(words_of(chunks), questions, kinds, False, v["lists"], v["fused"])
     if use_reranking:
-        top = rerank(fused, chunks, "row_id", questions, v["reranked"])
+        top = rerank(both, chunks, "row_id", questions, v["reranked"])
     else:
-        few = F.broadcast(fused.where(F.col("posicao") < v["reranked"])) if _few(questions) else fused.where(F.col("posicao") < v["reranked"])
+        first = both.where(F.col("posicao") < v["reranked"])
+        few = F.broadcast(first) if _few(questions) else first
         top = chunks.select("row_id", "ato_id", "tipo_documento").join(few, "row_id").select("pergunta_id", "row_id", "ato_id", "tipo_documento", F.col("escore").alias("bruto"), "escore", "posicao")
+    top = written(top, "reranked")
     if use_expansion:
         top = expand(top, chunks, "row_id", "append_then_cut", v["reranked"] + v["extra"])
     source = chunks.select("row_id", "arquivo_origem").join(F.broadcast(top.select("row_id").distinct()), "row_id")  # a few rows a question

@@ -582,12 +582,12 @@ _HYBRID = f"{_BM25}, {_DENSE}, {_FUSED}, {_RERANKED}, {_expanded_sql(False)}"
 
 @query(f"with {_TERMS} select termo, df, floor(idf * 1000000 + 0.5) / 1000000 as idf from idfs")
 def bm25_term_stats(spark: SparkSession, d: str) -> DataFrame:
-    return search.term_stats(_chunks(spark, d), "texto").select("termo", "df", search.rounded(F.col("idf")).alias("idf"))
+    return search.term_stats(search.analysed(_chunks(spark, d), "row_id", "texto")).select("termo", "df", search.rounded(F.col("idf")).alias("idf"))
 
 
 @query(f"with {_BM25} select pergunta_id, row_id, escore, posicao from esparso")
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
-    return search.bm25(_chunks(spark, d), "row_id", "texto", _questions(spark, d), "pergunta")
+    return search.bm25(search.words_of(_chunks(spark, d)), "row_id", _questions(spark, d), "pergunta")
 
 
 def _vector_queries(spark: SparkSession, d: str) -> DataFrame:
@@ -612,13 +612,12 @@ def dense_topk_filtered(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {_DENSE} select pergunta_id, row_id, escore, posicao from denso")
 def dense_questions(spark: SparkSession, d: str) -> DataFrame:
-    return search.dense_questions(_chunks(spark, d), _questions(spark, d))
+    return search.dense_questions(search.analysed(_chunks(spark, d), "row_id", "texto", "tipo_documento"), _questions(spark, d))
 
 
 @query(f"with {_BM25}, {_DENSE}, {_FUSED} select pergunta_id, row_id, escore, posicao from fundido")
 def rrf_fuse(spark: SparkSession, d: str) -> DataFrame:
-    c, q = _chunks(spark, d), _questions(spark, d)
-    return search.fuse(search.dense_questions(c, q), search.bm25(c, "row_id", "texto", q, "pergunta"), "row_id")
+    return search.fused(search.words_of(_chunks(spark, d)), _questions(spark, d))
 
 
 @query(f"with {_BM25}, {_DENSE}, {_FUSED}, {_RERANKED} select * from ordenado")

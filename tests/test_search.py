@@ -45,7 +45,7 @@ def tables(spark):
 
 def test_bm25(tables):
     got = {}
-    for r in search.bm25(tables[0], "row_id", "texto", tables[1], "pergunta").orderBy("pergunta_id", "posicao").collect():
+    for r in search.bm25(search.words_of(tables[0]), "row_id", tables[1], "pergunta").orderBy("pergunta_id", "posicao").collect():
         got.setdefault(r.pergunta_id, []).append(r.row_id)
     assert got == {k: v for k, v in brute_bm25().items() if v}
 
