@@ -216,7 +216,7 @@ def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(edge)
         two = edge[:-1][size == 2]
         ok = (_far(prints[two], prints[two + 1]) <= np.maximum(reach[two], reach[two + 1])) & (side[two] == 0) | (side[two] != side[two + 1]) & (_far(prints[two], prints[two + 1]) <= np.maximum(reach[two], reach[two + 1]))
-        x, y = [ids[two[ok]]], [ids[two[ok] + 1]]
+        x, y, at = [ids[two[ok]]], [ids[two[ok] + 1]], [cell[two[ok]]]
         for s, k in zip(edge[:-1][size > 2].tolist(), size[size > 2].tolist()):
             own = slice(s, s + k)
             if side[s] == 0:
@@ -228,10 +228,10 @@ def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 i, j = (np.concatenate([p for p, _ in out]), np.concatenate([q for _, q in out])) if out else (np.empty(0, np.int64), np.empty(0, np.int64))
             x.append(ids[own][i])
             y.append(ids[own][j])
-        a, b = np.concatenate(x), np.concatenate(y)
-        lo, hi = np.minimum(a, b), np.maximum(a, b)
-        both = np.unique(np.stack([lo, hi], 1)[lo != hi], axis=0) if len(lo) else np.empty((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+            at.append(np.full(len(i), cell[s]))
+        a, b, c = np.concatenate(x), np.concatenate(y), np.concatenate(at)
+        ok = a != b
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[ok]), pa.array(np.maximum(a, b)[ok]), pa.array(c[ok])], ["a", "b", "cell"])
 
     for batch in batches:
         cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
@@ -250,7 +250,7 @@ def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _searched(cells: DataFrame) -> DataFrame:
     """Pairs from rows (cell, id, n, side, f0..f3), cells being of bounded size."""
     rows = cells.select("cell", "id", "n", "side", *_PRINT)
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_in_cells, "a long, b long")
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_in_cells, "a long, b long, cell long")
 
 
 def _blocks(hot: DataFrame, block_rows: int) -> DataFrame:
@@ -273,7 +273,7 @@ def _blocks(hot: DataFrame, block_rows: int) -> DataFrame:
 
 
 def candidates(reps: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(a, b), a < b: pairs of sketched rows that share a band and lie within reach of each other."""
+    """(a, b, cell), a < b: pairs of sketched rows that share a band and lie within reach of each other, and the lowest of the cells that found them."""
     bands = reps.select("id", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
     members = bands.join(shared, "key")
@@ -282,29 +282,40 @@ def candidates(reps: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int = BLOC
     hot = cells.where(F.col("k") > hot_rows)
     if not hot.isEmpty():
         found = found.unionByName(_searched(_blocks(hot.drop("k"), block_rows)))
-    return found.distinct()
+    return found.groupBy("a", "b").agg(F.min("cell").alias("cell"))
 
 
-def verified(pairs: DataFrame, df: DataFrame, key: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b, similaridade) of the pairs that reach the similarity, on the shingles of the texts themselves."""
-    texts = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
-    one = pairs.join(texts.withColumnsRenamed({"id": "a", "t": "ta"}), "a")
-    two = one.join(texts.withColumnsRenamed({"id": "b", "t": "tb"}), "b").select("a", "b", "ta", "tb")
+def _verify(similarity: float):
+    """Reads rows (cell, kind, a, b, t) sorted by cell and kind: first the texts of a cell (kind 0, a the row), then its pairs (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
+        now, sets = None, {}
         for batch in batches:
-            for at in range(0, batch.num_rows, STEP):
-                out = []
-                for a, b, ta, tb in zip(*[c.to_pylist() for c in batch.slice(at, STEP).columns]):
-                    x, y = shingles(ta, known), shingles(tb, known)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    j = both / (len(x) + len(y) - both)
-                    if j >= similarity:
-                        out.append((a, b, j))
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "similaridade"])
+            out = []
+            for cell, kind, a, b, t in zip(*[c.to_pylist() for c in batch.columns]):
+                if cell != now:
+                    now, sets = cell, {}
+                if kind == 0:
+                    sets[a] = shingles(t, known)
+                    continue
+                x, y = sets[a], sets[b]
+                both = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
+                j = both / (len(x) + len(y) - both)
+                if j >= similarity:
+                    out.append((a, b, j))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "similaridade"])
 
-    return two.mapInArrow(run, "a long, b long, similaridade double")
+    return run
+
+
+def verified(pairs: DataFrame, df: DataFrame, key: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b, similaridade) of the pairs (a, b, cell) that reach the similarity, on the shingles of the texts themselves. A text goes once to each cell that has a pair of it, not once to each pair."""
+    texts = df.select(F.col(key).cast("long").alias("a"), F.col(text).cast("string").alias("t"))
+    needed = pairs.select("cell", F.explode(F.array("a", "b")).alias("a")).distinct()
+    rows = needed.join(texts, "a").select("cell", F.lit(0).alias("kind"), "a", F.lit(None).cast("long").alias("b"), "t")
+    both = rows.unionByName(pairs.select("cell", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("t")))
+    return both.repartition("cell").sortWithinPartitions("cell", "kind").mapInArrow(_verify(similarity), "a long, b long, similaridade double")
 
 
 def classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -319,7 +330,8 @@ def classes(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
 def links(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(pairs between representatives with their similarity, membership)."""
     reps, member = classes(df, key, text)
-    return written(verified(candidates(reps), df, key, text), "links"), member
+    near = written(candidates(reps), "near-pairs")
+    return written(verified(near, df, key, text), "links"), member
 
 
 def pairs(df: DataFrame, key: str, text: str) -> DataFrame:
