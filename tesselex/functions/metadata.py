@@ -118,3 +118,13 @@ def question_prompt(c: Column, instruction: str = ASKED) -> Column:
 def year_of_path(path: Column, folder: str = "pdfs") -> Column:
     """The folder after `folder` as a number; null where it is none."""
     return F.nullif(F.regexp_extract(path, f"(?:^|/){folder}/([^/]+)/", 1), F.lit("")).try_cast("int")
+
+
+#: What reads a file of this ending.
+READERS = {"pdf": "pdf", "html": "html", "htm": "html", "zip": "zip", "rar": "rar", "xlsx": "excel", "xlsm": "excel", "xls": "excel"}
+
+
+def reader(name: Column) -> Column:
+    """The reader of a file by its ending, "ignorado" where there is none."""
+    ending = F.lower(F.regexp_extract(name, r"\.([^./]+)$", 1))
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in READERS.items() for x in pair]), ending), F.lit("ignorado"))

@@ -733,3 +733,22 @@ def clean_totals(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {_PAGES} select registro_id, case when sum(length({_strip('texto')})) > 50 then 'tem_texto' else 'escaneado' end as classe from paginas group by 1")
 def scanned_class(spark: SparkSession, d: str) -> DataFrame:
     return pages.scanned(pages.pages_of(_documents(spark, d), "registro_id", "texto"), "registro_id")
+
+
+@query(r"""select registro_id, arquivo_origem, case lower(regexp_extract(arquivo_origem, '\.([^./]+)$', 1)) when 'pdf' then 'pdf' when 'html' then 'html' when 'htm' then 'html' when 'zip' then 'zip' when 'rar' then 'rar' when 'xlsx' then 'excel' when 'xlsm' then 'excel' when 'xls' then 'excel' else 'ignorado' end as leitor from corpus_documentos""")
+def extension_dispatch(spark: SparkSession, d: str) -> DataFrame:
+    return _documents(spark, d).select("registro_id", "arquivo_origem", M.reader(F.col("arquivo_origem")).alias("leitor"))
+
+
+@query("select registro_id, ano, arquivo_origem from corpus_documentos where ano in (2016, 2021) order by ano, arquivo_origem, registro_id limit 100")
+def first_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The first documents by path of chosen years, as a trial run takes them."""
+    return _documents(spark, d).where("ano in (2016, 2021)").select("registro_id", "ano", "arquivo_origem").orderBy("ano", "arquivo_origem", "registro_id").limit(100)
+
+
+@query(f"with {_LOOKUP} select d.registro_id, l.titulo, l.tipo_documento, d.caracteres_extraidos, cast({_SCORE.replace(' c ', ' q.c ')} as double) as qualidade_score from corpus_documentos d join (select registro_id, coalesce(caracteres_extraidos, 0)::double as c, coalesce(paginas, 0) as p, coalesce(len(paginas_suspeitas), 0) as s from corpus_documentos) q using (registro_id) join lookup l on d.arquivo_origem = l.arquivo where d.texto is not null")
+def document_build(spark: SparkSession, d: str) -> DataFrame:
+    """Extracted text and metadata brought together, files without metadata left out."""
+    m = acts.lookup(_records(spark, d)).select("arquivo", "titulo", "tipo_documento")
+    rows = _scored(spark, d).where("texto is not null").select("registro_id", "arquivo_origem", "caracteres_extraidos", F.col("escore").alias("qualidade_score"))
+    return rows.join(m, F.col("arquivo_origem") == F.col("arquivo")).select("registro_id", "titulo", "tipo_documento", "caracteres_extraidos", "qualidade_score")

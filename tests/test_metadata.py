@@ -60,3 +60,7 @@ def test_html(spark):
 def test_paths_and_prompts(spark):
     assert values(spark, ["raiz/pdfs/2016/a.pdf", "pdfs/x/a.pdf", "a.pdf", None], M.year_of_path) == [2016, None, None, None]
     assert values(spark, ["q"], M.question_prompt)[0].endswith("Query: q")
+
+
+def test_reader(spark):
+    assert values(spark, ["a.pdf", "x/b.HTM", "c.xyz", "d", None], M.reader) == ["pdf", "html", "ignorado", "ignorado", "ignorado"]
