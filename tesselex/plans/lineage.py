@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; where it is unset (tests, a single machine) a folder of our own, set for the session."""
+    """The cluster's spark.checkpoint.dir; only where it is unset (tests, a single machine) a folder of our own, removed when Python ends."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tesselex-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="tesselex-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return "file://" + _OWN[0]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
