@@ -27,13 +27,26 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + _OWN[0]
 
 
+_WRITTEN: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written once as a parquet table in the shared folder and read back: a lost executor costs a read, not the whole lineage."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> int:
+    """Deletes the tables this process has written so far and tells how many. Results that still read them must have been saved."""
+    jvm, n = spark._jvm, len(_WRITTEN)
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """Lets Python workers import this package from where the driver has it."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
