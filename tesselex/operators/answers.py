@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesselex.functions.words import search_words
+from tesselex.operators.search import bounded
 
 #: The instructions and layout of a prompt.
 SYSTEM = (
@@ -28,7 +29,7 @@ NOTHING_FOUND = "Não encontrei documentos relevantes para esta pergunta no acer
 def context_blocks(results: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
     """(pergunta_id, posicao, bloco): a numbered block per result with the parent text, or the text where there is none."""
     own = chunks.select(key, "titulo", F.upper("tipo_documento").alias("tipo_documento"), "publicacao", "situacao", "contexto_juridico", F.coalesce(F.nullif("texto_pai", F.lit("")), "texto").alias("trecho"))
-    rows = own.join(F.broadcast(results.select("pergunta_id", key, "posicao")), key)  # a few rows a question
+    rows = own.join(bounded(results.select("pergunta_id", key, "posicao")), key)
     lines = [F.format_string(HEADING, F.col("posicao") + 1), *[F.concat(F.lit(label), F.coalesce(c, F.lit(""))) for label, c in FIELDS], F.lit(""), F.lit("TRECHO:"), F.coalesce("trecho", F.lit("")), F.lit("")]
     return rows.select("pergunta_id", "posicao", F.concat_ws("\n", *lines).alias("bloco"))
 
@@ -66,7 +67,7 @@ def compared(prompts: DataFrame, models: dict[str, Callable[[list[dict]], str]])
 def proxies(results: DataFrame, chunks: DataFrame, questions: DataFrame, key: str) -> DataFrame:
     """(pergunta_id, tipo, cobertura, precisao): lexical stand-ins for judged metrics, so named: the share of the question's words that the retrieved texts hold, and the share of texts that hold any."""
     q = questions.select("pergunta_id", "tipo", F.array_distinct(search_words(F.col("pergunta"))).alias("qw"))
-    rows = chunks.select(key, F.array_distinct(search_words(F.col("texto"))).alias("w")).join(F.broadcast(results.select("pergunta_id", key)), key).join(F.broadcast(q), "pergunta_id")  # as many as results
+    rows = chunks.select(key, F.array_distinct(search_words(F.col("texto"))).alias("w")).join(bounded(results.select("pergunta_id", key)), key).join(bounded(q), "pergunta_id")
     hit = F.array_intersect("qw", "w")
     each = rows.groupBy("pergunta_id", "tipo").agg(F.array_distinct(F.flatten(F.collect_list(hit))).alias("got"), F.first("qw").alias("qw"), F.avg((F.size(hit) > 0).cast("double")).alias("p"))
     return each.select("pergunta_id", "tipo", (F.floor(F.size("got") / F.size("qw") * 1000 + 0.5) / 1000).alias("cobertura"), (F.floor(F.col("p") * 1000 + 0.5) / 1000).alias("precisao"))

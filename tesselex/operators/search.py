@@ -39,6 +39,12 @@ def _small(df: DataFrame, few: bool) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
+def bounded(results: DataFrame) -> DataFrame:
+    """Results written once and counted: broadcast up to BLOCK_QUERIES * 32 rows, an ordinary side of a join beyond."""
+    rows, most = written(results, "results"), BLOCK_QUERIES * 32
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def analysed(documents: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
     """(key, kept columns, w): the search words of every row. Statistics, postings and vectors all read it, so a caller that needs several writes it once."""
     return documents.select(key, *keep, search_words(F.col(text)).alias("w"))
@@ -191,7 +197,7 @@ def expand(reranked: DataFrame, chunks: DataFrame, key: str, mode: str = "append
     """
     top = reranked.where((F.col("posicao") < 3) & F.col("tipo_documento").isin(*EXPANDED_TYPES) & (F.coalesce("ato_id", F.lit("")) != ""))
     acts = top.groupBy("pergunta_id", "ato_id").agg(F.min("posicao").alias("de"))
-    first = chunks.where("tipo_documento = 'texto_integral'").join(F.broadcast(acts.select("ato_id").distinct()), "ato_id", "left_semi").groupBy("ato_id").agg(F.min(key).alias(key))  # at most three acts a question
+    first = chunks.where("tipo_documento = 'texto_integral'").join(bounded(acts.select("ato_id").distinct()), "ato_id", "left_semi").groupBy("ato_id").agg(F.min(key).alias(key))
     new = acts.join(first, "ato_id").join(reranked.select("pergunta_id", key), ["pergunta_id", key], "left_anti")
     extra = new.select("pergunta_id", key, "ato_id", F.lit("texto_integral").alias("tipo_documento"), F.lit(0.0).alias("bruto"), F.lit(0.0).alias("escore"), (F.col("de") + 1000).alias("posicao"))
     both = reranked.unionByName(extra)
@@ -249,7 +255,7 @@ def hybrid_variant(chunks: DataFrame, questions: DataFrame, kinds: list[str] | N
     top = written(top, "reranked")
     if use_expansion:
         top = expand(top, chunks, "row_id", "append_then_cut", v["reranked"] + v["extra"])
-    source = chunks.select("row_id", "arquivo_origem").join(F.broadcast(top.select("row_id").distinct()), "row_id")  # a few rows a question
+    source = chunks.select("row_id", "arquivo_origem").join(bounded(top.select("row_id").distinct()), "row_id")
     kept = at_most_per_document(top.join(source, "row_id"), ["ato_id", "arquivo_origem"], v["per_document"])
     w = Window.partitionBy("pergunta_id").orderBy("posicao")
     return kept.withColumn("posicao", F.row_number().over(w) - 1).where(F.col("posicao") < final).select("pergunta_id", "row_id", "ato_id", "tipo_documento", "bruto", "escore", "posicao")

@@ -639,7 +639,7 @@ def hybrid_retrieve(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {_BM25}, {_DENSE}, {_FUSED} select pergunta_id, row_id, f.posicao, ato_id, arquivo_origem from fundido f join chunks_hierarquicos using (row_id) qualify row_number() over (partition by pergunta_id, ato_id, arquivo_origem order by f.posicao) <= 2")
 def dedup_max_per_doc(spark: SparkSession, d: str) -> DataFrame:
     fused = rrf_fuse(spark, d).select("pergunta_id", "row_id", "posicao")
-    rows = _chunks(spark, d).select("row_id", "ato_id", "arquivo_origem").join(F.broadcast(fused), "row_id")  # twenty rows a question
+    rows = _chunks(spark, d).select("row_id", "ato_id", "arquivo_origem").join(search.bounded(fused), "row_id")
     return search.at_most_per_document(rows.select("pergunta_id", "row_id", "posicao", "ato_id", "arquivo_origem"), ["ato_id", "arquivo_origem"])
 
 
