@@ -3,11 +3,13 @@
 A multinomial classifier over hashed byte bigrams learns from a bounded sample of the corpus' own words, garbled by every
 known chain of encodings, which chain a word went through. The chain is inverted; only what decodes strictly, and to bytes
 that clean words have, is taken as restored. Words are judged one by one, so garbled parts of a sound text are found.
+Letters that a lenient writer replaced by "?" are looked for in all words and put back where one frequent word fits.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesselex.llm import lexicon
+
 #: Rows whose words train the classifier; the only sample taken. Everything is searched.
 TRAIN_ROWS = 3000
 BUCKETS = 1 << 14
@@ -124,6 +128,65 @@ def features(word: str) -> list[int]:
     return [((a * 257 + b) * 40503) % 65537 % BUCKETS for a, b in zip(raw, raw[1:]) if a > 127 or b > 127]
 
 
+_TOKEN = re.compile(r"[^ \n\t\r]*\?[^ \n\t\r]*")
+_RUN = re.compile(r"[^\W\d_]*\?(?:\?|[^\W\d_])*")
+_INNER = re.compile(r"([^\W\d_])\?+([^\W\d_])")
+_ADDRESS = re.compile(r"://|^www\.|\?[^?=&]*=", re.I)
+_GONE = re.compile(r"(?:[^\x00-\x7f]|\?)+")
+
+
+class Known:
+    """Frequent words, found by what is left of them when letters beyond ASCII are lost."""
+
+    def __init__(self, words: Iterable[str] = ()) -> None:
+        self.words = frozenset(words)
+        self.by_rest: dict[str, list[str]] = defaultdict(list)
+        for w in sorted(self.words):
+            if not w.isascii():
+                self.by_rest[_GONE.sub("?", w)].append(w)
+
+    def fitting(self, run: str) -> list[str]:
+        """The words that a run of letters and marks may have been; a mark is a lost letter, or one byte of it."""
+        low = run.lower()
+        form = re.compile("".join("[^\\x00-\\x7f]{1,%d}" % len(x) if x[0] == "?" else re.escape(x) for x in re.findall(r"\?+|[^?]+", low)))
+        return [w for w in self.by_rest.get(_GONE.sub("?", low), ()) if form.fullmatch(w)]
+
+    def lost(self, run: str) -> bool:
+        """Whether letters were lost: a mark stands between letters (small ones do not go before a capital), or at an edge of no known word where it makes one."""
+        if any(not (a.islower() and b.isupper()) for a, b in _INNER.findall(run)):
+            return True
+        stem = run.strip("?").lower()
+        return bool(stem) and "?" not in stem and stem not in self.words and bool(self.fitting(run))
+
+    def put_back(self, run: str) -> str:
+        """The run with its letters where exactly one word fits; a mark that a question may have left is kept. The case of a first letter must be seen from others."""
+        for end in (run, run.rstrip("?")):
+            if "?" in end and len(found := self.fitting(end)) == 1:
+                left = [c for c in end if c != "?"]
+                if len(left) > 1 and all(map(str.isupper, left)):
+                    return found[0].upper() + run[len(end) :]
+                if end[0] != "?" and not any(map(str.isupper, left[1:])):
+                    return end[0] + found[0][1:] + run[len(end) :]
+        return run
+
+
+def lost_letters(text: str, known: Known) -> tuple[bool, str]:
+    """Whether letters were replaced by "?", and the text with those put back that can be. Addresses are left alone."""
+    if "?" not in text:
+        return False, text
+    found = False
+
+    def of_run(m: re.Match[str]) -> str:
+        nonlocal found
+        if not known.lost(m.group()):
+            return m.group()
+        found = True
+        return known.put_back(m.group())
+
+    new = _TOKEN.sub(lambda m: m.group() if _ADDRESS.search(m.group()) else _RUN.sub(of_run, m.group()), text)
+    return found, new
+
+
 class Classifier:
     """Multinomial naive Bayes: class 0 is sound text, class i chain i - 1."""
 
@@ -198,8 +261,18 @@ def learned(texts: list[list[str]]) -> Classifier:
     return Classifier.trained(Counter({w: n for w, n in clean.items() if w not in doubted or doubted[w] >= 3}))
 
 
-def examine(text: str, model: Classifier) -> tuple[str | None, str | None, bool] | None:
-    """None for a sound text, else (chain or None, text restored or None, whether all of it is restored)."""
+def examine(text: str, model: Classifier, known: Known = Known()) -> tuple[str | None, str | None, bool] | None:
+    """None for a sound text, else (chain or None, text restored or None, whether all of it is restored). Letters put back for "?" are a guess, so such a text is never whole."""
+    got = None if text.isascii() else _inverted(text, model)
+    base = text if got is None or got[1] is None else got[1]
+    lost, new = lost_letters(base, known)
+    if not lost:
+        return got
+    return got and got[0], new if new != text else None, False
+
+
+def _inverted(text: str, model: Classifier) -> tuple[str | None, str | None, bool] | None:
+    """As examine, but for lost letters."""
     words = words_of(text)
     votes: Counter[int] = Counter()
     lost = False
@@ -248,17 +321,19 @@ def examine(text: str, model: Classifier) -> tuple[str | None, str | None, bool]
 def garbled_fields(df: DataFrame, key: str, fields: list[str], rows: int = TRAIN_ROWS, restored: bool = True) -> DataFrame:
     """(registro_id, campo, cadeia, texto, completo) of every field that holds garbled characters.
 
-    cadeia is null where only lost characters (U+FFFD, control codes) show it; texto is the field with all that could be
-    restored, null if nothing could (or if not asked for); completo tells whether nothing garbled is left. Null, empty and
-    pure ASCII fields are sound. An empty table gives no row.
+    cadeia is null where only lost characters (U+FFFD, control codes, "?" for letters) show it; texto is the field with all that could be
+    restored, null if nothing could (or if not asked for); completo tells whether nothing garbled is left. Null and
+    empty fields are sound. The words that lost letters are put back from are counted over all rows. An empty table gives no row.
     """
     model = train(df, key, fields, rows)
-    shared = df.sparkSession.sparkContext.broadcast((model.log, model.seen))
+    words, _ = lexicon.frequent(df, fields)
+    shared = df.sparkSession.sparkContext.broadcast((model.log, model.seen, list(words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Classifier.__new__(Classifier)
-        own.log, own.seen = shared.value
+        own.log, own.seen, frequent = shared.value
         own.known = {}
+        known = Known(frequent)
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
@@ -266,7 +341,7 @@ def garbled_fields(df: DataFrame, key: str, fields: list[str], rows: int = TRAIN
                 ids = part.column(0).to_pylist()
                 for field, column in zip(fields, part.columns[1:]):
                     for i, t in zip(ids, column.to_pylist()):
-                        if t and not t.isascii() and (x := examine(t, own)):
+                        if t and (not t.isascii() or "?" in t) and (x := examine(t, own, known)):
                             out.append((i, field, x[0], x[1] if restored else None, x[2]))
                 cols = list(zip(*out)) or [(), (), (), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()))], ["registro_id", "campo", "cadeia", "texto", "completo"])

@@ -65,3 +65,22 @@ def test_operator(spark):
     assert sorted((r.registro_id, r.campo) for r in got) == [(7, "texto"), (7, "texto"), (8, "ementa")]
     assert E.garbled_fields(df.where("false"), "registro_id", ["texto"]).count() == 0
     assert E.garbled_fields(df.selectExpr("registro_id", "cast(null as string) texto"), "registro_id", ["texto"]).count() == 0
+
+
+def test_letters_lost_to_question_marks(model):
+    known = E.Known("ausência não órgão resolução temporário está esta voto resoluções até nós nãs".split())
+    assert E.examine("a aus?ncia de car?ter tempor?rio", model, known) == (None, "a ausência de car?ter temporário", False)
+    assert E.examine("RESOLU?ÃO da aus??ncia at? hoje", model, known) == (None, "RESOLUÇÃO da ausência até hoje", False)
+    assert E.examine("o ?rg?o diz n?o?", model, known) == (None, "o ?rg?o diz não?", False)
+    assert E.examine("n?s", model, known) == (None, None, False)  # two words fit
+    t = E.garble(SOUND[0], E.CHAINS[0]) + " e a aus?ncia"
+    assert E.examine(t, model, known)[1:] == (SOUND[0] + " e a ausência", False)
+    for t in ("Gostou deste voto? Envie a um amigo", "está? esta? ?", "http://a.br/x?y e www.a.br/p?q=1 e /busca?ano=2", "voto?Envie", "qué? 1?2"):
+        assert E.examine(t, model, known) is None, t
+
+
+def test_operator_finds_lost_letters(spark):
+    rows = [(i, f"texto {i} de não ausência e até", "ok") for i in range(40)] + [(90, "n?o ha", "s?rie"), (91, "at? aqui", "por que?")]
+    df = spark.createDataFrame(rows, "registro_id long, texto string, titulo string")
+    got = {(r.registro_id, r.campo): (r.cadeia, r.texto, r.completo) for r in E.garbled_fields(df, "registro_id", ["texto", "titulo"]).collect()}
+    assert got == {(90, "texto"): (None, "não ha", False), (90, "titulo"): (None, None, False), (91, "texto"): (None, "até aqui", False)}
