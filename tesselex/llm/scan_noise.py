@@ -2,7 +2,8 @@
 
 A hidden Markov model labels each line as body, running header, page number or break. It is trained on pages that are laid
 out here from a bounded sample of the corpus' own sound texts, with invented headers and numbers. Headers and numbers are
-dropped, divided words joined across what stood between, misread words replaced by the sample's words, paragraphs rejoined.
+dropped, divided words joined across what stood between, misread words replaced by frequent words, paragraphs rejoined. Words
+are counted over all rows, each distinct text once.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows that train the model and the lexicon; the only sample taken.
+from tesselex.llm import lexicon as L
+
+#: Rows that train the model of lines; the only sample taken.
 TRAIN_ROWS = 4000
-#: A word of the lexicon stands in this share of the sampled texts.
-LEXICON_SHARE = 0.002
+#: A word is itself misread if one confusion makes it a word that stands in so many times as many texts.
+FAR_MORE = 20
 STEP = 256
 BODY, HEADER, PAGE, BREAK = range(4)
 
@@ -215,6 +218,17 @@ def lay_out(text: str, words: list[str], rng: random.Random) -> tuple[list[str],
     return lines, labels
 
 
+def _readings(low: str) -> Iterator[str]:
+    """What a word may be if one character of it was misread; none for short words."""
+    if len(low) < 4:
+        return
+    for read, right in CONFUSIONS:
+        at = low.find(read)
+        while at >= 0:
+            yield low[:at] + right + low[at + len(read) :]
+            at = low.find(read, at + 1)
+
+
 class Mender:
     """The labeller and the lexicon of frequent words."""
 
@@ -223,12 +237,13 @@ class Mender:
         self.known: dict[str, str | None] = {}
 
     @classmethod
-    def learned(cls, texts: list[str], seed: int = 7) -> Mender:
-        have: Counter[str] = Counter()
-        for t in texts:
-            have.update(set(_WORD.findall(t.lower())))
-        least = max(3, LEXICON_SHARE * len(texts))
-        lexicon = frozenset(w for w, n in have.items() if n >= least and not any(map(str.isdigit, w)))
+    def learned(cls, texts: list[str], seed: int = 7, counted: tuple[dict[str, int], int] | None = None) -> Mender:
+        """The labeller of these texts; words as counted (see lexicon.frequent), else those of the texts."""
+        if counted is None:
+            once = set(texts)
+            counted = Counter(w for t in once for w in L.text_words(t)), len(once)
+        have, least = counted[0], L.least_of(counted[1])
+        lexicon = frozenset(w for w, n in have.items() if n >= least and not any(map(str.isdigit, w)) and not any(have.get(x, 0) >= FAR_MORE * n for x in _readings(w)))
         words = sorted(w for w in lexicon if len(w) > 3) or ["texto"]
         rng = random.Random(seed)
         pages = []
@@ -282,14 +297,9 @@ class Mender:
         if digits and not letters or low in self.lexicon:
             return None
         shaped = (lambda x: x.upper()) if word.isupper() and not digits else (lambda x: x.capitalize()) if word[:1].isupper() and not word[1:2].isupper() else (lambda x: x.upper()) if sum(map(str.isupper, word)) > 1 else (lambda x: x)
-        if len(low) >= 4:
-            for read, right in CONFUSIONS:
-                at = low.find(read)
-                while at >= 0:
-                    found = low[:at] + right + low[at + len(read) :]
-                    if found in self.lexicon:
-                        return shaped(found)
-                    at = low.find(read, at + 1)
+        for found in _readings(low):
+            if found in self.lexicon:
+                return shaped(found)
         if not digits:
             return None
         m = re.fullmatch(r"(\d*)([lOoSs]\d+|\d+[lOoSs])(\d*)(kV|KV|MW|kW|MWh|kWh|m|h|º)?", word)
@@ -380,10 +390,10 @@ _CLITICS = frozenset(("se", "lo", "la", "los", "las", "me", "te", "nos", "vos",
 
 
 def train(df: DataFrame, key: str, text: str, rows: int = TRAIN_ROWS) -> Mender:
-    """From about `rows` rows chosen by a hash of the key."""
+    """Lines from about `rows` rows chosen by a hash of the key, words from all rows."""
     n = df.count()
     part = df.where(F.pmod(F.xxhash64(key), F.lit(max(1, n // rows))) == 0).select(F.col(text).cast("string").alias("t")).where("t is not null").limit(2 * rows)
-    return Mender.learned([r.t for r in part.toLocalIterator()])
+    return Mender.learned([r.t for r in part.toLocalIterator()], counted=L.frequent(df, [text]))
 
 
 def _shared(df: DataFrame, mender: Mender):

@@ -65,3 +65,24 @@ def test_operator(spark):
     assert [(r.registro_id, r.ruido) for r in S.scan_noise(df, "registro_id", "texto").collect()] == [(502, "hifen"), (502, "hifen")]
     assert {r.registro_id: r.texto for r in S.paragraphs(df, "registro_id", "texto").collect()}[502] == "A energia da distribuidora."
     assert S.scan_noise(df.where("false"), "registro_id", "texto").count() == 0
+
+
+def test_misreading_of_many_copies_is_no_word(spark):
+    rng = random.Random(4)
+    copy = "A distribuidora paga a encrgia e a tarifa."
+    rows = [(i, act(rng)) for i in range(200)] + [(1000 + i, copy) for i in range(100)]
+    df = spark.createDataFrame(rows, "registro_id long, texto string")
+    assert {(r.registro_id, r.ruido) for r in S.scan_noise(df, "registro_id", "texto").collect()} == {(1000 + i, "caractere") for i in range(100)}
+    assert {r.texto for r in S.paragraphs(df, "registro_id", "texto").where("registro_id >= 1000").collect()} == {"A distribuidora paga a energia e a tarifa."}
+
+
+def test_frequent_misreading_of_a_far_more_frequent_word():
+    rng = random.Random(6)
+    texts = [act(rng) + "\nA distribuidora." for _ in range(300)] + [f"A encrgia {n}." for n in NOUNS[:5]]
+    assert "energia" in (m := S.Mender.learned(texts)).lexicon and m.meant("encrgia") == "energia"
+
+
+def test_words_outside_the_line_sample_count(spark):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i, act(rng)) for i in range(200)], "registro_id long, texto string")
+    assert len(S.train(df, "registro_id", "texto", rows=2).lexicon) >= len(NOUNS)
