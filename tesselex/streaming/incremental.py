@@ -10,10 +10,10 @@ from pyspark.sql.types import StructType
 from tesselex.operators.chunks import children
 
 
-def chunk_stream(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, late: str = "365 days") -> StreamingQuery:
-    """Reads all parquet files that came since the last run, leaves out deliveries seen within `late` of the newest (by file and time of receipt), writes their chunks. The checkpoint takes the place of a ledger."""
+def chunk_stream(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str) -> StreamingQuery:
+    """Reads all parquet files that came since the last run, leaves out deliveries seen before (by file and time of receipt), writes their chunks. The checkpoint takes the place of a ledger: it keeps file and time of every delivery, as any may come at any age."""
     new = spark.readStream.schema(schema).parquet(source)
-    once = new.withWatermark("recebido_em", late).dropDuplicates(["arquivo_origem", "recebido_em"])
+    once = new.dropDuplicates(["arquivo_origem", "recebido_em"])
     return children(once).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 

@@ -94,3 +94,17 @@ def test_pdf_without_library_or_broken(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"no pdf")
     r = files.pdf_pages(spark, str(tmp_path)).first()
     assert r.arquivo == "a.pdf" and r.texto is None and r.erro
+
+
+def test_stream_takes_old_deliveries(spark, tmp_path):
+    schema = "registro_id long, ato_id string, tipo_documento string, ano int, arquivo_origem string, texto string, recebido_em timestamp"
+
+    def load(i, when):
+        df = spark.sql(f"select {i}L registro_id, 'a' ato_id, 'voto' tipo_documento, 2020 ano, 'f{i}.pdf' arquivo_origem, 'texto {i}' texto, timestamp '{when}' recebido_em")
+        df.write.mode("append").parquet(f"{tmp_path}/in")
+        chunk_stream(spark, f"{tmp_path}/in", schema, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+
+    load(1, "2025-05-01 00:00:00")
+    load(2, "2016-02-01 00:00:00")
+    load(2, "2016-02-01 00:00:00")  # the same delivery once more
+    assert sorted(r.texto for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["texto 1", "texto 2"]
