@@ -1,17 +1,20 @@
 """Template residue, filler, error pages and script notices in place of content.
 
-Lines are counted per host by the summaries of site_lines; lines that recur there and carry no evidence themselves are
-subtracted. What is left of a record, its residual, is searched: placeholders, filler, stack traces and requests to allow
-scripts count wherever they stand, messages of a failed page only where they make up the residual.
+Lines are counted per host by the summaries of site_lines, and those that recur there are subtracted before anything is
+searched. In what is left of a record, its residual, placeholders, filler, stack traces and requests to allow scripts count
+wherever they stand, and a failed page's message where it opens or fills a paragraph. Sentences that report of such matters
+do not count. Of the subtracted lines, those with evidence count only if they say more than the whole residual: a page that
+is nothing but its host's usual error is found, an act under its host's usual cookie notice is kept.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable
 from itertools import islice
 from operator import eq
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +25,8 @@ from tesselex.llm import site_lines
 SHARE = 0.02
 LEAST_ROWS = 10
 ERROR = 0.005
-#: A failed page says no more than this besides boilerplate; a longer residual is an act.
-MESSAGE_CHARS = 500
-STEP = 512
+#: A paragraph is a failed page's message if its first sentence is, or sentences with this share of its letters.
+MESSAGE_SHARE = 1 / 3
 
 #: What a placeholder holds for certain, and the placeholder; a text without the sign needs no search.
 PLACEHOLDERS = tuple(
@@ -35,6 +37,7 @@ PLACEHOLDERS = tuple(
         ("{", r"\{(?<![\w\\^_}{]\{)(?:[A-Z][A-Z_ ]{2,48}|[a-z]{2,}(?:[_.][a-z]+)+|(?:nome|valor|data|prazo|cnpj|cpf|orgao|titulo|name|date|value|title)\d?)\}"),
         ("<%", r"<%=?[^%\n]{1,60}%>"),
         ("<", r"<[A-ZÀ-Ý][A-ZÀ-Ý_ ]{2,48}>"),
+        ("&lt;", r"&lt;[^\W\d_]+(?:_[^\W\d_]+)*&gt;"),
         ("[", r"\[(?:inserir|insira|preencher|preencha|informar|informe|colocar|completar|insert|enter|your|insertar|rellenar|complete|nome d|nombre d|name of)\b[^\]\n]{0,60}\]"),
         ("[", r"\[(?!SIC\]|IMAGEM\]|FIGURA\])[A-ZÀ-Ý][A-ZÀ-Ý_ ]{2,48}\]"),
         ("[", r"\[\s*[●•○■_…?*]+\s*\]"),
@@ -88,27 +91,63 @@ SCRIPTS = re.compile(
 )
 MESSAGE = re.compile(
     r"\b(?:erro|error|http(?:/\d\.\d)?(?: status| error)?|código|code)[ :–-]*[1-5]\d\d\b|^\W*[45]\d\d\b[ :–-]+[A-Za-zÀ-ÿ]"
-    r"|\b(?:página|documento|arquivo|endereço|conteúdo|recurso|archivo)\b[^.!?\n]{0,60}(?:não (?:foi )?(?:encontrad|localizad|existe|está dispon)|indispon|no (?:fue |se )?(?:encontr|existe|está dispon)|corrompido)"
+    r"|\b(?:página|documento|arquivo|endereço|conteúdo|recurso|archivo)\b[^.!?\n]{0,60}(?:não (?:foi )?(?:encontrad|localizad|existe|está dispon)|indispon(?:í|ible)|no (?:fue |se )?(?:encontr|existe|está dispon)|corrompido)"
     r"|\b(?:page|document|file|url|resource|address)\b[^.!?\n]{0,60}(?:not found|does not exist|not available|could not be (?:found|loaded)|no longer)"
     r"|\bnot found\b|\bbad gateway\b|gateway time-?out|service (?:temporarily )?unavailable|internal server error|erro interno do servidor|error interno del servidor|unexpected (?:condition|error)|erro inesperado|error inesperado"
     r"|\btente (?:novamente|mais tarde|outra vez)|try again|inténtelo|intente (?:de nuevo|nuevamente)|vuelva a intentar|recarregue|reload (?:the|this)|recargue|refresh (?:the|this) page"
     r"|(?:faça|efetue) (?:o )?login|inicie sesión|please (?:log|sign) in|sessão (?:expirou|expirada|encerrada)|session (?:has )?(?:expired|timed out)|sesión (?:ha )?(?:expir|caduc)"
     r"|(?:acesso negado|access denied|acceso denegado|forbidden|acesso proibido)(?:\W*$|[.!:–-])|(?:você )?não tem permissão|you (?:do not|don't) have permission|no tiene permiso"
-    r"|em manutenção|under maintenance|en mantenimiento|voltaremos|we(?:'ll| will) be back|volveremos|temporariamente (?:fora|indispon)|fora do ar|temporalmente fuera"
+    r"|em manutenção|under maintenance|en mantenimiento|voltaremos|we(?:'ll| will) be back|volveremos|temporariamente (?:fora|indispon(?:í|ible))|fora do ar|temporalmente fuera"
     r"|algo deu errado|something went wrong|algo salió mal|^\W*o+ps\b|lo sentimos|request (?:blocked|rejected)|requisição (?:bloqueada|rejeitada)|solicitud (?:bloqueada|rechazada)|muitas requisições|too many requests|demasiadas (?:solicitudes|peticiones)"
     r"|conexi[óo]n con la base|(?:conexão|falha ao conectar) com o banco|(?:database|connection) (?:error|refused|failed|timed out)|timeout ?error|time-?out exceeded|tempo (?:limite )?esgotado|tiempo de espera|nullpointerexception",
     re.I | re.M,
 )
-#: What every stock phrase of FILLER holds, in lower case.
-_STOCK = (" here", "your text", "sample text", "placeholder", "dummy", " aqui", " aquí", "preenchimento", "antes de publicar", "modelo,", "exemplo", "elabora", "relleno", "bla bla", "bla, bla", "asdf", "qwert", "lorem", "texto vai", "texto va")
+#: A sentence that says of somebody that he reports, or of a report, and so is none of the page's own.
+REPORTED = re.compile(
+    r"\b(?:segundo|de acordo com|conforme|consoante|according to|según|de acuerdo con)\s+(?:[oa]s?|el|la|los|las|the|seus?|suas?|um|uma|un|una)\b"
+    r"|\b(?:inform|relat|registr|constat|aleg|apont|consider|declar|afirm|observ|verific|report|señal|indic|exig)(?:a|am|an|ou|aram|aron|ó|ará|arão|arán|ava|avam|aba|e|iu|ia)\b[^.!?\n]*\b(?:que|quando|se)\b"
+    r"|\b(?:noted|stated|reported|said|observed|explained|alleged|notes|states|reports|says)\b[^.!?\n]*\b(?:that|when|whether)\b"
+    r"|\bjá sanad|\bfoi corrigid|\bfue corregid|\bwas (?:corrected|fixed)\b",
+    re.I,
+)
+#: What every match of FILLER, SCRIPTS, TRACE and MESSAGE holds, in lower case; a text without a pattern's signs needs no search for it.
+_STOCK_SIGNS = (
+    " here|your text|sample text|placeholder|dummy| aqui| aquí|preenchimento|antes de publicar|modelo,|exemplo|elabora|relleno|bla bla|bla, bla|asdf|qwert|lorem|texto vai|texto va"
+)
+_SCRIPT_SIGNS = "script|cookie|browser|navegador|human"
+_TRACE_SIGNS = "rror|xception|fault|dumped|traceback|undefined|warning|notice|ora-|sqlstate"
+_MESSAGE_SIGNS = (
+    "erro|http|código|code|não encontrad|não foi encontrad|não localizad|não foi localizad|não existe|não está dispon|indisponí|indisponible|no encontr|no fue encontr|no se encontr|no existe|no está dispon|corrompido"
+    "|not found|does not exist|not available|could not be|no longer|gateway|unavailable|unexpected|tente novamente|tente mais tarde|tente outra vez|try again|inténtelo|intente |vuelva a intentar|recarregue"
+    "|reload th|recargue|refresh th|login|inicie sesión|log in|sign in|sessão expir|sessão encerrada|session |sesión |acesso negado|access denied|acceso denegado|forbidden|acesso proibido|não tem permissão"
+    "|have permission|no tiene permiso|em manutenção|under maintenance|en mantenimiento|voltaremos|be back|volveremos|temporariamente fora|fora do ar|temporalmente fuera|algo deu errado|went wrong|algo salió mal"
+    "|ops|lo sentimos|request |requisição |requisições|requests|solicitud |demasiadas|con la base|com o banco|database |connection |timeout|time-out|esgotado|tiempo de espera|nullpointer"
+)
+_STOCK, _SCRIPT, _TRACE, _MESSAGE = 1, 2, 4, 8
+
+
+def _signs() -> ahocorasick.Automaton:
+    found: dict[str, int] = {}
+    for bit, signs in ((_STOCK, _STOCK_SIGNS), (_SCRIPT, _SCRIPT_SIGNS), (_TRACE, _TRACE_SIGNS), (_MESSAGE, _MESSAGE_SIGNS)):
+        for x in signs.split("|"):
+            found[x] = found.get(x, 0) | bit
+    out = ahocorasick.Automaton()
+    for x, bits in found.items():
+        out.add_word(x, bits)
+    out.make_automaton()
+    return out
+
+
+_AUTOMATON = _signs()
+_STATUS = re.compile(r"\W*[45]\d\d\b[ :–-]+[A-Za-zÀ-ÿ]")
 _WORD = re.compile(r"[^\W\d_]+")
 _END = re.compile(r"(?<=[.!?;])\s+")
+_STOP = re.compile(r"[.!?\n]")
 
 
-def filler(text: str) -> bool:
+def filler(text: str, low: str, signs: int) -> bool:
     """Stock phrases, pseudo-Latin, one word four times running, or one sentence three times running."""
-    low = text.lower()
-    if any(map(low.__contains__, _STOCK)) and FILLER.search(text):
+    if signs & _STOCK and FILLER.search(text):
         return True
     words = low.split()
     if any(map(eq, words, islice(words, 1, None))):
@@ -125,58 +164,75 @@ def filler(text: str) -> bool:
     return any(map(eq, said, islice(said, 1, None))) and any(a == b == c and len(_WORD.findall(a)) >= 2 for a, b, c in zip(said, said[1:], said[2:]))
 
 
-def anywhere(text: str) -> str | None:
-    """Evidence that counts in any place of a text."""
+def letters(text: str) -> int:
+    return sum(map(len, _WORD.findall(text)))
+
+
+def asked(text: str) -> bool:
+    """Whether a sentence asks to allow scripts or cookies, or says that they fail, and does not report of that."""
+    for m in SCRIPTS.finditer(text):
+        begin = max((x.end() for x in _STOP.finditer(text, max(0, m.start() - 400), m.start())), default=max(0, m.start() - 400))
+        end = _STOP.search(text, m.end())
+        if not REPORTED.search(text, begin, end.start() if end else len(text)):
+            return True
+    return False
+
+
+def message(paragraph: str) -> bool:
+    """Whether a failed page's message opens a paragraph or fills MESSAGE_SHARE of it."""
+    if not MESSAGE.search(paragraph):
+        return False
+    said = _END.split(paragraph.strip())
+    hit = [bool(MESSAGE.search(x)) and not REPORTED.search(x) for x in said]
+    return hit[0] or sum(letters(x) for x, h in zip(said, hit) if h) >= max(1.0, MESSAGE_SHARE * letters(paragraph))
+
+
+def found(text: str) -> str | None:
+    """Evidence in a residual, whatever its length: marcador, enchimento, scripts or erro."""
     if any(sign in text and p.search(text) for sign, p in PLACEHOLDERS):
         return "marcador"
-    if filler(text):
-        return "enchimento"
     low = text.lower()
-    if ("script" in low or "cookie" in low or "browser" in low or "navegador" in low or "human" in low) and SCRIPTS.search(text):
+    signs = 0
+    for _, bits in _AUTOMATON.iter(low):
+        signs |= bits
+    if filler(text, low, signs):
+        return "enchimento"
+    if signs & _SCRIPT and asked(text):
         return "scripts"
-    if ("rror" in low or "xception" in low or "fault" in low or "dumped" in low or "traceback" in low or "undefined" in low or "warning" in low or "notice" in low or "ora-" in low or "sqlstate" in low) and TRACE.search(text):
+    if signs & _TRACE and TRACE.search(text):
+        return "erro"
+    lines = text.splitlines()
+    if (signs & _MESSAGE or any(map(_STATUS.match, lines))) and any(map(message, lines)):
         return "erro"
     return None
 
 
-def message(residual: str) -> str | None:
-    """Evidence that counts only where it is what the residual says."""
-    return "erro" if len(residual) <= MESSAGE_CHARS and MESSAGE.search(residual) else None
-
-
 def evidence(text: str | None, boilerplate: frozenset[str] | set[str] = frozenset()) -> str | None:
     """marcador, enchimento, scripts or erro; None for a text fit for use, also for a null, empty or blank one."""
     if not text or not text.strip():
         return None
-    found = anywhere(text)
-    if found:
-        return found
-    lines = text.splitlines()
-    size = len(text)
-    if boilerplate:
-        size = sum(len(x) + 1 for x in lines if site_lines.line_key(x) not in boilerplate)
-    elif size > MESSAGE_CHARS:
-        return None
-    if size > MESSAGE_CHARS + 1:
-        return None
-    residual = "\n".join(x for x in lines if site_lines.line_key(x) not in boilerplate or message(x))
-    return message(residual)
+    if not boilerplate:
+        return found(text)
+    residual, usual = [], []
+    for x in text.splitlines():
+        (usual if site_lines.line_key(x) in boilerplate else residual).append(x)
+    left = "\n".join(residual)
+    kind = found(left) if left.strip() else None
+    if kind or not usual:
+        return kind
+    said = [(x, k) for x in usual if (k := found(x))]
+    return said[0][1] if said and sum(letters(x) for x, _ in said) > letters(left) else None
 
 
 def residue(df: DataFrame, key: str, host: str, text: str) -> DataFrame:
     """(doc_id, evidencia): every row to be left out and the first kind of evidence found. Copies of a row are judged alike; an empty table gives no row."""
     _, kept = site_lines.confirmed(df, key, host, text, SHARE, LEAST_ROWS, ERROR)
-    shared = df.sparkSession.sparkContext.broadcast(site_lines.held(kept))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, none = shared.value, frozenset()
-        for batch in batches:
-            for at in range(0, batch.num_rows, STEP):
-                part = batch.slice(at, STEP)
-                out = [(i, e) for i, own, t in zip(*[c.to_pylist() for c in part.columns]) if (e := evidence(t, sets.get(own, none)))]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string())], ["doc_id", "evidencia"])
+    def body(rows: Iterable[site_lines.Row], lines: Callable[[str | None], frozenset[str]]) -> pa.RecordBatch:
+        out = [(i, e) for i, own, t in rows if (e := evidence(t, lines(own)))]
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string())], ["doc_id", "evidencia"])
 
-    return df.select(F.col(key).cast("long"), F.col(host).cast("string"), F.col(text).cast("string")).mapInArrow(run, "doc_id long, evidencia string")
+    return site_lines.with_lines(df, key, host, text, kept, body, "doc_id long, evidencia string")
 
 
 def fit_for_use(df: DataFrame, key: str, host: str, text: str) -> DataFrame:

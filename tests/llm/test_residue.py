@@ -26,19 +26,62 @@ def test_acts_stay(text):
     assert R.evidence(text) is None
 
 
-def test_messages_in_long_acts_do_not_count():
-    assert R.evidence(" ".join(f"O relator {i} decidiu o recurso." for i in range(40)) + "\nPágina não encontrada segundo o agente.") is None
+ACT = " ".join(f"O relator {i} decidiu o recurso da usina {chr(97 + i % 26)}." for i in range(45))
+
+
+def keys(*lines):
+    return {R.site_lines.line_key(x) for x in lines}
+
+
+def test_messages_reported_in_acts_do_not_count():
+    assert R.evidence(ACT + "\nPágina não encontrada segundo o agente.") is None
+    assert R.evidence("O sistema informará ao usuário que deve habilitar JavaScript no navegador.") is None
+    assert R.evidence("A fiscalização constatou que o portal respondia com o erro 503 aos usuários.") is None
     assert R.evidence("O relator decidiu o recurso " * 40 + "\n{{ nome }}") == "marcador"
 
 
-def test_boilerplate_leaves_the_residual():
-    chrome = {R.site_lines.line_key(f"linha longa de menu do portal numero {i} com muitas palavras repetidas aqui") for i in range(1)}
-    text = "\n".join(["linha longa de menu do portal numero 7 com muitas palavras repetidas aqui"] * 10) + "\n503 Service Temporarily Unavailable"
-    assert R.evidence(text) == "enchimento" or R.evidence(text, chrome) == "erro"
+@pytest.mark.parametrize("where", ["{m}\n{act}", "{act}\n{m}", "{act}\n\n{m}\n\n{act}"])
+def test_a_paragraph_that_is_a_message_counts_in_a_text_of_any_length(where):
+    assert R.evidence(where.format(m="503 Service Unavailable – try again later.", act=ACT)) == "erro"
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 8, 16, 40])
+def test_an_error_page_counts_at_any_length(n):
+    more = ["O endereço solicitado não existe ou foi movido.", "Verifique se digitou o endereço corretamente.", "Se o problema persistir, procure o atendimento.", "Recarregue a página mais tarde."]
+    page = "Erro 404 – Página não encontrada. " + " ".join(f"{more[i % 4]} ({i})" for i in range(n))
+    assert R.evidence(page) == "erro" and R.evidence(page.replace(". ", ".\n")) == "erro"
+
+
+@pytest.mark.parametrize("notice", ["Este portal usa cookies: aceite os cookies para continuar.", "Accept all cookies", "Portal em manutenção. Voltaremos em breve."])
+def test_usual_lines_are_subtracted_before_any_evidence(notice):
+    act = ACT[:1900] + "\n" + notice
+    assert R.evidence(act) is not None and R.evidence(act, keys(notice)) is None
+    assert R.evidence("Menu\n" + notice, keys("Menu", notice)) is not None  # nothing but the host's usual lines
+    assert R.evidence(f"Pedido {7}\n{notice}", keys(notice)) is not None  # the notice says more than the rest
+    assert R.evidence(ACT + "\n{{ nome }}\n" + notice, keys(notice)) == "marcador"
+
+
+def test_usual_lines_leave_the_residual():
     menu = "\n".join(f"opção {chr(97 + i)} do menu do portal com muitas palavras que se repetem em tudo" for i in range(12))
-    keys = {R.site_lines.line_key(x) for x in menu.split("\n")}
-    assert R.evidence(menu + "\n503 Service Temporarily Unavailable") is None
-    assert R.evidence(menu + "\n503 Service Temporarily Unavailable", keys) == "erro"
+    assert R.evidence(menu, keys(*menu.split("\n"))) is None
+    assert R.evidence(menu + "\n503 Service Temporarily Unavailable", keys(*menu.split("\n"))) == "erro"
+    same = "\n".join(["linha longa de menu do portal. linha longa de menu do portal. linha longa de menu do portal."] * 2)
+    assert R.evidence(ACT + "\n" + same) == "enchimento" and R.evidence(ACT + "\n" + same, keys(same.split("\n")[0])) is None
+
+
+def test_escaped_placeholders():
+    assert R.evidence("A central de &lt;municipio&gt; e &lt;razao_social&gt; segue.") == "marcador"
+    assert R.evidence("se a &lt; b e c &gt; d") is None
+
+
+def test_subtraction_decides_on_a_table(spark):
+    banner = "Este portal usa cookies: aceite os cookies para continuar."
+    name = lambda i: chr(97 + i // 10) * 3 + chr(97 + i % 10) * 3
+    rows = [(i, "a", f"O relator {name(i)} decidiu o recurso da usina {name(i)} em favor do agente, com prazo de {i} dias para o pagamento.\n{banner}") for i in range(80)]
+    rows += [(200 + i, "b", f"O diretor {name(i)} aprovou o edital.") for i in range(80)] + [(300, "b", banner), (301, "a", banner), (302, "b", ACT + "\n" + banner)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = sorted((r.doc_id, r.evidencia) for r in R.residue(df, "doc_id", "source", "text").collect())
+    assert got == [(300, "scripts"), (301, "scripts"), (302, "scripts")]  # on host b the banner is not usual
 
 
 def test_operator(spark):

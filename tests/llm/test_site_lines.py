@@ -70,3 +70,21 @@ def test_empty_and_small(spark):
     assert S.repeated_lines(df, "registro_id", "tipo", "texto").count() == 0  # nine rows are not ten
     assert S.repeated_lines(df.where("false"), "registro_id", "tipo", "texto").count() == 0
     assert S.without_lines(df.where("false"), "registro_id", "tipo", "texto").count() == 0
+
+
+def test_more_lines_than_may_be_broadcast(spark, monkeypatch):
+    rows = rows_of(900)
+    df = spark.createDataFrame([(i, s, t) for i, s, t in rows], "registro_id long, tipo string, texto string").repartition(5)
+    clean = {tuple(r) for r in S.without_lines(df, "registro_id", "tipo", "texto").collect()}
+    monkeypatch.setattr(S, "BROADCAST_LINES", 0)
+    monkeypatch.setattr(S, "PART_ROWS", 100)  # sources are met in parts
+    assert {(r.registro_id, r.linha_no) for r in S.repeated_lines(df, "registro_id", "tipo", "texto").collect()} == brute(rows)
+    assert {tuple(r) for r in S.without_lines(df, "registro_id", "tipo", "texto").collect()} == clean
+
+
+def test_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_LINES", 1000)
+    n = 20_000  # ten rows a source
+    df = spark.range(n).selectExpr("id registro_id", "concat('s', id div 10) tipo", "concat('rodape de ', id div 10, '\n', uuid(), ' x') texto")
+    by = {r.linha_no: r["count"] for r in S.repeated_lines(df, "registro_id", "tipo", "texto").groupBy("linha_no").count().collect()}
+    assert by == {0: n}
