@@ -1,9 +1,10 @@
 """Noise in text from scanned pages.
 
-A hidden Markov model labels each line as body, running header, page number or break. It is trained on pages that are laid
-out here from a bounded sample of the corpus' own sound texts, with invented headers and numbers. Headers and numbers are
-dropped, divided words joined across what stood between, misread words replaced by frequent words, paragraphs rejoined. Words
-are counted over all rows, each distinct text once.
+A hidden Markov model labels each line as body, running header, page number or break, and its likeliest labels stand as they
+are. It is trained on pages that are laid out here from a bounded sample of the corpus' own texts, with invented headers and
+numbers; only the model's counts leave the tasks. Headers and numbers are dropped, divided words joined across what stood
+between, misread words replaced by frequent words, paragraphs rejoined. Words are counted over all rows, each distinct text
+once.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesselex.llm import lexicon as L
+from tesselex.plans.lineage import written
 
-#: Rows that train the model of lines; the only sample taken.
+#: About so many rows, chosen by a hash, train the model of lines; the only sample taken.
 TRAIN_ROWS = 4000
 #: A word is itself misread if one confusion makes it a word that stands in so many times as many texts.
 FAR_MORE = 20
@@ -41,72 +44,102 @@ _NUMBERED = re.compile(
     r"[\[(<{|\-–—=*•~ ]*(?:(?:p[áaà]?[gq9](?:[ií1l]n[aà])?|p|f[l1i]s?|f[o0][l1i]has?|page|pp?g?)\s*[.:]*\s*(?:n[º°o.]?\s*)?)?[\dOolISB]{1,5}\s*(?:(?:/|-|de|of|do total de)\s*[\dOolISB]{1,5})?[\])>}|\-–—=*•~ ]*",
     re.I,
 )
-#: A line that begins an article, paragraph or item is body, though its first words may recur.
+#: How an article, paragraph or item begins.
 _ITEM = re.compile(r"\s*(?:art(?:igo)?\b|§|par[áa]grafo|cap[íi]tulo|se[çc][ãa]o|inciso|anexo\b|[ivxlc]+\s*[–\-)]|\d+(?:\.\d+)*[.)]?\s)", re.I)
-_FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "5": "s", "8": "b", "c": "e", "9": "g", "q": "g", "6": "b", "ç": "g"})
 _DIGITS = str.maketrans("OolISB", "001158")
 _ENDS = ".;:!?…"
+_DIGIT = re.compile(r"\d")
+_WITH_DIGIT = re.compile(r"[^\W\d_]*\d[^\W_]*")
+_APART = re.compile(r"[^\w\x01\n]+|_")
+_BASES = {c: ord(base) for c in range(0xC0, 0x250) if (base := unicodedata.normalize("NFD", chr(c))[0]).isascii() and base.isalpha()}
+_FOLD = str.maketrans({"0": "o", "1": "l", "i": "l", "5": "s", "8": "b", "c": "e", "9": "g", "q": "g", "6": "b"})
 
 
-def skeleton(line: str) -> str:
-    """What a header's copies share in spite of misreadings and numbers that change; empty for a line without a word."""
-    out = []
-    for w in _WORD.findall(line.lower()):
-        if sum(map(str.isdigit, w)) * 2 >= len(w):
-            out.append("#")
-        else:
-            w = "".join(c for c in unicodedata.normalize("NFD", w) if not unicodedata.combining(c)) if not w.isascii() else w
-            out.append(w.replace("cl", "d").replace("rn", "m").replace("ii", "u").translate(_FOLD))
-    return " ".join(out) if any(x != "#" for x in out) else ""
+def skeletons(text: str) -> list[str]:
+    """Of each line what a header's copies share in spite of misreadings and numbers that change; empty for a line without a word."""
+    low = _WITH_DIGIT.sub(lambda m: "\x01" if sum(map(str.isdigit, m.group())) * 2 >= len(m.group()) else m.group(), text.lower())
+    low = low.replace("ç", "g").translate(_BASES).replace("cl", "d").replace("rn", "m").replace("ii", "u").translate(_FOLD)
+    return [x if x.strip("\x01 ") else "" for x in (" ".join(y.split()) for y in _APART.sub(" ", low).split("\n"))]
 
 
-def is_number(line: str) -> bool:
-    s = line.strip()
-    return 0 < len(s) <= 24 and any(map(str.isdigit, s)) and _NUMBERED.fullmatch(s) is not None
+def _recurring(lines: list[str]) -> list[str]:
+    """Skeletons of the lines that may have an equal one: those in which letters that skeletons keep as they are stand equally often. Empty for the others."""
+    marks = ["%d %d %d %d %d %d" % tuple(x.count(c) + x.count(c.upper()) for c in "tpfvhz") if x else "" for x in lines]
+    often = Counter(marks)
+    at = [i for i, m in enumerate(marks) if m and often[m] > 1]
+    out = [""] * len(lines)
+    if len(at) > 1:
+        for i, b in zip(at, skeletons("\n".join([lines[i] for i in at]))):
+            out[i] = b
+    return out
 
 
-def _marked(line: str) -> bool:
-    """Whether a line that is a number says by a word, bars or brackets that it counts pages."""
-    return not line.strip().isdigit()
+def is_number(line: str) -> bool:
+    s = line.strip()
+    return bool(s) and _NUMBERED.fullmatch(s) is not None and _DIGIT.search(s) is not None
 
 
 def observe(lines: list[str]) -> tuple[list[tuple[int, ...]], bool]:
-    """Layout features of each line, and whether any line may be a header (it recurs) or a page number at all."""
-    bones = [skeleton(x) if x and len(x) <= 120 and "|" not in x[:1] and not _ITEM.match(x) else "" for x in lines]
-    seen = Counter(b for b in bones if b)
-    widths = sorted(len(x) for x in lines if x.strip())
-    usual = widths[len(widths) * 3 // 4] if widths else 1
-    out, some = [], False
-    full = [i for i, x in enumerate(lines) if x.strip()]
-    after = {i: j for i, j in zip(full, full[1:])}
-    before = {j: i for i, j in zip(full, full[1:])}
+    """Layout features of each line (see Labeller.SIZES), and whether any line recurs or is a number at all.
+
+    Lines that recur are judged by what all their copies show, so that copies look alike: how often they stand inside a
+    sentence, whether any of them reads like prose, whether all bear one reference number.
+    """
+    bones = _recurring(lines)
+    seen = Counter(bones)
+    del seen[""]
+    full = [i for i, x in enumerate(lines) if x and not x.isspace()]
     numbers: dict[int, int] = {}
     for i in full:
         if is_number(lines[i]):
             d = re.sub(r"\D", " ", lines[i]).split()
-            numbers[i] = int(d[0]) if d else -9
+            numbers[i] = int(d[0][:9]) if d else -9
+    if not numbers and (not seen or max(seen.values()) < 2):
+        return [(1,) if x and not x.isspace() else (0,) for x in lines], False
+    widths = sorted(len(lines[i]) for i in full)
+    usual = widths[len(widths) * 3 // 4] if widths else 1
+    after = dict(zip(full, full[1:]))
+    before = dict(zip(full[1:], full))
     order = list(numbers.items())
-    rising = {i for (i, a), (j, b) in zip(order, order[1:]) if 0 < b - a <= 2} | {j for (i, a), (j, b) in zip(order, order[1:]) if 0 < b - a <= 2}
+    rising = {k for (i, a), (j, b) in zip(order, order[1:]) if 0 < b - a <= 2 for k in (i, j)}
+    inside: set[int] = set()
+    within: Counter[str] = Counter()
+    prose: set[str] = set()
+    digits: dict[str, set[str]] = {}
+    for i in full:
+        b, s = bones[i], lines[i].strip()
+        p, q = lines[before[i]].rstrip() if i in before else ".", lines[after[i]].lstrip() if i in after else "."
+        if p[-1] not in _ENDS and (q[:1].islower() or p[-1] in _HYPHENS) and not s[0].islower():
+            inside.add(i)
+        if b and seen[b] > 1:
+            within[b] += i in inside
+            if s[0].islower() or s[-1] in _ENDS:
+                prose.add(b)
+            digits.setdefault(b, set()).add("".join(c for c in s.translate(_DIGITS) if c.isdecimal()))
+    same = {b for b, d in digits.items() if len(d) == 1 and len(next(iter(d))) >= 6}
+    out: list[tuple[int, ...]] = []
     for i, line in enumerate(lines):
         s = line.strip()
         if not s:
-            out.append((0, 0, 0, 0, 0, 0, 0, 0))
+            out.append((0,) * len(Labeller.SIZES))
             continue
-        number = i in numbers
-        n = seen.get(bones[i], 1)
-        some = some or number or n > 1
-        shape = 1 if number else 2 if len(s) * 2 < usual else 3 if len(s) * 10 < usual * 8 else 4
-        p, q = lines[before[i]].rstrip() if i in before else ".", lines[after[i]].lstrip() if i in after else "."
-        cut = int(bool(p) and p[-1] not in _ENDS and (q[:1].islower() or p[-1] in _HYPHENS) and not s[:1].islower())
-        near = int(any(k in numbers for k in (before.get(i), after.get(i)) if k is not None and abs(k - i) <= 2))
-        out.append((shape, min(n, 3), 1 if s[0].islower() else 2 if s[0].isupper() else 3, 1 if s[-1] in _ENDS else 2 if s[-1] in _HYPHENS else 3, 1 + cut, 1 + near, 1 + (i in rising), 1 + (not 0 < i < len(lines) - 1)))
-    return out, some
+        b, number = bones[i], i in numbers
+        n = seen.get(b, 1) if b else 1
+        shape = (1 if s.isdigit() else 2) if number else 3 if s[0] == "|" else 4 if len(s) * 2 < usual else 5 if len(s) * 10 < usual * 8 else 6
+        item = bool(_ITEM.match(line))
+        group = 1 if n < 2 else 6 if item else 2 if b in same else 3 if within[b] * 2 >= n else 4 if within[b] else 5
+        near = any(k in numbers for k in (before.get(i), after.get(i)) if k is not None and abs(k - i) <= 2)
+        first, last = 1 if s[0].islower() else 2 if s[0].isupper() else 3, 1 if s[-1] in _ENDS else 2 if s[-1] in _HYPHENS else 3
+        out.append((shape, min(n, 3), first, last, 1 + (i in inside), 1 + near, 1 + (i in rising), 1 + (not 0 < i < len(lines) - 1), group, 1 if n < 2 else 2 + (b in prose), 1 + item))
+    return out, True
 
 
 class Labeller:
     """Start, transition and emission log-probabilities; features are independent given the label."""
 
-    SIZES = (5, 4, 4, 4, 3, 3, 3, 3)
+    #: Values of each feature, 0 being a blank line: shape, times the line recurs, first and last sign, inside a sentence,
+    #: beside a number, number that counts on, edge of the text, what its copies show, whether one reads like prose, item.
+    SIZES = (7, 4, 4, 4, 3, 3, 3, 3, 7, 4, 3)
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: list[np.ndarray]) -> None:
         self.start, self.move, self.emit = start, move, emit
@@ -114,9 +147,9 @@ class Labeller:
         self.steps = move.T.tolist()
 
     @classmethod
-    def counted(cls, pages: list[tuple[list[tuple[int, ...]], list[int]]]) -> Labeller:
-        start, move = np.full(4, 0.5), np.full((4, 4), 0.5)
-        emit = [np.full((4, n), 0.5) for n in cls.SIZES]
+    def counts(cls, pages: Iterable[tuple[list[tuple[int, ...]], list[int]]]) -> np.ndarray:
+        """Starts, transitions and emissions of labelled pages, as one array that adds up over pages."""
+        start, move, emit = np.zeros(4), np.zeros((4, 4)), [np.zeros((4, n)) for n in cls.SIZES]
         for seen, labels in pages:
             if labels:
                 start[labels[0]] += 1
@@ -125,7 +158,14 @@ class Labeller:
             for x, k in zip(seen, labels):
                 for e, v in zip(emit, x):
                     e[k, v] += 1
-        return cls(np.log(start / start.sum()), np.log(move / move.sum(1, keepdims=True)), [np.log(e / e.sum(1, keepdims=True)) for e in emit])
+        return np.concatenate([start, move.ravel(), *[e.ravel() for e in emit]])
+
+    @classmethod
+    def counted(cls, counts: np.ndarray) -> Labeller:
+        ends = np.cumsum([4, 16, *[4 * n for n in cls.SIZES]])
+        start, move, *emit = np.split(counts + 0.5, ends[:-1])
+        share = lambda x: np.log(x / x.sum(1, keepdims=True))
+        return cls(np.log(start / start.sum()), share(move.reshape(4, 4)), [share(e.reshape(4, n)) for e, n in zip(emit, cls.SIZES)])
 
     def label(self, seen: list[tuple[int, ...]]) -> list[int]:
         """The likeliest labels (Viterbi); ties go to the lower label."""
@@ -195,13 +235,15 @@ def lay_out(text: str, words: list[str], rng: random.Random) -> tuple[list[str],
 
     def put(x: str, k: int) -> None:
         lines.append(x)
-        labels.append(k if x.strip() else BREAK)
+        labels.append(BREAK if not x.strip() else BODY if k == PAGE and not is_number(x) else k)
 
     page = rng.randint(1, 30)
     every = rng.randint(8, 40)
     left = rng.randint(3, every)
-    if has_head and rng.random() < 0.5:
-        put(head, HEADER)
+    if rng.random() < 0.5:
+        first = [(head, HEADER)] * has_head + [(form.format(page, page + 20), PAGE)] * has_number
+        for x, k in first if head_first else first[::-1]:
+            put(_misread(x, rng), k)
     for x in body:
         put(x, BODY)
         left -= 1
@@ -215,6 +257,8 @@ def lay_out(text: str, words: list[str], rng: random.Random) -> tuple[list[str],
                 if rng.random() < 0.2:
                     put("", BREAK)
             page += 1
+    if has_number and rng.random() < 0.3:
+        put(form.format(page, page + 20), PAGE)
     return lines, labels
 
 
@@ -229,11 +273,41 @@ def _readings(low: str) -> Iterator[str]:
             at = low.find(read, at + 1)
 
 
+def sound_words(have: dict[str, int], texts: int) -> frozenset[str]:
+    """Frequent words without digits, but for those that one confusion makes a far more frequent word."""
+    least = L.least_of(texts)
+    return frozenset(w for w, n in have.items() if n >= least and not _DIGIT.search(w) and not any(have.get(x, 0) >= FAR_MORE * n for x in _readings(w)))
+
+
+def header_words(lexicon: frozenset[str]) -> list[str]:
+    """Words that invented headers are made of: none that would begin an item."""
+    return sorted(w for w in lexicon if len(w) > 3 and not _ITEM.match(w)) or ["texto"]
+
+
+def made_pages(texts: Iterable[str], words: list[str], seed: int = 7) -> Iterator[tuple[list[tuple[int, ...]], list[int]]]:
+    """Features and labels of each text's lines, half of them laid out as a scan. What is made of a text depends on it alone. A header that stands once is none."""
+    for t in texts:
+        lines = t.split("\n")
+        if len(lines) < 2 or any(map(is_number, lines)):
+            continue
+        rng = random.Random(zlib.crc32(t.encode("utf-8", "replace")) + seed)
+        if rng.random() < 0.5:
+            lines, labels = lay_out(t, words, rng)
+            if labels.count(HEADER) == 1:
+                labels[labels.index(HEADER)] = BODY
+        else:
+            labels = [BODY if x.strip() else BREAK for x in lines]
+        seen, some = observe(lines)
+        if some:
+            yield seen, labels
+
+
 class Mender:
     """The labeller and the lexicon of frequent words."""
 
     def __init__(self, labeller: Labeller, lexicon: frozenset[str]) -> None:
         self.labeller, self.lexicon = labeller, lexicon
+        self.longest = max(map(len, lexicon), default=0)
         self.known: dict[str, str | None] = {}
 
     @classmethod
@@ -242,42 +316,13 @@ class Mender:
         if counted is None:
             once = set(texts)
             counted = Counter(w for t in once for w in L.text_words(t)), len(once)
-        have, least = counted[0], L.least_of(counted[1])
-        lexicon = frozenset(w for w, n in have.items() if n >= least and not any(map(str.isdigit, w)) and not any(have.get(x, 0) >= FAR_MORE * n for x in _readings(w)))
-        words = sorted(w for w in lexicon if len(w) > 3) or ["texto"]
-        rng = random.Random(seed)
-        pages = []
-        for t in texts:
-            lines = t.split("\n")
-            if len(lines) < 2 or any(map(is_number, lines)):
-                continue
-            if rng.random() < 0.5:
-                made, labels = lay_out(t, words, rng)
-            else:
-                made, labels = lines, [BODY if x.strip() else BREAK for x in lines]
-            seen, _ = observe(made)
-            pages.append((seen, labels))
-        return cls(Labeller.counted(pages), lexicon)
+        lexicon = sound_words(*counted)
+        return cls(Labeller.counted(Labeller.counts(made_pages(texts, header_words(lexicon), seed))), lexicon)
 
     def labels(self, lines: list[str]) -> list[int]:
-        """A text in which nothing recurs and no line is a number has neither headers nor page numbers by definition."""
+        """The model's labels. A text in which nothing recurs and no line is a number has neither headers nor page numbers by definition."""
         seen, some = observe(lines)
-        if not some:
-            return [BODY if x[0] else BREAK for x in seen]
-        found = self.labeller.label(seen)
-        # a header recurs. Its copies begin alike and end no sentence; most are labelled so, or one is and one stands inside a sentence
-        bones = [skeleton(x) if (k == HEADER or y[1] > 1) and not _ITEM.match(x) else "" for x, k, y in zip(lines, found, seen)]
-        all_of, labelled = Counter(bones), Counter(b for b, k in zip(bones, found) if k == HEADER)
-        inside = Counter(b for b, y in zip(bones, seen) if y[4] == 2)
-        digits: dict[str, set[str]] = {}
-        for b, x in zip(bones, lines):
-            if b:
-                digits.setdefault(b, set()).add("".join(c for c in x.translate(_DIGITS) if c.isdecimal()))
-        same = {b for b, d in digits.items() if len(d) == 1 and len(min(d)) >= 6}  # one reference number on every page
-        plain = {b for b, y in zip(bones, seen) if y[2] == 1 or y[3] == 1}
-        headers = {b for b, n in all_of.items() if b and (labelled[b] > 1 and labelled[b] * 2 > n or n > 1 and b not in plain and (labelled[b] and inside[b] or inside[b] * 2 >= n or b in same))}
-        # a bare number is a page number unless other numbers stand about it, as in a column
-        return [PAGE if x[0] == 1 and (k == PAGE or _marked(line) or x[5] == 1) else HEADER if b in headers else BREAK if not x[0] else BODY for k, x, b, line in zip(found, seen, bones, lines)]
+        return self.labeller.label(seen) if some else [BODY if x[0] else BREAK for x in seen]
 
     def meant(self, word: str) -> str | None:
         """What a misread word or number should be, None for a word that may stand."""
@@ -289,7 +334,7 @@ class Mender:
         return got
 
     def _meant(self, word: str) -> str | None:
-        if len(word) > 32 or len(word) < 3 and not word[:1].isdigit():
+        if len(word) < 3 and not word[:1].isdigit():
             return None
         low = word.lower()
         digits = sum("0" <= c <= "9" for c in word)
@@ -297,9 +342,10 @@ class Mender:
         if digits and not letters or low in self.lexicon:
             return None
         shaped = (lambda x: x.upper()) if word.isupper() and not digits else (lambda x: x.capitalize()) if word[:1].isupper() and not word[1:2].isupper() else (lambda x: x.upper()) if sum(map(str.isupper, word)) > 1 else (lambda x: x)
-        for found in _readings(low):
-            if found in self.lexicon:
-                return shaped(found)
+        if len(word) <= self.longest + 1:  # a reading is longer or shorter by one at most
+            for found in _readings(low):
+                if found in self.lexicon:
+                    return shaped(found)
         if not digits:
             return None
         m = re.fullmatch(r"(\d*)([lOoSs]\d+|\d+[lOoSs])(\d*)(kV|KV|MW|kW|MWh|kWh|m|h|º)?", word)
@@ -315,12 +361,12 @@ class Mender:
             return low.translate(str.maketrans("015869", "olsbeg")).upper()
         return None
 
-    def noise(self, text: str | None) -> list[str]:
-        """The kinds found in a text, in a fixed order; none in a null, empty or blank one."""
+    def noise(self, text: str | None, labels: list[int] | None = None) -> list[str]:
+        """The kinds found in a text, in a fixed order; none in a null, empty or blank one. `labels` are those of its lines, if they are known."""
         if not text or not text.strip():
             return []
         lines = text.split("\n")
-        labels = self.labels(lines) if len(lines) > 1 else [BODY]
+        labels = labels or (self.labels(lines) if len(lines) > 1 else [BODY])
         out = []
         if len(lines) > 1 and any(True for _ in self.divided(lines, labels)):
             out.append("hifen")
@@ -332,11 +378,21 @@ class Mender:
             out.append("pagina")
         return out
 
+    def mended(self, text: str | None) -> tuple[str | None, list[str]]:
+        """(text repaired where noise was found and as it was otherwise, the kinds); lines are labelled once."""
+        if not text or not text.strip():
+            return text, []
+        lines = text.split("\n")
+        labels = self.labels(lines) if len(lines) > 1 else [BODY]
+        kinds = self.noise(text, labels)
+        return (self.repaired(text, labels) if kinds else text), kinds
+
     def divided(self, lines: list[str], labels: list[int]) -> Iterator[tuple[int, int]]:
         """(line, next line) where a word is divided, the next line being the next of the body; blank lines are passed only about a page end."""
         body = [i for i, k in enumerate(labels) if k == BODY]
         for i, j in zip(body, body[1:]):
-            m = _DIVIDED.search(lines[i].rstrip())
+            line = lines[i].rstrip()
+            m = _DIVIDED.search(line, max(0, line.rfind(" "))) if line[-1:] in _HYPHENS and line else None
             if not m or (j > i + 1 and not any(k in (HEADER, PAGE) for k in labels[i + 1 : j])):
                 continue
             n = _STARTS.match(lines[j].lstrip())
@@ -349,10 +405,10 @@ class Mender:
                 continue
             yield i, j
 
-    def repaired(self, text: str) -> str:
+    def repaired(self, text: str, labels: list[int] | None = None) -> str:
         """Paragraphs of the body: no headers, no numbers, no divided or (where the meant word is known) misread words."""
         lines = text.split("\n")
-        labels = self.labels(lines)
+        labels = labels or self.labels(lines)
         cut = dict(self.divided(lines, labels))
         usual = max((len(x) for x, k in zip(lines, labels) if k == BODY), default=0)
         out: list[str] = []
@@ -390,10 +446,23 @@ _CLITICS = frozenset(("se", "lo", "la", "los", "las", "me", "te", "nos", "vos",
 
 
 def train(df: DataFrame, key: str, text: str, rows: int = TRAIN_ROWS) -> Mender:
-    """Lines from about `rows` rows chosen by a hash of the key, words from all rows."""
-    n = df.count()
-    part = df.where(F.pmod(F.xxhash64(key), F.lit(max(1, n // rows))) == 0).select(F.col(text).cast("string").alias("t")).where("t is not null").limit(2 * rows)
-    return Mender.learned([r.t for r in part.toLocalIterator()], counted=L.frequent(df, [text]))
+    """Lines from about `rows` rows chosen by a hash of the key, words from all rows. Pages are laid out and counted in the tasks; the driver gets counts."""
+    lexicon = sound_words(*L.frequent(df, [text]))
+    words = df.sparkSession.sparkContext.broadcast(header_words(lexicon))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = Labeller.counts([])
+        for batch in batches:
+            total += Labeller.counts(made_pages(batch.column(0).to_pylist(), words.value))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["c"])
+
+    part = df.where(F.pmod(F.xxhash64(key), F.lit(max(1, df.count() // rows))) == 0).select(F.col(text).cast("string").alias("t")).where("t is not null")
+    counts = written(part.mapInArrow(count, "c array<double>"), "line-counts")  # one row of a few hundred numbers a task
+    each = counts.select(F.posexplode("c").alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect()
+    total = Labeller.counts([])
+    for r in each:
+        total[r.i] = r.n
+    return Mender(Labeller.counted(total), lexicon)
 
 
 def _shared(df: DataFrame, mender: Mender):
@@ -429,10 +498,7 @@ def paragraphs(df: DataFrame, key: str, text: str, rows: int = TRAIN_ROWS) -> Da
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
-                out = []
-                for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    kinds = mender.noise(t)
-                    out.append((i, mender.repaired(t) if kinds else t, kinds))
+                out = [(i, *mender.mended(t)) for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
                 cols = list(zip(*out)) or [(), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.list_(pa.string())))], ["registro_id", "texto", "ruidos"])
 

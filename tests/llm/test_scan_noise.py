@@ -17,19 +17,63 @@ def mender():
     return S.Mender.learned([act(rng) for _ in range(300)])
 
 
+def held_out(n=80, seed=99):
+    rng = random.Random(seed)
+    while n:
+        lines, labels = S.lay_out(act(rng), ["secretaria", "arquivo", "caixa", "volume", "unidade"], rng)
+        if labels.count(S.HEADER) != 1:  # a header must recur
+            n -= 1
+            yield lines, labels
+
+
 def test_labels_on_held_out_pages(mender):
-    rng = random.Random(99)
     right = total = 0
-    for _ in range(60):
-        lines, labels = S.lay_out(act(rng), ["secretaria", "arquivo", "caixa", "volume", "unidade"], rng)
-        got = mender.labels(lines)
-        if labels.count(S.HEADER) == 1:
-            continue  # a header must recur
+    for lines, labels in held_out():
+        got = mender.labeller.label(S.observe(lines)[0]) if S.observe(lines)[1] else mender.labels(lines)
         right += sum(a == b for a, b in zip(got, labels))
         total += len(labels)
     assert right / total >= 0.97, right / total
 
 
+@pytest.mark.parametrize("constant", [None, S.BODY, S.HEADER, S.PAGE, S.BREAK])
+def test_the_model_decides(mender, monkeypatch, constant):
+    """Headers and numbers are found by the likeliest labels alone: a labeller that always says the same finds hardly any without false ones."""
+    if constant is not None:
+        monkeypatch.setattr(S.Labeller, "label", lambda self, seen: [constant] * len(seen))
+    true, got = set(), set()
+    for i, (lines, labels) in enumerate(held_out()):
+        true |= {(i, k) for k, c in (("cabecalho", S.HEADER), ("pagina", S.PAGE)) if c in labels}
+        got |= {(i, k) for k in mender.noise("\n".join(lines)) if k in ("cabecalho", "pagina")}
+    both, share = len(true & got), lambda n: n / len(true)
+    if constant is None:
+        assert share(both) >= 0.95 and both >= 0.95 * len(got)
+    else:
+        assert share(both) < 0.75
+    if constant in (S.BODY, S.BREAK):
+        assert not got
+
+
+def test_lengths_are_no_limit(mender):
+    body = [f"linha {w} da tarifa de energia do contrato e da garantia" for w in "abcdefghijkl"]
+    head = "Secretaria de Arquivo – " + " ".join(f"volume{chr(97 + i)}" for i in range(26)) + " – caixa 12"
+    assert len(head) > 200
+    text = "\n".join(x for i, b in enumerate(body) for x in ([b, head, f"Página {i // 3 + 4} do total de {99:>12}"] if i % 3 == 2 else [b]))
+    assert mender.noise(text) == ["cabecalho", "pagina"]
+    long = "".join(NOUNS)
+    assert len(long) > 100
+    m = S.Mender.learned([f"A {long} paga {i}.\nOutra." for i in range(20)])
+    assert m.meant(long.replace("energia", "encrgia", 1)) == long
+
+
+def test_what_is_made_of_a_text_depends_on_it_alone():
+    rng = random.Random(2)
+    texts = [act(rng) for _ in range(20)]
+    one, two = S.Labeller.counts(S.made_pages(texts, NOUNS)), S.Labeller.counts(S.made_pages(texts[::-1], NOUNS))
+    assert (one == two).all() and one.sum() > 0
+    halves = S.Labeller.counts(S.made_pages(texts[:7], NOUNS)) + S.Labeller.counts(S.made_pages(texts[7:], NOUNS))
+    assert (one == halves).all()
+
+
 def test_kinds(mender):
     rng = random.Random(5)
     assert mender.noise(None) == [] and mender.noise("  ") == [] and mender.noise("energia") == []
