@@ -3,14 +3,15 @@
 A multinomial classifier over hashed byte bigrams learns from a bounded sample of the corpus' own words, garbled by every
 known chain of encodings, which chain a word went through. The chain is inverted; only what decodes strictly, and to bytes
 that clean words have, is taken as restored. Words are judged one by one, so garbled parts of a sound text are found.
-Letters that a lenient writer replaced by "?" are looked for in all words and put back where one frequent word fits.
+Writers that put a sign in place of a letter ("?", U+FFFD) are classes of the same classifier. They have no inverse: an exact
+check of the letters about the sign follows, and letters are put back where one frequent word fits.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tesselex.llm import lexicon
 
-#: Rows whose words train the classifier; the only sample taken. Everything is searched.
+#: About so many rows, chosen by a hash, train the classifier with their words; the only sample taken. Everything is searched.
 TRAIN_ROWS = 3000
 BUCKETS = 1 << 14
 #: Prior odds of a sound word against one chain, in nats, and the posterior odds a garbled word must show.
@@ -81,6 +82,10 @@ CHAINS: tuple[tuple[tuple[str, str], ...], ...] = (
 )
 
 
+#: What a lenient writer puts for a letter beyond ASCII, once, or once for each of its two bytes.
+LOSSY = ("?", "??", _LOST, _LOST * 2)
+
+
 def garble(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
     """The text as the chain would have left it; None where it cannot be written that way."""
     for written, read in chain:
@@ -118,14 +123,44 @@ def _broken(word: str) -> bool:
 
 
 def words_of(text: str) -> list[str]:
-    """Words that hold a character beyond ASCII. Only space, tab, line feed and carriage return divide, as others may be remains of garbled letters."""
-    return [w for w in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if not w.isascii()]
+    """Words that hold a character beyond ASCII or a "?". Only space, tab, line feed and carriage return divide, as others may be remains of garbled letters."""
+    return [w for w in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if not w.isascii() or "?" in w]
+
+
+def lost_in(word: str, sign: str) -> list[str]:
+    """The word with `sign` for all its letters beyond ASCII, and for one of them where there are several."""
+    at = [i for i, c in enumerate(word) if not c.isascii() and c.isalpha()]
+    some = [at] if len(at) == 1 else [at, *[[i] for i in at]] if at else []
+    return ["".join(sign if i in own else c for i, c in enumerate(word)) for own in some]
+
+
+#: A byte as what it is part of: 256 for any letter.
+_KIND = np.array([256 if b > 127 or chr(b).isalpha() else b for b in range(256)], np.int64)
+_KINDS = _KIND.tolist()
+_MARK = ord("?")
 
 
 def features(word: str) -> list[int]:
-    """Buckets of the byte bigrams that hold a byte beyond ASCII, the word standing between spaces; a run of marks or digits is one sign."""
+    """Buckets of the byte bigrams that hold a byte beyond ASCII or a "?", the word standing between spaces; those with a "?" also with any letter for the other byte."""
     raw = (" " + word + " ").encode("utf-8", "replace")
-    return [((a * 257 + b) * 40503) % 65537 % BUCKETS for a, b in zip(raw, raw[1:]) if a > 127 or b > 127]
+    out = [((a * 257 + b) * 40503) % 65537 % BUCKETS for a, b in zip(raw, raw[1:]) if a > 127 or b > 127 or a == _MARK or b == _MARK]
+    if _MARK in raw:
+        out += [((_KINDS[a] * 257 + _KINDS[b]) * 40503 + 1) % 65537 % BUCKETS for a, b in zip(raw, raw[1:]) if a == _MARK or b == _MARK]
+    return out
+
+
+def feature_counts(words: dict[str, float]) -> np.ndarray:
+    """Weighted counts of the buckets of many words."""
+    raws = [(" " + w + " ").encode("utf-8", "replace") for w in words]
+    raw = np.frombuffer(b"".join(raws), np.uint8)
+    if not len(raw):
+        return np.zeros(BUCKETS)
+    weight = np.repeat(np.fromiter(words.values(), np.float64, len(raws)), np.fromiter(map(len, raws), np.int64, len(raws)))[:-1]
+    a, b = raw[:-1].astype(np.int64), raw[1:].astype(np.int64)  # two words meet in two spaces, which is no feature
+    mark = (a == _MARK) | (b == _MARK)
+    own = (a > 127) | (b > 127) | mark
+    count = lambda x, at: np.bincount(x[at] % 65537 % BUCKETS, weights=weight[at], minlength=BUCKETS)
+    return count((a * 257 + b) * 40503, own) + count((_KIND[a] * 257 + _KIND[b]) * 40503 + 1, mark)
 
 
 _TOKEN = re.compile(r"[^ \n\t\r]*\?[^ \n\t\r]*")
@@ -170,8 +205,8 @@ class Known:
         return run
 
 
-def lost_letters(text: str, known: Known) -> tuple[bool, str]:
-    """Whether letters were replaced by "?", and the text with those put back that can be. Addresses are left alone."""
+def lost_letters(text: str, known: Known, model: Classifier) -> tuple[bool, str]:
+    """Whether letters were replaced by "?", and the text with those put back that can be: in words that the classifier gives to a lossy writer, as far as the letters about the sign bear it out. Addresses are left alone."""
     if "?" not in text:
         return False, text
     found = False
@@ -183,12 +218,12 @@ def lost_letters(text: str, known: Known) -> tuple[bool, str]:
         found = True
         return known.put_back(m.group())
 
-    new = _TOKEN.sub(lambda m: m.group() if _ADDRESS.search(m.group()) else _RUN.sub(of_run, m.group()), text)
+    new = _TOKEN.sub(lambda m: _RUN.sub(of_run, m.group()) if model.judge(m.group())[0] > len(CHAINS) and not _ADDRESS.search(m.group()) else m.group(), text)
     return found, new
 
 
 class Classifier:
-    """Multinomial naive Bayes: class 0 is sound text, class i chain i - 1."""
+    """Multinomial naive Bayes: class 0 is sound text, class i chain i - 1, and beyond the chains the lossy writers."""
 
     def __init__(self, counts: np.ndarray) -> None:
         totals = counts.sum(1, keepdims=True)
@@ -198,18 +233,22 @@ class Classifier:
         self.known: dict[str, tuple[int, str | None, bool]] = {}
 
     @classmethod
-    def trained(cls, words: Counter[str]) -> Classifier:
-        counts = np.zeros((len(CHAINS) + 1, BUCKETS))
+    def trained(cls, words: Counter[str], made: dict[str, list[list[str]]] | None = None) -> Classifier:
+        """From sound words; `made` remembers what each class makes of a word."""
+        made = {} if made is None else made
+        classes: list[Counter[str]] = [Counter(words), *[Counter() for _ in (*CHAINS, *LOSSY)]]
         for w, n in words.items():
-            np.add.at(counts[0], features(w), n)
-            for i, chain in enumerate(CHAINS):
-                g = garble(w, chain)
-                if g is not None and g != w:
-                    np.add.at(counts[i + 1], features(g), n)
-        return cls(counts)
+            if w.isascii():
+                continue
+            if w not in made:
+                made[w] = [[g] if (g := garble(w, chain)) is not None and g != w else [] for chain in CHAINS] + [lost_in(w, sign) for sign in LOSSY]
+            for own, found in zip(classes[1:], made[w]):
+                for g in found:
+                    own[g] += n
+        return cls(np.stack([feature_counts(x) for x in classes]))
 
     def judge(self, word: str) -> tuple[int, str | None, bool]:
-        """(chain number from 1 or 0 for a sound word, the word restored or None, whether a sound word has such bytes throughout)."""
+        """(class from 1, or 0 for a sound word, the word restored or None, whether a sound word has such bytes throughout)."""
         if (got := self.known.get(word)) is None:
             if len(self.known) > 200_000:
                 self.known.clear()
@@ -227,6 +266,10 @@ class Classifier:
         for i in map(int, np.argsort(-odds[1:], kind="stable") + 1):
             if odds[i] <= MARGIN:
                 break
+            if i > len(CHAINS):
+                if LOSSY[i - len(CHAINS) - 1] in word:
+                    return i, None, sound
+                continue
             back = restore(word, CHAINS[i - 1])
             if back is not None and back != word and (i in _STRICT or _telling(word, back)) and self.seen[features(back)].all():
                 return i, back, sound
@@ -234,38 +277,53 @@ class Classifier:
 
 
 def train(df: DataFrame, key: str, fields: list[str], rows: int = TRAIN_ROWS) -> Classifier:
-    """A classifier from the words of about `rows` rows, chosen by a hash of the key: the first pass leaves out texts that hold rare characters or pairs, the second those in which the first finds garbled words."""
-    n = df.count()
-    part = df.where(F.pmod(F.xxhash64(key), F.lit(max(1, n // rows))) == 0).select(*fields).limit(2 * rows)
-    return learned([words for row in part.toLocalIterator() for t in row if t and (words := words_of(t))])
+    """A classifier from the words of about `rows` rows, chosen by a hash of the key. Tasks reduce each text to the words that tell, with their counts; only these reach the driver."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [Counter(words_of(t)) for column in batch.columns for t in column.to_pylist() if t]
+            own = [x for x in own if x]
+            yield pa.RecordBatch.from_arrays([pa.array([list(x) for x in own], pa.list_(pa.string())), pa.array([list(x.values()) for x in own], pa.list_(pa.int64()))], ["w", "n"])
+
+    part = df.where(F.pmod(F.xxhash64(key), F.lit(max(1, df.count() // rows))) == 0).select(*[F.col(f).cast("string") for f in fields])
+    return learned([Counter(dict(zip(r.w, r.n))) for r in part.mapInArrow(counted, "w array<string>, n array<long>").toLocalIterator()])
 
 
-def learned(texts: list[list[str]]) -> Classifier:
-    """The classifier of these texts' words, see train."""
+def learned(texts: list[Counter[str]]) -> Classifier:
+    """The classifier of these texts' words: the first pass leaves out texts that hold rare characters or pairs, the second those in which the first finds garbled words."""
     have: Counter[str] = Counter()
     pairs = []
+    tells = lambda c: ord(c) > 127 or c == "?"
     for words in texts:
-        own = {w[i : i + 2] if not w[i + 1 : i + 2].isascii() else w[i] for w in words for i in range(len(w)) if ord(w[i]) > 127}
+        own = {w[i : i + 2] if w[i + 1 : i + 2] and tells(w[i + 1]) or w[i] == "?" else w[i] for w in words for i in range(len(w)) if tells(w[i])}
         pairs.append(own)
         have.update(own)
-    few = 0.005 * len(texts)
-    first = Classifier.trained(Counter(w for words, own in zip(texts, pairs) if all(have[x] >= few for x in own) for w in words) or Counter(w for words in texts for w in words))
+    few = max(2, 0.005 * len(texts))
+    made: dict[str, list[list[str]]] = {}
+    usual: Counter[str] = Counter()
+    for words, own in zip(texts, pairs):
+        if all(have[x] >= few for x in own):
+            usual.update(words)
+    if not usual:
+        for words in texts:
+            usual.update(words)
+    first = Classifier.trained(usual, made)
     clean: Counter[str] = Counter()
     doubted: Counter[str] = Counter()
     for words in texts:
         bad = {w for w in words if _LOST in w or first.judge(w)[0]}
-        if sum(w in bad for w in words) <= 0.05 * len(words):
+        if sum(words[w] for w in bad) <= 0.05 * sum(words.values()):
             doubted.update(bad)
-            clean.update(w for w in words if _LOST not in w)
+            clean.update({w: n for w, n in words.items() if _LOST not in w})
     # a word that the first pass doubts is sound if several texts that are sound otherwise have it
-    return Classifier.trained(Counter({w: n for w, n in clean.items() if w not in doubted or doubted[w] >= 3}))
+    return Classifier.trained(Counter({w: n for w, n in clean.items() if w not in doubted or doubted[w] >= 3}), made)
 
 
 def examine(text: str, model: Classifier, known: Known = Known()) -> tuple[str | None, str | None, bool] | None:
     """None for a sound text, else (chain or None, text restored or None, whether all of it is restored). Letters put back for "?" are a guess, so such a text is never whole."""
     got = None if text.isascii() else _inverted(text, model)
     base = text if got is None or got[1] is None else got[1]
-    lost, new = lost_letters(base, known)
+    lost, new = lost_letters(base, known, model)
     if not lost:
         return got
     return got and got[0], new if new != text else None, False
@@ -279,16 +337,16 @@ def _inverted(text: str, model: Classifier) -> tuple[str | None, str | None, boo
     for w in words:
         lost = lost or _broken(w)
         i = model.judge(w)[0]
-        if i:
+        if 0 < i <= len(CHAINS):
             votes[i] += 1
     if not votes:
         return (None, None, False) if lost else None
     # the chain that restores most of the words which some chain restores
-    garbled = list({w for w in words if model.judge(w)[0]})
+    garbled = list({w for w in words if 0 < model.judge(w)[0] <= len(CHAINS)})
     ranked = sorted(votes, key=lambda i: (-sum(restore(w, CHAINS[i - 1]) is not None for w in garbled), -votes[i], i))
     chain = CHAINS[ranked[0] - 1]
     whole = restore(text, chain)
-    if whole is not None and all(model.judge(w)[0] for w in words if not model.judge(w)[2]):
+    if whole is not None and all(model.judge(w)[0] for w in words if not model.judge(w)[2] and not w.isascii()):
         sound_before = sum(model.judge(w)[2] and not model.judge(w)[0] for w in words)
         if sound_before * 3 <= len(words):
             return chain_name(chain), whole, not _broken(whole)
@@ -303,7 +361,8 @@ def _inverted(text: str, model: Classifier) -> tuple[str | None, str | None, boo
             if alt is None or alt == w or not model.seen[features(alt)].all():
                 continue
             back = alt
-        new[w] = back if back is not None else w
+        if back is not None:
+            new[w] = back
     parts: list[str] = []
     token = ""
     for c in text:
@@ -315,7 +374,7 @@ def _inverted(text: str, model: Classifier) -> tuple[str | None, str | None, boo
             token += c
     parts.append(new.get(token, token))
     mended = "".join(parts)
-    return chain_name(chain), mended, not any(_broken(w) or model.judge(w)[0] for w in words_of(mended))
+    return chain_name(chain), mended, not any(_broken(w) or 0 < model.judge(w)[0] <= len(CHAINS) for w in words_of(mended))
 
 
 def garbled_fields(df: DataFrame, key: str, fields: list[str], rows: int = TRAIN_ROWS, restored: bool = True) -> DataFrame:

@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from tesselex.llm import encoding as E
@@ -13,7 +15,7 @@ def model():
     rng = random.Random(1)
     texts = [" ".join(rng.sample(SOUND, 4)) + (" " + rng.choice(RARE) if rng.random() < 0.1 else "") for _ in range(400)]
     texts += [E.garble(t, E.CHAINS[i % 3]) or t for i, t in enumerate(texts[:12])]
-    return E.learned([E.words_of(t) for t in texts])
+    return E.learned([Counter(E.words_of(t)) for t in texts])
 
 
 def test_chains_invert():
@@ -84,3 +86,19 @@ def test_operator_finds_lost_letters(spark):
     df = spark.createDataFrame(rows, "registro_id long, texto string, titulo string")
     got = {(r.registro_id, r.campo): (r.cadeia, r.texto, r.completo) for r in E.garbled_fields(df, "registro_id", ["texto", "titulo"]).collect()}
     assert got == {(90, "texto"): (None, "não ha", False), (90, "titulo"): (None, None, False), (91, "texto"): (None, "até aqui", False)}
+
+
+def test_lossy_writers_are_classes_of_the_classifier(model):
+    for sign in E.LOSSY:
+        for w in ("não", "distribuição", "município", "técnico"):
+            for lost in E.lost_in(w, sign):
+                i, back, _ = model.judge(lost)
+                assert i > len(E.CHAINS) and back is None and E.LOSSY[i - len(E.CHAINS) - 1] in lost, lost
+    assert model.judge("não")[0] == 0 and model.judge("plain")[0] == 0
+    assert E.lost_in("ação", "?") == ["a??o", "a?ão", "aç?o"] and E.lost_in("plain", "?") == []
+
+
+def test_counts_of_many_words_are_those_of_each():
+    words = {"não": 2.0, "n?o": 3.0, "plain": 1.0, "é": 1.0}
+    want = sum(n * np.bincount(E.features(w), minlength=E.BUCKETS) for w, n in words.items())
+    assert (E.feature_counts(words) == want).all() and not E.feature_counts({}).any()
