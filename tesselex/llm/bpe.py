@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import base64
 import heapq
+import os
 
 import regex
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
 
-#: The vocabulary's own splitting pattern and the public file's usual place.
+#: The vocabulary's own splitting pattern and the public file's usual place; see `vocabulary` for another.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LONG_BYTES = 192
@@ -105,8 +108,17 @@ class Encoder(dict):
 _LOADED: dict[str, Encoder] = {}
 
 
+def vocabulary(spark: SparkSession, path: str | None = None) -> str:
+    """The vocabulary file's path: as given, or the setting spark.tesselex.vocabulary, or VOCABULARY. The file is sent along, so executors need not have it there."""
+    path = path or spark.conf.get("spark.tesselex.vocabulary", VOCABULARY)
+    if path not in (sent := vars(spark.sparkContext).setdefault("_tesselex_sent", set())):
+        spark.sparkContext.addFile(path)
+        sent.add(path)
+    return path
+
+
 def encoder(path: str = VOCABULARY) -> Encoder:
     """One encoder per process and vocabulary."""
     if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
+        _LOADED[path] = Encoder(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
     return _LOADED[path]

@@ -69,7 +69,7 @@ def pack(items: DataFrame, key: str, size: str, capacity: int, rows: int, shard_
     """
     shards = max(1, -(-rows // shard_rows))
     part = items.select(F.col(key).cast("long").alias("item_id"), F.col(size).cast("long").alias("n")).where("item_id is not null and n > 0")
-    part = part.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)).cast("int"))
+    part = part.withColumn("shard", F.pmod(F.xxhash64("item_id", "n"), F.lit(shards)).cast("int"))
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["item_id", "n"], kind="stable")
@@ -90,4 +90,5 @@ def pack(items: DataFrame, key: str, size: str, capacity: int, rows: int, shard_
         name = f"{int(pdf.shard.iloc[0])}-" if len(pdf) else ""
         return pd.DataFrame({"item_id": ids[item], "parte": no.astype(np.int32), "tamanho": sizes.astype(np.int32), "recipiente": [name + str(b) for b in where.tolist()], "livre": (capacity - used[where]).astype(np.int32)})
 
-    return part.groupBy("shard").applyInPandas(shard, _OUT)
+    # a shard is little data and much work, so shards are spread by number, not gathered by size
+    return part.repartition(2 * shards, "shard").groupBy("shard").applyInPandas(shard, _OUT)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesselex.llm import encoding, near_dup, packing, residue, scan_noise, site_lines, splitting, tokens
+from tesselex.llm.sql import SQL  # noqa: F401 - the driver's entry takes it from here
 from tesselex.plans.lineage import ready
 from tesselex.sources.tables import table
 
@@ -45,6 +46,16 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _oversized(spark, d, True)
 
 
+def p3_rejoined(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of every oversized field joined again without their repeats, and whether all keep the limit and the overlap. A text's pieces meet in one row, as its text did."""
+    limits = F.when(F.col("campo") == "texto_pai", CHUNK_LIMITS["texto_pai"]).when(F.col("tabela") == "corpus_documentos", DOCUMENT_LIMITS["texto"]).otherwise(CHUNK_LIMITS["texto"])
+    own = F.struct("parte", F.expr("substring(texto, corte - inicio + 1)").alias("novo"))
+    fits = (F.length("texto") <= limits) & (F.col("fim") - F.col("inicio") == F.length("texto"))
+    repeats = (F.col("corte") - F.col("inicio")).between(0, splitting.OVERLAP) & ((F.col("parte") > 0) | (F.col("corte") == 0))
+    by = p3_pieces(spark, d).groupBy("tabela", "item_id", "campo").agg(F.array_sort(F.collect_list(own)).alias("p"), F.min(fits).alias("cabem"), F.min(repeats).alias("repetem"))
+    return by.select("tabela", "item_id", "campo", F.array_join(F.transform("p", lambda x: x["novo"]), "").alias("texto"), "cabem", "repetem")
+
+
 def _garbled(spark: SparkSession, d: str, restored: bool) -> DataFrame:
     return encoding.garbled_fields(table(ready(spark), d, "corpus_documentos"), "registro_id", ["texto", "ementa", "titulo"], restored=restored)
 
@@ -85,6 +96,19 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "n_tokens", CAPACITY, docs.count()).withColumnRenamed("item_id", "doc_id")
 
 
+def p7_checksums(spark: SparkSession, d: str) -> DataFrame:
+    """Number of ids of every row and a sum that depends on their order."""
+    summed = F.aggregate(F.transform("ids", lambda x, i: x.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
+    return p7_ids(spark, d).select("doc_id", F.size("ids").alias("n"), summed.alias("soma"))
+
+
+def p8_totals(spark: SparkSession, d: str) -> DataFrame:
+    """What was placed of every document: its tokens, its parts, and whether every container keeps its capacity and tells its unused room."""
+    placed = p8_containers(spark, d)
+    room = placed.groupBy("recipiente").agg(((F.sum("tamanho") + F.max("livre") == CAPACITY) & (F.min("livre") == F.max("livre")) & (F.min("livre") >= 0)).alias("cabe"))
+    return placed.join(room, "recipiente").groupBy("doc_id").agg(F.sum("tamanho").alias("tokens"), F.count("*").alias("partes"), F.min("cabe").alias("cabe"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue(table(ready(spark), d, "documents"), "doc_id", "source", "text").select("doc_id")
 
@@ -100,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_cleaned": p2_cleaned,
     "p3_found": p3_found,
     "p3_pieces": p3_pieces,
+    "p3_rejoined": p3_rejoined,
     "p4_found": p4_found,
     "p4_restored": p4_restored,
     "p5_found": p5_found,
@@ -107,43 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_chunks": p6_chunks,
     "p6_documents": p6_documents,
     "p7_ids": p7_ids,
+    "p7_checksums": p7_checksums,
     "p8_containers": p8_containers,
+    "p8_totals": p8_totals,
     "p9_found": p9_found,
     "p9_fit": p9_fit,
 }
-
-_REPEATED = r"""
-with linhas as (
-    select registro_id, tipo_documento, generate_subscripts(string_split(texto, chr(10)), 1) - 1 as linha_no, unnest(string_split(texto, chr(10))) as l
-    from corpus_documentos where texto is not null),
-normal as (
-    select registro_id, tipo_documento, linha_no, l,
-        regexp_replace(lower(trim(regexp_replace(l, '[\s\x{1c}-\x{1f}\x{85}\p{Z}]+', ' ', 'g'))), '\p{Nd}+', '0', 'g') as k
-    from linhas),
-total as (select tipo_documento, count(*) as n from corpus_documentos where texto is not null group by 1),
-alta as (
-    select tipo_documento, k from normal join total using (tipo_documento)
-    where regexp_matches(k, '\p{L}') group by tipo_documento, k, n
-    having count(distinct registro_id) >= greatest(10, 0.05 * n))
-"""
-
-SQL: dict[str, str] = {
-    "p1_found": r"""
-with palavras as (select registro_id, regexp_extract_all(lower(texto), '[\p{L}\p{N}]+') as w from corpus_documentos where texto is not null),
-trios as (select registro_id, unnest(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as g from palavras where len(w) >= 20),
-total as (select registro_id, count(*) as n from trios group by 1),
-comuns as (select a.registro_id as a, b.registro_id as b, count(*) as k from trios a join trios b on a.g = b.g and a.registro_id < b.registro_id group by 1, 2)
-select a as registro_id_a, b as registro_id_b from comuns join total x on x.registro_id = a join total y on y.registro_id = b where k >= 0.7 * (x.n + y.n - k)
-""",
-    "p2_found": _REPEATED + "select registro_id, cast(linha_no as integer) as linha_no from normal join alta using (tipo_documento, k)",
-    "p2_cleaned": _REPEATED + """
-, marcadas as (select n.registro_id, n.linha_no, n.l, a.k is not null as fora from normal n left join alta a on n.tipo_documento = a.tipo_documento and n.k = a.k),
-limpas as (select registro_id, coalesce(string_agg(l, chr(10) order by linha_no) filter (where not fora), '') as texto, cast(count(*) filter (where fora) as integer) as linhas_removidas from marcadas group by 1)
-select registro_id, t.texto as texto, coalesce(linhas_removidas, 0) as linhas_removidas from corpus_documentos left join limpas t using (registro_id)
-""",
-    "p3_found": """
-select 'chunks_hierarquicos' as tabela, row_id as item_id, 'texto' as campo from chunks_hierarquicos where length(texto) > 1200
-union all select 'chunks_hierarquicos', row_id, 'texto_pai' from chunks_hierarquicos where length(texto_pai) > 2400
-union all select 'corpus_documentos', registro_id, 'texto' from corpus_documentos where length(texto) > 6000
-""",
-}

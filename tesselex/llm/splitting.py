@@ -1,7 +1,8 @@
 """Cutting oversized texts into balanced pieces at natural boundaries.
 
 The least number of pieces is computed, their equal ends placed as targets, and each target moved to the strongest
-boundary near it (paragraph, line, sentence, word, any character). If a piece then breaks the limit, one more is allowed.
+boundary near it (paragraph, line, sentence, word, any character). If a piece then breaks the limit, what follows the last
+sound cut is balanced anew with one piece more.
 """
 
 from __future__ import annotations
@@ -57,22 +58,24 @@ def split(text: str, limit: int, overlap: int = OVERLAP) -> list[tuple[int, int,
         return [(0, 0, n)]
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be smaller than the limit")
-    k = 1 + -(-(n - limit) // (limit - overlap))
+    cuts, k = [0], 1 + -(-(n - limit) // (limit - overlap))
     while True:
-        whole = -(-(n + (k - 1) * overlap) // k)  # equal length of each piece with its repeat
+        base, over, done = cuts[-1], overlap if len(cuts) > 1 else 0, len(cuts)
+        whole = -(-(n - base + over + (k - 1) * overlap) // k)  # equal length of each piece with its repeat
         near = min((whole - overlap) // 3, limit - overlap - 1)
-        cuts = [0]
         for i in range(1, k):
-            target = min(n - 1, i * (whole - overlap) + overlap)
+            target = min(n - 1, base + i * (whole - overlap) + overlap - over)
             low = max(cuts[-1] + 1, target - near)
-            high = min(n - 1, target + near, cuts[-1] + limit - (overlap if i > 1 else 0))
+            high = min(n - 1, target + near, cuts[-1] + limit - (overlap if len(cuts) > 1 else 0))
             if low > high:
                 break
             cuts.append(_snap(text, min(max(target, low), high), low, high))
-        cuts.append(n)
-        if len(cuts) == k + 1 and all(b - a + (overlap if i else 0) <= limit for i, (a, b) in enumerate(zip(cuts, cuts[1:]))):
-            return [(_repeat(text, a, overlap, cuts[i - 1]) if i else 0, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-        k += 1
+        left = k - (len(cuts) - done)
+        if left == 1 and n - cuts[-1] + (overlap if len(cuts) > 1 else 0) <= limit:
+            break
+        k = left + 1
+    cuts.append(n)
+    return [(_repeat(text, a, overlap, cuts[i - 1]) if i else 0, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
 
 
 def split_oversized(df: DataFrame, key: str, limits: dict[str, int], label: str, overlap: int = OVERLAP, with_text: bool = True) -> DataFrame:

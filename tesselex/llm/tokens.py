@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tesselex.llm.bpe import VOCABULARY, encoder
+from tesselex.llm.bpe import encoder
+from tesselex.llm.bpe import vocabulary as placed
 from tesselex.plans.lineage import written
 
 #: Rows of one Arrow batch that are held as Python strings at a time.
@@ -21,11 +22,12 @@ STEP = 512
 HELD_PAIRS = 250_000
 
 
-def encode_ids(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
+def encode_ids(df: DataFrame, key: str, text: str, vocabulary: str | None = None) -> DataFrame:
     """(key, ids array<int>): one row per input row. Null and empty texts give an empty list, a blank text is encoded as it is; other columns are dropped, so their names cannot clash."""
+    path = placed(df.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary)
+        enc = encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
@@ -38,11 +40,12 @@ def encode_ids(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY)
     return df.select(key, F.col(text).cast("string").alias("__text")).mapInArrow(run, T.StructType([T.StructField(key, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
-def count_tokens(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
+def count_tokens(df: DataFrame, key: str, text: str, vocabulary: str | None = None) -> DataFrame:
     """(key, n_tokens): 0 for null and empty texts."""
+    path = placed(df.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary)
+        enc = encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
@@ -61,19 +64,20 @@ def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("__first", F.row_number().over(w)).where("__first = 1").drop("__first")
 
 
-def token_budget(df: DataFrame, slices: dict[str, Column], text: str, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_budget(df: DataFrame, slices: dict[str, Column], text: str, vocabulary: str | None = None) -> DataFrame:
     """One row per combination of `slices` (null is a slice of its own): registros, tokens.
 
     Tasks split texts into the vocabulary's pieces and send on only piece counts per slice; each distinct piece is
     tokenized once and its length joined back. Records of null or empty text count with no tokens. Exact.
     """
+    path = placed(df.sparkSession, vocabulary)
     names = list(slices)
     kinds = df.select(*[c.alias(n) for n, c in slices.items()]).schema
     out = T.StructType([*kinds.fields, T.StructField("__piece", T.StringType()), T.StructField("__n", T.LongType())])
     arrow_kinds: list[pa.DataType] = []
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = encoder(vocabulary).pieces
+        pieces = encoder(path).pieces
         held: dict[tuple, Counter] = {}
         size = 0
 
@@ -102,7 +106,7 @@ def token_budget(df: DataFrame, slices: dict[str, Column], text: str, vocabulary
         yield from hand_on()
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary)
+        enc = encoder(path)
         for batch in batches:
             own = batch.column(0)
             yield pa.RecordBatch.from_arrays([own, pa.array([len(enc[p]) for p in own.to_pylist()], pa.int64())], ["__piece", "__length"])

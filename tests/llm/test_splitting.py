@@ -50,3 +50,23 @@ def test_operator(spark):
     assert set(zip(got.item_id, got.campo)) == {(1, "texto"), (4, "texto"), (4, "texto_pai")}
     assert (got.texto.str.len() == got.fim - got.inicio).all() and (got.partes > 1).all()
     assert splitting.split_oversized(df.where("false"), "row_id", {"texto": 1200}, "t").count() == 0
+
+
+def test_a_long_text_with_few_boundaries_takes_linear_time():
+    """Each failure concerns what follows the last sound cut, so early pieces are not cut again."""
+    rng = random.Random(1)
+    text = "".join("y" * rng.randint(300, 520) + rng.choice((" ", "\n\n", ". ")) for _ in range(4000))
+    calls = 0
+    snap = splitting._snap
+
+    def counting(*a):
+        nonlocal calls
+        calls += 1
+        return snap(*a)
+
+    splitting._snap = counting
+    try:
+        got = sound(text, 1200, 100)
+    finally:
+        splitting._snap = snap
+    assert calls <= 3 * len(got)
