@@ -21,7 +21,7 @@ SPACE = r"[\s ]"
 
 def strip(c: Column) -> Column:
     """Without white space at either end, no-break spaces included."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r\xa0"))
 
 
 def file_stem(name: Column) -> Column:
@@ -111,6 +111,9 @@ def human_bytes(n: Column) -> Column:
 ASKED = "Instruct: Given a question about Brazilian electric sector regulations, retrieve relevant legal passages\nQuery: "
 
 
+ASKED_AT_LENGTH = "Instruct: Given a question about Brazilian electric sector regulations (ANEEL legislation), retrieve the most relevant legal passages that directly answer the question.\nQuery: "
+
+
 def question_prompt(c: Column, instruction: str = ASKED) -> Column:
     return F.concat(F.lit(instruction), c)
 

@@ -15,6 +15,11 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.flatten(F.transform(F.array(value), body))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), `value` being computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """`df` with a costly column that is computed once a row: the optimizer copies an expression into every filter and projection that uses it, but not through a generator."""
     return df.select("*", F.explode(F.array(value)).alias(name))

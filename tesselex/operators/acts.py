@@ -38,21 +38,22 @@ def lookup(records: DataFrame) -> DataFrame:
     )
 
 
-def with_metadata(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """Every document by file name with its metadata; defaults where the name is unknown."""
-    m = found.select(F.col("arquivo").alias("__file"), *[F.col(c).alias(f"m_{c}") for c in ("ato_id", "tipo_documento", "titulo", "situacao", "publicacao", "autor", "ano")])
+_FOUND = ("ato_id", "tipo_documento", "titulo", "ementa", "assunto", "situacao", "publicacao", "autor", "ano", "ano_json")
+
+
+def with_metadata(documents: DataFrame, found: DataFrame, *keep: str) -> DataFrame:
+    """Every document by file name with its metadata and the columns `keep`; the act of the file's name, the type "outro" and the usual author where the name is unknown."""
+    m = found.select(F.col("arquivo").alias("__file"), *[F.col(c).alias(f"m_{c}") for c in _FOUND])
     out = documents.join(m, F.col("arquivo_origem") == F.col("__file"), "left")
-    return out.select(
-        "registro_id",
-        "arquivo_origem",
-        F.coalesce("m_ato_id", M.act_id(F.col("arquivo_origem"))).alias("ato_id"),
-        F.coalesce("m_tipo_documento", F.lit("outro")).alias("tipo_documento"),
-        F.col("m_titulo").alias("titulo"),
-        F.col("m_situacao").alias("situacao"),
-        F.col("m_publicacao").alias("publicacao"),
-        F.coalesce("m_autor", F.lit(DEFAULT_AUTHOR)).alias("autor"),
-        F.col("m_ano").alias("ano"),
-    )
+    default = {"ato_id": M.act_id(F.col("arquivo_origem")), "tipo_documento": F.lit("outro"), "autor": F.lit(DEFAULT_AUTHOR)}
+    return out.select("registro_id", "arquivo_origem", *keep, *[F.coalesce(f"m_{c}", default[c]).alias(c) if c in default else F.col(f"m_{c}").alias(c) for c in _FOUND])
+
+
+def missing(records: DataFrame, listing: DataFrame, name: str) -> DataFrame:
+    """(arquivo, caminho, ato_id): files that the records name and a listing (a column of file names) does not have, each once; caminho is year and name."""
+    wanted = files(records).where(F.coalesce("arquivo", F.lit("")) != "").select("arquivo", F.concat_ws("/", F.col("ano_json").cast("string"), F.col("arquivo")).alias("caminho")).distinct()
+    have = listing.select(F.col(name).alias("arquivo")).distinct()
+    return wanted.join(have, "arquivo", "left_anti").select("arquivo", "caminho", M.act_id(F.col("arquivo")).alias("ato_id"))
 
 
 def failed_urls(log: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tesselex.functions import pieces as P
 from tesselex.functions.metadata import file_stem, strip
+from tesselex.plans.lineage import written
 
 #: Pieces of a child, of a parent, and of the overlap; short names and most chunks of each type.
 CHILD, PARENT, OVERLAP = 256, 512, 50
@@ -269,17 +270,38 @@ def legal_context(title: Column, act: Column, t: Column) -> Column:
     """Title (or act) with the first article and the first paragraph that a text names."""
     art, par = F.regexp_extract(t, r"(?<![\p{L}\p{N}_])Art\.[\s ]*([0-9]+)", 1), F.regexp_extract(t, r"§[\s ]*([0-9]+)", 1)
     a = F.when(art != "", F.concat(F.lit("Art. "), art))
-    p = F.when(par != "", F.concat(F.lit("§ "), par)).when(F.contains(t, F.lit("Parágrafo único")), F.lit("Parágrafo único"))
+    p = F.when(par != "", F.concat(F.lit("§"), par)).when(t.rlike("[Pp]arágrafo único"), F.lit("Parágrafo único"))
     both = F.concat_ws(", ", a, p)
     base = F.coalesce(F.nullif(title, F.lit("")), act)
     return F.when(both == "", base).otherwise(F.concat_ws(" - ", base, both))
 
 
+def numbered(df: DataFrame, name: str, order: str) -> DataFrame:
+    """`df` with a number from 0 by a column without repeats: rows are laid into ranges, numbered within each, and moved on by the sizes of the ranges before."""
+    ranged = written(df.repartitionByRange(order).withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))  # one row a range
+    before = sizes.select("__range", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__range").orderBy(order)) - 1
+    return ranged.withColumn("__own", own).join(before, "__range").withColumn(name, (F.col("__own") + F.col("__before")).cast("long")).drop("__own", "__before", "__range")
+
+
 def index_rows(chunks: DataFrame) -> DataFrame:
-    """Chunks as the index takes them: source derived from chunk_id, year as a number, a stable row number by chunk_id (repeats: lowest row_id)."""
+    """Chunks as the index takes them: source derived from chunk_id, year as a number, linha a stable row number by chunk_id (of repeats the lowest row_id stays)."""
     w = Window.partitionBy("chunk_id").orderBy("row_id")
-    one = chunks.withColumn("__n", F.row_number().over(w)).where("__n = 1")
-    return one.select("row_id", "chunk_id", F.regexp_replace("chunk_id", "_c[0-9]+$", "").alias("arquivo_origem"), F.coalesce(F.col("ano").try_cast("int"), F.lit(0)).alias("ano"), F.coalesce("tipo_documento", F.lit("")).alias("tipo_documento"))
+    one = chunks.select("row_id", "chunk_id", "ano", "tipo_documento").withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    year, source = F.coalesce(F.col("ano").try_cast("int"), F.lit(0)), F.regexp_replace("chunk_id", "_c[0-9]+$", "")
+    return numbered(one, "linha", "chunk_id").select("linha", "row_id", "chunk_id", source.alias("arquivo_origem"), year.alias("ano"), F.coalesce("tipo_documento", F.lit("")).alias("tipo_documento"))
+
+
+#: Types of which one document with so many pieces is shown.
+SHOWN_TYPES, SHOWN_PIECES = ("texto_integral", "voto", "nota_tecnica", "anexo", "decisao"), 80
+
+
+def exemplars(documents: DataFrame) -> DataFrame:
+    """(tipo_documento, registro_id, arquivo_origem): of each type shown the first document of SHOWN_PIECES pieces or more, by year and file name; a null year is 0."""
+    rows = documents.where(F.col("tipo_documento").isin(*SHOWN_TYPES) & (P.count(F.col("texto")) >= SHOWN_PIECES))
+    first = rows.groupBy("tipo_documento").agg(F.min(F.struct(F.coalesce("ano", F.lit(0)).alias("ano"), "arquivo_origem", "registro_id")).alias("x"))
+    return first.select("tipo_documento", "x.registro_id", "x.arquivo_origem")
 
 
 def passage(context: Column, t: Column) -> Column:

@@ -78,17 +78,28 @@ def ranked(scored: DataFrame, k: int, *order: Column) -> DataFrame:
     return scored.withColumn("posicao", F.row_number().over(w) - 1).where(F.col("posicao") < k)
 
 
-def _vector(words: list[str], known: dict[str, tuple[int, float]]) -> np.ndarray:
-    v = np.zeros(DIMENSIONS)
-    for w in words:
-        if (x := known.get(w)) is None:
-            h = hashlib.md5(w.encode()).hexdigest()  # noqa: S324
-            x = known[w] = int(h[:2], 16) % DIMENSIONS, 1.0 if int(h[2], 16) < 8 else -1.0
-            if len(known) > 300_000:
-                known.clear()
-        v[x[0]] += x[1]
-    n = float(np.sqrt((v * v).sum()))
-    return v / n if n else v
+class _Dimensions(dict):
+    """Word -> signed dimension (its number, or the number below -1 for the sign), remembered up to a bound."""
+
+    def __missing__(self, word: str) -> int:
+        h = hashlib.md5(word.encode()).hexdigest()  # noqa: S324
+        n = int(h[:2], 16) % DIMENSIONS
+        if len(self) > 300_000:
+            self.clear()
+        found = self[word] = n if int(h[2], 16) < 8 else -n - 1
+        return found
+
+
+def _vectors(words: pa.Array, known: _Dimensions) -> np.ndarray:
+    """Unit vectors of lists of words: each distinct word of the batch is hashed once, the signs are summed by array operations."""
+    distinct = words.flatten().dictionary_encode()
+    signed = np.fromiter(map(known.__getitem__, distinct.dictionary.to_pylist()), np.int64, len(distinct.dictionary))
+    at = signed[distinct.indices.to_numpy()] if len(distinct) else np.empty(0, np.int64)
+    row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
+    out = np.zeros((len(words), DIMENSIONS))
+    np.add.at(out, (row, np.where(at < 0, -at - 1, at)), np.where(at < 0, -1.0, 1.0))
+    n = np.sqrt((out * out).sum(1, keepdims=True))
+    return np.divide(out, n, out=out, where=n > 0)
 
 
 def embedded(words: DataFrame, key: str) -> DataFrame:
@@ -96,11 +107,11 @@ def embedded(words: DataFrame, key: str) -> DataFrame:
     rows = words.select(F.col(key).cast("long").alias(key), "w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, float]] = {}
+        known = _Dimensions()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                m = np.stack([_vector(w, known) for w in part.column(1).to_pylist()])
+                m = _vectors(part.column(1), known)
                 ends = pa.array(np.arange(0, m.size + 1, DIMENSIONS, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, pa.array(m.ravel()))], [key, "vetor"])
 
@@ -127,7 +138,8 @@ def _best(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray, k: in
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.asarray(column.to_pylist(), np.float64).reshape(len(column), -1)
+    """The rows of a list column without nulls, as they lie in its buffer; all have one length."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1)
 
 
 def nearest(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int = TOP_DENSE) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tesselex.functions import cleaning as C
 from tesselex.functions import metadata as M
 from tesselex.functions import pieces as P
-from tesselex.functions.words import STOPWORDS
+from tesselex.functions.words import FEW_STOPWORDS, STOPWORDS, search_words
 from tesselex.operators import acts, answers, chunks, pages, search
-from tesselex.plans.lineage import ready
+from tesselex.plans import chunk_sql
+from tesselex.plans.lineage import ready, written
 from tesselex.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,10 +168,19 @@ def meta_last_wins(spark: SparkSession, d: str) -> DataFrame:
     return acts.lookup(_records(spark, d))
 
 
-@query(f"""with {_LOOKUP} select registro_id, arquivo_origem, coalesce(l.ato_id, {_act('arquivo_origem')}) as ato_id, coalesce(l.tipo_documento, 'outro') as tipo_documento, l.titulo as titulo, l.situacao as situacao,
-    l.publicacao as publicacao, coalesce(l.autor, 'ANEEL') as autor, l.ano as ano from corpus_documentos d left join lookup l on d.arquivo_origem = l.arquivo""")
+_WITH_METADATA = f"""registro_id, arquivo_origem, coalesce(l.ato_id, {_act('arquivo_origem')}) as ato_id, coalesce(l.tipo_documento, 'outro') as tipo_documento, l.titulo as titulo, l.ementa as ementa, l.assunto as assunto,
+    l.situacao as situacao, l.publicacao as publicacao, coalesce(l.autor, 'ANEEL') as autor, l.ano as ano, l.ano_json as ano_json"""
+
+
+@query(f"with {_LOOKUP} select {_WITH_METADATA} from corpus_documentos d left join lookup l on d.arquivo_origem = l.arquivo")
 def file_metadata_join(spark: SparkSession, d: str) -> DataFrame:
-    return acts.with_metadata(_documents(spark, d).select("registro_id", "arquivo_origem"), acts.lookup(_records(spark, d)))
+    return acts.with_metadata(_documents(spark, d), acts.lookup(_records(spark, d)))
+
+
+@query(f"with {_FILES} select distinct p.arquivo as arquivo, concat_ws('/', cast(ano_json as varchar), p.arquivo) as caminho, {_act('p.arquivo')} as ato_id from files where coalesce(p.arquivo, '') <> '' and p.arquivo not in (select arquivo_origem from corpus_documentos where length(texto) > 0)")
+def missing_files(spark: SparkSession, d: str) -> DataFrame:
+    """The listing is of the files whose text was read."""
+    return acts.missing(_records(spark, d), _documents(spark, d).where("length(texto) > 0"), "arquivo_origem")
 
 
 @query(f"with {_FILES} select registro_meta_id, posicao, ano_json, p.url as url, coalesce(nullif(p.arquivo, ''), {_url_file('p.url')}) as nome_arquivo from files where coalesce(p.url, '') <> ''")
@@ -238,7 +248,7 @@ def clean_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {_REPEATED} select registro_id, linha, paginas from repetidas")
 def repeated_lines(spark: SparkSession, d: str) -> DataFrame:
-    return pages.repeated_lines(pages.pages_of(_documents(spark, d), "registro_id", "texto"), "registro_id")
+    return pages.repeated_lines(_documents(spark, d).where("texto is not null"), "registro_id", pages.page_array(F.col("texto")))
 
 
 @query(f"""with {_REPEATED}, padroes as (select registro_id, list(linha) as p from repetidas group by 1), limpo as (
@@ -246,8 +256,7 @@ def repeated_lines(spark: SparkSession, d: str) -> DataFrame:
 final as (select registro_id, t0, t1, t2, array_to_string(list_filter(string_split(t2, chr(10)), lambda l: not list_contains(p, {_strip('l')})), chr(10)) as texto from limpo)
 select registro_id, texto, length(t0) - length(t1) + length(t2) - length(texto) as removidos from final""")
 def clean_composite(spark: SparkSession, d: str) -> DataFrame:
-    docs = _documents(spark, d).where("texto is not null")
-    return pages.cleaned(docs, pages.pages_of(docs, "registro_id", "texto"), "registro_id", "texto")
+    return pages.cleaned(_documents(spark, d).where("texto is not null"), "registro_id", "texto", pages.page_array(F.col("texto")))
 
 
 _ALPHA = rf"length(regexp_replace(s, '[^\p{{L}}\p{{Nd}}²³¹]', '', 'g')) / length(s)"
@@ -258,12 +267,6 @@ def page_validation(spark: SparkSession, d: str) -> DataFrame:
     return pages.validity(pages.pages_of(_documents(spark, d), "registro_id", "texto"), "registro_id")
 
 
-@query(f"""with {_PAGES}, v as (select registro_id, count(*) as paginas, count(*) filter (where length(s) >= 50 and {_ALPHA} < 0.55) as suspeitas from (select registro_id, {_strip('texto')} as s from paginas) group by 1),
-t as (select registro_id, string_agg(texto, chr(10) || chr(10) order by pagina) as texto from paginas group by 1) select registro_id, paginas, length(texto) as caracteres, suspeitas, texto from v join t using (registro_id)""")
-def document_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return pages.rollup(pages.pages_of(_documents(spark, d), "registro_id", "texto"), "registro_id")
-
-
 _SCORE = """case when c = 0 then 0.0 else floor(greatest(0.0, 1 - least(0.4, case when p = 0 then 0.0 else s * 2.0 / p end) - case when case when p = 0 then 0.0 else floor(c * 10 / p + 0.5) / 10 end < 100 then 0.1 else 0.0 end) * 100 + 0.5) / 100 end"""
 _SCORED = "q as (select registro_id, ano, texto, tem_tabela, coalesce(caracteres_extraidos, 0)::double as c, coalesce(paginas, 0) as p, coalesce(len(paginas_suspeitas), 0) as s from corpus_documentos)"
 
@@ -309,13 +312,18 @@ def ocr_report(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).groupBy("tipo_documento").agg(F.count("*").alias("documentos"), F.count_if("ocr").alias("lidos"), (F.floor(F.avg(sure) * 10 + 0.5) / 10).alias("confianca"))
 
 
-@query("select registro_id, case when coalesce(encoding_detectado, '') = 'latin-1' or regexp_matches(texto, '[\\x{fffd}\\x{25a1}\\x{0}]') then 'latin-1' else 'utf-8' end as codificacao from corpus_documentos where texto is not null")
+@query(r"select registro_id, case when regexp_matches(texto, '[\x{fffd}\x{25a1}\x{0}]|[ÂÃ][\x{80}-\x{bf}]|â€') then 'latin-1' else 'utf-8' end as codificacao from corpus_documentos where texto is not null")
 def encoding_tag(spark: SparkSession, d: str) -> DataFrame:
-    bad = (F.coalesce("encoding_detectado", F.lit("")) == "latin-1") | F.col("texto").rlike("[�□\\x00]")
-    return _documents(spark, d).where("texto is not null").select("registro_id", F.when(bad, "latin-1").otherwise("utf-8").alias("codificacao"))
+    return _documents(spark, d).where("texto is not null").select("registro_id", C.encoding_tag(F.col("texto")).alias("codificacao"))
 
 
-_HTML = "'<html><head><meta charset=\"utf-8\"><style>p { }</style><script>var a = 1;</script></head><body><nav>Menu</nav><header>Topo do sitio</header><p>' || replace(replace(texto, '&', '&amp;'), chr(10) || chr(10), '</p><p>') || '</p><!-- fim --><footer>Rodape</footer></body></html>'"
+@query(f"with {_SCORED} select q.registro_id as registro_id, case when coalesce(d.ocr, false) then 0.0::double else cast({_SCORE} as double) end as escore from q join (select registro_id, ocr from corpus_documentos) d on q.registro_id = d.registro_id")
+def quality_score_read(spark: SparkSession, d: str) -> DataFrame:
+    q = C.quality_read(F.col("caracteres_extraidos").cast("double"), F.col("paginas"), F.size("paginas_suspeitas"), F.col("ocr"))
+    return _documents(spark, d).select("registro_id", q.alias("escore"))
+
+
+_HTML = "'<html><head><meta charset=\"utf-8\"><style>p { }</style><script>var a = 1;</script></head><body><nav>Menu</nav><header>Topo do sitio</header><p>' || replace(replace(replace(replace(replace(replace(texto, '&', '&amp;'), 'ç', '&ccedil;'), 'ã', '&atilde;'), 'é', '&#233;'), 'º', '&#xBA;'), chr(10) || chr(10), '</p><p>') || '</p><!-- fim --><footer>Rodape</footer></body></html>'"
 
 
 def _html_sql() -> str:
@@ -323,17 +331,20 @@ def _html_sql() -> str:
     for tag in ("script", "style", "nav", "header", "footer"):
         x = rf"regexp_replace({x}, '(?is)<{tag}(?:[\s/][^>]*)?>.*?</{tag}[\s]*>', chr(10), 'g')"
     x = rf"regexp_replace({x}, '<[^>]*>', chr(10), 'g')"
-    for a, b in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&amp;", "'&'")):
-        x = f"replace({x}, '{a}', {b})"
-    return f"select registro_id, {_layer2(x)} as texto from corpus_documentos where texto is not null"
+    for a, b in (("&ccedil;", "ç"), ("&atilde;", "ã"), ("&#233;", "é"), ("&#xBA;", "º"), ("&amp;", "&")):
+        x = f"replace({x}, '{a}', '{b}')"
+    return f"select registro_id, {_layer2(_layer1(x))} as texto from corpus_documentos where texto is not null"
 
 
 @query(_html_sql())
 def html_text(spark: SparkSession, d: str) -> DataFrame:
-    """Texts wrapped into pages, as the tables hold none."""
+    """Texts wrapped into pages with entities for some letters, as the tables hold none."""
+    t = F.col("texto")
+    for sign, entity in (("&", "&amp;"), ("ç", "&ccedil;"), ("ã", "&atilde;"), ("é", "&#233;"), ("º", "&#xBA;"), ("\n\n", "</p><p>")):
+        t = F.replace(t, F.lit(sign), F.lit(entity))
     page = F.concat(
         F.lit('<html><head><meta charset="utf-8"><style>p { }</style><script>var a = 1;</script></head><body><nav>Menu</nav><header>Topo do sitio</header><p>'),
-        F.replace(F.replace("texto", F.lit("&"), F.lit("&amp;")), F.lit("\n\n"), F.lit("</p><p>")),
+        t,
         F.lit("</p><!-- fim --><footer>Rodape</footer></body></html>"),
     )
     return _documents(spark, d).where("texto is not null").select("registro_id", C.html_text(page).alias("texto"))
@@ -345,9 +356,12 @@ _LAYOUT_LINES = f"linhas as (select registro_id, generate_subscripts(string_spli
 _IS_TABLE = f"(length({_strip('linha')}) >= 20 and len(list_filter(string_split_regex({_strip('linha')}, ' {{3,}}'), lambda c: length({_strip('c')}) >= 3)) >= 3)"
 
 
+def _stretch(text: str) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, r"(?md)^\|[-| ]+\|$\n?", ""), r"[ \t\n\f\r]*\|[ \t\n\f\r]?", "   ")
+
+
 def _stretched(spark: SparkSession, d: str) -> DataFrame:
-    t = F.regexp_replace(F.regexp_replace("texto", r"(?md)^\|[-| ]+\|$\n?", ""), r"[ \t\n\f\r]*\|[ \t\n\f\r]?", "   ")
-    return pages.lines_of(_documents(spark, d).where("texto is not null"), "registro_id", t)
+    return pages.lines_of(_documents(spark, d).where("texto is not null"), "registro_id", _stretch("texto"))
 
 
 @query(rf"with {_LAYOUT_LINES} select registro_id, linha_no, {_IS_TABLE} as tabela from linhas")
@@ -359,24 +373,53 @@ _CELLS = f"list_transform(linhas, lambda x: list_filter(list_transform(string_sp
 _ROW = "'| ' || array_to_string(list_concat(c, list_transform(range(w - len(c)), lambda i: '')), ' | ') || ' |'"
 
 
-@query(rf"""with {_LAYOUT_LINES}, f as (select *, {_IS_TABLE} as tabela from linhas),
-g as (select *, sum(nova) over (partition by registro_id order by linha_no) as ordem from (select *, case when tabela is distinct from lag(tabela) over (partition by registro_id order by linha_no) then 1 else 0 end as nova from f)),
-r as (select registro_id, ordem, any_value(tabela) as tabela, list(linha order by linha_no) as linhas from g group by 1, 2),
+def _layout_sql(source: str) -> str:
+    """prontas (registro_id, pagina, tabelas, chars_tabela, texto, removidos) of a source of (registro_id, pagina, texto), with the lines in `padroes` (registro_id, p) left out."""
+    head = "[rows[1], '| ' || array_to_string(list_transform(range(w), lambda i: '---'), ' | ') || ' |']"
+    width = "(select list_max(list_transform(cs, lambda c: len(c))) as w)"
+    key = "registro_id, pagina"
+    return rf"""
+lx as (select {key}, generate_subscripts(string_split(texto, chr(10)), 1) - 1 as linha_no, unnest(string_split(texto, chr(10))) as linha from {source}),
+f as (select *, {_IS_TABLE} as tabela from lx),
+g as (select *, sum(nova) over (partition by {key} order by linha_no) as ordem
+    from (select *, case when tabela is distinct from lag(tabela) over (partition by {key} order by linha_no) then 1 else 0 end as nova from f)),
+r as (select {key}, ordem, any_value(tabela) as tabela, list(linha order by linha_no) as linhas from g group by 1, 2, 3),
 m as (select *, tabela and len(linhas) >= 4 as mesa from r),
-s as (select *, sum(case when mesa or coalesce(antes, true) or tabela then 1 else 0 end) over (partition by registro_id order by ordem) as parte from (select *, lag(mesa) over (partition by registro_id order by ordem) as antes from m)),
-p as (select registro_id, parte, bool_or(mesa) as mesa, flatten(list(linhas order by ordem)) as linhas from s group by 1, 2),
-c as (select *, {_CELLS} as cs from p),
-t as (select registro_id, parte, mesa, case when mesa then (select array_to_string(list_concat([rows[1], '| ' || array_to_string(list_transform(range(w), lambda i: '---'), ' | ') || ' |'], rows[2:]), chr(10)) from (select w, list_transform(cs, lambda c: {_ROW}) as rows from (select list_max(list_transform(cs, lambda c: len(c))) as w)))
-    else {_layer2(_layer1("array_to_string(linhas, chr(10))"))} end as t from c)
-select registro_id, cast(count(*) filter (where mesa) as bigint) as tabelas, cast(sum(case when mesa then length(t) else 0 end) as bigint) as chars_tabela, string_agg(t, chr(10) || chr(10) order by parte) as texto from t where mesa or t <> '' group by 1""")
+s as (select *, sum(case when mesa or coalesce(antes, true) or tabela then 1 else 0 end) over (partition by {key} order by ordem) as parte
+    from (select *, lag(mesa) over (partition by {key} order by ordem) as antes from m)),
+q as (select {key}, parte, bool_or(mesa) as mesa, flatten(list(linhas order by ordem)) as linhas from s group by 1, 2, 3),
+c as (select *, {_CELLS} as cs, array_to_string(linhas, chr(10)) as t0 from q),
+u as (select *, {_layer1("t0")} as t1, {_layer2(_layer1("t0"))} as t2 from c),
+v as (select u.*, array_to_string(list_filter(string_split(t2, chr(10)), lambda l: not list_contains(coalesce(p, []), {_strip('l')})), chr(10)) as t3 from u left join padroes using (registro_id)),
+t as (select {key}, parte, mesa, case when mesa then 0 else length(t0) - length(t1) + length(t2) - length(t3) end as removidos, case when mesa
+    then (select array_to_string(list_concat({head}, rows[2:]), chr(10)) from (select w, list_transform(cs, lambda c: {_ROW}) as rows from {width})) else t3 end as t from v),
+prontas as (select {key}, cast(count(*) filter (where mesa) as bigint) as tabelas, cast(sum(case when mesa then length(t) else 0 end) as bigint) as chars_tabela,
+    coalesce(string_agg(t, chr(10) || chr(10) order by parte) filter (where mesa or {_strip('t')} <> ''), '') as texto, cast(sum(removidos) as bigint) as removidos from t group by 1, 2)"""
+
+
+_PATTERNS = "padroes as (select registro_id, list(linha) as p from repetidas group by 1)"
+
+
+@query(f"""with {_REPEATED}, {_PATTERNS}, esticados as (select registro_id, 0 as pagina, {_STRETCHED} as texto from corpus_documentos where texto is not null), {_layout_sql('esticados')}
+select registro_id, tabelas, chars_tabela, texto, removidos from prontas""")
 def layout_reconstruct(spark: SparkSession, d: str) -> DataFrame:
-    return pages.layout(_stretched(spark, d), "registro_id")
+    docs = _documents(spark, d).where("texto is not null")
+    return pages.laid_out(docs, "registro_id", F.split(_stretch("texto"), "\n"), pages.patterns_of(pages.page_array(F.col("texto"))))
+
+
+_STRETCHED_PAGES = _REPEATED.replace("string_split(texto, chr(10)) as l from corpus_documentos", f"string_split({_STRETCHED}, chr(10)) as l from corpus_documentos")
+
+
+@query(f"""with {_STRETCHED_PAGES}, {_PATTERNS}, {_layout_sql('paginas')},
+somas as (select registro_id, count(*) as paginas, cast(sum(tabelas) as bigint) as tabelas, cast(sum(chars_tabela) as bigint) as chars_tabela, cast(sum(removidos) as bigint) as removidos,
+    coalesce(string_agg(texto, chr(10) || chr(10) order by pagina) filter (where {_strip('texto')} <> ''), '') as texto from prontas group by 1),
+fracas as (select registro_id, count(*) filter (where length(s) >= 50 and {_ALPHA} < 0.55) as suspeitas from (select registro_id, {_strip('texto')} as s from paginas) group by 1)
+select registro_id, paginas, length(texto) as caracteres, suspeitas, tabelas, chars_tabela, removidos, texto from somas join fracas using (registro_id)""")
+def document_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return pages.rollup(_documents(spark, d).where("texto is not null"), "registro_id", pages.page_array(_stretch("texto")))
 
 
-_BLOCKS = rf"""linhas as (select registro_id, generate_subscripts(string_split(texto, chr(10)), 1) - 1 as linha_no, unnest(string_split(texto, chr(10))) as linha from corpus_documentos where texto is not null),
-f as (select *, regexp_matches(linha, '^[\s\x{{a0}}]*\|[^\n]*\|[\s\x{{a0}}]*$') as tabela from linhas),
-g as (select *, sum(nova) over (partition by registro_id order by linha_no) as ordem from (select *, case when tabela is distinct from lag(tabela) over (partition by registro_id order by linha_no) then 1 else 0 end as nova from f)),
-blocos as (select * from (select registro_id, cast(ordem as bigint) as ordem, any_value(tabela) as tabela, case when any_value(tabela) then string_agg(linha, chr(10) order by linha_no) else {_strip("string_agg(linha, chr(10) order by linha_no)")} end as bloco from g group by 1, 2) where tabela or bloco <> '')"""
+_BLOCKS = chunk_sql.BLOCKS
 
 
 @query(f"with {_BLOCKS} select * from blocos")
@@ -436,47 +479,50 @@ def chunk_fit_segments(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("registro_id", F.posexplode(F.flatten(F.transform("s", lambda x: chunks.fitted(x)))).alias("parte", "texto"))
 
 
-_TABLES = rf"""t as (select registro_id, ordem, bloco, string_split(bloco, chr(10)) as l from blocos where tabela),
-h as (select *, coalesce(list_min(list_filter(list_transform(range(1, len(l) + 1), lambda i: case when regexp_matches(l[i], '^[\s\x{{a0}}]*\|[-:| ]+\|[\s\x{{a0}}]*$') then i end), lambda i: i is not null)), len(l)) as a from t),
-k as (select registro_id, ordem, bloco, array_to_string(l[1:a], chr(10)) as cab, len({_pieces("array_to_string(l[1:a], chr(10))")}) as base, l[a + 1:] as linhas from h),
-r as (select registro_id, ordem, bloco, cab, linhas, list_reduce(list_transform(linhas, lambda x: {{'out': cast([] as varchar[]), 'cur': chr(10) || x, 'n': cast(len({_pieces('x')}) as bigint)}}), lambda c, x: case when base + c.n + x.n <= 256 then {{'out': c.out, 'cur': c.cur || x.cur, 'n': c.n + x.n}}
-    else {{'out': list_concat(c.out, case when c.n > 0 then [cab || c.cur] else cast([] as varchar[]) end), 'cur': x.cur, 'n': x.n}} end, {{'out': cast([] as varchar[]), 'cur': '', 'n': cast(0 as bigint)}}) as r from k),
-cortadas as (select registro_id, ordem, case when len(linhas) = 0 or len({_pieces('bloco')}) <= 256 then [bloco] else list_concat(r.out, case when r.n > 0 then [cab || r.cur] else cast([] as varchar[]) end) end as p from r)"""
-
-
-@query(rf"with {_BLOCKS}, {_TABLES} select registro_id, ordem, cast(generate_subscripts(p, 1) - 1 as integer) as parte, unnest(p) as texto from cortadas")
+@query(rf"with {_BLOCKS}, {chunk_sql.TABLES} select registro_id, ordem, cast(generate_subscripts(p, 1) - 1 as integer) as parte, unnest(p) as texto from cortadas")
 def chunk_table_rows(spark: SparkSession, d: str) -> DataFrame:
     return table_blocks(spark, d).where("tabela").select("registro_id", "ordem", F.posexplode(chunks.table_rows(F.col("bloco"))).alias("parte", "texto"))
 
 
-@query()
-def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
-    return chunks.children(_documents(spark, d))
+_CHILDREN = chunk_sql.children(chunks.CAPS, chunks.OTHER_CAP, _stem("d.arquivo_origem"))
+#: Caps that most texts of the test tables exceed, as hardly any reaches the usual ones.
+_LOW_CAPS = dict.fromkeys(chunks.CAPS, 2)
 
 
-_CAP = "case tipo_documento when 'texto_integral' then 200 when 'voto' then 150 when 'nota_tecnica' then 200 when 'anexo' then 50 when 'decisao' then 100 else 50 end"
+@query(f"with {_CHILDREN} select * exclude (gerados, limite, k) from filhos")
+def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.children(_documents(spark, d))
 
 
-@query(f"""with {_windows_sql(256, 50, "tipo_documento in ('voto', 'outro') and regexp_matches(texto, '[^ \t\n\r\f\x0b\xa0]')")}, c as (select *, count(*) over (partition by registro_id) as total, lag(texto) over v as antes, lead(texto) over v as depois from janelas window v as (partition by registro_id order by parte)),
-j as (select c.*, ({_stem('d.arquivo_origem')}) || '_' || {_SHORT} as pre, array_to_string(list_filter([antes, c.texto, depois], lambda x: x is not null), chr(10)) as volta from c join corpus_documentos d using (registro_id))
-select registro_id, cast(parte + 1 as integer) as numero_chunk, cast(total as integer) as total_chunks, floor((parte + 1) * 10000 / total + 0.5) / 10000 as posicao_relativa, pre || '_c' || lpad(cast(parte + 1 as varchar), 3, '0') as chunk_id,
-    case when parte > 0 then pre || '_c' || lpad(cast(parte as varchar), 3, '0') end as chunk_anterior_id, case when parte + 1 < total then pre || '_c' || lpad(cast(parte + 2 as varchar), 3, '0') end as chunk_proximo_id from j""")
+@query(f"with {_CHILDREN} select registro_id, numero_chunk, total_chunks, posicao_relativa, chunk_id, chunk_anterior_id, chunk_proximo_id from filhos")
 def chunk_links(spark: SparkSession, d: str) -> DataFrame:
-    rows = chunks.children(_documents(spark, d).where("tipo_documento in ('voto', 'outro')"))
-    return rows.select("registro_id", "numero_chunk", "total_chunks", "posicao_relativa", "chunk_id", "chunk_anterior_id", "chunk_proximo_id")
+    return chunks.children(_documents(spark, d)).select("registro_id", "numero_chunk", "total_chunks", "posicao_relativa", "chunk_id", "chunk_anterior_id", "chunk_proximo_id")
 
 
-@query(f"""with {_windows_sql(256, 50, "tipo_documento in ('voto', 'outro') and regexp_matches(texto, '[^ \t\n\r\f\x0b\xa0]')")}, c as (select *, lag(texto) over v as antes, lead(texto) over v as depois from janelas window v as (partition by registro_id order by parte))
-select registro_id, cast(parte + 1 as integer) as numero_chunk, array_to_string({_pieces("array_to_string(list_filter([antes, texto, depois], lambda x: x is not null), chr(10))")}[1:512], '') as texto_pai from c""")
+@query(f"with {_CHILDREN} select registro_id, numero_chunk, texto_pai from filhos")
 def chunk_parents(spark: SparkSession, d: str) -> DataFrame:
-    return chunks.children(_documents(spark, d).where("tipo_documento in ('voto', 'outro')")).select("registro_id", "numero_chunk", "texto_pai")
+    return chunks.children(_documents(spark, d)).select("registro_id", "numero_chunk", "texto_pai")
+
 
+def _truncated_sql(caps: dict[str, int], other: int) -> str:
+    return f"""with {chunk_sql.children(caps, other, _stem("d.arquivo_origem"))}
+    select f.registro_id as registro_id, k as tipo_documento, gerados as chunks_gerados, limite as chunks_mantidos, len({_pieces('d.texto')}) as tokens_totais from filhos f join corpus_documentos d on d.registro_id = f.registro_id where numero_chunk = 1 and gerados > limite"""
 
-@query(f"""with {_windows_sql(256, 50, "tipo_documento in ('voto', 'outro') and regexp_matches(texto, '[^ \t\n\r\f\x0b\xa0]')")}, n as (select registro_id, count(*) as n from janelas group by 1)
-select registro_id, tipo_documento, cast(n as integer) as chunks_gerados, 5 as chunks_mantidos, len({_pieces('texto')}) as tokens_totais from n join corpus_documentos using (registro_id) where n > 5""")
+
+@query(_truncated_sql(chunks.CAPS, chunks.OTHER_CAP))
 def chunk_caps_truncation_log(spark: SparkSession, d: str) -> DataFrame:
-    """With a cap of five, as no text here reaches the usual ones."""
-    return chunks.truncated(_documents(spark, d).where("tipo_documento in ('voto', 'outro')"), {"voto": 5, "outro": 5})
+    return chunks.truncated(_documents(spark, d))
+
+
+@query(_truncated_sql(_LOW_CAPS, chunks.OTHER_CAP))
+def chunk_low_caps_truncation_log(spark: SparkSession, d: str) -> DataFrame:
+    """With caps that the test tables do exceed."""
+    return chunks.truncated(_documents(spark, d), _LOW_CAPS)
+
+
+@query(f"with {chunk_sql.children(_LOW_CAPS, chunks.OTHER_CAP, _stem('d.arquivo_origem'))} select registro_id, chunk_id, total_chunks, texto, texto_pai, aviso from filhos")
+def chunk_low_caps(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.children(_documents(spark, d), _LOW_CAPS).select("registro_id", "chunk_id", "total_chunks", "texto", "texto_pai", "aviso")
 
 
 @query("select tipo_documento, count(*) as chunks, floor(count(*) * 1000.0 / sum(count(*)) over () + 0.5) / 10 as pct from chunks_hierarquicos group by 1")
@@ -503,7 +549,8 @@ def chunk_describe(spark: SparkSession, d: str) -> DataFrame:
     return t.groupBy("tipo_documento").agg(F.count("*").alias("n"), r(F.avg("t")).alias("media"), r(F.coalesce(F.stddev_samp("t"), F.lit(0.0))).alias("desvio"), F.min("t").alias("minimo"), q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max("t").alias("maximo"))
 
 
-@query("select row_id, chunk_id, regexp_replace(chunk_id, '_c[0-9]+$', '') as arquivo_origem, coalesce(ano, 0) as ano, coalesce(tipo_documento, '') as tipo_documento from chunks_hierarquicos qualify row_number() over (partition by chunk_id order by row_id) = 1")
+@query("""with um as (select * from chunks_hierarquicos qualify row_number() over (partition by chunk_id order by row_id) = 1)
+select row_number() over (order by chunk_id nulls first) - 1 as linha, row_id, chunk_id, regexp_replace(chunk_id, '_c[0-9]+$', '') as arquivo_origem, coalesce(ano, 0) as ano, coalesce(tipo_documento, '') as tipo_documento from um""")
 def chunk_index_rows(spark: SparkSession, d: str) -> DataFrame:
     return chunks.index_rows(_chunks(spark, d))
 
@@ -513,21 +560,29 @@ def passage_build(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d).select("row_id", chunks.passage(F.col("contexto_juridico"), F.col("texto")).alias("passagem"))
 
 
-@query(r"""select row_id, case when both_ = '' then base else base || ' - ' || both_ end as contexto from (select row_id, coalesce(nullif(titulo, ''), ato_id) as base, concat_ws(', ', case when a <> '' then 'Art. ' || a end, case when p <> '' then '§ ' || p when contains(texto, 'Parágrafo único') then 'Parágrafo único' end) as both_
-    from (select *, regexp_extract(texto, '(?:^|[^\p{L}\p{N}_])Art\.[\s\x{a0}]*([0-9]+)', 1) as a, regexp_extract(texto, '§[\s\x{a0}]*([0-9]+)', 1) as p from chunks_hierarquicos))""")
+def _context(titulo: str, ato: str, texto: str) -> str:
+    a = rf"regexp_extract({texto}, '(?:^|[^\p{{L}}\p{{N}}_])Art\.[\s\x{{a0}}]*([0-9]+)', 1)"
+    p = rf"regexp_extract({texto}, '§[\s\x{{a0}}]*([0-9]+)', 1)"
+    single = f"contains({texto}, 'Parágrafo único') or contains({texto}, 'parágrafo único')"
+    both = f"concat_ws(', ', case when {a} <> '' then 'Art. ' || {a} end, case when {p} <> '' then '§' || {p} when {single} then 'Parágrafo único' end)"
+    base = f"coalesce(nullif({titulo}, ''), {ato})"
+    return f"case when {both} = '' then {base} else concat_ws(' - ', {base}, {both}) end"
+
+
+@query(f"select row_id, {_context('titulo', 'ato_id', 'texto')} as contexto from chunks_hierarquicos")
 def legal_context(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d).select("row_id", chunks.legal_context(F.col("titulo"), F.col("ato_id"), F.col("texto")).alias("contexto"))
 
 
-@query()
+@query(chunk_sql.packed())
 def chunk_packed(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).where("texto is not null").select("registro_id", F.posexplode(chunks.packed(F.col("texto"))).alias("parte", "texto"))
 
 
-@query("""select tipo_documento, arquivo_origem from chunks_hierarquicos where tipo_documento is not null and length(texto) >= 400 qualify row_number() over (partition by tipo_documento order by row_id) = 1""")
+@query(f"""select tipo_documento, registro_id, arquivo_origem from corpus_documentos where tipo_documento in ('texto_integral', 'voto', 'nota_tecnica', 'anexo', 'decisao') and len({_pieces('texto')}) >= 80
+    qualify row_number() over (partition by tipo_documento order by coalesce(ano, 0), arquivo_origem, registro_id) = 1""")
 def exemplar_per_type(spark: SparkSession, d: str) -> DataFrame:
-    rows = _chunks(spark, d).where("tipo_documento is not null and length(texto) >= 400")
-    return rows.groupBy("tipo_documento").agg(F.min_by("arquivo_origem", "row_id").alias("arquivo_origem"))
+    return chunks.exemplars(_documents(spark, d))
 
 
 # --- search and answers --------------------------------------------------------------------------------------------
@@ -697,7 +752,7 @@ def hybrid_no_rerank(spark: SparkSession, d: str) -> DataFrame:
     return search.hybrid_variant(_chunks(spark, d), _questions(spark, d), use_reranking=False, use_expansion=False)
 
 
-@query()
+@query(chunk_sql.packed_documents(_context("titulo", "ato_id", "texto")))
 def chunk_packed_documents(spark: SparkSession, d: str) -> DataFrame:
     return chunks.children_packed(_documents(spark, d))
 
@@ -746,9 +801,74 @@ def first_documents(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).where("ano in (2016, 2021)").select("registro_id", "ano", "arquivo_origem").orderBy("ano", "arquivo_origem", "registro_id").limit(100)
 
 
-@query(f"with {_LOOKUP} select d.registro_id, l.titulo, l.tipo_documento, d.caracteres_extraidos, cast({_SCORE.replace(' c ', ' q.c ')} as double) as qualidade_score from corpus_documentos d join (select registro_id, coalesce(caracteres_extraidos, 0)::double as c, coalesce(paginas, 0) as p, coalesce(len(paginas_suspeitas), 0) as s from corpus_documentos) q using (registro_id) join lookup l on d.arquivo_origem = l.arquivo where d.texto is not null")
+_METRICS = r"""select registro_id, case when p = 0 then 0.0::double else floor(c * 10 / p + 0.5) / 10 end as densidade_texto, case when c = 0 then 0.0::double else floor(t * 1000 / c + 0.5) / 1000 end as proporcao_tabela
+    from (select registro_id, coalesce(caracteres_extraidos, 0)::double as c, coalesce(paginas, 0) as p, coalesce(list_sum(list_transform(list_filter(string_split(coalesce(texto, ''), chr(10)), lambda x: regexp_matches(x, '^[\s\x{a0}]*\|[^\n]*\|[\s\x{a0}]*$')), lambda x: length(x))), 0) as t from corpus_documentos)"""
+
+
+@query(f"""with {_LOOKUP}, {_SCORED}, meta as (select {_WITH_METADATA} from corpus_documentos d left join lookup l on d.arquivo_origem = l.arquivo), medidas as ({_METRICS})
+select m.*, densidade_texto, proporcao_tabela, caracteres_extraidos, cast({_SCORE} as double) as qualidade_score from meta m join medidas using (registro_id) join (select registro_id, c, p, s from q) using (registro_id) join (select registro_id, caracteres_extraidos from corpus_documentos) using (registro_id)""")
 def document_build(spark: SparkSession, d: str) -> DataFrame:
-    """Extracted text and metadata brought together, files without metadata left out."""
-    m = acts.lookup(_records(spark, d)).select("arquivo", "titulo", "tipo_documento")
-    rows = _scored(spark, d).where("texto is not null").select("registro_id", "arquivo_origem", "caracteres_extraidos", F.col("escore").alias("qualidade_score"))
-    return rows.join(m, F.col("arquivo_origem") == F.col("arquivo")).select("registro_id", "titulo", "tipo_documento", "caracteres_extraidos", "qualidade_score")
+    """Extracted text measured and brought together with its metadata, with defaults for files that have none."""
+    score = C.quality(F.col("caracteres_extraidos").cast("double"), F.col("paginas"), F.size("paginas_suspeitas")).alias("qualidade_score")
+    rows = _documents(spark, d).select("registro_id", "arquivo_origem", "caracteres_extraidos", *pages.metric_columns(), score)
+    return acts.with_metadata(rows, acts.lookup(_records(spark, d)), "densidade_texto", "proporcao_tabela", "caracteres_extraidos", "qualidade_score")
+
+
+@query(f"select row_id, {_words('texto').replace(', '.join(f"'{w}'" for w in STOPWORDS), ', '.join(f"'{w}'" for w in FEW_STOPWORDS))} as w from chunks_hierarquicos".replace("select row_id, ", "select row_id, len(w) as n, array_to_string(w, ' ') as palavras from (select row_id, ", 1) + ")")
+def search_words_few(spark: SparkSession, d: str) -> DataFrame:
+    """Search words by the shorter list of stopwords."""
+    w = search_words(F.col("texto"), FEW_STOPWORDS)
+    return _chunks(spark, d).select("row_id", F.size(w).alias("n"), F.array_join(w, " ").alias("palavras"))
+
+
+@query(f"select pergunta_id, '{M.ASKED_AT_LENGTH}' || pergunta as consulta from perguntas_benchmark")
+def query_build_at_length(spark: SparkSession, d: str) -> DataFrame:
+    return _questions(spark, d).select("pergunta_id", M.question_prompt(F.col("pergunta"), M.ASKED_AT_LENGTH).alias("consulta"))
+
+
+@query(f"""with {_HYBRID} select pergunta_id, posicao, concat_ws(chr(10), '━━━ DOCUMENTO ' || (posicao + 1) || ' ━━━', 'Tipo: ' || coalesce(upper(c.tipo_documento), ''), 'Ato: ' || coalesce(c.ato_id, ''), 'Título: ' || coalesce(titulo, ''), 'Publicação: ' || coalesce(publicacao, ''),
+    'Situação: ' || coalesce(situacao, ''), case when coalesce(ementa, '') <> '' then 'Ementa: ' || ementa end, case when coalesce(contexto_juridico, '') <> '' then 'Localização: ' || contexto_juridico end, '', 'TRECHO:', coalesce(nullif(texto_pai, ''), texto, ''), '') as bloco
+    from ampliado a join chunks_hierarquicos c using (row_id)""")
+def context_blocks_rich(spark: SparkSession, d: str) -> DataFrame:
+    return answers.context_blocks(hybrid_retrieve(spark, d), _chunks(spark, d), "row_id", rich=True)
+
+
+def _echo(said: list[dict]) -> str:
+    """A generator for tests: the question's last words, or an error for questions that ask how."""
+    asked = said[-1]["content"].split("PERGUNTA: ")[-1].split("\n\n")[0]
+    if asked.startswith("Como"):
+        raise ValueError("sem modelo")
+    return " ".join(asked.split(" ")[-4:])
+
+
+_ANSWERS = f"""{_HYBRID}, achados as (select pergunta_id, list(coalesce(nullif(texto_pai, ''), texto) order by posicao) as ctx, string_agg(coalesce(c.ato_id, '') || '/' || coalesce(left(titulo, 100), ''), ';' order by posicao) as fontes, round(sum(escore), 6) as escores
+    from ampliado a join chunks_hierarquicos c using (row_id) group by 1),
+respostas as (select p.*, case when ctx is null then '{answers.NOTHING_FOUND}' when not starts_with(pergunta, 'Como') then array_to_string(string_split(pergunta, ' ')[-4:], ' ') end as resposta,
+    case when ctx is not null and starts_with(pergunta, 'Como') then 'sem modelo' end as erro, coalesce(ctx, []) as ctx, coalesce(fontes, '') as fontes, coalesce(escores, 0.0) as escores from perguntas_benchmark p left join achados using (pergunta_id))"""
+
+
+def _benchmark(spark: SparkSession, d: str) -> DataFrame:
+    c, q = _chunks(spark, d), _questions(spark, d)
+    return answers.benchmark(c, written(search.hybrid(c, q), "found"), q, _echo, "eco")
+
+
+@query(f"with {_ANSWERS} select pergunta_id, 'eco' as modelo, pergunta, tipo, resposta_ref, resposta, erro, fontes, escores, array_to_string(ctx, chr(10)) as contextos from respostas")
+def benchmark_run(spark: SparkSession, d: str) -> DataFrame:
+    """All questions answered by a generator that echoes, errors kept; lists are shown as text."""
+    r = _benchmark(spark, d)
+    fontes = F.array_join(F.transform("fontes", lambda x: F.concat_ws("/", F.coalesce(x["ato_id"], F.lit("")), F.coalesce(x["titulo"], F.lit("")))), ";")
+    escores = F.round(F.aggregate("fontes", F.lit(0.0), lambda a, x: a + x["escore"]), 6)
+    return r.select("pergunta_id", "modelo", "pergunta", "tipo", "resposta_ref", "resposta", "erro", fontes.alias("fontes"), escores.alias("escores"), F.array_join("contextos", "\n").alias("contextos"))
+
+
+@query(f"""with {_ANSWERS}, w as (select pergunta_id, tipo, list_distinct({_words('pergunta')}) as q, list_distinct({_words('resposta')}) as a, list_transform(ctx, lambda t: list_distinct({_words('t')})) as c from respostas where erro is null)
+select pergunta_id, 'eco' as modelo, tipo, case when len(a) = 0 then 0.0 else floor(len(list_intersect(a, list_distinct(flatten(c)))) / len(a)::double * 1000 + 0.5) / 1000 end as fidelidade,
+    case when len(q) = 0 then 0.0 else floor(len(list_intersect(q, a)) / len(q)::double * 1000 + 0.5) / 1000 end as relevancia, case when len(c) = 0 then 0.0 else floor(len(list_filter(c, lambda x: len(list_intersect(x, q)) > 0)) / len(c)::double * 1000 + 0.5) / 1000 end as precisao from w""")
+def benchmark_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return answers.result_metrics(_benchmark(spark, d))
+
+
+@query(f"""select tipo_documento, count(*) as n, floor(avg(t) * 10 + 0.5) / 10 as media, min(t) as minimo, quantile_cont(t, 0.5) as q50, max(t) as maximo from (select tipo_documento, len({_pieces('texto_pai')}) as t from chunks_hierarquicos) group by 1""")
+def chunk_describe_parents(spark: SparkSession, d: str) -> DataFrame:
+    t = _chunks(spark, d).select("tipo_documento", P.count(F.col("texto_pai")).alias("t"))
+    return t.groupBy("tipo_documento").agg(F.count("*").alias("n"), (F.floor(F.avg("t") * 10 + 0.5) / 10).alias("media"), F.min("t").alias("minimo"), F.percentile("t", F.lit(0.5)).alias("q50"), F.max("t").alias("maximo"))

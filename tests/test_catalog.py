@@ -42,9 +42,9 @@ def duck():
 def test_same_as_sql(spark, duck, name):
     got, want = catalog.QUERIES[name](spark, DATA).toPandas(), duck.sql(catalog.SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
-    assert len(got) or name in ("repeated_lines", "chunk_caps_truncation_log", "suspect_pages")
+    assert len(got) or name in ("repeated_lines", "chunk_caps_truncation_log", "suspect_pages", "missing_files")
     assert rows(got) == rows(want)
 
 
 def test_names_without_sql():
-    assert set(catalog.QUERIES) - set(catalog.SQL) == {"chunk_documents", "chunk_packed", "chunk_packed_documents"}
+    assert set(catalog.QUERIES) == set(catalog.SQL)

@@ -1,6 +1,7 @@
-"""chunk_documents and chunk_packed_documents against a plain version, on made-up acts of every type."""
+"""What children must satisfy, whatever cut them, on made-up acts of every type. The chunks themselves are compared with SQL in test_catalog."""
 
 import random
+from collections import defaultdict
 
 import regex
 
@@ -9,139 +10,70 @@ from tesselex.operators import chunks as K
 
 WORDS = "energia tarifa contrato usina prazo multa rede carga receita outorga leilão câmara município §x Art. 5º".split()
 TYPES = ["texto_integral", "voto", "nota_tecnica", "anexo", "decisao", "outro", None]
+BEGINS = ["Art. 1º ", "§ 2 ", "CAPÍTULO IV ", "Parágrafo Único ", "1.2 A ", "IV – ", "RELATÓRIO ", "voto ", "art. 12. ", "3. Análise "]
+COLUMNS = "registro_id long, ato_id string, tipo_documento string, ano int, arquivo_origem string, titulo string, texto string"
+
+
+def part(rng):
+    line = lambda k: " ".join(rng.choice(WORDS) for _ in range(rng.randint(1, k)))
+    table = lambda: "| a | b |\n|---|---|\n" + "\n".join(f"| {line(8)} | {j} |" for j in range(rng.randint(0, 40)))
+    return rng.choices((lambda: rng.choice(BEGINS) + line(60), table, str, lambda: line(700), lambda: line(50)), (30, 15, 10, 5, 40))[0]()
 
 
 def acts(n, seed):
     rng = random.Random(seed)
-    line = lambda k: " ".join(rng.choice(WORDS) for _ in range(rng.randint(1, k)))
-    rows = []
-    for i in range(n):
-        parts = []
-        for _ in range(rng.randint(1, 14)):
-            k = rng.random()
-            if k < 0.3:
-                parts.append(rng.choice(["Art. 1º ", "§ 2 ", "CAPÍTULO IV ", "Parágrafo Único ", "1.2 A ", "IV – ", "RELATÓRIO ", "voto ", "art. 12. ", "3. Análise "]) + line(60))
-            elif k < 0.45:
-                parts.append("| a | b |\n|---|---|\n" + "\n".join(f"| {line(8)} | {j} |" for j in range(rng.randint(0, 40))))
-            elif k < 0.55:
-                parts.append("")
-            elif k < 0.6:
-                parts.append(line(700))
-            else:
-                parts.append(line(50))
-        rows.append((i, f"ato{i}", TYPES[i % 7], 2020, f"d{i}.pdf", f"Título {i}" if i % 3 else None, "\n".join(parts)))
-    return rows
+    return [(i, f"ato{i}", TYPES[i % 7], 2020, f"d{i}.pdf", f"Título {i}" if i % 3 else None, "\n".join(part(rng) for _ in range(rng.randint(1, 14)))) for i in range(n)]
 
 
 def pieces(t):
     return regex.findall(PIECE, t)
 
 
-def windows(t, size, overlap=0):
-    p, out, i = pieces(t), [], 0
-    while p:
-        out.append("".join(p[i : i + size]))
-        if i + size >= len(p):
-            break
-        i += size - overlap
-    return out
-
-
-def strip(t):
-    return regex.sub(r"^[\s ]+|[\s ]+$", "", t, flags=regex.ASCII)
-
-
-def cut_at(t, begins, flags=regex.I):
-    return [s for s in map(strip, regex.split(f"(?V1)(?m)(?=^(?:{begins}))", t, flags=flags)) if s]
-
-
-def fit(seg):
-    if len(pieces(seg)) <= 256:
-        return [seg]
-    out, cur = [], []
-    for line in filter(None, map(strip, seg.split("\n"))):
-        if len(pieces("\n".join([*cur, line]))) <= 256:
-            cur.append(line)
-            continue
-        if cur:
-            out.append("\n".join(cur))
-        out += windows(line, 256) if len(pieces(line)) > 256 else [line]
-        cur = []
-    return out + (["\n".join(cur)] if cur else [])
-
-
-def table(t):
-    lines = t.split("\n")
-    at = next((i + 1 for i, x in enumerate(lines) if regex.match(r"^\s*\|[-:| ]+\|\s*$", x)), len(lines))
-    head, rows = "\n".join(lines[:at]), lines[at:]
-    if not rows or len(pieces(t)) <= 256:
-        return [t]
-    out, cur = [], []
+def by_document(rows):
+    out = defaultdict(list)
     for r in rows:
-        if cur and len(pieces("\n".join([head, *cur, r]))) > 256:
-            out.append("\n".join([head, *cur]))
-            cur = []
-        cur.append(r)
-    return out + ["\n".join([head, *cur])]
-
-
-def blocks(t):
-    out = []
-    for line in t.split("\n"):
-        is_table = bool(regex.match(r"^\s*\|.*\|\s*$", line))
-        if out and out[-1][0] == is_table:
-            out[-1][1].append(line)
-        else:
-            out.append((is_table, [line]))
-    return [(f, "\n".join(x) if f else strip("\n".join(x))) for f, x in out if f or strip("\n".join(x))]
-
-
-def parts(t, begins, name, flags=regex.I, upper=False):
-    segs = cut_at(t, begins, flags)
-    if len(segs) < 2:
-        return None
-    found = [regex.match(f"(?:{name})", s, flags=flags) for s in segs]
-    names = [strip(m.group()) if m else "" for m in found]
-    return [(c, n.upper() if upper else n) for s, n in zip(segs, names) for c in fit(s)]
-
-
-def plain(t):
-    return [(c, "") for c in windows(t, 256)]
-
-
-def brute(kind, t):
-    if kind == "texto_integral":
-        return parts(t, K.ARTICLE_BEGINS, K.ARTICLE_NAME) or plain(t)
-    if kind == "decisao":
-        named = parts(t, K.PART_BEGINS, K.PART_NAME, upper=True)
-        if named is None and len(cut_at(t, K.ROMAN_BEGINS, 0)) > 1:
-            named = [(c, strip(m.group()).upper() if (m := regex.match(f"(?:{K.PART_NAME})", s, flags=regex.I)) else "") for s in cut_at(t, K.ROMAN_BEGINS, 0) for c in fit(s)]
-        return named or plain(t)
-    if kind in ("nota_tecnica", "anexo"):
-        out = []
-        for is_table, b in blocks(t):
-            out += [(c, K.TABLE) for c in table(b)] if is_table else (kind == "nota_tecnica" and parts(b, K.HEADING_BEGINS, K.HEADING_NAME, 0)) or plain(b)
-        return out
-    return [(c, "") for c in windows(t, 256, 50)]
+        out[r.registro_id].append(r)
+    return out
 
 
 def test_children(spark):
     rows = acts(84, 1)
-    df = spark.createDataFrame(rows, "registro_id long, ato_id string, tipo_documento string, ano int, arquivo_origem string, titulo string, texto string")
-    got = {}
-    for r in K.children(df).orderBy("registro_id", "numero_chunk").collect():
-        got.setdefault(r.registro_id, []).append((r.texto, r.contexto_juridico))
-    seen = 0
-    for i, _, kind, *_, t in rows:
-        want = brute(kind, t)[: K.CAPS.get(kind, K.OTHER_CAP)] if strip(t) else []
-        assert got.get(i, []) == want, (i, kind)
-        seen += len(want)
-    assert seen > 200
+    df = spark.createDataFrame(rows, COLUMNS)
+    found = by_document(K.children(df).orderBy("registro_id", "numero_chunk").collect())
+    for i, _, kind, *_, text in rows:
+        got, all_of = found[i], pieces(text)
+        assert bool(got) == bool(all_of)
+        if len(got) == K.CAPS.get(kind, K.OTHER_CAP) or not got:
+            continue
+        cut = [pieces(r.texto) for r in got]
+        table = [r.contexto_juridico == K.TABLE for r in got]
+        # only a table's own row may be longer
+        assert all(len(x) <= K.CHILD or t for x, t in zip(cut, table))
+        assert [r.numero_chunk for r in got] == list(range(1, len(got) + 1)) and {r.total_chunks for r in got} == {len(got)}
+        assert [r.chunk_anterior_id for r in got[1:]] == [r.chunk_id for r in got[:-1]] == [r for r in (x.chunk_anterior_id for x in got) if r]
+        words = lambda xs: [w.strip() for x in xs for w in x]
+        if kind in ("voto", "outro", None):
+            # window k holds the pieces from k * (size - overlap) on; the last one ends the text
+            step = K.CHILD - K.OVERLAP
+            assert cut == [all_of[k * step : k * step + K.CHILD] for k in range(len(cut))] and len(cut) == 1 + max(0, -(-(len(all_of) - K.CHILD) // step))
+        elif not any(table):
+            # nothing is lost, repeated or moved
+            assert words(cut) == words([all_of])
+        for x, r in zip(cut, got):
+            assert len(pieces(r.texto_pai)) <= K.PARENT and (len(x) > K.PARENT or r.numero_chunk > 1 or r.texto_pai.startswith(r.texto))
+
+
+def test_children_of_tables_repeat_their_header(spark):
+    rows = [(1, "a", "anexo", 2020, "a.pdf", None, "| a | b |\n|---|---|\n" + "\n".join(f"| linha {j} da tabela longa | {j} |" for j in range(200)))]
+    got = [r.texto.split("\n") for r in K.children(spark.createDataFrame(rows, COLUMNS)).orderBy("numero_chunk").collect()]
+    assert len(got) > 5 and all(x[:2] == ["| a | b |", "|---|---|"] for x in got)
+    assert [y for x in got for y in x[2:]] == rows[0][-1].split("\n")[2:]
+    # a table is cut only where the next row would not have fitted
+    assert all(len(pieces("\n".join([*x, y[2]]))) > K.CHILD >= len(pieces("\n".join(x))) for x, y in zip(got, got[1:]))
 
 
 def test_children_packed_sizes(spark):
-    rows = acts(42, 2)
-    df = spark.createDataFrame(rows, "registro_id long, ato_id string, tipo_documento string, ano int, arquivo_origem string, titulo string, texto string")
+    df = spark.createDataFrame(acts(42, 2), COLUMNS)
     for r in K.children_packed(df).collect():
         assert len(r.texto) >= 100 and r.tokens == len(pieces(r.texto)) and r.texto in r.texto_pai
         assert r.tokens <= 256 + (r.tipo_documento == "anexo") * 60
