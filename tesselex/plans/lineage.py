@@ -30,10 +30,16 @@ def shared_folder(spark: SparkSession) -> str:
 _WRITTEN: list[str] = []
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder, deleted by `clean`."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written once as a parquet table in the shared folder and read back: a lost executor costs a read, not the whole lineage."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -8,10 +8,10 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselex.functions.cleaning import html_text
+from tesselex.functions.cleaning import html_text, html_text_plain
 
 _TEXT = ("titulo", "ementa", "assunto", "situacao", "publicacao", "autor")
 FILE = "struct<url:string,arquivo:string,tipo:string>"
@@ -20,6 +20,10 @@ DOCUMENT = (
     "ato_id string, tipo_documento string, titulo string, ementa string, assunto string, situacao string, publicacao string, autor string, ano int, arquivo_origem string, zip_pai string, texto string, "
     "tem_tabela boolean, paginas int, qualidade_score double, paginas_suspeitas array<struct<pagina:int,razao_alfa:double>>, caracteres_extraidos int, densidade_texto double, proporcao_tabela double, encoding_detectado string, ocr boolean, confianca_ocr double, _corrupt_record string"
 )
+CHILD = (
+    "registro_id long, ato_id string, tipo_documento string, ano int, chunk_id string, chunk_pai_id string, contexto_juridico string, numero_chunk int, total_chunks int, posicao_relativa double, "
+    "chunk_anterior_id string, chunk_proximo_id string, texto string, texto_pai string, aviso string"
+)
 #: What a member's name is tried as, in this order.
 NAME_ENCODINGS = ("utf-8", "cp850", "cp1252", "latin-1")
 
@@ -39,7 +43,7 @@ def metadata_json(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
 
 def corpus_json(spark: SparkSession, path: str, years: list[int] | None = None, lines: bool = False) -> DataFrame:
     """Documents of a folder of JSON files, one record a file (or, with lines, one a line), folders ano=... pruned by year; a broken file is left out."""
-    df = spark.read.schema(DOCUMENT).option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", False).json(path)
+    df = spark.read.schema(DOCUMENT).option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     df = df.where("_corrupt_record is null").drop("_corrupt_record")
     return df.where(F.col("ano").isin(years)) if years else df
 
@@ -49,22 +53,47 @@ def ledger(spark: SparkSession, path: str, column: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias(column)).where(F.col(column) != "").distinct()
 
 
+def child_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Child chunks of a folder of JSON files (one a file, or with lines one a line) with a folder a year, at any depth; broken files are left out, and chunk_id gives arquivo_origem."""
+    df = spark.read.schema(CHILD + ", _corrupt_record string").option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True).json(path)
+    return df.where("_corrupt_record is null and chunk_id is not null").drop("_corrupt_record").withColumn("arquivo_origem", F.regexp_replace("chunk_id", "_c[0-9]+$", ""))
+
+
 def failure_log(spark: SparkSession, path: str) -> DataFrame:
-    """(falha_id, motivo, url) of a tab-separated failure log in line order; a line without a tab is all URL."""
-    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("falha_id", "linha")).where("trim(linha) <> ''")
+    """(falha_id, motivo, url) of a tab-separated failure log; falha_id rises in line order. A line without a tab is all URL, blank lines are left out."""
+    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("falha_id"), F.col("value").alias("linha")).where("trim(linha) <> ''")
     two = F.split("linha", "\t", 2)
-    return rows.select(F.col("falha_id").cast("long").alias("falha_id"), F.when(F.size(two) > 1, two[0]).alias("motivo"), F.element_at(two, -1).alias("url"))
+    return rows.select("falha_id", F.when(F.size(two) > 1, two[0]).alias("motivo"), F.element_at(two, -1).alias("url"))
+
+
+#: The reader's name of each declared character set; anything else is read as UTF-8.
+CHARSETS = {
+    "ISO-8859-1": "ISO-8859-1", "LATIN1": "ISO-8859-1", "LATIN-1": "ISO-8859-1", "US-ASCII": "US-ASCII", "UTF-16": "UTF-16", "UTF-16LE": "UTF-16LE", "UTF-16BE": "UTF-16BE", "UTF-32": "UTF-32",
+}
+_WINDOWS = ("WINDOWS-1252", "CP1252", "X-CP1252")
+#: The characters of bytes 0x80 to 0x9F in the Windows set; five bytes have none.
+_CP1252 = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+
 
+def _as_declared(content: Column, said: Column) -> Column:
+    """Bytes as characters by a declared set; bytes without a character become U+FFFD."""
+    html = F.try_validate_utf8(content.cast("string"))
+    html = F.coalesce(html, F.make_valid_utf8(content.cast("string")))
+    for name, own in CHARSETS.items():
+        html = F.when(said == name, F.decode(content, own)).otherwise(html)
+    latin = F.decode(content, "ISO-8859-1")
+    windows = F.translate(latin, "".join(map(chr, range(0x80, 0xA0))), _CP1252)
+    return F.when(said.isin(*_WINDOWS), windows).otherwise(html)
 
-def html_files(spark: SparkSession, path: str) -> DataFrame:
-    """(arquivo, texto, codificacao) of HTML files, decoded as their first 2,000 bytes declare (UTF-8 where they do not, or where the name is unknown)."""
+
+def html_files(spark: SparkSession, path: str, plain: bool = False) -> DataFrame:
+    """(arquivo, texto, codificacao) of HTML files, decoded as their first 2,000 bytes declare (UTF-8 where they do not, or where the name is unknown); `plain` takes the simpler reader."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.htm*").load(path).select("path", "content")
     head = F.decode(F.substring("content", 1, 2000), "ISO-8859-1")
     said = F.upper(F.regexp_extract(head, r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_\-]+)", 1))
-    html = F.col("content").cast("string")
-    for name, own in (("ISO-8859-1", ("ISO-8859-1", "LATIN1", "LATIN-1", "WINDOWS-1252", "CP1252")), ("UTF-16", ("UTF-16",))):
-        html = F.when(said.isin(*own), F.decode("content", name)).otherwise(html)
-    return raw.select(F.element_at(F.split("path", "/"), -1).alias("arquivo"), html_text(html).alias("texto"), F.coalesce(F.nullif(said, F.lit("")), F.lit("UTF-8")).alias("codificacao"))
+    html = _as_declared(F.col("content"), said)
+    tag = F.lower(F.coalesce(F.nullif(said, F.lit("")), F.lit("UTF-8")))
+    return raw.select(F.element_at(F.split("path", "/"), -1).alias("arquivo"), (html_text_plain if plain else html_text)(html).alias("texto"), tag.alias("codificacao"))
 
 
 def member_name(name: str) -> str:
@@ -110,31 +139,51 @@ def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
 
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+
+
+def _column(ref: str | None, after: int) -> int:
+    """The column of a cell's name (A1 is 0), the one after the last where it has none."""
+    letters = [c for c in ref or "" if c.isalpha()]
+    n = 0
+    for c in letters:
+        n = n * 26 + ord(c.upper()) - 64
+    return n - 1 if letters else after
+
+
+def _cells(row: ElementTree.Element, shared: list[str]) -> list[str]:
+    cells: list[str] = []
+    for c in row.iter(f"{_NS}c"):
+        v = c.findtext(f"{_NS}v")
+        if c.get("t") == "inlineStr":
+            text = "".join(t.text or "" for t in c.iter(f"{_NS}t"))
+        else:
+            text = shared[int(v)] if c.get("t") == "s" and v else v or ""
+        at = _column(c.get("r"), len(cells))
+        cells += [""] * (at - len(cells)) + [text]
+    return cells
 
 
 def _sheets(content: bytes) -> str:
-    """Text of a workbook: "[sheet]" and its rows, cells three spaces apart, empty cells and rows left out."""
+    """Text of a workbook, sheets in the order shown, each by its own part: "[sheet]" and its rows, cells three spaces apart with empty ones kept, but for those at a row's end. Empty rows and sheets are left out."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = set(z.namelist())
         shared = []
         if "xl/sharedStrings.xml" in names:
             shared = ["".join(t.text or "" for t in si.iter(f"{_NS}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_NS}si")]
-        titles = [s.get("name", "") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_NS}sheet")]
+        parts = {}
+        if "xl/_rels/workbook.xml.rels" in names:
+            parts = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
         out = []
-        for i, title in enumerate(titles, 1):
-            if f"xl/worksheets/sheet{i}.xml" not in names:
+        for i, sheet in enumerate(ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_NS}sheet"), 1):
+            target = parts.get(sheet.get(_REL), f"worksheets/sheet{i}.xml")
+            path = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+            if path not in names:
                 continue
-            rows = []
-            for row in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{i}.xml")).iter(f"{_NS}row"):
-                cells = []
-                for c in row.iter(f"{_NS}c"):
-                    v = c.findtext(f"{_NS}v")
-                    text = "".join(t.text or "" for t in c.iter(f"{_NS}t")) if c.get("t") == "inlineStr" else shared[int(v)] if c.get("t") == "s" and v else v or ""
-                    if text.strip():
-                        cells.append(text.strip())
-                if cells:
-                    rows.append("   ".join(cells))
-            out.append(f"[{title}]\n" + "\n".join(rows))
+            rows = [_cells(row, shared) for row in ElementTree.fromstring(z.read(path)).iter(f"{_NS}row")]
+            lines = ["   ".join(row).rstrip() for row in rows if any(c.strip() for c in row)]
+            if lines:
+                out.append(f"[{sheet.get('name', '')}]\n" + "\n".join(lines))
         return "\n\n".join(out)
 
 

@@ -15,6 +15,13 @@ def write_documents(documents: DataFrame, path: str, kind: str = "json") -> None
     last.write.mode("overwrite").partitionBy("ano").format(kind).save(path)
 
 
+def write_read_documents(documents: DataFrame, path: str) -> None:
+    """Documents read from scans as JSON by year, beside those of write_documents: the file's name keeps its kind (stem, "_ocr_", type) as a column and folder, the year of the metadata stands in for a missing one, and every row is kept."""
+    name = F.concat_ws("_", file_stem(F.col("arquivo_origem")), F.lit("ocr"), "tipo_documento")
+    rows = documents.withColumn("nome", name).withColumn("ano", F.coalesce(F.nullif("ano", F.lit(0)), "ano_json"))
+    rows.drop("ano_json").write.mode("append").partitionBy("ano").json(path)
+
+
 def write_chunks(children: DataFrame, folder: str) -> None:
     """Children and their parents as two tables by year."""
     children.write.mode("overwrite").partitionBy("ano").parquet(f"{folder}/filhos")

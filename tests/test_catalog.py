@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tesselex.plans import catalog
+from tesselex.plans import catalog, io_queries  # noqa: F401 - registers its queries
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")

@@ -40,7 +40,15 @@ def test_documents_written_and_read(spark, tmp_path):
 def test_html_files(spark, tmp_path):
     (tmp_path / "a.html").write_bytes('<html><head><meta charset="iso-8859-1"></head><p>ação</p></html>'.encode("latin-1"))
     (tmp_path / "b.html").write_bytes("<p>é</p>".encode())
-    assert {(r.arquivo, r.texto, r.codificacao) for r in files.html_files(spark, str(tmp_path)).collect()} == {("a.html", "ação", "ISO-8859-1"), ("b.html", "é", "UTF-8")}
+    assert {(r.arquivo, r.texto, r.codificacao) for r in files.html_files(spark, str(tmp_path)).collect()} == {("a.html", "ação", "iso-8859-1"), ("b.html", "é", "utf-8")}
+
+
+def test_html_windows_and_unknown_sets(spark, tmp_path):
+    (tmp_path / "w.html").write_bytes('<meta charset="windows-1252"><p>“ação” – 5 €</p>'.encode("cp1252"))
+    (tmp_path / "x.html").write_bytes('<meta charset="no-such-set"><header>cabeça</header><p>ção</p>'.encode())
+    (tmp_path / "y.html").write_bytes(b"<p>bad \xff byte</p>")
+    assert {(r.arquivo, r.texto, r.codificacao) for r in files.html_files(spark, str(tmp_path)).collect()} == {("w.html", "“ação” – 5 €", "windows-1252"), ("x.html", "ção", "no-such-set"), ("y.html", "bad \ufffd byte", "utf-8")}
+    assert {r.arquivo: r.texto for r in files.html_files(spark, str(tmp_path), plain=True).collect()}["x.html"] == "cabeça ção"
 
 
 def test_ledgers_and_upsert(spark, tmp_path):
@@ -90,6 +98,34 @@ def test_workbooks(spark, tmp_path):
     assert got == {"a.xlsx": ("[Um]\nação   12\n\n[Dois]\nx", True), "b.xlsx": (None, False)}
 
 
+def test_workbook_sheets_follow_their_parts(spark, tmp_path):
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    sheet = lambda cells: f"<worksheet {ns}><sheetData><row>{cells}</row></sheetData></worksheet>"
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="Um" r:id="rId7"/><sheet name="Vazia" r:id="rId3"/><sheet name="Dois" r:id="rId2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="rId2" Target="worksheets/sheet1.xml"/><Relationship Id="rId7" Target="/xl/worksheets/sheet9.xml"/><Relationship Id="rId3" Target="worksheets/sheet4.xml"/></Relationships>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet('<c r="B1"><v>2</v></c><c r="D1"><v>4</v></c><c r="E1"/>'))
+        z.writestr("xl/worksheets/sheet9.xml", sheet('<c r="A1"><v>1</v></c>'))
+        z.writestr("xl/worksheets/sheet4.xml", sheet('<c r="A1"/>'))
+    assert files.workbooks(spark, str(tmp_path)).first().texto == "[Um]\n1\n\n[Dois]\n   2      4"
+
+
+def test_child_json_at_any_depth(spark, tmp_path):
+    (tmp_path / "2020" / "x").mkdir(parents=True)
+    (tmp_path / "2020" / "x" / "a.json").write_text(json.dumps({"chunk_id": "f_vo_c001", "texto": "um", "ano": 2020}))
+    (tmp_path / "2020" / "b.json").write_text(json.dumps({"chunk_id": "g_ti_c1000", "texto": "dois"}, indent=2))
+    (tmp_path / "2020" / "bad.json").write_text("{nope")
+    assert {(r.arquivo_origem, r.texto) for r in files.child_json(spark, str(tmp_path)).collect()} == {("f_vo", "um"), ("g_ti", "dois")}
+
+
+def test_missing_files(spark):
+    schema = "registro_meta_id long, ano_json int, titulo string, ementa string, assunto string, situacao string, publicacao string, autor string, pdfs array<struct<url:string,arquivo:string,tipo:string>>"
+    pdf = lambda x: ("u", x, "Voto")
+    records = spark.createDataFrame([(1, 2016, *[None] * 6, [pdf("ren2016756.pdf"), pdf("b.pdf"), pdf(""), pdf(None)]), (2, 2016, *[None] * 6, [pdf("ren2016756.pdf")])], schema)
+    got = acts.missing(records, spark.createDataFrame([("b.pdf",), (None,)], "nome string"), "nome").collect()
+    assert [tuple(r) for r in got] == [("ren2016756.pdf", "2016/ren2016756.pdf", "ren_756_2016")]
+
+
 def test_pdf_without_library_or_broken(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"no pdf")
     r = files.pdf_pages(spark, str(tmp_path)).first()
