@@ -1,11 +1,12 @@
 """Near-duplicate records over word shingles.
 
 Every text gets a fingerprint of 256 bits, one bit of each of 256 minhash slots, so that Hamming distance follows the
-Jaccard similarity. Two texts of the similarity sought agree in all slots of some band; rows of one band key form a cell.
-Inside a cell the fingerprints are partitioned by vantage points: both halves are searched, and only what the triangle
-inequality leaves within reach of the boundary meets the other half. Cells beyond HOT_ROWS are cut along distances from
-their vantage point into blocks, and block pairs out of reach are pruned before anything is sent. The pairs left are
-verified exactly on the texts. Exact copies are one class from the start.
+Jaccard similarity. Over all fingerprints at once a vantage-point tree prunes nothing at this similarity (see README), so
+candidates come from bands: two texts of the similarity sought agree in all slots of some band, and rows of one band key
+form a cell. A cell of more than LEAF rows is partitioned by vantage points: where a gap in the distances is wider than the
+reach the two sides never meet, otherwise only what the triangle inequality leaves within reach of the boundary does. Cells
+beyond HOT_ROWS are cut along distances from their vantage point into blocks, and block pairs out of reach are pruned before
+anything is sent. The pairs left are verified exactly on the texts. Exact copies are one class from the start.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesselex.plans.lineage import written
@@ -28,7 +29,7 @@ SLOTS = 256
 BANDS, BAND_SLOTS = 64, 6
 #: Bits of slack of a fingerprint's distance, in standard deviations.
 SLACK = 4.0
-LEAF = 48
+LEAF = 16
 HOT_ROWS = 4096
 BLOCK_ROWS = 2048
 STEP = 256
@@ -151,7 +152,11 @@ def _cross(prints: np.ndarray, reach: np.ndarray, a: np.ndarray, b: np.ndarray,
 
 
 def close_pairs(prints: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j), each once, whose distance is within the larger reach of the two, by a vantage-point tree."""
+    """Index pairs (i, j), each once, whose distance is within the larger reach of the two, by a vantage-point tree.
+
+    A node is split at the widest gap in the distances from its vantage point if that gap exceeds the reach, which no pair
+    can cross; else at the median, and the halves are searched against each other where the triangle inequality lets them meet.
+    """
     out: list[tuple[np.ndarray, np.ndarray]] = []
     todo = [np.arange(len(prints))]
     while todo:
@@ -164,13 +169,19 @@ def close_pairs(prints: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.n
                 out.append((x[ok], y[ok]))
             continue
         d = _far(prints[at], prints[at[0]])
+        most = int(reach[at].max())
+        lengths = np.unique(d)
+        gaps = np.diff(lengths)
+        if len(gaps) and gaps.max() > most:
+            inside = d <= lengths[int(gaps.argmax())]
+            todo += [at[inside], at[~inside]]
+            continue
         mid = int(np.median(d))
         inner, outer = at[d <= mid], at[d > mid]
         if not len(outer):  # more than half at one distance: cut by order instead
             inner, outer = at[: len(at) // 2], at[len(at) // 2 :]
             _cross(prints, reach, inner, outer, out)
         else:
-            most = int(reach[at].max())
             di, do = d[d <= mid], d[d > mid]
             _cross(prints, reach, inner[di >= int(do.min()) - most], outer[do <= int(di.max()) + most], out)
         todo += [inner, outer]
@@ -179,6 +190,7 @@ def close_pairs(prints: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
 
 
+_PRINT = ["f0", "f1", "f2", "f3"]
 _SKETCH = "id long, n int, c1 long, c2 long, f0 long, f1 long, f2 long, f3 long, bands array<long>"
 
 
@@ -196,14 +208,12 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
                 own, prints, keys, sizes = sketch([s for _, s in rows])
                 long = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), long(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array(sizes), *[long(own[:, k]) for k in range(2)], *[long(prints[:, k]) for k in range(4)], bands], ["id", "n", "c1", "c2", "f0", "f1", "f2", "f3", "bands"])
+                cols = [pa.array([i for i, _ in rows], pa.int64()), pa.array(sizes), *[long(own[:, k]) for k in range(2)], *[long(prints[:, k]) for k in range(4)], bands]
+                yield pa.RecordBatch.from_arrays(cols, ["id", "n", "c1", "c2", *_PRINT, "bands"])
 
     return df.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, _SKETCH)
 
 
-_PRINT = ["f0", "f1", "f2", "f3"]
-
-
 def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Close pairs of each run of equal (cell, side): rows come sorted by cell. side 0 takes all pairs of the run, otherwise pairs between sides 1 and 2."""
     rest: list[np.ndarray] | None = None
@@ -215,7 +225,8 @@ def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
         size = np.diff(edge)
         two = edge[:-1][size == 2]
-        ok = (_far(prints[two], prints[two + 1]) <= np.maximum(reach[two], reach[two + 1])) & (side[two] == 0) | (side[two] != side[two + 1]) & (_far(prints[two], prints[two + 1]) <= np.maximum(reach[two], reach[two + 1]))
+        near = _far(prints[two], prints[two + 1]) <= np.maximum(reach[two], reach[two + 1])
+        ok = near & ((side[two] == 0) | (side[two] != side[two + 1]))
         x, y, at = [ids[two[ok]]], [ids[two[ok] + 1]], [cell[two[ok]]]
         for s, k in zip(edge[:-1][size > 2].tolist(), size[size > 2].tolist()):
             own = slice(s, s + k)
@@ -253,22 +264,32 @@ def _searched(cells: DataFrame) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_in_cells, "a long, b long, cell long")
 
 
+def _reach_of(n: Column) -> Column:
+    """`radius` of a set's size as a column."""
+    p = (1 - SIMILARITY) / 2
+    own = SLOTS * (1 - F.exp(-F.greatest(n, F.lit(1)) / SLOTS))
+    return F.least(F.lit(float(SLOTS)), F.ceil(SLOTS * (p + SLACK * F.sqrt(p * (1 - p) / own))))
+
+
 def _blocks(hot: DataFrame, block_rows: int) -> DataFrame:
     """Rows of hot cells (key, id, n, f0..f3) as cells of two blocks or one. A cell's rows are ordered by distance from its vantage point (the row of lowest id) and cut into blocks; blocks farther apart than the reach are not paired."""
     far = lambda p, q: sum((F.bit_count(F.col(f"{p}.{f}").bitwiseXOR(F.col(f"{q}.{f}"))) for f in _PRINT), F.lit(0))
     point = hot.groupBy("key").agg(F.min_by(F.struct(*_PRINT), "id").alias("v"))
     rows = hot.join(point, "key").withColumn("f", F.struct(*_PRINT)).withColumn("d", far("f", "v").cast("int"))
     # how many rows lie at each distance: at most SLOTS + 1 counts a cell, so the order needs no sort of the cell
-    ring = rows.groupBy("key", "d").agg(F.count("*").alias("k"), F.max("n").alias("n"), F.min("n").alias("least"))
-    w = Window.partitionBy("key").orderBy("d").rowsBetween(Window.unboundedPreceding, -1)
-    ring = ring.withColumn("before", F.coalesce(F.sum("k").over(w), F.lit(0))).withColumn("parts", F.ceil(F.col("k") / block_rows).cast("int")).withColumn("base", F.floor(F.col("before") / block_rows).cast("long"))
-    placed = written(rows.join(ring.select("key", "d", "parts", "base"), ["key", "d"]).withColumn("block", F.concat_ws(":", F.when(F.col("parts") > 1, F.concat(F.lit("d"), F.col("d"))).otherwise(F.concat(F.lit("b"), F.col("base"))), F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(F.lit(0)))).select("key", "id", "n", "d", "block", *_PRINT), "hot-blocks")
+    ring = rows.groupBy("key", "d").agg(F.count("*").alias("k"))
+    before = F.coalesce(F.sum("k").over(Window.partitionBy("key").orderBy("d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ring = ring.select("key", "d", F.ceil(F.col("k") / block_rows).cast("int").alias("parts"), F.floor(before / block_rows).cast("long").alias("base"))
+    # a ring too large for a block is spread by a hash, smaller ones share the block they begin in
+    own = F.when(F.col("parts") > 1, F.concat(F.lit("d"), F.col("d"), F.lit(":"), F.pmod(F.xxhash64("id"), F.col("parts")))).otherwise(F.concat(F.lit("b"), F.col("base")))
+    placed = written(rows.join(ring, ["key", "d"]).withColumn("block", own).select("key", "id", "n", "d", "block", *_PRINT), "hot-blocks")
     span = placed.groupBy("key", "block").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("n").alias("n"))
-    p = (1 - SIMILARITY) / 2
-    reach = lambda c: F.least(F.lit(float(SLOTS)), F.ceil(SLOTS * (p + SLACK * F.sqrt(p * (1 - p) / (SLOTS * (1 - F.exp(-F.greatest(c, F.lit(1)) / SLOTS)))))))
-    x, y = span.select("key", F.col("block").alias("b1"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("n").alias("n1")), span.select("key", F.col("block").alias("b2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("n").alias("n2"))
-    pairs = x.join(y, "key").where((F.col("b1") <= F.col("b2")) & (F.greatest(F.col("lo2") - F.col("hi1"), F.col("lo1") - F.col("hi2")) <= reach(F.least("n1", "n2"))))
-    ends = pairs.select("key", "b1", "b2", F.explode(F.when(F.col("b1") == F.col("b2"), F.array(F.struct(F.col("b1").alias("block"), F.lit(0).alias("side")))).otherwise(F.array(F.struct(F.col("b1").alias("block"), F.lit(1).alias("side")), F.struct(F.col("b2").alias("block"), F.lit(2).alias("side")))) ).alias("e")).select("key", F.xxhash64("key", "b1", "b2").alias("cell"), "e.block", "e.side")
+    x, y = (span.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("block", "lo", "hi", "n")]) for i in (1, 2))
+    apart = F.greatest(F.col("lo2") - F.col("hi1"), F.col("lo1") - F.col("hi2"))
+    pairs = x.join(y, "key").where((F.col("block1") <= F.col("block2")) & (apart <= _reach_of(F.least("n1", "n2"))))
+    end = lambda block, side: F.struct(F.col(block).alias("block"), F.lit(side).alias("side"))
+    both = F.when(F.col("block1") == F.col("block2"), F.array(end("block1", 0))).otherwise(F.array(end("block1", 1), end("block2", 2)))
+    ends = pairs.select("key", F.xxhash64("key", "block1", "block2").alias("cell"), F.explode(both).alias("e")).select("key", "cell", "e.block", "e.side")
     return placed.join(ends, ["key", "block"]).select("cell", "id", "n", "side", *_PRINT)
 
 

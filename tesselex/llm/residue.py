@@ -236,6 +236,18 @@ def residue(df: DataFrame, key: str, host: str, text: str) -> DataFrame:
 
 
 def fit_for_use(df: DataFrame, key: str, host: str, text: str) -> DataFrame:
-    """The rows of `df` that show no residue, with all their columns."""
-    bad = residue(df, key, host, text).select(F.col("doc_id").alias("__bad"))
-    return df.join(bad, df[key] == bad["__bad"], "left_anti")
+    """The rows of `df` that show no residue, with all their columns. Rows are judged where they are; only more host lines than may be broadcast need a join."""
+    _, kept = site_lines.confirmed(df, key, host, text, SHARE, LEAST_ROWS, ERROR)
+    sets = site_lines.few_lines(kept)
+    if sets is None:
+        bad = residue(df, key, host, text).select(F.col("doc_id").alias("__bad"))
+        return df.join(bad, df[key] == bad["__bad"], "left_anti")
+    shared = df.sparkSession.sparkContext.broadcast(sets)
+    at = df.columns.index(host), df.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            own = zip(batch.column(at[0]).to_pylist(), batch.column(at[1]).to_pylist())
+            yield batch.filter(pa.array([evidence(t, shared.value.get(None if h is None else str(h), frozenset())) is None for h, t in own], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -104,6 +104,17 @@ Body = Callable[[Iterable[Row], Callable[[str | None], frozenset[str]]], pa.Reco
 _NONE: frozenset[str] = frozenset()
 
 
+def few_lines(known: DataFrame) -> dict[str | None, frozenset[str]] | None:
+    """Lines by source if they are few enough to be broadcast (BROADCAST_LINES and BROADCAST_CHARS, counted first), else None. `known` is written already."""
+    size = known.limit(BROADCAST_LINES + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("chave")), F.lit(0)).alias("c")).first()
+    if size.n > BROADCAST_LINES or size.c > BROADCAST_CHARS:
+        return None
+    sets: dict[str | None, set[str]] = {}
+    for own, k in known.select("fonte", "chave").toLocalIterator():
+        sets.setdefault(own, set()).add(k)
+    return {own: frozenset(x) for own, x in sets.items()}
+
+
 def with_lines(df: DataFrame, key: str, source: str, text: str, known: DataFrame, body: Body, schema: str) -> DataFrame:
     """`body` over all rows in slices, with the lines of `known` (fonte, chave, linhas; written already) that belong to a row's source.
 
@@ -112,12 +123,9 @@ def with_lines(df: DataFrame, key: str, source: str, text: str, known: DataFrame
     at a time, at most (lines per row) / (share - error) of them.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(source).cast("string").alias("fonte"), F.col(text).cast("string").alias("t"))
-    size = known.limit(BROADCAST_LINES + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("chave")), F.lit(0)).alias("c")).first()
-    if size.n <= BROADCAST_LINES and size.c <= BROADCAST_CHARS:
-        sets: dict[str | None, set[str]] = {}
-        for own, k in known.select("fonte", "chave").toLocalIterator():
-            sets.setdefault(own, set()).add(k)
-        shared = df.sparkSession.sparkContext.broadcast({own: frozenset(x) for own, x in sets.items()})
+    sets = few_lines(known)
+    if sets is not None:
+        shared = df.sparkSession.sparkContext.broadcast(sets)
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine = shared.value

@@ -99,6 +99,29 @@ def test_tree_finds_all_close_pairs(n):
     assert got == want
 
 
+def test_gaps_prune_branches(monkeypatch):
+    """A cell of many tight families: sides of a gap wider than the reach are never compared."""
+    rng = np.random.default_rng(5)
+    centres = rng.integers(0, 1 << 63, (40, 4)).astype(np.uint64)
+    family = rng.integers(0, 40, 4000)
+    prints = centres[family].copy()
+    for _ in range(10):
+        prints[np.arange(4000), rng.integers(0, 4, 4000)] ^= np.uint64(1) << rng.integers(0, 63, 4000).astype(np.uint64)
+    compared = 0
+    far = N._far
+
+    def counting(a, b):
+        nonlocal compared
+        d = far(a, b)
+        compared += d.size
+        return d
+
+    monkeypatch.setattr(N, "_far", counting)
+    a, b = N.close_pairs(prints, np.full(4000, 62))
+    assert len(a) == sum(int(n) * (int(n) - 1) // 2 for n in np.bincount(family))
+    assert compared < 0.12 * 4000 * 3999 / 2, compared  # the pairs of a family are 0.025 of all
+
+
 def test_equal_prints_do_not_hang():
     prints = np.zeros((3000, 4), np.uint64)
     a, b = N.close_pairs(prints, np.full(3000, 5))
