@@ -73,7 +73,9 @@ def merge_heap(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder(dict):
-    """Text piece -> tuple of ids. A missing piece is encoded once and kept, up to CACHED_PIECES, after which the memory starts afresh; ids never depend on it."""
+    """Text piece -> tuple of ids. A missing piece is encoded once and kept, up to CACHED_PIECES, after which the memory
+    starts afresh; ids never depend on it.
+    """
 
     def __init__(self, path: str = VOCABULARY) -> None:
         super().__init__()
@@ -109,7 +111,9 @@ _LOADED: dict[str, Encoder] = {}
 
 
 def vocabulary(spark: SparkSession, path: str | None = None) -> str:
-    """The vocabulary file's path: as given, or the setting spark.tesselex.vocabulary, or VOCABULARY. The file is sent along, so executors need not have it there."""
+    """The vocabulary file's path: as given, or the setting spark.tesselex.vocabulary, or VOCABULARY. The file is sent
+    along, so executors need not have it there.
+    """
     path = path or spark.conf.get("spark.tesselex.vocabulary", VOCABULARY)
     if path not in (sent := vars(spark.sparkContext).setdefault("_tesselex_sent", set())):
         spark.sparkContext.addFile(path)

@@ -111,7 +111,9 @@ _STRICT = frozenset(i for i, chain in enumerate(CHAINS, 1) if chain[0][0] == "ut
 
 
 def _telling(word: str, back: str) -> bool:
-    """Whether a word may be taken as garbled between single-byte encodings: it becomes a word of three letters, or a foreign sign stands beside a letter."""
+    """Whether a word may be taken as garbled between single-byte encodings: it becomes a word of three letters, or a
+    foreign sign stands beside a letter.
+    """
     plain = [c for c in word if c.isascii() and c.isalpha()]
     if len(plain) >= 2 and all(map(str.isupper, plain)) and any(map(str.islower, back)) and not back.endswith(("º", "ª")):
         return False
@@ -123,7 +125,9 @@ def _broken(word: str) -> bool:
 
 
 def words_of(text: str) -> list[str]:
-    """Words that hold a character beyond ASCII or a "?". Only space, tab, line feed and carriage return divide, as others may be remains of garbled letters."""
+    """Words that hold a character beyond ASCII or a "?". Only space, tab, line feed and carriage return divide, as others
+    may be remains of garbled letters.
+    """
     return [w for w in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if not w.isascii() or "?" in w]
 
 
@@ -141,7 +145,9 @@ _MARK = ord("?")
 
 
 def features(word: str) -> list[int]:
-    """Buckets of the byte bigrams that hold a byte beyond ASCII or a "?", the word standing between spaces; those with a "?" also with any letter for the other byte."""
+    """Buckets of the byte bigrams that hold a byte beyond ASCII or a "?", the word standing between spaces; those with a
+    "?" also with any letter for the other byte.
+    """
     raw = (" " + word + " ").encode("utf-8", "replace")
     out = [((a * 257 + b) * 40503) % 65537 % BUCKETS for a, b in zip(raw, raw[1:]) if a > 127 or b > 127 or a == _MARK or b == _MARK]
     if _MARK in raw:
@@ -187,14 +193,18 @@ class Known:
         return [w for w in self.by_rest.get(_GONE.sub("?", low), ()) if form.fullmatch(w)]
 
     def lost(self, run: str) -> bool:
-        """Whether letters were lost: a mark stands between letters (small ones do not go before a capital), or at an edge of no known word where it makes one."""
+        """Whether letters were lost: a mark stands between letters (small ones do not go before a capital), or at an edge
+        of no known word where it makes one.
+        """
         if any(not (a.islower() and b.isupper()) for a, b in _INNER.findall(run)):
             return True
         stem = run.strip("?").lower()
         return bool(stem) and "?" not in stem and stem not in self.words and bool(self.fitting(run))
 
     def put_back(self, run: str) -> str:
-        """The run with its letters where exactly one word fits; a mark that a question may have left is kept. The case of a first letter must be seen from others."""
+        """The run with its letters where exactly one word fits; a mark that a question may have left is kept. The case of
+        a first letter must be seen from others.
+        """
         for end in (run, run.rstrip("?")):
             if "?" in end and len(found := self.fitting(end)) == 1:
                 left = [c for c in end if c != "?"]
@@ -206,7 +216,9 @@ class Known:
 
 
 def lost_letters(text: str, known: Known, model: Classifier) -> tuple[bool, str]:
-    """Whether letters were replaced by "?", and the text with those put back that can be: in words that the classifier gives to a lossy writer, as far as the letters about the sign bear it out. Addresses are left alone."""
+    """Whether letters were replaced by "?", and the text with those put back that can be: in words that the classifier
+    gives to a lossy writer, as far as the letters about the sign bear it out. Addresses are left alone.
+    """
     if "?" not in text:
         return False, text
     found = False
@@ -277,20 +289,26 @@ class Classifier:
 
 
 def train(df: DataFrame, key: str, fields: list[str], rows: int = TRAIN_ROWS) -> Classifier:
-    """A classifier from the words of about `rows` rows, chosen by a hash of the key. Tasks reduce each text to the words that tell, with their counts; only these reach the driver."""
+    """A classifier from the words of about `rows` rows, chosen by a hash of the key. Tasks reduce each text to the words
+    that tell, with their counts; only these reach the driver.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [Counter(words_of(t)) for column in batch.columns for t in column.to_pylist() if t]
             own = [x for x in own if x]
-            yield pa.RecordBatch.from_arrays([pa.array([list(x) for x in own], pa.list_(pa.string())), pa.array([list(x.values()) for x in own], pa.list_(pa.int64()))], ["w", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([list(x) for x in own], pa.list_(pa.string())), pa.array([list(x.values()) for x in own], pa.list_(pa.int64()))], ["w", "n"]
+            )
 
     part = df.where(F.pmod(F.xxhash64(key), F.lit(max(1, df.count() // rows))) == 0).select(*[F.col(f).cast("string") for f in fields])
     return learned([Counter(dict(zip(r.w, r.n))) for r in part.mapInArrow(counted, "w array<string>, n array<long>").toLocalIterator()])
 
 
 def learned(texts: list[Counter[str]]) -> Classifier:
-    """The classifier of these texts' words: the first pass leaves out texts that hold rare characters or pairs, the second those in which the first finds garbled words."""
+    """The classifier of these texts' words: the first pass leaves out texts that hold rare characters or pairs, the second
+    those in which the first finds garbled words.
+    """
     have: Counter[str] = Counter()
     pairs = []
     tells = lambda c: ord(c) > 127 or c == "?"
@@ -320,7 +338,9 @@ def learned(texts: list[Counter[str]]) -> Classifier:
 
 
 def examine(text: str, model: Classifier, known: Known = Known()) -> tuple[str | None, str | None, bool] | None:
-    """None for a sound text, else (chain or None, text restored or None, whether all of it is restored). Letters put back for "?" are a guess, so such a text is never whole."""
+    """None for a sound text, else (chain or None, text restored or None, whether all of it is restored). Letters put back
+    for "?" are a guess, so such a text is never whole.
+    """
     got = None if text.isascii() else _inverted(text, model)
     base = text if got is None or got[1] is None else got[1]
     lost, new = lost_letters(base, known, model)
@@ -403,6 +423,11 @@ def garbled_fields(df: DataFrame, key: str, fields: list[str], rows: int = TRAIN
                         if t and (not t.isascii() or "?" in t) and (x := examine(t, own, known)):
                             out.append((i, field, x[0], x[1] if restored else None, x[2]))
                 cols = list(zip(*out)) or [(), (), (), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()))], ["registro_id", "campo", "cadeia", "texto", "completo"])
-
-    return df.select(F.col(key).cast("long"), *[F.col(f).cast("string") for f in fields]).mapInArrow(run, "registro_id long, campo string, cadeia string, texto string, completo boolean")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()))],
+                    ["registro_id", "campo", "cadeia", "texto", "completo"]
+                )
+
+    return df.select(F.col(key).cast("long"), *[F.col(f).cast("string") for f in fields]).mapInArrow(
+        run, "registro_id long, campo string, cadeia string, texto string, completo boolean"
+    )

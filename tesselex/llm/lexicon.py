@@ -46,7 +46,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent(df: DataFrame, fields: list[str]) -> tuple[dict[str, int], int]:
-    """(word in lower case -> distinct texts that hold it, number of distinct texts). Copies are brought together by a hash before anything is counted, partly already within a task."""
+    """(word in lower case -> distinct texts that hold it, number of distinct texts). Copies are brought together by a hash
+    before anything is counted, partly already within a task.
+    """
     texts = df.select(F.explode(F.array(*[F.col(f).cast("string") for f in fields])).alias("t")).where("t is not null")
     once = texts.groupBy(F.xxhash64("t").alias("h")).agg(F.first("t").alias("t")).select("t")
     counts = written(once.mapInArrow(_count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")), "lexicon")

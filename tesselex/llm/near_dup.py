@@ -76,7 +76,9 @@ def shingles(text: str | None, known: _Words, words: int = WORDS, least: int = L
 
 
 def sketch(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(class hashes D x 2, fingerprints D x 4, band keys D x BANDS, sizes) of shingle sets. Empty slots are filled from others by a fixed probing order, the same for all texts."""
+    """(class hashes D x 2, fingerprints D x 4, band keys D x BANDS, sizes) of shingle sets. Empty slots are filled from
+    others by a fixed probing order, the same for all texts.
+    """
     d = len(sets)
     slots, full = np.zeros((d, SLOTS), np.uint64), np.zeros((d, SLOTS), bool)
     own = np.empty((d, 2), np.uint64)
@@ -108,7 +110,9 @@ def sketch(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def radius(sizes: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
-    """The Hamming distance within which a partner of a set of this size lies, SLACK standard deviations over the mean. Few shingles fill few slots of their own, which widens it."""
+    """The Hamming distance within which a partner of a set of this size lies, SLACK standard deviations over the mean. Few
+    shingles fill few slots of their own, which widens it.
+    """
     p = (1 - similarity) / 2
     own = SLOTS * (1 - np.exp(-np.maximum(sizes, 1) / SLOTS))
     return np.minimum(SLOTS, np.ceil(SLOTS * (p + SLACK * np.sqrt(p * (1 - p) / own)))).astype(np.int64)
@@ -215,7 +219,9 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Close pairs of each run of equal (cell, side): rows come sorted by cell. side 0 takes all pairs of the run, otherwise pairs between sides 1 and 2."""
+    """Close pairs of each run of equal (cell, side): rows come sorted by cell. side 0 takes all pairs of the run,
+    otherwise pairs between sides 1 and 2.
+    """
     rest: list[np.ndarray] | None = None
 
     def done(cols: list[np.ndarray]) -> pa.RecordBatch:
@@ -272,7 +278,9 @@ def _reach_of(n: Column) -> Column:
 
 
 def _blocks(hot: DataFrame, block_rows: int) -> DataFrame:
-    """Rows of hot cells (key, id, n, f0..f3) as cells of two blocks or one. A cell's rows are ordered by distance from its vantage point (the row of lowest id) and cut into blocks; blocks farther apart than the reach are not paired."""
+    """Rows of hot cells (key, id, n, f0..f3) as cells of two blocks or one. A cell's rows are ordered by distance from its
+    vantage point (the row of lowest id) and cut into blocks; blocks farther apart than the reach are not paired.
+    """
     far = lambda p, q: sum((F.bit_count(F.col(f"{p}.{f}").bitwiseXOR(F.col(f"{q}.{f}"))) for f in _PRINT), F.lit(0))
     point = hot.groupBy("key").agg(F.min_by(F.struct(*_PRINT), "id").alias("v"))
     rows = hot.join(point, "key").withColumn("f", F.struct(*_PRINT)).withColumn("d", far("f", "v").cast("int"))
@@ -281,7 +289,9 @@ def _blocks(hot: DataFrame, block_rows: int) -> DataFrame:
     before = F.coalesce(F.sum("k").over(Window.partitionBy("key").orderBy("d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ring = ring.select("key", "d", F.ceil(F.col("k") / block_rows).cast("int").alias("parts"), F.floor(before / block_rows).cast("long").alias("base"))
     # a ring too large for a block is spread by a hash, smaller ones share the block they begin in
-    own = F.when(F.col("parts") > 1, F.concat(F.lit("d"), F.col("d"), F.lit(":"), F.pmod(F.xxhash64("id"), F.col("parts")))).otherwise(F.concat(F.lit("b"), F.col("base")))
+    own = F.when(
+        F.col("parts") > 1, F.concat(F.lit("d"), F.col("d"), F.lit(":"), F.pmod(F.xxhash64("id"), F.col("parts")))
+    ).otherwise(F.concat(F.lit("b"), F.col("base")))
     placed = written(rows.join(ring, ["key", "d"]).withColumn("block", own).select("key", "id", "n", "d", "block", *_PRINT), "hot-blocks")
     span = placed.groupBy("key", "block").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("n").alias("n"))
     x, y = (span.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("block", "lo", "hi", "n")]) for i in (1, 2))
@@ -294,7 +304,9 @@ def _blocks(hot: DataFrame, block_rows: int) -> DataFrame:
 
 
 def candidates(reps: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(a, b, cell), a < b: pairs of sketched rows that share a band and lie within reach of each other, and the lowest of the cells that found them."""
+    """(a, b, cell), a < b: pairs of sketched rows that share a band and lie within reach of each other, and the lowest of
+    the cells that found them.
+    """
     bands = reps.select("id", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
     members = bands.join(shared, "key")
@@ -331,7 +343,9 @@ def _verify(similarity: float):
 
 
 def verified(pairs: DataFrame, df: DataFrame, key: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b, similaridade) of the pairs (a, b, cell) that reach the similarity, on the shingles of the texts themselves. A text goes once to each cell that has a pair of it, not once to each pair."""
+    """(a, b, similaridade) of the pairs (a, b, cell) that reach the similarity, on the shingles of the texts themselves. A
+    text goes once to each cell that has a pair of it, not once to each pair.
+    """
     texts = df.select(F.col(key).cast("long").alias("a"), F.col(text).cast("string").alias("t"))
     needed = pairs.select("cell", F.explode(F.array("a", "b")).alias("a")).distinct()
     rows = needed.join(texts, "a").select("cell", F.lit(0).alias("kind"), "a", F.lit(None).cast("long").alias("b"), "t")
@@ -365,12 +379,17 @@ def pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     across = found.select("a", "b").join(m1, "a").join(m2, "b").select(F.least("x", "y").alias("registro_id_a"), F.greatest("x", "y").alias("registro_id_b"))
     copied = member.groupBy("rep").agg(F.count("*").alias("k")).where("k > 1").select("rep")
     own = member.join(copied, "rep")
-    within = own.select("rep", F.col("id").alias("registro_id_a")).join(own.select("rep", F.col("id").alias("registro_id_b")), "rep").where("registro_id_a < registro_id_b").select("registro_id_a", "registro_id_b")
+    within = own.select("rep", F.col("id").alias("registro_id_a")).join(
+        own.select("rep", F.col("id").alias("registro_id_b")), "rep"
+    ).where("registro_id_a < registro_id_b").select("registro_id_a", "registro_id_b")
     return across.unionByName(within)
 
 
 def groups(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(registro_id, classe, grupo, ligacoes) of every row: its class of equal shingle sets (lowest key), its group of linked classes (lowest key), and how many other classes it is linked to. A row without a sketch is a class and a group of its own, with no link."""
+    """(registro_id, classe, grupo, ligacoes) of every row: its class of equal shingle sets (lowest key), its group of
+    linked classes (lowest key), and how many other classes it is linked to. A row without a sketch is a class and a
+    group of its own, with no link.
+    """
     found, member = links(df, key, text)
     edges = written(found.select(F.col("a").alias("u"), F.col("b").alias("v")).union(found.select("b", "a")), "edges")
     label = edges.select("u").distinct().select("u", F.col("u").alias("g"))
@@ -386,4 +405,6 @@ def groups(df: DataFrame, key: str, text: str) -> DataFrame:
     degree = edges.groupBy("u").agg(F.count("*").alias("ligacoes"))
     rows = df.select(F.col(key).cast("long").alias("registro_id"))
     out = rows.join(member.withColumnRenamed("id", "registro_id"), "registro_id", "left").withColumn("classe", F.coalesce("rep", "registro_id"))
-    return out.join(label, F.col("classe") == label.u, "left").select("registro_id", "classe", F.coalesce("g", "classe").alias("grupo")).join(degree, F.col("classe") == degree.u, "left").select("registro_id", "classe", "grupo", F.coalesce("ligacoes", F.lit(0)).alias("ligacoes"))
+    return out.join(label, F.col("classe") == label.u, "left").select("registro_id", "classe", F.coalesce("g", "classe").alias("grupo")).join(degree, F.col("classe") == degree.u, "left").select(
+        "registro_id", "classe", "grupo", F.coalesce("ligacoes", F.lit(0)).alias("ligacoes")
+    )

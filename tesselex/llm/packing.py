@@ -88,7 +88,12 @@ def pack(items: DataFrame, key: str, size: str, capacity: int, rows: int, shard_
         bins, where = best
         used = np.bincount(where, weights=sizes, minlength=bins).astype(np.int64)
         name = f"{int(pdf.shard.iloc[0])}-" if len(pdf) else ""
-        return pd.DataFrame({"item_id": ids[item], "parte": no.astype(np.int32), "tamanho": sizes.astype(np.int32), "recipiente": [name + str(b) for b in where.tolist()], "livre": (capacity - used[where]).astype(np.int32)})
+        return pd.DataFrame(
+            {
+                "item_id": ids[item], "parte": no.astype(np.int32), "tamanho": sizes.astype(np.int32),
+                "recipiente": [name + str(b) for b in where.tolist()], "livre": (capacity - used[where]).astype(np.int32)
+            }
+        )
 
     # a shard is little data and much work, so shards are spread by number, not gathered by size
     return part.repartition(2 * shards, "shard").groupBy("shard").applyInPandas(shard, _OUT)

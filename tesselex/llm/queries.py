@@ -47,12 +47,18 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_rejoined(spark: SparkSession, d: str) -> DataFrame:
-    """The pieces of every oversized field joined again without their repeats, and whether all keep the limit and the overlap. A text's pieces meet in one row, as its text did."""
-    limits = F.when(F.col("campo") == "texto_pai", CHUNK_LIMITS["texto_pai"]).when(F.col("tabela") == "corpus_documentos", DOCUMENT_LIMITS["texto"]).otherwise(CHUNK_LIMITS["texto"])
+    """The pieces of every oversized field joined again without their repeats, and whether all keep the limit and the
+    overlap. A text's pieces meet in one row, as its text did.
+    """
+    limits = F.when(F.col("campo") == "texto_pai", CHUNK_LIMITS["texto_pai"]).when(
+        F.col("tabela") == "corpus_documentos", DOCUMENT_LIMITS["texto"]
+    ).otherwise(CHUNK_LIMITS["texto"])
     own = F.struct("parte", F.expr("substring(texto, corte - inicio + 1)").alias("novo"))
     fits = (F.length("texto") <= limits) & (F.col("fim") - F.col("inicio") == F.length("texto"))
     repeats = (F.col("corte") - F.col("inicio")).between(0, splitting.OVERLAP) & ((F.col("parte") > 0) | (F.col("corte") == 0))
-    by = p3_pieces(spark, d).groupBy("tabela", "item_id", "campo").agg(F.array_sort(F.collect_list(own)).alias("p"), F.min(fits).alias("cabem"), F.min(repeats).alias("repetem"))
+    by = p3_pieces(spark, d).groupBy("tabela", "item_id", "campo").agg(
+        F.array_sort(F.collect_list(own)).alias("p"), F.min(fits).alias("cabem"), F.min(repeats).alias("repetem")
+    )
     return by.select("tabela", "item_id", "campo", F.array_join(F.transform("p", lambda x: x["novo"]), "").alias("texto"), "cabem", "repetem")
 
 
@@ -103,7 +109,9 @@ def p7_checksums(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_totals(spark: SparkSession, d: str) -> DataFrame:
-    """What was placed of every document: its tokens, its parts, and whether every container keeps its capacity and tells its unused room."""
+    """What was placed of every document: its tokens, its parts, and whether every container keeps its capacity and tells
+    its unused room.
+    """
     placed = p8_containers(spark, d)
     room = placed.groupBy("recipiente").agg(((F.sum("tamanho") + F.max("livre") == CAPACITY) & (F.min("livre") == F.max("livre")) & (F.min("livre") >= 0)).alias("cabe"))
     return placed.join(room, "recipiente").groupBy("doc_id").agg(F.sum("tamanho").alias("tokens"), F.count("*").alias("partes"), F.min("cabe").alias("cabe"))

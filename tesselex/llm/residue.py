@@ -225,7 +225,9 @@ def evidence(text: str | None, boilerplate: frozenset[str] | set[str] = frozense
 
 
 def residue(df: DataFrame, key: str, host: str, text: str) -> DataFrame:
-    """(doc_id, evidencia): every row to be left out and the first kind of evidence found. Copies of a row are judged alike; an empty table gives no row."""
+    """(doc_id, evidencia): every row to be left out and the first kind of evidence found. Copies of a row are judged
+    alike; an empty table gives no row.
+    """
     _, kept = site_lines.confirmed(df, key, host, text, SHARE, LEAST_ROWS, ERROR)
 
     def body(rows: Iterable[site_lines.Row], lines: Callable[[str | None], frozenset[str]]) -> pa.RecordBatch:
@@ -236,7 +238,9 @@ def residue(df: DataFrame, key: str, host: str, text: str) -> DataFrame:
 
 
 def fit_for_use(df: DataFrame, key: str, host: str, text: str) -> DataFrame:
-    """The rows of `df` that show no residue, with all their columns. Rows are judged where they are; only more host lines than may be broadcast need a join."""
+    """The rows of `df` that show no residue, with all their columns. Rows are judged where they are; only more host lines
+    than may be broadcast need a join.
+    """
     _, kept = site_lines.confirmed(df, key, host, text, SHARE, LEAST_ROWS, ERROR)
     sets = site_lines.few_lines(kept)
     if sets is None:

@@ -63,7 +63,9 @@ def skeletons(text: str) -> list[str]:
 
 
 def _recurring(lines: list[str]) -> list[str]:
-    """Skeletons of the lines that may have an equal one: those in which letters that skeletons keep as they are stand equally often. Empty for the others."""
+    """Skeletons of the lines that may have an equal one: those in which letters that skeletons keep as they are stand
+    equally often. Empty for the others.
+    """
     marks = ["%d %d %d %d %d %d" % tuple(x.count(c) + x.count(c.upper()) for c in "tpfvhz") if x else "" for x in lines]
     often = Counter(marks)
     at = [i for i, m in enumerate(marks) if m and often[m] > 1]
@@ -130,7 +132,12 @@ def observe(lines: list[str]) -> tuple[list[tuple[int, ...]], bool]:
         group = 1 if n < 2 else 6 if item else 2 if b in same else 3 if within[b] * 2 >= n else 4 if within[b] else 5
         near = any(k in numbers for k in (before.get(i), after.get(i)) if k is not None and abs(k - i) <= 2)
         first, last = 1 if s[0].islower() else 2 if s[0].isupper() else 3, 1 if s[-1] in _ENDS else 2 if s[-1] in _HYPHENS else 3
-        out.append((shape, min(n, 3), first, last, 1 + (i in inside), 1 + near, 1 + (i in rising), 1 + (not 0 < i < len(lines) - 1), group, 1 if n < 2 else 2 + (b in prose), 1 + item))
+        out.append(
+            (
+                shape, min(n, 3), first, last, 1 + (i in inside), 1 + near, 1 + (i in rising), 1 + (not 0 < i < len(lines) - 1), group,
+                1 if n < 2 else 2 + (b in prose), 1 + item
+            )
+        )
     return out, True
 
 
@@ -229,7 +236,9 @@ def lay_out(text: str, words: list[str], rng: random.Random) -> tuple[list[str],
     pick = lambda n: " ".join(rng.choice(words) for _ in range(n))
     number = lambda: f"{rng.randint(10, 99999)}.{rng.randint(100000, 999999)}-{rng.randint(10, 99)}"
     head = rng.choice((lambda: pick(3).upper(), lambda: pick(2).title() + " – " + pick(2), lambda: f"{pick(1).title()}: {number()}     {pick(1).title()}: ____", lambda: f"{pick(1).title()} nº {number()}", lambda: f"{pick(2).title()} * {pick(1)} * {number()}", lambda: f"{pick(3).capitalize()} ({pick(1)})", lambda: f"{pick(2).title()} | {pick(2)} | {rng.randint(1, 90)}"))()
-    form = rng.choice(("{0}", "- {0} -", "— {0} —", "[{0}]", "Pág. {0}", "Página {0} de {1}", "página {0}", "{0}/{1}", "fl. {0}", "Fls.: {0}", "folha nº {0}", "p. {0}", "({0})"))
+    form = rng.choice(
+        ("{0}", "- {0} -", "— {0} —", "[{0}]", "Pág. {0}", "Página {0} de {1}", "página {0}", "{0}/{1}", "fl. {0}", "Fls.: {0}", "folha nº {0}", "p. {0}", "({0})")
+    )
     has_head, has_number, head_first = rng.random() < 0.7, rng.random() < 0.7, rng.random() < 0.6
     lines, labels = [], []
 
@@ -285,7 +294,9 @@ def header_words(lexicon: frozenset[str]) -> list[str]:
 
 
 def made_pages(texts: Iterable[str], words: list[str], seed: int = 7) -> Iterator[tuple[list[tuple[int, ...]], list[int]]]:
-    """Features and labels of each text's lines, half of them laid out as a scan. What is made of a text depends on it alone. A header that stands once is none."""
+    """Features and labels of each text's lines, half of them laid out as a scan. What is made of a text depends on it
+    alone. A header that stands once is none.
+    """
     for t in texts:
         lines = t.split("\n")
         if len(lines) < 2 or any(map(is_number, lines)):
@@ -362,7 +373,9 @@ class Mender:
         return None
 
     def noise(self, text: str | None, labels: list[int] | None = None) -> list[str]:
-        """The kinds found in a text, in a fixed order; none in a null, empty or blank one. `labels` are those of its lines, if they are known."""
+        """The kinds found in a text, in a fixed order; none in a null, empty or blank one. `labels` are those of its
+        lines, if they are known.
+        """
         if not text or not text.strip():
             return []
         lines = text.split("\n")
@@ -388,7 +401,9 @@ class Mender:
         return (self.repaired(text, labels) if kinds else text), kinds
 
     def divided(self, lines: list[str], labels: list[int]) -> Iterator[tuple[int, int]]:
-        """(line, next line) where a word is divided, the next line being the next of the body; blank lines are passed only about a page end."""
+        """(line, next line) where a word is divided, the next line being the next of the body; blank lines are passed only
+        about a page end.
+        """
         body = [i for i, k in enumerate(labels) if k == BODY]
         for i, j in zip(body, body[1:]):
             line = lines[i].rstrip()
@@ -432,7 +447,9 @@ class Mender:
                 continue
             page_end = any(k in (HEADER, PAGE) for k in labels[i + 1 : j])
             nxt = lines[j].strip()
-            if (j == i + 1 or page_end) and line[-1:] not in _ENDS and not line.startswith("|") and not nxt.startswith("|") and (nxt[:1].islower() or len(line) > 0.75 * usual and usual < 120 or page_end and line[-1:] == ","):
+            if (j == i + 1 or page_end) and line[-1:] not in _ENDS and not line.startswith("|") and not nxt.startswith("|") and (
+                nxt[:1].islower() or len(line) > 0.75 * usual and usual < 120 or page_end and line[-1:] == ","
+            ):
                 glue = " "
             elif (j == i + 1) and line[-1:] in _ENDS and usual < 120 and len(line) > 0.9 * usual and nxt[:1].islower():
                 glue = " "
@@ -446,7 +463,9 @@ _CLITICS = frozenset(("se", "lo", "la", "los", "las", "me", "te", "nos", "vos",
 
 
 def train(df: DataFrame, key: str, text: str, rows: int = TRAIN_ROWS) -> Mender:
-    """Lines from about `rows` rows chosen by a hash of the key, words from all rows. Pages are laid out and counted in the tasks; the driver gets counts."""
+    """Lines from about `rows` rows chosen by a hash of the key, words from all rows. Pages are laid out and counted in the
+    tasks; the driver gets counts.
+    """
     lexicon = sound_words(*L.frequent(df, [text]))
     words = df.sparkSession.sparkContext.broadcast(header_words(lexicon))
 
@@ -500,6 +519,8 @@ def paragraphs(df: DataFrame, key: str, text: str, rows: int = TRAIN_ROWS) -> Da
                 part = batch.slice(at, STEP)
                 out = [(i, *mender.mended(t)) for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
                 cols = list(zip(*out)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.list_(pa.string())))], ["registro_id", "texto", "ruidos"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.list_(pa.string())))], ["registro_id", "texto", "ruidos"]
+                )
 
     return df.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, "registro_id long, texto string, ruidos array<string>")

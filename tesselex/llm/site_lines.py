@@ -30,7 +30,9 @@ _DIGITS = re.compile(r"\d+")
 
 
 def line_key(line: str) -> str | None:
-    """What two equal lines share: trimmed, white space runs as one space, lower case, each run of digits as one sign. None for a line without a letter."""
+    """What two equal lines share: trimmed, white space runs as one space, lower case, each run of digits as one sign. None
+    for a line without a letter.
+    """
     key = _DIGITS.sub("0", " ".join(line.split()).lower())
     return key if any(map(str.isalpha, key)) else None
 
@@ -69,7 +71,9 @@ def _keys(text: str, known: dict[str, str | None]) -> list[str | None]:
 
 
 def candidates(df: DataFrame, source: str, text: str, share: float = SHARE, least: int = LEAST_ROWS, error: float = ERROR) -> DataFrame:
-    """(fonte, chave): a superset of the lines that reach max(least, share * rows of the source). At most (lines per row) / (share - error) of a source."""
+    """(fonte, chave): a superset of the lines that reach max(least, share * rows of the source). At most (lines per row) /
+    (share - error) of a source.
+    """
 
     def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str | None, Summary] = {}
@@ -105,7 +109,9 @@ _NONE: frozenset[str] = frozenset()
 
 
 def few_lines(known: DataFrame) -> dict[str | None, frozenset[str]] | None:
-    """Lines by source if they are few enough to be broadcast (BROADCAST_LINES and BROADCAST_CHARS, counted first), else None. `known` is written already."""
+    """Lines by source if they are few enough to be broadcast (BROADCAST_LINES and BROADCAST_CHARS, counted first), else
+    None. `known` is written already.
+    """
     size = known.limit(BROADCAST_LINES + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("chave")), F.lit(0)).alias("c")).first()
     if size.n > BROADCAST_LINES or size.c > BROADCAST_CHARS:
         return None
@@ -158,7 +164,10 @@ def with_lines(df: DataFrame, key: str, source: str, text: str, known: DataFrame
 
     parts = known.groupBy("fonte").agg(F.greatest(F.lit(1), F.ceil(F.max("linhas") / PART_ROWS)).cast("int").alias("partes"))
     lines = known.join(parts.withColumnRenamed("fonte", "f"), F.col("fonte").eqNullSafe(F.col("f")))
-    lines = lines.select("fonte", F.explode(F.sequence(F.lit(0), F.col("partes") - 1)).alias("parte"), F.lit(0).alias("kind"), "chave", F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("t"))
+    lines = lines.select(
+        "fonte", F.explode(F.sequence(F.lit(0), F.col("partes") - 1)).alias("parte"), F.lit(0).alias("kind"), "chave",
+        F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("t")
+    )
     own = rows.join(parts.withColumnRenamed("fonte", "f"), F.col("fonte").eqNullSafe(F.col("f")), "left")
     part = F.pmod(F.xxhash64("id", "t"), F.coalesce("partes", F.lit(1))).cast("int")
     own = own.select("fonte", part.alias("parte"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("chave"), "id", "t")
@@ -184,7 +193,9 @@ def _places(df: DataFrame, key: str, source: str, text: str, known: DataFrame) -
 
 
 def confirmed(df: DataFrame, key: str, source: str, text: str, share: float = SHARE, least: int = LEAST_ROWS, error: float = ERROR) -> tuple[DataFrame, DataFrame]:
-    """The places of candidate lines and, of these lines, those whose exact count of rows reaches the threshold: (fonte, chave, registros, linhas). Both are written."""
+    """The places of candidate lines and, of these lines, those whose exact count of rows reaches the threshold: (fonte,
+    chave, registros, linhas). Both are written.
+    """
     first = written(candidates(df, source, text, share, least, error), "candidate-lines")
     places = written(_places(df, key, source, text, first), "line-places")
     exact = places.select("fonte", "chave", "registro_id").distinct().groupBy("fonte", "chave").agg(F.count("*").alias("registros"))
@@ -195,7 +206,9 @@ def confirmed(df: DataFrame, key: str, source: str, text: str, share: float = SH
 
 
 def repeated_lines(df: DataFrame, key: str, source: str, text: str, share: float = SHARE, least: int = LEAST_ROWS) -> DataFrame:
-    """(registro_id, linha_no): every line to be removed. Rows of null text count for nothing; a null source is a source of its own; copies of a row are rows; an empty table gives no row."""
+    """(registro_id, linha_no): every line to be removed. Rows of null text count for nothing; a null source is a source of
+    its own; copies of a row are rows; an empty table gives no row.
+    """
     places, kept = confirmed(df, key, source, text, share, least)
     k = kept.select(F.col("fonte").alias("f"), F.col("chave").alias("c"))
     return places.join(k, F.col("fonte").eqNullSafe(F.col("f")) & (F.col("chave") == F.col("c")), "left_semi").select("registro_id", "linha_no")

@@ -43,7 +43,9 @@ def _snap(text: str, target: int, low: int, high: int) -> int:
 
 
 def _repeat(text: str, cut: int, overlap: int, least: int) -> int:
-    """Start of what is repeated before `cut`: at most `overlap` characters and not beyond `least`, from a word's start where there is one."""
+    """Start of what is repeated before `cut`: at most `overlap` characters and not beyond `least`, from a word's start
+    where there is one.
+    """
     low = max(least, cut - overlap)
     if low == 0 or low == cut or text[low - 1].isspace():
         return low
@@ -52,7 +54,9 @@ def _repeat(text: str, cut: int, overlap: int, least: int) -> int:
 
 
 def split(text: str, limit: int, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:
-    """(start, cut, end) of each piece: text[start:end] is the piece, text[start:cut] repeats the one before, and the parts text[cut:end] give the whole text. One piece if the text fits."""
+    """(start, cut, end) of each piece: text[start:end] is the piece, text[start:cut] repeats the one before, and the parts
+    text[cut:end] give the whole text. One piece if the text fits.
+    """
     n = len(text)
     if n <= limit:
         return [(0, 0, n)]
@@ -85,7 +89,9 @@ def split_oversized(df: DataFrame, key: str, limits: dict[str, int], label: str,
     cut one by one, so neither a very long text nor many pieces meet another row. texto is null if with_text is false.
     """
     fields = F.array(*[F.struct(F.lit(c).alias("campo"), F.lit(n).alias("limite"), F.col(c).cast("string").alias("texto")) for c, n in limits.items()])
-    over = df.select(F.col(key).cast("long").alias("item_id"), F.explode(F.filter(fields, lambda x: F.length(x["texto"]) > x["limite"])).alias("f")).select("item_id", "f.campo", "f.limite", "f.texto")
+    over = df.select(
+        F.col(key).cast("long").alias("item_id"), F.explode(F.filter(fields, lambda x: F.length(x["texto"]) > x["limite"])).alias("f")
+    ).select("item_id", "f.campo", "f.limite", "f.texto")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,6 +103,9 @@ def split_oversized(df: DataFrame, key: str, limits: dict[str, int], label: str,
                     rows += [(label, item, field, i, len(pieces), a, c, b, text[a:b] if with_text else None) for i, (a, c, b) in enumerate(pieces)]
                 cols = list(zip(*rows)) or [()] * 9
                 kinds = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["tabela", "item_id", "campo", "parte", "partes", "inicio", "corte", "fim", "texto"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(cols, kinds)],
+                    ["tabela", "item_id", "campo", "parte", "partes", "inicio", "corte", "fim", "texto"]
+                )
 
     return over.mapInArrow(run, "tabela string, item_id long, campo string, parte int, partes int, inicio int, corte int, fim int, texto string")

@@ -23,7 +23,9 @@ HELD_PAIRS = 250_000
 
 
 def encode_ids(df: DataFrame, key: str, text: str, vocabulary: str | None = None) -> DataFrame:
-    """(key, ids array<int>): one row per input row. Null and empty texts give an empty list, a blank text is encoded as it is; other columns are dropped, so their names cannot clash."""
+    """(key, ids array<int>): one row per input row. Null and empty texts give an empty list, a blank text is encoded as it
+    is; other columns are dropped, so their names cannot clash.
+    """
     path = placed(df.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,7 +39,9 @@ def encode_ids(df: DataFrame, key: str, text: str, vocabulary: str | None = None
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], [key, "ids"])
 
     kind = df.schema[key].dataType
-    return df.select(key, F.col(text).cast("string").alias("__text")).mapInArrow(run, T.StructType([T.StructField(key, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return df.select(key, F.col(text).cast("string").alias("__text")).mapInArrow(
+        run, T.StructType([T.StructField(key, kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    )
 
 
 def count_tokens(df: DataFrame, key: str, text: str, vocabulary: str | None = None) -> DataFrame:
@@ -57,7 +61,9 @@ def count_tokens(df: DataFrame, key: str, text: str, vocabulary: str | None = No
 
 
 def first_of(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row of lowest `order` of each `key`; rows of null key are all kept. The limit runs before the shuffle too, so a hot key sends one row per task."""
+    """The row of lowest `order` of each `key`; rows of null key are all kept. The limit runs before the shuffle too, so a
+    hot key sends one row per task.
+    """
     null = F.when(F.col(key).isNull(), F.col(order).cast("long"))
     own = F.struct(F.col(key).alias("k"), null.alias("o"))
     w = Window.partitionBy(own).orderBy(F.col(order))
