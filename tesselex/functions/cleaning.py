@@ -107,14 +107,23 @@ def entities() -> dict[str, str]:
 def _decoded(t: Column) -> Column:
     """Named and numbered entities as characters; a text is cut at "&" and each part that begins with an entity is put right."""
     known = F.create_map(*[F.lit(x) for pair in entities().items() for x in (pair[0][1:-1], pair[1])])
-    number = lambda name: F.when(name.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), F.conv(F.substring(name, 3, 6), 16, 10)).when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7)).try_cast("int")
+    number = lambda name: F.when(
+        name.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), F.conv(F.substring(name, 3, 6), 16, 10)
+    ).when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 7)).try_cast("int")
     # a character by its number, through its four bytes
     char = lambda n: F.when(n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
 
     def part(x: Column, i: Column) -> Column:
         name = F.regexp_extract(x, "^(#?[A-Za-z0-9]{1,8});", 1)
         rest = lambda n: F.substring(x, F.length(n) + 2, F.length(x))
-        return F.when(i == 0, x).otherwise(P.let(name, lambda n: F.when(n == "amp", F.concat(F.lit("&"), rest(n))).otherwise(F.coalesce(F.concat(F.coalesce(F.try_element_at(known, n), char(number(n))), rest(n)), F.concat(F.lit("&"), x)))))
+        return F.when(i == 0, x).otherwise(
+            P.let(
+                name,
+                lambda n: F.when(n == "amp", F.concat(F.lit("&"), rest(n))).otherwise(
+                    F.coalesce(F.concat(F.coalesce(F.try_element_at(known, n), char(number(n))), rest(n)), F.concat(F.lit("&"), x))
+                )
+            )
+        )
 
     return F.when(F.contains(t, F.lit("&")), F.array_join(F.transform(F.split(t, "&"), part), "")).otherwise(t)
 
@@ -128,7 +137,9 @@ def html_raw(html: Column, dropped: tuple[str, ...], between: str) -> Column:
 
 
 def html_text(html: Column) -> Column:
-    """Text of a page, a line for each piece of text, cleaned by the first two layers: comments, navigation, headers, footers, scripts and styles dropped, entities decoded."""
+    """Text of a page, a line for each piece of text, cleaned by the first two layers: comments, navigation, headers,
+    footers, scripts and styles dropped, entities decoded.
+    """
     return normalised(boilerplate_removed(html_raw(html, ("script", "style", "nav", "header", "footer"), "\n")))
 
 

@@ -30,7 +30,9 @@ def file_stem(name: Column) -> Column:
 
 
 def act_id(name: Column) -> Column:
-    """{type}_{number}_{year} of a file name; one leading a or n is dropped from a longer type. The stem itself where it has no such form."""
+    """{type}_{number}_{year} of a file name; one leading a or n is dropped from a longer type. The stem itself where it
+    has no such form.
+    """
     stem = F.regexp_replace(F.lower(file_stem(name)), r"_[0-9]+$", "")
     part = lambda i: F.regexp_extract(stem, r"^([a-z]+)(20[0-9]{2})([0-9]+)", i)
     kind = F.when(part(1).rlike("^[an]."), F.substring(part(1), 2, 1000)).otherwise(part(1))

@@ -11,7 +11,9 @@ PIECE = r"[ \t\n\r\f]*(?:[\p{L}\p{N}_]+|[^ \t\n\r\f\p{L}\p{N}_])"
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) for a body that yields an array, `value` being computed once however often the body, and functions inside it, name it. (A plain expression would be evaluated again for every element of an inner array.)"""
+    """body(value) for a body that yields an array, `value` being computed once however often the body, and functions
+    inside it, name it. (A plain expression would be evaluated again for every element of an inner array.)
+    """
     return F.flatten(F.transform(F.array(value), body))
 
 
@@ -21,7 +23,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """`df` with a costly column that is computed once a row: the optimizer copies an expression into every filter and projection that uses it, but not through a generator."""
+    """`df` with a costly column that is computed once a row: the optimizer copies an expression into every filter and
+    projection that uses it, but not through a generator.
+    """
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
@@ -40,11 +44,15 @@ def head(t: Column, n: int) -> Column:
 
 
 def windows(t: Column, size: int, overlap: int = 0) -> Column:
-    """Windows of `size` pieces, each beginning `size - overlap` after the one before; the last reaches the end. None for a text without pieces."""
+    """Windows of `size` pieces, each beginning `size - overlap` after the one before; the last reaches the end. None for a
+    text without pieces.
+    """
     step = max(1, size - overlap)
 
     def cut(p: Column) -> Column:
         last = F.when(F.size(p) <= size, 0).otherwise(F.ceil((F.size(p) - size) / step)).cast("int")
-        return F.when(F.size(p) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(p, i * step + 1, size), ""))).otherwise(F.array().cast("array<string>"))
+        return F.when(
+            F.size(p) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(p, i * step + 1, size), ""))
+        ).otherwise(F.array().cast("array<string>"))
 
     return bound(pieces(t), cut)

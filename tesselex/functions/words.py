@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that searches leave out.
-STOPWORDS = tuple("a o e de do da em no na um uma os as dos das que para com por ao à se sua seu suas seus mas ou ser foi ele ela eles elas este essa isso pelo pela".split())
+STOPWORDS = tuple(
+    "a o e de do da em no na um uma os as dos das que para com por ao à se sua seu suas seus mas ou ser foi ele ela eles elas este essa isso pelo pela".split()
+)
 
 
 #: The shorter list.

@@ -12,7 +12,9 @@ DEFAULT_AUTHOR = "ANEEL"
 
 def files(records: DataFrame) -> DataFrame:
     """A row per file of each record, in source position; records without files give none."""
-    return records.select("registro_meta_id", "ano_json", "titulo", "ementa", "assunto", "situacao", "publicacao", "autor", F.posexplode("pdfs").alias("posicao", "pdf")).select("*", "pdf.url", "pdf.arquivo", "pdf.tipo").drop("pdf")
+    return records.select(
+        "registro_meta_id", "ano_json", "titulo", "ementa", "assunto", "situacao", "publicacao", "autor", F.posexplode("pdfs").alias("posicao", "pdf")
+    ).select("*", "pdf.url", "pdf.arquivo", "pdf.tipo").drop("pdf")
 
 
 def download_tasks(records: DataFrame) -> DataFrame:
@@ -42,7 +44,9 @@ _FOUND = ("ato_id", "tipo_documento", "titulo", "ementa", "assunto", "situacao",
 
 
 def with_metadata(documents: DataFrame, found: DataFrame, *keep: str) -> DataFrame:
-    """Every document by file name with its metadata and the columns `keep`; the act of the file's name, the type "outro" and the usual author where the name is unknown."""
+    """Every document by file name with its metadata and the columns `keep`; the act of the file's name, the type "outro"
+    and the usual author where the name is unknown.
+    """
     m = found.select(F.col("arquivo").alias("__file"), *[F.col(c).alias(f"m_{c}") for c in _FOUND])
     out = documents.join(m, F.col("arquivo_origem") == F.col("__file"), "left")
     default = {"ato_id": M.act_id(F.col("arquivo_origem")), "tipo_documento": F.lit("outro"), "autor": F.lit(DEFAULT_AUTHOR)}
@@ -50,8 +54,12 @@ def with_metadata(documents: DataFrame, found: DataFrame, *keep: str) -> DataFra
 
 
 def missing(records: DataFrame, listing: DataFrame, name: str) -> DataFrame:
-    """(arquivo, caminho, ato_id): files that the records name and a listing (a column of file names) does not have, each once; caminho is year and name."""
-    wanted = files(records).where(F.coalesce("arquivo", F.lit("")) != "").select("arquivo", F.concat_ws("/", F.col("ano_json").cast("string"), F.col("arquivo")).alias("caminho")).distinct()
+    """(arquivo, caminho, ato_id): files that the records name and a listing (a column of file names) does not have, each
+    once; caminho is year and name.
+    """
+    wanted = files(records).where(F.coalesce("arquivo", F.lit("")) != "").select(
+        "arquivo", F.concat_ws("/", F.col("ano_json").cast("string"), F.col("arquivo")).alias("caminho")
+    ).distinct()
     have = listing.select(F.col(name).alias("arquivo")).distinct()
     return wanted.join(have, "arquivo", "left_anti").select("arquivo", "caminho", M.act_id(F.col("arquivo")).alias("ato_id"))
 
@@ -62,12 +70,17 @@ def failed_urls(log: DataFrame) -> DataFrame:
 
 
 def retry_plan(log: DataFrame, records: DataFrame) -> DataFrame:
-    """Repaired URLs with year and file name: of the metadata where the URL is known (last wins), else from the URL, the year "outros" where it shows none."""
+    """Repaired URLs with year and file name: of the metadata where the URL is known (last wins), else from the URL, the
+    year "outros" where it shows none.
+    """
     t = download_tasks(records)
     w = Window.partitionBy("url").orderBy(F.desc_nulls_last("ano_json"), F.desc("registro_meta_id"), F.desc("posicao"))
     known = t.withColumn("__n", F.row_number().over(w)).where("__n = 1").select("url", F.col("ano_json").cast("string").alias("ano"), "nome_arquivo")
     year = F.nullif(F.regexp_extract("url", "(2016|2021|2022)", 1), F.lit(""))
-    return failed_urls(log).join(known, "url", "left").select("url", "falha_id", F.coalesce("ano", year, F.lit("outros")).alias("ano"), F.coalesce("nome_arquivo", M.file_of_url(F.col("url"))).alias("nome_arquivo"))
+    return failed_urls(log).join(known, "url", "left").select(
+        "url", "falha_id", F.coalesce("ano", year, F.lit("outros")).alias("ano"),
+        F.coalesce("nome_arquivo", M.file_of_url(F.col("url"))).alias("nome_arquivo")
+    )
 
 
 def failure_counts(log: DataFrame) -> DataFrame:

@@ -67,7 +67,9 @@ def blocks(t: Column) -> Column:
 
 
 def fitted(t: Column, size: int = CHILD) -> Column:
-    """A segment as pieces of at most `size`: whole if it fits, else lines packed greedily. A line that no longer fits is emitted on its own after the packed ones (in windows if too long), and packing starts afresh."""
+    """A segment as pieces of at most `size`: whole if it fits, else lines packed greedily. A line that no longer fits is
+    emitted on its own after the packed ones (in windows if too long), and packing starts afresh.
+    """
     empty = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur"), F.lit(0).alias("n"))
 
     def add(acc: Column, x: Column) -> Column:
@@ -87,7 +89,9 @@ def fitted(t: Column, size: int = CHILD) -> Column:
 
 
 def table_rows(t: Column, size: int = CHILD) -> Column:
-    """A Markdown table as tables of at most `size` pieces under its own header (all lines up to the separator). A row too long for that, and a table without rows or separator, stay whole."""
+    """A Markdown table as tables of at most `size` pieces under its own header (all lines up to the separator). A row too
+    long for that, and a table without rows or separator, stay whole.
+    """
     none = F.array().cast("array<string>")
     empty = F.struct(none.alias("out"), F.lit("").alias("cur"), F.lit(0).alias("n"))
 
@@ -104,9 +108,15 @@ def table_rows(t: Column, size: int = CHILD) -> Column:
 
         def add(acc: Column, r: Column) -> Column:
             fits = x["base"] + acc["n"] + r["n"] <= size
-            return F.struct(F.when(fits, acc["out"]).otherwise(done(acc)).alias("out"), F.when(fits, F.concat(acc["cur"], F.lit("\n"), r["r"])).otherwise(F.concat(F.lit("\n"), r["r"])).alias("cur"), F.when(fits, acc["n"] + r["n"]).otherwise(r["n"]).alias("n"))
-
-        return F.when(F.size(x["rows"]) == 0, F.array(x["head"])).otherwise(F.aggregate(F.transform(x["rows"], lambda r: F.struct(r.alias("r"), P.count(r).alias("n"))), empty, add, done))
+            return F.struct(
+                F.when(fits, acc["out"]).otherwise(done(acc)).alias("out"),
+                F.when(fits, F.concat(acc["cur"], F.lit("\n"), r["r"])).otherwise(F.concat(F.lit("\n"), r["r"])).alias("cur"),
+                F.when(fits, acc["n"] + r["n"]).otherwise(r["n"]).alias("n")
+            )
+
+        return F.when(F.size(x["rows"]) == 0, F.array(x["head"])).otherwise(
+            F.aggregate(F.transform(x["rows"], lambda r: F.struct(r.alias("r"), P.count(r).alias("n"))), empty, add, done)
+        )
 
     return F.when(P.count(t) <= size, F.array(t)).otherwise(P.bound(F.struct(F.split(t, "\n").alias("l")), of_lines))
 
@@ -132,7 +142,9 @@ def cut(u: Column) -> Column:
     """array<struct<texto, contexto>> of all units of a document."""
 
     def one(x: Column) -> Column:
-        texts = F.when(x["modo"] == "ajuste", fitted(x["texto"])).when(x["modo"] == "tabela", table_rows(x["texto"])).when(x["modo"] == "janela", P.windows(x["texto"], CHILD, OVERLAP)).otherwise(P.windows(x["texto"], CHILD))
+        texts = F.when(x["modo"] == "ajuste", fitted(x["texto"])).when(x["modo"] == "tabela", table_rows(x["texto"])).when(
+            x["modo"] == "janela", P.windows(x["texto"], CHILD, OVERLAP)
+        ).otherwise(P.windows(x["texto"], CHILD))
         return F.transform(texts, lambda c: F.struct(c.alias("texto"), x["contexto"].alias("contexto")))
 
     return F.flatten(F.transform(u, one)).cast(_CHUNK)
@@ -146,7 +158,9 @@ def _by_type(kind: Column, values: dict, other) -> Column:
 
 
 def chunked(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
-    """One row per document with text: its chunks (capped) as an array, and how many there were before. Needs registro_id, arquivo_origem, tipo_documento, texto; other columns stay."""
+    """One row per document with text: its chunks (capped) as an array, and how many there were before. Needs registro_id,
+    arquivo_origem, tipo_documento, texto; other columns stay.
+    """
     kind = F.coalesce("tipo_documento", F.lit("outro"))
     full = P.once(documents.where(strip(F.col("texto")) != ""), "__c", cut(units(kind, F.col("texto")))).withColumn("gerados", F.size("__c")).where("gerados > 0")
     cap = _by_type(kind, caps or CAPS, OTHER_CAP)
@@ -154,18 +168,24 @@ def chunked(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFra
 
 
 def children(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
-    """One row per chunk: ids, place, neighbours, context, text and parent text (the chunk with its neighbours, cut to PARENT pieces from its head)."""
+    """One row per chunk: ids, place, neighbours, context, text and parent text (the chunk with its neighbours, cut to
+    PARENT pieces from its head).
+    """
     c = chunked(documents, caps)
     prefix = F.concat_ws("_", file_stem(F.col("arquivo_origem")), _by_type(F.coalesce("tipo_documento", F.lit("outro")), SHORT, "ou"))
     ident = lambda letter, n: F.concat("__p", F.lit(f"_{letter}"), F.when(n < 1000, F.lpad(n.cast("string"), 3, "0")).otherwise(n.cast("string")))
     rows = c.withColumn("__p", prefix).withColumn("total_chunks", F.size("chunks"))
 
     def with_neighbours(x: Column) -> Column:
-        near = lambda i: F.array_join(F.transform(F.slice(x, F.greatest(i, F.lit(1)), F.least(i + 2, F.size(x)) - F.greatest(i, F.lit(1)) + 1), lambda y: y["texto"]), "\n")
+        near = lambda i: F.array_join(
+            F.transform(F.slice(x, F.greatest(i, F.lit(1)), F.least(i + 2, F.size(x)) - F.greatest(i, F.lit(1)) + 1), lambda y: y["texto"]), "\n"
+        )
         return F.transform(x, lambda y, i: F.struct(y["texto"].alias("texto"), y["contexto"].alias("contexto"), P.head(near(i), PARENT).alias("pai")))
 
     rows = P.once(rows, "__n", P.bound(F.col("chunks"), with_neighbours))
-    rows = rows.select("registro_id", "ato_id", "tipo_documento", "ano", "__p", "gerados", "limite", "total_chunks", F.posexplode("__n").alias("__i", "__x")).withColumn("numero_chunk", F.col("__i") + 1)
+    rows = rows.select(
+        "registro_id", "ato_id", "tipo_documento", "ano", "__p", "gerados", "limite", "total_chunks", F.posexplode("__n").alias("__i", "__x")
+    ).withColumn("numero_chunk", F.col("__i") + 1)
     n, total = F.col("numero_chunk"), F.col("total_chunks")
     return rows.select(
         "registro_id", "ato_id", "tipo_documento", "ano",
@@ -181,7 +201,10 @@ def children(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFr
 def truncated(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
     """(registro_id, tipo_documento, chunks_gerados, chunks_mantidos, tokens_totais) of documents over their cap."""
     c = chunked(documents, caps).where(F.col("gerados") > F.col("limite"))
-    return c.select("registro_id", F.coalesce("tipo_documento", F.lit("outro")).alias("tipo_documento"), F.col("gerados").alias("chunks_gerados"), F.col("limite").alias("chunks_mantidos"), P.count(F.col("texto")).alias("tokens_totais"))
+    return c.select(
+        "registro_id", F.coalesce("tipo_documento", F.lit("outro")).alias("tipo_documento"), F.col("gerados").alias("chunks_gerados"),
+        F.col("limite").alias("chunks_mantidos"), P.count(F.col("texto")).alias("tokens_totais")
+    )
 
 
 def packed(t: Column, size: int = CHILD, least: int = 100) -> Column:
@@ -190,7 +213,9 @@ def packed(t: Column, size: int = CHILD, least: int = 100) -> Column:
 
 
 def pack_units(units_in: Column, size: int = CHILD, least: int = 100) -> Column:
-    """The other packing: units joined greedily by a blank line, a unit that no longer fits beginning the next batch; units over the size go in windows of their own; results under `least` characters are dropped."""
+    """The other packing: units joined greedily by a blank line, a unit that no longer fits beginning the next batch; units
+    over the size go in windows of their own; results under `least` characters are dropped.
+    """
     empty = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("cur"), F.lit(0).alias("n"))
     none = F.array().cast("array<string>")
 
@@ -221,7 +246,10 @@ def by_pieces(t: Column, size: int | Column, overlap: int = 0) -> Column:
     def cut_(x: Column) -> Column:
         step = size - overlap if isinstance(size, int) else size - F.lit(overlap)
         last = F.greatest(F.ceil((F.size(x) - size) / step), F.lit(0)).cast("int")
-        many = F.transform(F.sequence(F.lit(0), last), lambda i: strip(F.array_join(F.slice(x, (i * step + 1).cast("int"), size if isinstance(size, Column) else F.lit(size)), "")))
+        many = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: strip(F.array_join(F.slice(x, (i * step + 1).cast("int"), size if isinstance(size, Column) else F.lit(size)), ""))
+        )
         whole = F.when(F.size(x) > 0, F.array(F.array_join(x, ""))).otherwise(F.array().cast("array<string>"))
         return F.when(F.size(x) <= size, whole).otherwise(F.filter(many, lambda c: F.length(c) >= LEAST_CHARS))
 
@@ -233,7 +261,9 @@ def _split_where(t: Column, begins: str) -> Column:
 
 
 def packed_by_type(kind: Column, t: Column, title: Column) -> Column:
-    """Chunks of the packed variant: articles, else paragraphs, else blank lines, packed; notes by numbered sections; annexes in windows under their first three lines (the title if these are long)."""
+    """Chunks of the packed variant: articles, else paragraphs, else blank lines, packed; notes by numbered sections;
+    annexes in windows under their first three lines (the title if these are long).
+    """
     lines = F.filter(F.transform(F.split(t, _BLANK), strip), lambda x: x != "")
     articles, paragraphs = _split_where(t, r"(?<![\p{L}\p{N}_])Art\.[\s ]*[0-9]"), _split_where(t, r"§[\s ]*[0-9]|(?<![\p{L}\p{N}_])Parágrafo único(?![\p{L}\p{N}_])")
     sections = _split_where(t, r"\n[\s ]*[0-9]+\.[\s ]*[A-Z]")
@@ -241,19 +271,40 @@ def packed_by_type(kind: Column, t: Column, title: Column) -> Column:
     note = F.when(F.size(sections) >= 2, sections).otherwise(lines)
     first = lambda x: strip(F.array_join(F.slice(x["l"], 1, 3), "\n"))
     headed = lambda x: P.bound(F.struct(x["l"].alias("l"), F.when(P.count(first(x)) > HEADER_PIECES, F.coalesce(title, F.lit(""))).otherwise(first(x)).alias("h")), sized)
-    sized = lambda x: P.bound(F.struct(x["h"].alias("h"), F.when(P.count(x["h"]) > 0, F.array_join(F.slice(x["l"], 4, F.size(x["l"])), "\n")).otherwise(F.array_join(x["l"], "\n")).alias("body"), F.greatest(CHILD - P.count(x["h"]) - 5, F.lit(100)).alias("n")), under)
+    sized = lambda x: P.bound(
+        F.struct(
+            x["h"].alias("h"),
+            F.when(P.count(x["h"]) > 0, F.array_join(F.slice(x["l"], 4, F.size(x["l"])), "\n")).otherwise(F.array_join(x["l"], "\n")).alias("body"),
+            F.greatest(CHILD - P.count(x["h"]) - 5, F.lit(100)).alias("n")
+        ),
+        under
+    )
     under = lambda x: F.transform(by_pieces(x["body"], x["n"], ANNEX_OVERLAP), lambda c: F.when(x["h"] != "", F.concat(x["h"], F.lit("\n\n"), c)).otherwise(c))
     annex = P.bound(F.struct(F.split(t, "\n").alias("l")), headed)
-    return F.when(kind == "texto_integral", pack_units(integral)).when(kind == "nota_tecnica", pack_units(note)).when(kind == "decisao", pack_units(lines)).when(kind == "anexo", annex).otherwise(by_pieces(t, CHILD, OVERLAP))
+    return F.when(
+        kind == "texto_integral", pack_units(integral)
+    ).when(kind == "nota_tecnica", pack_units(note)).when(kind == "decisao", pack_units(lines)).when(kind == "anexo", annex).otherwise(by_pieces(t, CHILD, OVERLAP))
 
 
 def children_packed(documents: DataFrame, caps: dict[str, int] | None = None) -> DataFrame:
-    """One row per chunk of the packed variant with its size and parent: neighbours joined by blank lines; over PARENT pieces, half of what the chunk leaves goes to the end of the one before and half to the beginning of the next, none if it leaves nothing."""
+    """One row per chunk of the packed variant with its size and parent: neighbours joined by blank lines; over PARENT
+    pieces, half of what the chunk leaves goes to the end of the one before and half to the beginning of the next, none
+    if it leaves nothing.
+    """
     kind = F.coalesce("tipo_documento", F.lit("outro"))
     c = P.once(documents.where(strip(F.col("texto")) != ""), "__c", packed_by_type(kind, F.col("texto"), F.col("titulo")))
     kept = F.filter(F.transform(F.slice("__c", F.lit(1), _by_type(kind, caps or PACKED_CAPS, OTHER_CAP)), strip), lambda x: F.length(x) >= LEAST_CHARS)
     c = P.once(c, "__k", kept).withColumn("total_chunks", F.size("__k"))
-    near = P.bound(F.col("__k"), lambda x: F.transform(x, lambda y, i: F.struct(y.alias("texto"), F.when(i > 0, F.try_element_at(x, F.greatest(i, F.lit(1)))).alias("antes"), F.try_element_at(x, i + 2).alias("depois"))))
+    near = P.bound(
+        F.col("__k"),
+        lambda x: F.transform(
+            x,
+            lambda y, i: F.struct(
+                y.alias("texto"), F.when(i > 0, F.try_element_at(x, F.greatest(i, F.lit(1)))).alias("antes"),
+                F.try_element_at(x, i + 2).alias("depois")
+            )
+        )
+    )
     rows = P.once(c, "__n", near).select("registro_id", "ato_id", "tipo_documento", "titulo", "ano", "total_chunks", F.posexplode("__n").alias("chunk_idx", "__x"))
     rows = rows.select("*", F.col("__x.texto").alias("texto"), F.col("__x.antes").alias("__b"), F.col("__x.depois").alias("__a")).drop("__x")
     none = lambda x: F.nullif(x, F.lit(""))
@@ -263,7 +314,10 @@ def children_packed(documents: DataFrame, caps: dict[str, int] | None = None) ->
     tail = F.when(half > 0, strip(F.array_join(F.slice(P.pieces(F.col("__b")), F.greatest(P.count(F.col("__b")) - half + 1, F.lit(1)), half), "")))
     front = F.when(half > 0, strip(F.array_join(F.slice(P.pieces(F.col("__a")), F.lit(1), half), "")))
     parent = F.when(P.count(whole) <= PARENT, whole).otherwise(F.concat_ws("\n\n", none(tail), "texto", none(front)))
-    return rows.select("registro_id", "ato_id", "tipo_documento", "ano", "chunk_idx", "total_chunks", "tokens", legal_context(F.col("titulo"), F.col("ato_id"), F.col("texto")).alias("contexto_juridico"), "texto", parent.alias("texto_pai"))
+    return rows.select(
+        "registro_id", "ato_id", "tipo_documento", "ano", "chunk_idx", "total_chunks", "tokens",
+        legal_context(F.col("titulo"), F.col("ato_id"), F.col("texto")).alias("contexto_juridico"), "texto", parent.alias("texto_pai")
+    )
 
 
 def legal_context(title: Column, act: Column, t: Column) -> Column:
@@ -277,20 +331,29 @@ def legal_context(title: Column, act: Column, t: Column) -> Column:
 
 
 def numbered(df: DataFrame, name: str, order: str) -> DataFrame:
-    """`df` with a number from 0 by a column without repeats: rows are laid into ranges, numbered within each, and moved on by the sizes of the ranges before."""
+    """`df` with a number from 0 by a column without repeats: rows are laid into ranges, numbered within each, and moved on
+    by the sizes of the ranges before.
+    """
     ranged = written(df.repartitionByRange(order).withColumn("__range", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))  # one row a range
     before = sizes.select("__range", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     own = F.row_number().over(Window.partitionBy("__range").orderBy(order)) - 1
-    return ranged.withColumn("__own", own).join(before, "__range").withColumn(name, (F.col("__own") + F.col("__before")).cast("long")).drop("__own", "__before", "__range")
+    return ranged.withColumn("__own", own).join(before, "__range").withColumn(
+        name, (F.col("__own") + F.col("__before")).cast("long")
+    ).drop("__own", "__before", "__range")
 
 
 def index_rows(chunks: DataFrame) -> DataFrame:
-    """Chunks as the index takes them: source derived from chunk_id, year as a number, linha a stable row number by chunk_id (of repeats the lowest row_id stays)."""
+    """Chunks as the index takes them: source derived from chunk_id, year as a number, linha a stable row number by
+    chunk_id (of repeats the lowest row_id stays).
+    """
     w = Window.partitionBy("chunk_id").orderBy("row_id")
     one = chunks.select("row_id", "chunk_id", "ano", "tipo_documento").withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
     year, source = F.coalesce(F.col("ano").try_cast("int"), F.lit(0)), F.regexp_replace("chunk_id", "_c[0-9]+$", "")
-    return numbered(one, "linha", "chunk_id").select("linha", "row_id", "chunk_id", source.alias("arquivo_origem"), year.alias("ano"), F.coalesce("tipo_documento", F.lit("")).alias("tipo_documento"))
+    return numbered(one, "linha", "chunk_id").select(
+        "linha", "row_id", "chunk_id", source.alias("arquivo_origem"), year.alias("ano"),
+        F.coalesce("tipo_documento", F.lit("")).alias("tipo_documento")
+    )
 
 
 #: Types of which one document with so many pieces is shown.
@@ -298,7 +361,9 @@ SHOWN_TYPES, SHOWN_PIECES = ("texto_integral", "voto", "nota_tecnica", "anexo",
 
 
 def exemplars(documents: DataFrame) -> DataFrame:
-    """(tipo_documento, registro_id, arquivo_origem): of each type shown the first document of SHOWN_PIECES pieces or more, by year and file name; a null year is 0."""
+    """(tipo_documento, registro_id, arquivo_origem): of each type shown the first document of SHOWN_PIECES pieces or more,
+    by year and file name; a null year is 0.
+    """
     rows = documents.where(F.col("tipo_documento").isin(*SHOWN_TYPES) & (P.count(F.col("texto")) >= SHOWN_PIECES))
     first = rows.groupBy("tipo_documento").agg(F.min(F.struct(F.coalesce("ano", F.lit(0)).alias("ano"), "arquivo_origem", "registro_id")).alias("x"))
     return first.select("tipo_documento", "x.registro_id", "x.arquivo_origem")

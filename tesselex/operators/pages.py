@@ -16,7 +16,9 @@ LINE_CHARS, CELL_CHARS, LINE_CELLS, TABLE_LINES = 20, 3, 3, 4
 
 def page_array(text: Column, lines: int = 10) -> Column:
     """A text cut into pages of so many lines, for sources that keep no pages."""
-    cut = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x["l"]) - 1) / lines).cast("int")), lambda i: F.array_join(F.slice(x["l"], i * lines + 1, lines), "\n"))
+    cut = lambda x: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(x["l"]) - 1) / lines).cast("int")), lambda i: F.array_join(F.slice(x["l"], i * lines + 1, lines), "\n")
+    )
     return P.bound(F.struct(F.split(text, "\n").alias("l")), cut)
 
 
@@ -26,7 +28,9 @@ def pages_of(documents: DataFrame, key: str, text: str, lines: int = 10) -> Data
 
 
 def by_document(pages: DataFrame, key: str) -> DataFrame:
-    """(key, paginas array<string>): page rows (key, pagina, texto) brought together, for sources that have a row per page. The one shuffle that the functions below ever need."""
+    """(key, paginas array<string>): page rows (key, pagina, texto) brought together, for sources that have a row per page.
+    The one shuffle that the functions below ever need.
+    """
     rows = pages.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pagina", "texto"))).alias("p"))
     return rows.select(key, F.transform("p", lambda x: x["texto"]).alias("paginas"))
 
@@ -39,7 +43,15 @@ def repeated(pages: Column) -> Column:
 
     def ends(page: Column) -> Column:
         lines = F.filter(F.transform(F.split(page, "\n"), strip), lambda x: x != "")
-        return P.bound(F.struct(lines.alias("l")), lambda x: F.array_distinct(F.filter(F.when(F.size(x["l"]) > 3, F.concat(F.slice(x["l"], 1, 3), F.slice(x["l"], F.greatest(F.size(x["l"]) - 2, F.lit(1)), 3))).otherwise(x["l"]), lambda y: F.length(y) > 5)))
+        return P.bound(
+            F.struct(lines.alias("l")),
+            lambda x: F.array_distinct(
+                F.filter(
+                    F.when(F.size(x["l"]) > 3, F.concat(F.slice(x["l"], 1, 3), F.slice(x["l"], F.greatest(F.size(x["l"]) - 2, F.lit(1)), 3))).otherwise(x["l"]),
+                    lambda y: F.length(y) > 5
+                )
+            )
+        )
 
     def often(x: Column) -> Column:
         last = F.size(x["s"]) - x["m"] + 1
@@ -79,7 +91,10 @@ def cleaned(documents: DataFrame, key: str, text: str, pages: Column) -> DataFra
 def validity(pages: DataFrame, key: str) -> DataFrame:
     """(key, pagina, suspeita, razao_alfa): razao_alfa in thousandths; a short page is not suspect and has 1000."""
     share = C.alpha_share(F.col("texto"))
-    return pages.select(key, "pagina", F.coalesce(share < C.LEAST_ALPHA, F.lit(False)).alias("suspeita"), F.coalesce(F.floor(share * 1000 + 0.5), F.lit(1000)).cast("int").alias("razao_alfa"))
+    return pages.select(
+        key, "pagina", F.coalesce(share < C.LEAST_ALPHA, F.lit(False)).alias("suspeita"),
+        F.coalesce(F.floor(share * 1000 + 0.5), F.lit(1000)).cast("int").alias("razao_alfa")
+    )
 
 
 def is_table_line(line: Column) -> Column:
@@ -157,22 +172,32 @@ def table_blocks(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def rollup(documents: DataFrame, key: str, pages: Column) -> DataFrame:
-    """(key, paginas, caracteres, suspeitas, tabelas, chars_tabela, removidos, texto) of documents given as arrays of pages: every page laid out and cleaned by the lines that the pages repeat, pages without text left out, the others joined by a blank line. Within the row; see by_document for page rows."""
+    """(key, paginas, caracteres, suspeitas, tabelas, chars_tabela, removidos, texto) of documents given as arrays of
+    pages: every page laid out and cleaned by the lines that the pages repeat, pages without text left out, the others
+    joined by a blank line. Within the row; see by_document for page rows.
+    """
     rows = P.once(P.once(documents, "__pages", pages), "__p", patterns_of(F.col("__pages")))
     rows = P.once(rows, "__l", F.transform("__pages", lambda t: layout(F.split(t, "\n"), F.col("__p"))))
     total = lambda name: F.aggregate("__l", F.lit(0).cast("long"), lambda a, x: a + x[name])
     text = F.array_join(F.filter(F.transform("__l", lambda x: x["texto"]), lambda t: strip(t) != ""), "\n\n")
     suspect = F.size(F.filter("__pages", lambda t: F.coalesce(C.alpha_share(t) < C.LEAST_ALPHA, F.lit(False))))
-    rows = rows.select(key, F.size("__pages").cast("long").alias("paginas"), suspect.cast("long").alias("suspeitas"), *[total(c).alias(c) for c in ("tabelas", "chars_tabela", "removidos")], text.alias("texto"))
+    rows = rows.select(
+        key, F.size("__pages").cast("long").alias("paginas"), suspect.cast("long").alias("suspeitas"),
+        *[total(c).alias(c) for c in ("tabelas", "chars_tabela", "removidos")], text.alias("texto")
+    )
     return rows.select(key, "paginas", F.length("texto").alias("caracteres"), "suspeitas", "tabelas", "chars_tabela", "removidos", "texto")
 
 
 def layout_lines(words: DataFrame, key: str) -> DataFrame:
-    """(key, y, linha) of positioned words (key, x0, x1, y0, word): rows of 5 points, words by x0, three spaces where the gap is over 15 points."""
+    """(key, y, linha) of positioned words (key, x0, x1, y0, word): rows of 5 points, words by x0, three spaces where the
+    gap is over 15 points.
+    """
     w = Window.partitionBy(key, "y").orderBy("x0", "x1", "word")
     placed = words.withColumn("y", (F.bround(F.col("y0") / 5) * 5).cast("int")).withColumn("gap", F.col("x0") - F.lag("x1").over(w))
     piece = F.concat(F.when(F.col("gap").isNull(), "").when(F.col("gap") > 15, "   ").otherwise(" "), F.col("word"))
-    return placed.withColumn("__p", piece).groupBy(key, "y").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "x1", "word", "__p"))), lambda x: x["__p"]), "").alias("linha"))
+    return placed.withColumn("__p", piece).groupBy(key, "y").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "x1", "word", "__p"))), lambda x: x["__p"]), "").alias("linha")
+    )
 
 
 def ocr_confidence(words: DataFrame, key: str) -> DataFrame:
@@ -192,7 +217,9 @@ def scanned(pages: DataFrame, key: str) -> DataFrame:
 
 
 def metric_columns() -> list[Column]:
-    """densidade_texto and proporcao_tabela of a document row: characters a page to one decimal, share of table characters to three; 0 where there are none. Table characters are those of Markdown table lines."""
+    """densidade_texto and proporcao_tabela of a document row: characters a page to one decimal, share of table characters
+    to three; 0 where there are none. Table characters are those of Markdown table lines.
+    """
     table = F.aggregate(F.filter(F.split(F.coalesce("texto", F.lit("")), "\n"), lambda x: x.rlike(r"^[\s ]*\|[^\n]*\|[\s ]*$")), F.lit(0), lambda a, x: a + F.length(x))
     c, p = F.coalesce("caracteres_extraidos", F.lit(0)).cast("double"), F.coalesce("paginas", F.lit(0))
     density, share = F.floor(F.try_divide(c * 10, p) + 0.5) / 10, F.floor(F.try_divide(table * 1000, c) + 0.5) / 1000

@@ -46,7 +46,9 @@ def bounded(results: DataFrame) -> DataFrame:
 
 
 def analysed(documents: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
-    """(key, kept columns, w): the search words of every row. Statistics, postings and vectors all read it, so a caller that needs several writes it once."""
+    """(key, kept columns, w): the search words of every row. Statistics, postings and vectors all read it, so a caller
+    that needs several writes it once.
+    """
     return documents.select(key, *keep, search_words(F.col(text)).alias("w"))
 
 
@@ -60,12 +62,16 @@ def term_stats(words: DataFrame) -> DataFrame:
 
 
 def bm25(words: DataFrame, key: str, questions: DataFrame, question: str, k: int = TOP_SPARSE) -> DataFrame:
-    """(pergunta_id, key, escore, posicao): the k best analysed rows of each question with a score above 0; ties by key. Only words of questions are kept as postings; a word repeated in a question counts again."""
+    """(pergunta_id, key, escore, posicao): the k best analysed rows of each question with a score above 0; ties by key.
+    Only words of questions are kept as postings; a word repeated in a question counts again.
+    """
     few = _few(questions)
     asked = questions.select("pergunta_id", F.explode(search_words(F.col(question))).alias("termo")).groupBy("pergunta_id", "termo").agg(F.count("*").alias("vezes"))
     size = words.agg(F.avg(F.size("w")).alias("media_dl"))
     known = _small(asked.select("termo").distinct(), few)
-    posts = words.select(key, F.size("w").alias("dl"), F.explode("w").alias("termo")).join(known, "termo", "left_semi").groupBy(key, "dl", "termo").agg(F.count("*").alias("tf"))
+    posts = words.select(
+        key, F.size("w").alias("dl"), F.explode("w").alias("termo")
+    ).join(known, "termo", "left_semi").groupBy(key, "dl", "termo").agg(F.count("*").alias("tf"))
     idf = term_stats(words).join(known, "termo", "left_semi").select("termo", "idf")
     part = F.col("idf") * F.col("vezes") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("media_dl")))
     scored = posts.join(_small(asked, few), "termo").join(_small(idf, few), "termo").crossJoin(F.broadcast(size)).groupBy("pergunta_id", key).agg(rounded(F.sum(part)).alias("escore")).where("escore > 0")
@@ -103,7 +109,9 @@ def _vectors(words: pa.Array, known: _Dimensions) -> np.ndarray:
 
 
 def embedded(words: DataFrame, key: str) -> DataFrame:
-    """(key, vetor array<double>) of analysed rows: a stand-in for a sentence encoder with the same contract: search words hashed to signed dimensions, unit length, all zero without words. A model may take its place."""
+    """(key, vetor array<double>) of analysed rows: a stand-in for a sentence encoder with the same contract: search words
+    hashed to signed dimensions, unit length, all zero without words. A model may take its place.
+    """
     rows = words.select(F.col(key).cast("long").alias(key), "w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +142,10 @@ def _best(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray, k: in
             top = top[np.lexsort((ids[top], -row[top]))][:k]
             out.append((np.full(len(top), i), ids[top], row[top]))
     cols = [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-    return pa.RecordBatch.from_arrays([pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2].astype(np.float64))], ["pergunta_id", "id", "escore"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2].astype(np.float64))],
+        ["pergunta_id", "id", "escore"]
+    )
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -192,13 +203,19 @@ def boost(kind: Column) -> Column:
 
 
 def rerank(candidates: DataFrame, chunks: DataFrame, key: str, questions: DataFrame, k: int = TOP_FINAL) -> DataFrame:
-    """(pergunta_id, key, ato_id, tipo_documento, bruto, escore, posicao): share of a question's distinct words that the text holds, times the boost of its type. A stand-in for a cross-encoder with the same contract; its scores are never negative."""
+    """(pergunta_id, key, ato_id, tipo_documento, bruto, escore, posicao): share of a question's distinct words that the
+    text holds, times the boost of its type. A stand-in for a cross-encoder with the same contract; its scores are never
+    negative.
+    """
     few = _few(questions)
     q = questions.select("pergunta_id", F.array_distinct(search_words(F.col("pergunta"))).alias("qw"))
     c = candidates.select("pergunta_id", key, F.col("posicao").alias("antes")).join(_small(q, few), "pergunta_id")
     hit = chunks.join(_small(c, few), key)
     raw = F.coalesce(F.try_divide(F.size(F.array_intersect("qw", search_words(F.col("texto")))), F.size("qw")), F.lit(0.0))
-    scored = hit.select("pergunta_id", key, "ato_id", "tipo_documento", "antes", rounded(raw).alias("bruto"), rounded(raw * boost(F.col("tipo_documento"))).alias("escore"))
+    scored = hit.select(
+        "pergunta_id", key, "ato_id", "tipo_documento", "antes", rounded(raw).alias("bruto"),
+        rounded(raw * boost(F.col("tipo_documento"))).alias("escore")
+    )
     return ranked(scored, k, F.desc("escore"), F.asc("antes")).drop("antes")
 
 
@@ -209,9 +226,14 @@ def expand(reranked: DataFrame, chunks: DataFrame, key: str, mode: str = "append
     """
     top = reranked.where((F.col("posicao") < 3) & F.col("tipo_documento").isin(*EXPANDED_TYPES) & (F.coalesce("ato_id", F.lit("")) != ""))
     acts = top.groupBy("pergunta_id", "ato_id").agg(F.min("posicao").alias("de"))
-    first = chunks.where("tipo_documento = 'texto_integral'").join(bounded(acts.select("ato_id").distinct()), "ato_id", "left_semi").groupBy("ato_id").agg(F.min(key).alias(key))
+    first = chunks.where("tipo_documento = 'texto_integral'").join(
+        bounded(acts.select("ato_id").distinct()), "ato_id", "left_semi"
+    ).groupBy("ato_id").agg(F.min(key).alias(key))
     new = acts.join(first, "ato_id").join(reranked.select("pergunta_id", key), ["pergunta_id", key], "left_anti")
-    extra = new.select("pergunta_id", key, "ato_id", F.lit("texto_integral").alias("tipo_documento"), F.lit(0.0).alias("bruto"), F.lit(0.0).alias("escore"), (F.col("de") + 1000).alias("posicao"))
+    extra = new.select(
+        "pergunta_id", key, "ato_id", F.lit("texto_integral").alias("tipo_documento"), F.lit(0.0).alias("bruto"), F.lit(0.0).alias("escore"),
+        (F.col("de") + 1000).alias("posicao")
+    )
     both = reranked.unionByName(extra)
     if mode == "reserve":
         n = Window.partitionBy("pergunta_id")
@@ -254,8 +276,13 @@ def hybrid(chunks: DataFrame, questions: DataFrame, kinds: list[str] | None = No
 VARIANT = {"lists": 30, "fused": 25, "reranked": 6, "final": 5, "extra": 2, "per_document": 2}
 
 
-def hybrid_variant(chunks: DataFrame, questions: DataFrame, kinds: list[str] | None = None, use_reranking: bool = True, use_expansion: bool = True, final: int = VARIANT["final"]) -> DataFrame:
-    """Longer lists, reranking and expansion optional, at most two rows of a document, then the cut. Without reranking the fused score stands for both scores."""
+def hybrid_variant(
+    chunks: DataFrame, questions: DataFrame, kinds: list[str] | None = None, use_reranking: bool = True, use_expansion: bool = True,
+    final: int = VARIANT["final"]
+) -> DataFrame:
+    """Longer lists, reranking and expansion optional, at most two rows of a document, then the cut. Without reranking the
+    fused score stands for both scores.
+    """
     v = VARIANT
     both = fused(words_of(chunks), questions, kinds, False, v["lists"], v["fused"])
     if use_reranking:
@@ -263,11 +290,15 @@ def hybrid_variant(chunks: DataFrame, questions: DataFrame, kinds: list[str] | N
     else:
         first = both.where(F.col("posicao") < v["reranked"])
         few = F.broadcast(first) if _few(questions) else first
-        top = chunks.select("row_id", "ato_id", "tipo_documento").join(few, "row_id").select("pergunta_id", "row_id", "ato_id", "tipo_documento", F.col("escore").alias("bruto"), "escore", "posicao")
+        top = chunks.select("row_id", "ato_id", "tipo_documento").join(few, "row_id").select(
+            "pergunta_id", "row_id", "ato_id", "tipo_documento", F.col("escore").alias("bruto"), "escore", "posicao"
+        )
     top = written(top, "reranked")
     if use_expansion:
         top = expand(top, chunks, "row_id", "append_then_cut", v["reranked"] + v["extra"])
     source = chunks.select("row_id", "arquivo_origem").join(bounded(top.select("row_id").distinct()), "row_id")
     kept = at_most_per_document(top.join(source, "row_id"), ["ato_id", "arquivo_origem"], v["per_document"])
     w = Window.partitionBy("pergunta_id").orderBy("posicao")
-    return kept.withColumn("posicao", F.row_number().over(w) - 1).where(F.col("posicao") < final).select("pergunta_id", "row_id", "ato_id", "tipo_documento", "bruto", "escore", "posicao")
+    return kept.withColumn("posicao", F.row_number().over(w) - 1).where(F.col("posicao") < final).select(
+        "pergunta_id", "row_id", "ato_id", "tipo_documento", "bruto", "escore", "posicao"
+    )

@@ -153,7 +153,9 @@ def tipo_normalize(spark: SparkSession, d: str) -> DataFrame:
     return acts.files(_records(spark, d)).select("registro_meta_id", "posicao", "tipo", M.document_type(F.col("tipo")).alias("tipo_documento"))
 
 
-@query(f"select registro_meta_id, {_field('titulo')} as titulo, {_field('ementa')} as ementa, {_field('assunto')} as assunto, {_field('situacao')} as situacao from metadados_registros")
+@query(
+    f"select registro_meta_id, {_field('titulo')} as titulo, {_field('ementa')} as ementa, {_field('assunto')} as assunto, {_field('situacao')} as situacao from metadados_registros"
+)
 def meta_clean(spark: SparkSession, d: str) -> DataFrame:
     return _records(spark, d).select("registro_meta_id", *[M.clean_field(F.col(c)).alias(c) for c in ("titulo", "ementa", "assunto", "situacao")])
 
@@ -177,13 +179,17 @@ def file_metadata_join(spark: SparkSession, d: str) -> DataFrame:
     return acts.with_metadata(_documents(spark, d), acts.lookup(_records(spark, d)))
 
 
-@query(f"with {_FILES} select distinct p.arquivo as arquivo, concat_ws('/', cast(ano_json as varchar), p.arquivo) as caminho, {_act('p.arquivo')} as ato_id from files where coalesce(p.arquivo, '') <> '' and p.arquivo not in (select arquivo_origem from corpus_documentos where length(texto) > 0)")
+@query(
+    f"with {_FILES} select distinct p.arquivo as arquivo, concat_ws('/', cast(ano_json as varchar), p.arquivo) as caminho, {_act('p.arquivo')} as ato_id from files where coalesce(p.arquivo, '') <> '' and p.arquivo not in (select arquivo_origem from corpus_documentos where length(texto) > 0)"
+)
 def missing_files(spark: SparkSession, d: str) -> DataFrame:
     """The listing is of the files whose text was read."""
     return acts.missing(_records(spark, d), _documents(spark, d).where("length(texto) > 0"), "arquivo_origem")
 
 
-@query(f"with {_FILES} select registro_meta_id, posicao, ano_json, p.url as url, coalesce(nullif(p.arquivo, ''), {_url_file('p.url')}) as nome_arquivo from files where coalesce(p.url, '') <> ''")
+@query(
+    f"with {_FILES} select registro_meta_id, posicao, ano_json, p.url as url, coalesce(nullif(p.arquivo, ''), {_url_file('p.url')}) as nome_arquivo from files where coalesce(p.url, '') <> ''"
+)
 def download_tasks(spark: SparkSession, d: str) -> DataFrame:
     return acts.download_tasks(_records(spark, d))
 
@@ -210,7 +216,9 @@ def failure_classify(spark: SparkSession, d: str) -> DataFrame:
     return acts.failure_counts(table(spark, d, "falhas_download"))
 
 
-@query(rf"with {_FILES} select registro_meta_id, posicao, regexp_replace(regexp_replace({_stem('p.url')}, '^ANEXO_[0-9]{{4}}_', ''), '_dsp[0-9]+$', '') as distribuidora from files")
+@query(
+    rf"with {_FILES} select registro_meta_id, posicao, regexp_replace(regexp_replace({_stem('p.url')}, '^ANEXO_[0-9]{{4}}_', ''), '_dsp[0-9]+$', '') as distribuidora from files"
+)
 def distributor_name(spark: SparkSession, d: str) -> DataFrame:
     return acts.files(_records(spark, d)).select("registro_meta_id", "posicao", M.distributor(F.col("url")).alias("distribuidora"))
 
@@ -218,29 +226,39 @@ def distributor_name(spark: SparkSession, d: str) -> DataFrame:
 _SHORT = "case tipo_documento when 'texto_integral' then 'ti' when 'voto' then 'vo' when 'nota_tecnica' then 'nt' when 'anexo' then 'an' when 'decisao' then 'de' else 'ou' end"
 
 
-@query(f"select registro_id from corpus_documentos d where not exists (select 1 from chunks_hierarquicos c where c.arquivo_origem = ({_stem('d.arquivo_origem')}) || '_' || {_SHORT.replace('tipo_documento', 'd.tipo_documento')})")
+@query(
+    f"select registro_id from corpus_documentos d where not exists (select 1 from chunks_hierarquicos c where c.arquivo_origem = ({_stem('d.arquivo_origem')}) || '_' || {_SHORT.replace('tipo_documento', 'd.tipo_documento')})"
+)
 def ledger_pending(spark: SparkSession, d: str) -> DataFrame:
     short = chunks._by_type(F.col("tipo_documento"), chunks.SHORT, "ou")
     todo = _documents(spark, d).select("registro_id", F.concat_ws("_", M.file_stem(F.col("arquivo_origem")), short).alias("arquivo_origem"))
     return acts.pending(todo, _chunks(spark, d).select("arquivo_origem"), "arquivo_origem").select("registro_id")
 
 
-@query("select registro_id, arquivo_origem from corpus_documentos where arquivo_origem in (select p.arquivo from (select unnest(pdfs) as p from metadados_registros) where p.tipo ilike '%voto%')")
+@query(
+    "select registro_id, arquivo_origem from corpus_documentos where arquivo_origem in (select p.arquivo from (select unnest(pdfs) as p from metadados_registros) where p.tipo ilike '%voto%')"
+)
 def file_list_filter(spark: SparkSession, d: str) -> DataFrame:
     wanted = acts.files(_records(spark, d)).where(F.contains(F.lower("tipo"), F.lit("voto"))).select(F.col("arquivo").alias("arquivo_origem"))
     return acts.selected(_documents(spark, d), wanted, "arquivo_origem").select("registro_id", "arquivo_origem")
 
 
-@query("select ano_json, count(*) as arquivos, count(*) filter (where p.arquivo is null or p.arquivo = '') as sem_nome, count(distinct p.url) as urls from (select ano_json, unnest(pdfs) as p from metadados_registros) group by 1")
+@query(
+    "select ano_json, count(*) as arquivos, count(*) filter (where p.arquivo is null or p.arquivo = '') as sem_nome, count(distinct p.url) as urls from (select ano_json, unnest(pdfs) as p from metadados_registros) group by 1"
+)
 def download_summary(spark: SparkSession, d: str) -> DataFrame:
     f = acts.files(_records(spark, d))
-    return f.groupBy("ano_json").agg(F.count("*").alias("arquivos"), F.count_if(F.coalesce("arquivo", F.lit("")) == "").alias("sem_nome"), F.countDistinct("url").alias("urls"))
+    return f.groupBy("ano_json").agg(
+        F.count("*").alias("arquivos"), F.count_if(F.coalesce("arquivo", F.lit("")) == "").alias("sem_nome"), F.countDistinct("url").alias("urls")
+    )
 
 
 # --- pages and cleaning --------------------------------------------------------------------------------------------
 
 
-@query(f"select registro_id, {_layer2(_layer1('texto'))} as texto, length(texto) - length({_layer1('texto')}) as removidos from corpus_documentos where texto is not null")
+@query(
+    f"select registro_id, {_layer2(_layer1('texto'))} as texto, length(texto) - length({_layer1('texto')}) as removidos from corpus_documentos where texto is not null"
+)
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
     one = C.boilerplate_removed(F.col("texto"))
     return _documents(spark, d).where("texto is not null").select("registro_id", C.normalised(one).alias("texto"), (F.length("texto") - F.length(one)).alias("removidos"))
@@ -262,7 +280,9 @@ def clean_composite(spark: SparkSession, d: str) -> DataFrame:
 _ALPHA = rf"length(regexp_replace(s, '[^\p{{L}}\p{{Nd}}²³¹]', '', 'g')) / length(s)"
 
 
-@query(f"with {_PAGES} select registro_id, pagina, case when length(s) >= 50 then {_ALPHA} < 0.55 else false end as suspeita, cast(case when length(s) >= 50 then floor({_ALPHA} * 1000 + 0.5) else 1000 end as integer) as razao_alfa from (select registro_id, pagina, {_strip('texto')} as s from paginas)")
+@query(
+    f"with {_PAGES} select registro_id, pagina, case when length(s) >= 50 then {_ALPHA} < 0.55 else false end as suspeita, cast(case when length(s) >= 50 then floor({_ALPHA} * 1000 + 0.5) else 1000 end as integer) as razao_alfa from (select registro_id, pagina, {_strip('texto')} as s from paginas)"
+)
 def page_validation(spark: SparkSession, d: str) -> DataFrame:
     return pages.validity(pages.pages_of(_documents(spark, d), "registro_id", "texto"), "registro_id")
 
@@ -289,7 +309,11 @@ def quality_filter(spark: SparkSession, d: str) -> DataFrame:
 select ano, count(*) as documentos, count(*) filter (where e >= 1) as plenos, count(*) filter (where e >= 0.5 and e < 1) as parciais, count(*) filter (where e < 0.5) as vazios, count(*) filter (where tem_tabela) as com_tabela, sum(c) as caracteres from r group by ano""")
 def parse_summary(spark: SparkSession, d: str) -> DataFrame:
     r, e = _scored(spark, d), F.col("escore")
-    return r.groupBy("ano").agg(F.count("*").alias("documentos"), F.count_if(e >= 1).alias("plenos"), F.count_if((e >= 0.5) & (e < 1)).alias("parciais"), F.count_if(e < 0.5).alias("vazios"), F.count_if("tem_tabela").alias("com_tabela"), F.sum(F.coalesce(F.col("caracteres_extraidos"), F.lit(0)).cast("double")).alias("caracteres"))
+    return r.groupBy("ano").agg(
+        F.count("*").alias("documentos"), F.count_if(e >= 1).alias("plenos"), F.count_if((e >= 0.5) & (e < 1)).alias("parciais"),
+        F.count_if(e < 0.5).alias("vazios"), F.count_if("tem_tabela").alias("com_tabela"),
+        F.sum(F.coalesce(F.col("caracteres_extraidos"), F.lit(0)).cast("double")).alias("caracteres")
+    )
 
 
 @query("""select ano, count(*) as total, count(*) filter (where coalesce(caracteres_extraidos, 0) > 50) as tem_texto, count(*) filter (where coalesce(caracteres_extraidos, 0) <= 50) as escaneados,
@@ -297,27 +321,40 @@ def parse_summary(spark: SparkSession, d: str) -> DataFrame:
 def scan_report(spark: SparkSession, d: str) -> DataFrame:
     has = F.coalesce("caracteres_extraidos", F.lit(0)) > 50
     n = F.count_if(has)
-    return _documents(spark, d).groupBy("ano").agg(F.count("*").alias("total"), n.alias("tem_texto"), F.count_if(~has).alias("escaneados"), (F.floor(n * 1000.0 / F.count("*") + 0.5) / 10).alias("pct_texto"))
+    return _documents(spark, d).groupBy("ano").agg(
+        F.count("*").alias("total"), n.alias("tem_texto"), F.count_if(~has).alias("escaneados"),
+        (F.floor(n * 1000.0 / F.count("*") + 0.5) / 10).alias("pct_texto")
+    )
 
 
-@query("""select registro_id, n as ordem, s.pagina as pagina, floor(s.razao_alfa * 1000 + 0.5)::int as razao_alfa from (select registro_id, generate_subscripts(paginas_suspeitas, 1) as n, unnest(paginas_suspeitas) as s from corpus_documentos) where n <= 5""")
+@query(
+    """select registro_id, n as ordem, s.pagina as pagina, floor(s.razao_alfa * 1000 + 0.5)::int as razao_alfa from (select registro_id, generate_subscripts(paginas_suspeitas, 1) as n, unnest(paginas_suspeitas) as s from corpus_documentos) where n <= 5"""
+)
 def suspect_pages(spark: SparkSession, d: str) -> DataFrame:
     rows = _documents(spark, d).select("registro_id", F.posexplode("paginas_suspeitas").alias("i", "s")).where("i < 5")
     return rows.select("registro_id", (F.col("i") + 1).alias("ordem"), "s.pagina", F.floor(F.col("s.razao_alfa") * 1000 + 0.5).cast("int").alias("razao_alfa"))
 
 
-@query("select tipo_documento, count(*) as documentos, count(*) filter (where ocr) as lidos, floor(avg(confianca_ocr) filter (where ocr and confianca_ocr >= 0) * 10 + 0.5) / 10 as confianca from corpus_documentos group by 1")
+@query(
+    "select tipo_documento, count(*) as documentos, count(*) filter (where ocr) as lidos, floor(avg(confianca_ocr) filter (where ocr and confianca_ocr >= 0) * 10 + 0.5) / 10 as confianca from corpus_documentos group by 1"
+)
 def ocr_report(spark: SparkSession, d: str) -> DataFrame:
     sure = F.when(F.col("ocr") & (F.col("confianca_ocr") >= 0), F.col("confianca_ocr"))
-    return _documents(spark, d).groupBy("tipo_documento").agg(F.count("*").alias("documentos"), F.count_if("ocr").alias("lidos"), (F.floor(F.avg(sure) * 10 + 0.5) / 10).alias("confianca"))
+    return _documents(spark, d).groupBy("tipo_documento").agg(
+        F.count("*").alias("documentos"), F.count_if("ocr").alias("lidos"), (F.floor(F.avg(sure) * 10 + 0.5) / 10).alias("confianca")
+    )
 
 
-@query(r"select registro_id, case when regexp_matches(texto, '[\x{fffd}\x{25a1}\x{0}]|[ÂÃ][\x{80}-\x{bf}]|â€') then 'latin-1' else 'utf-8' end as codificacao from corpus_documentos where texto is not null")
+@query(
+    r"select registro_id, case when regexp_matches(texto, '[\x{fffd}\x{25a1}\x{0}]|[ÂÃ][\x{80}-\x{bf}]|â€') then 'latin-1' else 'utf-8' end as codificacao from corpus_documentos where texto is not null"
+)
 def encoding_tag(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).where("texto is not null").select("registro_id", C.encoding_tag(F.col("texto")).alias("codificacao"))
 
 
-@query(f"with {_SCORED} select q.registro_id as registro_id, case when coalesce(d.ocr, false) then 0.0::double else cast({_SCORE} as double) end as escore from q join (select registro_id, ocr from corpus_documentos) d on q.registro_id = d.registro_id")
+@query(
+    f"with {_SCORED} select q.registro_id as registro_id, case when coalesce(d.ocr, false) then 0.0::double else cast({_SCORE} as double) end as escore from q join (select registro_id, ocr from corpus_documentos) d on q.registro_id = d.registro_id"
+)
 def quality_score_read(spark: SparkSession, d: str) -> DataFrame:
     q = C.quality_read(F.col("caracteres_extraidos").cast("double"), F.col("paginas"), F.size("paginas_suspeitas"), F.col("ocr"))
     return _documents(spark, d).select("registro_id", q.alias("escore"))
@@ -374,7 +411,9 @@ _ROW = "'| ' || array_to_string(list_concat(c, list_transform(range(w - len(c)),
 
 
 def _layout_sql(source: str) -> str:
-    """prontas (registro_id, pagina, tabelas, chars_tabela, texto, removidos) of a source of (registro_id, pagina, texto), with the lines in `padroes` (registro_id, p) left out."""
+    """prontas (registro_id, pagina, tabelas, chars_tabela, texto, removidos) of a source of (registro_id, pagina, texto),
+    with the lines in `padroes` (registro_id, p) left out.
+    """
     head = "[rows[1], '| ' || array_to_string(list_transform(range(w), lambda i: '---'), ' | ') || ' |']"
     width = "(select list_max(list_transform(cs, lambda c: len(c))) as w)"
     key = "registro_id, pagina"
@@ -449,7 +488,9 @@ def chunk_fixed(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {_windows_sql(256, 50, '''tipo_documento in ('voto', 'outro')''')} select * from janelas")
 def chunk_overlap(spark: SparkSession, d: str) -> DataFrame:
-    return _documents(spark, d).where("tipo_documento in ('voto', 'outro') and texto is not null").select("registro_id", F.posexplode(P.windows(F.col("texto"), chunks.CHILD, chunks.OVERLAP)).alias("parte", "texto"))
+    return _documents(spark, d).where("tipo_documento in ('voto', 'outro') and texto is not null").select(
+        "registro_id", F.posexplode(P.windows(F.col("texto"), chunks.CHILD, chunks.OVERLAP)).alias("parte", "texto")
+    )
 
 
 _SEGMENTS = rf"""s as (select registro_id, list_filter(list_transform(string_split(regexp_replace(texto, '(?im)^({chunks.ARTICLE_BEGINS.replace('[0-9]', '[0-9]').replace(' ', '')})', chr(1) || '\1', 'g'), chr(1)), lambda x: {_strip('x')}), lambda x: x <> '') as s from corpus_documentos where texto is not null and tipo_documento = 'texto_integral')"""
@@ -459,10 +500,14 @@ def _names_sql(x: str) -> str:
     return f"{_strip(rf'''regexp_extract({x}, '(?i)^({chunks.ARTICLE_NAME})', 1)''')}"
 
 
-@query(rf"with {_SEGMENTS}, u as (select registro_id, unnest(range(len(s))) as i, s from s) select registro_id, cast(i as integer) as parte, {_names_sql('s[i + 1]')} as contexto, s[i + 1] as texto from u".replace("[\\s ]", "[\\s\\x{a0}]"))
+@query(
+    rf"with {_SEGMENTS}, u as (select registro_id, unnest(range(len(s))) as i, s from s) select registro_id, cast(i as integer) as parte, {_names_sql('s[i + 1]')} as contexto, s[i + 1] as texto from u".replace("[\\s ]", "[\\s\\x{a0}]")
+)
 def structural_split(spark: SparkSession, d: str) -> DataFrame:
     parts = chunks.segments(F.col("texto"), chunks.ARTICLE_BEGINS)
-    rows = _documents(spark, d).where("tipo_documento = 'texto_integral' and texto is not null").select("registro_id", F.posexplode(chunks.named(parts, chunks.ARTICLE_NAME)).alias("parte", "x"))
+    rows = _documents(spark, d).where("tipo_documento = 'texto_integral' and texto is not null").select(
+        "registro_id", F.posexplode(chunks.named(parts, chunks.ARTICLE_NAME)).alias("parte", "x")
+    )
     return rows.select("registro_id", "parte", "x.contexto", "x.texto")
 
 
@@ -472,7 +517,9 @@ fold as (select registro_id, i, seg, list_reduce(list_transform(ps, lambda x: {{
     {{'out': cast([] as varchar[]), 'cur': '', 'n': cast(0 as bigint)}}) as r from paras)"""
 
 
-@query(rf"with {_SEGMENTS}, {_FIT}, f as (select registro_id, i, case when len({_pieces('seg')}) <= 256 then [seg] else list_concat(r.out, case when r.cur = '' then cast([] as varchar[]) else [r.cur] end) end as t from fold), g as (select registro_id, flatten(list(t order by i)) as t from f group by 1) select registro_id, cast(generate_subscripts(t, 1) - 1 as integer) as parte, unnest(t) as texto from g".replace("[\\s ]", "[\\s\\x{a0}]"))
+@query(
+    rf"with {_SEGMENTS}, {_FIT}, f as (select registro_id, i, case when len({_pieces('seg')}) <= 256 then [seg] else list_concat(r.out, case when r.cur = '' then cast([] as varchar[]) else [r.cur] end) end as t from fold), g as (select registro_id, flatten(list(t order by i)) as t from f group by 1) select registro_id, cast(generate_subscripts(t, 1) - 1 as integer) as parte, unnest(t) as texto from g".replace("[\\s ]", "[\\s\\x{a0}]")
+)
 def chunk_fit_segments(spark: SparkSession, d: str) -> DataFrame:
     parts = chunks.segments(F.col("texto"), chunks.ARTICLE_BEGINS)
     rows = _documents(spark, d).where("tipo_documento = 'texto_integral' and texto is not null").select("registro_id", parts.alias("s")).where("size(s) > 1")
@@ -496,7 +543,9 @@ def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {_CHILDREN} select registro_id, numero_chunk, total_chunks, posicao_relativa, chunk_id, chunk_anterior_id, chunk_proximo_id from filhos")
 def chunk_links(spark: SparkSession, d: str) -> DataFrame:
-    return chunks.children(_documents(spark, d)).select("registro_id", "numero_chunk", "total_chunks", "posicao_relativa", "chunk_id", "chunk_anterior_id", "chunk_proximo_id")
+    return chunks.children(_documents(spark, d)).select(
+        "registro_id", "numero_chunk", "total_chunks", "posicao_relativa", "chunk_id", "chunk_anterior_id", "chunk_proximo_id"
+    )
 
 
 @query(f"with {_CHILDREN} select registro_id, numero_chunk, texto_pai from filhos")
@@ -520,7 +569,9 @@ def chunk_low_caps_truncation_log(spark: SparkSession, d: str) -> DataFrame:
     return chunks.truncated(_documents(spark, d), _LOW_CAPS)
 
 
-@query(f"with {chunk_sql.children(_LOW_CAPS, chunks.OTHER_CAP, _stem('d.arquivo_origem'))} select registro_id, chunk_id, total_chunks, texto, texto_pai, aviso from filhos")
+@query(
+    f"with {chunk_sql.children(_LOW_CAPS, chunks.OTHER_CAP, _stem('d.arquivo_origem'))} select registro_id, chunk_id, total_chunks, texto, texto_pai, aviso from filhos"
+)
 def chunk_low_caps(spark: SparkSession, d: str) -> DataFrame:
     return chunks.children(_documents(spark, d), _LOW_CAPS).select("registro_id", "chunk_id", "total_chunks", "texto", "texto_pai", "aviso")
 
@@ -536,8 +587,14 @@ def chunk_type_distribution(spark: SparkSession, d: str) -> DataFrame:
 select t as tipo_documento, count(*) as documentos, sum(n)::bigint as chunks, floor(avg(n) * 10 + 0.5) / 10 as media, arg_max(arquivo_origem, {'n': n, 'k': 0}) filter (where false) as ignorado, max(n) as maior, min(n) as menor from n group by 1""".replace("arg_max(arquivo_origem, {'n': n, 'k': 0}) filter (where false) as ignorado, ", "first(arquivo_origem order by n desc, arquivo_origem) as doc_maior, first(arquivo_origem order by n, arquivo_origem) as doc_menor, "))
 def chunk_stats_extremes(spark: SparkSession, d: str) -> DataFrame:
     n = _chunks(spark, d).groupBy("arquivo_origem").agg(F.max("tipo_documento").alias("tipo_documento"), F.count("*").alias("n"))
-    by = n.groupBy("tipo_documento").agg(F.count("*").alias("documentos"), F.sum("n").alias("chunks"), (F.floor(F.avg("n") * 10 + 0.5) / 10).alias("media"), F.min(F.struct(-F.col("n"), "arquivo_origem")).alias("a"), F.min(F.struct("n", "arquivo_origem")).alias("b"))
-    return by.select("tipo_documento", "documentos", "chunks", "media", F.col("a.arquivo_origem").alias("doc_maior"), F.col("b.arquivo_origem").alias("doc_menor"), (-F.col("a.col1")).alias("maior"), F.col("b.n").alias("menor"))
+    by = n.groupBy("tipo_documento").agg(
+        F.count("*").alias("documentos"), F.sum("n").alias("chunks"), (F.floor(F.avg("n") * 10 + 0.5) / 10).alias("media"),
+        F.min(F.struct(-F.col("n"), "arquivo_origem")).alias("a"), F.min(F.struct("n", "arquivo_origem")).alias("b")
+    )
+    return by.select(
+        "tipo_documento", "documentos", "chunks", "media", F.col("a.arquivo_origem").alias("doc_maior"), F.col("b.arquivo_origem").alias("doc_menor"),
+        (-F.col("a.col1")).alias("maior"), F.col("b.n").alias("menor")
+    )
 
 
 @query(f"""select tipo_documento, count(*) as n, floor(avg(t) * 10 + 0.5) / 10 as media, floor(coalesce(stddev_samp(t), 0) * 10 + 0.5) / 10 as desvio, min(t) as minimo, quantile_cont(t, 0.25) as q25, quantile_cont(t, 0.5) as q50, quantile_cont(t, 0.75) as q75, max(t) as maximo
@@ -546,7 +603,10 @@ def chunk_describe(spark: SparkSession, d: str) -> DataFrame:
     t = _chunks(spark, d).select("tipo_documento", P.count(F.col("texto")).alias("t"))
     r = lambda c: F.floor(c * 10 + 0.5) / 10
     q = lambda p: F.percentile("t", F.lit(p))
-    return t.groupBy("tipo_documento").agg(F.count("*").alias("n"), r(F.avg("t")).alias("media"), r(F.coalesce(F.stddev_samp("t"), F.lit(0.0))).alias("desvio"), F.min("t").alias("minimo"), q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max("t").alias("maximo"))
+    return t.groupBy("tipo_documento").agg(
+        F.count("*").alias("n"), r(F.avg("t")).alias("media"), r(F.coalesce(F.stddev_samp("t"), F.lit(0.0))).alias("desvio"),
+        F.min("t").alias("minimo"), q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max("t").alias("maximo")
+    )
 
 
 @query("""with um as (select * from chunks_hierarquicos qualify row_number() over (partition by chunk_id order by row_id) = 1)
@@ -555,7 +615,9 @@ def chunk_index_rows(spark: SparkSession, d: str) -> DataFrame:
     return chunks.index_rows(_chunks(spark, d))
 
 
-@query("select row_id, case when coalesce(contexto_juridico, '') <> '' then 'passage: [' || contexto_juridico || '] ' || texto else 'passage: ' || texto end as passagem from chunks_hierarquicos")
+@query(
+    "select row_id, case when coalesce(contexto_juridico, '') <> '' then 'passage: [' || contexto_juridico || '] ' || texto else 'passage: ' || texto end as passagem from chunks_hierarquicos"
+)
 def passage_build(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d).select("row_id", chunks.passage(F.col("contexto_juridico"), F.col("texto")).alias("passagem"))
 
@@ -691,7 +753,9 @@ def hybrid_retrieve(spark: SparkSession, d: str) -> DataFrame:
     return search.hybrid(_chunks(spark, d), _questions(spark, d))
 
 
-@query(f"with {_BM25}, {_DENSE}, {_FUSED} select pergunta_id, row_id, f.posicao, ato_id, arquivo_origem from fundido f join chunks_hierarquicos using (row_id) qualify row_number() over (partition by pergunta_id, ato_id, arquivo_origem order by f.posicao) <= 2")
+@query(
+    f"with {_BM25}, {_DENSE}, {_FUSED} select pergunta_id, row_id, f.posicao, ato_id, arquivo_origem from fundido f join chunks_hierarquicos using (row_id) qualify row_number() over (partition by pergunta_id, ato_id, arquivo_origem order by f.posicao) <= 2"
+)
 def dedup_max_per_doc(spark: SparkSession, d: str) -> DataFrame:
     fused = rrf_fuse(spark, d).select("pergunta_id", "row_id", "posicao")
     rows = _chunks(spark, d).select("row_id", "ato_id", "arquivo_origem").join(search.bounded(fused), "row_id")
@@ -737,7 +801,12 @@ def benchmark_sample(spark: SparkSession, d: str) -> DataFrame:
     return answers.sample(_questions(spark, d)).select("pergunta_id", "tipo", "pergunta")
 
 
-_VARIANT = ", ".join((_BM25.replace("posicao < 20", "posicao < 30"), _DENSE.replace("posicao < 20", "posicao < 30"), _FUSED.replace("posicao < 20", "posicao < 25"), _RERANKED.replace("qualify posicao < 5", "qualify posicao < 6"), _expanded_sql(False).replace("<= 5)", "<= 8)")))
+_VARIANT = ", ".join(
+    (
+        _BM25.replace("posicao < 20", "posicao < 30"), _DENSE.replace("posicao < 20", "posicao < 30"), _FUSED.replace("posicao < 20", "posicao < 25"),
+        _RERANKED.replace("qualify posicao < 5", "qualify posicao < 6"), _expanded_sql(False).replace("<= 5)", "<= 8)")
+    )
+)
 
 
 @query(f"""with {_VARIANT}, dois as (select a.*, c.arquivo_origem from ampliado a join chunks_hierarquicos c using (row_id) qualify row_number() over (partition by a.pergunta_id, a.ato_id, arquivo_origem order by a.posicao) <= 2)
@@ -768,18 +837,29 @@ def query_build(spark: SparkSession, d: str) -> DataFrame:
     return _questions(spark, d).select("pergunta_id", M.question_prompt(F.col("pergunta")).alias("consulta"))
 
 
-@query("select registro_id, case when n < 1024 then printf('%.1f B', n::double) when n < 1048576 then printf('%.1f KB', n / 1024.0::double) else printf('%.1f MB', n / 1048576.0::double) end as tamanho from (select registro_id, caracteres_extraidos * 64 as n from corpus_documentos where caracteres_extraidos is not null)")
+@query(
+    "select registro_id, case when n < 1024 then printf('%.1f B', n::double) when n < 1048576 then printf('%.1f KB', n / 1024.0::double) else printf('%.1f MB', n / 1048576.0::double) end as tamanho from (select registro_id, caracteres_extraidos * 64 as n from corpus_documentos where caracteres_extraidos is not null)"
+)
 def byte_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return _documents(spark, d).where("caracteres_extraidos is not null").select("registro_id", M.human_bytes(F.col("caracteres_extraidos").cast("long") * 64).alias("tamanho"))
+    return _documents(spark, d).where("caracteres_extraidos is not null").select(
+        "registro_id", M.human_bytes(F.col("caracteres_extraidos").cast("long") * 64).alias("tamanho")
+    )
 
 
-@query(f"with {_SCORED} select d.autor as autor, count(*) as anexos, sum(coalesce(d.caracteres_extraidos, 0))::bigint as caracteres, count(*) filter (where {_SCORE} = 1) as plenos, count(*) filter (where d.tem_tabela) as com_tabela from corpus_documentos d join q using (registro_id) where d.tipo_documento = 'anexo' group by 1")
+@query(
+    f"with {_SCORED} select d.autor as autor, count(*) as anexos, sum(coalesce(d.caracteres_extraidos, 0))::bigint as caracteres, count(*) filter (where {_SCORE} = 1) as plenos, count(*) filter (where d.tem_tabela) as com_tabela from corpus_documentos d join q using (registro_id) where d.tipo_documento = 'anexo' group by 1"
+)
 def annex_totals(spark: SparkSession, d: str) -> DataFrame:
     a = _scored(spark, d).where("tipo_documento = 'anexo'")
-    return a.groupBy("autor").agg(F.count("*").alias("anexos"), F.sum(F.coalesce(F.col("caracteres_extraidos").cast("long"), F.lit(0))).alias("caracteres"), F.count_if(F.col("escore") == 1).alias("plenos"), F.count_if("tem_tabela").alias("com_tabela"))
+    return a.groupBy("autor").agg(
+        F.count("*").alias("anexos"), F.sum(F.coalesce(F.col("caracteres_extraidos").cast("long"), F.lit(0))).alias("caracteres"),
+        F.count_if(F.col("escore") == 1).alias("plenos"), F.count_if("tem_tabela").alias("com_tabela")
+    )
 
 
-@query(f"select tipo_documento, count(*) as documentos, sum(length(texto) - length({_layer1('texto')}))::bigint as removidos, count(*) filter (where length(texto) > length({_layer1('texto')})) as alterados from corpus_documentos where texto is not null group by 1")
+@query(
+    f"select tipo_documento, count(*) as documentos, sum(length(texto) - length({_layer1('texto')}))::bigint as removidos, count(*) filter (where length(texto) > length({_layer1('texto')})) as alterados from corpus_documentos where texto is not null group by 1"
+)
 def clean_totals(spark: SparkSession, d: str) -> DataFrame:
     gone = _documents(spark, d).where("texto is not null").select("tipo_documento", (F.length("texto") - F.length(C.boilerplate_removed(F.col("texto")))).alias("n"))
     return gone.groupBy("tipo_documento").agg(F.count("*").alias("documentos"), F.sum("n").cast("long").alias("removidos"), F.count_if(F.col("n") > 0).alias("alterados"))
@@ -790,7 +870,9 @@ def scanned_class(spark: SparkSession, d: str) -> DataFrame:
     return pages.scanned(pages.pages_of(_documents(spark, d), "registro_id", "texto"), "registro_id")
 
 
-@query(r"""select registro_id, arquivo_origem, case lower(regexp_extract(arquivo_origem, '\.([^./]+)$', 1)) when 'pdf' then 'pdf' when 'html' then 'html' when 'htm' then 'html' when 'zip' then 'zip' when 'rar' then 'rar' when 'xlsx' then 'excel' when 'xlsm' then 'excel' when 'xls' then 'excel' else 'ignorado' end as leitor from corpus_documentos""")
+@query(
+    r"""select registro_id, arquivo_origem, case lower(regexp_extract(arquivo_origem, '\.([^./]+)$', 1)) when 'pdf' then 'pdf' when 'html' then 'html' when 'htm' then 'html' when 'zip' then 'zip' when 'rar' then 'rar' when 'xlsx' then 'excel' when 'xlsm' then 'excel' when 'xls' then 'excel' else 'ignorado' end as leitor from corpus_documentos"""
+)
 def extension_dispatch(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).select("registro_id", "arquivo_origem", M.reader(F.col("arquivo_origem")).alias("leitor"))
 
@@ -814,7 +896,11 @@ def document_build(spark: SparkSession, d: str) -> DataFrame:
     return acts.with_metadata(rows, acts.lookup(_records(spark, d)), "densidade_texto", "proporcao_tabela", "caracteres_extraidos", "qualidade_score")
 
 
-@query(f"select row_id, {_words('texto').replace(', '.join(f"'{w}'" for w in STOPWORDS), ', '.join(f"'{w}'" for w in FEW_STOPWORDS))} as w from chunks_hierarquicos".replace("select row_id, ", "select row_id, len(w) as n, array_to_string(w, ' ') as palavras from (select row_id, ", 1) + ")")
+@query(
+    f"select row_id, {_words('texto').replace(', '.join(f"'{w}'" for w in STOPWORDS), ', '.join(f"'{w}'" for w in FEW_STOPWORDS))} as w from chunks_hierarquicos".replace(
+        "select row_id, ", "select row_id, len(w) as n, array_to_string(w, ' ') as palavras from (select row_id, ", 1
+    ) + ")"
+)
 def search_words_few(spark: SparkSession, d: str) -> DataFrame:
     """Search words by the shorter list of stopwords."""
     w = search_words(F.col("texto"), FEW_STOPWORDS)
@@ -852,13 +938,18 @@ def _benchmark(spark: SparkSession, d: str) -> DataFrame:
     return answers.benchmark(c, written(search.hybrid(c, q), "found"), q, _echo, "eco")
 
 
-@query(f"with {_ANSWERS} select pergunta_id, 'eco' as modelo, pergunta, tipo, resposta_ref, resposta, erro, fontes, escores, array_to_string(ctx, chr(10)) as contextos from respostas")
+@query(
+    f"with {_ANSWERS} select pergunta_id, 'eco' as modelo, pergunta, tipo, resposta_ref, resposta, erro, fontes, escores, array_to_string(ctx, chr(10)) as contextos from respostas"
+)
 def benchmark_run(spark: SparkSession, d: str) -> DataFrame:
     """All questions answered by a generator that echoes, errors kept; lists are shown as text."""
     r = _benchmark(spark, d)
     fontes = F.array_join(F.transform("fontes", lambda x: F.concat_ws("/", F.coalesce(x["ato_id"], F.lit("")), F.coalesce(x["titulo"], F.lit("")))), ";")
     escores = F.round(F.aggregate("fontes", F.lit(0.0), lambda a, x: a + x["escore"]), 6)
-    return r.select("pergunta_id", "modelo", "pergunta", "tipo", "resposta_ref", "resposta", "erro", fontes.alias("fontes"), escores.alias("escores"), F.array_join("contextos", "\n").alias("contextos"))
+    return r.select(
+        "pergunta_id", "modelo", "pergunta", "tipo", "resposta_ref", "resposta", "erro", fontes.alias("fontes"), escores.alias("escores"),
+        F.array_join("contextos", "\n").alias("contextos")
+    )
 
 
 @query(f"""with {_ANSWERS}, w as (select pergunta_id, tipo, list_distinct({_words('pergunta')}) as q, list_distinct({_words('resposta')}) as a, list_transform(ctx, lambda t: list_distinct({_words('t')})) as c from respostas where erro is null)
@@ -868,7 +959,12 @@ def benchmark_metrics(spark: SparkSession, d: str) -> DataFrame:
     return answers.result_metrics(_benchmark(spark, d))
 
 
-@query(f"""select tipo_documento, count(*) as n, floor(avg(t) * 10 + 0.5) / 10 as media, min(t) as minimo, quantile_cont(t, 0.5) as q50, max(t) as maximo from (select tipo_documento, len({_pieces('texto_pai')}) as t from chunks_hierarquicos) group by 1""")
+@query(
+    f"""select tipo_documento, count(*) as n, floor(avg(t) * 10 + 0.5) / 10 as media, min(t) as minimo, quantile_cont(t, 0.5) as q50, max(t) as maximo from (select tipo_documento, len({_pieces('texto_pai')}) as t from chunks_hierarquicos) group by 1"""
+)
 def chunk_describe_parents(spark: SparkSession, d: str) -> DataFrame:
     t = _chunks(spark, d).select("tipo_documento", P.count(F.col("texto_pai")).alias("t"))
-    return t.groupBy("tipo_documento").agg(F.count("*").alias("n"), (F.floor(F.avg("t") * 10 + 0.5) / 10).alias("media"), F.min("t").alias("minimo"), F.percentile("t", F.lit(0.5)).alias("q50"), F.max("t").alias("maximo"))
+    return t.groupBy("tipo_documento").agg(
+        F.count("*").alias("n"), (F.floor(F.avg("t") * 10 + 0.5) / 10).alias("media"), F.min("t").alias("minimo"),
+        F.percentile("t", F.lit(0.5)).alias("q50"), F.max("t").alias("maximo")
+    )

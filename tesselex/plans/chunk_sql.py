@@ -1,4 +1,6 @@
-"""SQL of whole documents cut into chunks, for DuckDB. Every line that begins a segment is marked first, then the text is split at the marks."""
+"""SQL of whole documents cut into chunks, for DuckDB. Every line that begins a segment is marked first, then the text is
+split at the marks.
+"""
 
 from __future__ import annotations
 

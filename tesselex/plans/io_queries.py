@@ -52,7 +52,9 @@ def sink_parents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{path}/pais").select("registro_id", "chunk_pai_id", "chunk_id", "texto_pai")
 
 
-@query(f"select registro_id, ({_stem('arquivo_origem')}) || '_ocr_' || tipo_documento as nome, coalesce(nullif(ano, 0), 2016) as ano, texto from corpus_documentos where ocr")
+@query(
+    f"select registro_id, ({_stem('arquivo_origem')}) || '_ocr_' || tipo_documento as nome, coalesce(nullif(ano, 0), 2016) as ano, texto from corpus_documentos where ocr"
+)
 def sink_read_documents(spark: SparkSession, d: str) -> DataFrame:
     """Documents read from scans, written beside the others and read again."""
     path = folder(spark, "read-documents")
@@ -113,7 +115,10 @@ select registro_id, cast(y as integer) as y, string_agg(case when vao is null th
 def layout_lines(spark: SparkSession, d: str) -> DataFrame:
     """Words of titles set four to a line, 60 points apart."""
     x = F.col("i") % 4 * 60.0
-    words = _words(spark, d).select("registro_id", x.alias("x0"), (x + F.length("p") * 4).alias("x1"), (F.floor(F.col("i") / 4) * 10 + F.col("i") % 3).cast("double").alias("y0"), F.col("p").alias("word"))
+    words = _words(spark, d).select(
+        "registro_id", x.alias("x0"), (x + F.length("p") * 4).alias("x1"), (F.floor(F.col("i") / 4) * 10 + F.col("i") % 3).cast("double").alias("y0"),
+        F.col("p").alias("word")
+    )
     return pages.layout_lines(words, "registro_id")
 
 

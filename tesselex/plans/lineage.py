@@ -15,7 +15,9 @@ _OWN: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; only where it is unset (tests, a single machine) a folder of our own, removed when Python ends."""
+    """The cluster's spark.checkpoint.dir; only where it is unset (tests, a single machine) a folder of our own, removed
+    when Python ends.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found:
         return found.rstrip("/")

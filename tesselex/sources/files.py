@@ -29,12 +29,17 @@ NAME_ENCODINGS = ("utf-8", "cp850", "cp1252", "latin-1")
 
 
 def metadata_json(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
-    """Records of yearly metadata files {date: {registros: [...]}} with ano_json, dia and their place in the file. A file that cannot be parsed gives none."""
+    """Records of yearly metadata files {date: {registros: [...]}} with ano_json, dia and their place in the file. A file
+    that cannot be parsed gives none.
+    """
     out = None
     for year, path in paths.items():
         days = spark.read.text(path, wholetext=True).select(F.from_json("value", RECORDS).alias("m"))
         rows = days.select(F.posexplode("m").alias("i", "dia", "v")).select("i", "dia", F.posexplode("v.registros").alias("j", "r"))
-        rows = rows.select(F.lit(year).alias("ano_json"), "dia", (F.col("i") * 1_000_000 + F.col("j")).cast("long").alias("registro_meta_id"), *[F.col(f"r.{c}").alias(c) for c in (*_TEXT, "pdfs")])
+        rows = rows.select(
+            F.lit(year).alias("ano_json"), "dia", (F.col("i") * 1_000_000 + F.col("j")).cast("long").alias("registro_meta_id"),
+            *[F.col(f"r.{c}").alias(c) for c in (*_TEXT, "pdfs")]
+        )
         out = rows if out is None else out.unionByName(rows)
     if out is None:
         raise ValueError("no metadata file given")
@@ -42,7 +47,9 @@ def metadata_json(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
 
 
 def corpus_json(spark: SparkSession, path: str, years: list[int] | None = None, lines: bool = False) -> DataFrame:
-    """Documents of a folder of JSON files, one record a file (or, with lines, one a line), folders ano=... pruned by year; a broken file is left out."""
+    """Documents of a folder of JSON files, one record a file (or, with lines, one a line), folders ano=... pruned by year;
+    a broken file is left out.
+    """
     df = spark.read.schema(DOCUMENT).option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     df = df.where("_corrupt_record is null").drop("_corrupt_record")
     return df.where(F.col("ano").isin(years)) if years else df
@@ -54,13 +61,21 @@ def ledger(spark: SparkSession, path: str, column: str) -> DataFrame:
 
 
 def child_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Child chunks of a folder of JSON files (one a file, or with lines one a line) with a folder a year, at any depth; broken files are left out, and chunk_id gives arquivo_origem."""
-    df = spark.read.schema(CHILD + ", _corrupt_record string").option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", True).json(path)
-    return df.where("_corrupt_record is null and chunk_id is not null").drop("_corrupt_record").withColumn("arquivo_origem", F.regexp_replace("chunk_id", "_c[0-9]+$", ""))
+    """Child chunks of a folder of JSON files (one a file, or with lines one a line) with a folder a year, at any depth;
+    broken files are left out, and chunk_id gives arquivo_origem.
+    """
+    df = spark.read.schema(CHILD + ", _corrupt_record string").option("multiLine", not lines).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", "_corrupt_record"
+    ).option("recursiveFileLookup", True).json(path)
+    return df.where("_corrupt_record is null and chunk_id is not null").drop("_corrupt_record").withColumn(
+        "arquivo_origem", F.regexp_replace("chunk_id", "_c[0-9]+$", "")
+    )
 
 
 def failure_log(spark: SparkSession, path: str) -> DataFrame:
-    """(falha_id, motivo, url) of a tab-separated failure log; falha_id rises in line order. A line without a tab is all URL, blank lines are left out."""
+    """(falha_id, motivo, url) of a tab-separated failure log; falha_id rises in line order. A line without a tab is all
+    URL, blank lines are left out.
+    """
     rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("falha_id"), F.col("value").alias("linha")).where("trim(linha) <> ''")
     two = F.split("linha", "\t", 2)
     return rows.select("falha_id", F.when(F.size(two) > 1, two[0]).alias("motivo"), F.element_at(two, -1).alias("url"))
@@ -87,7 +102,9 @@ def _as_declared(content: Column, said: Column) -> Column:
 
 
 def html_files(spark: SparkSession, path: str, plain: bool = False) -> DataFrame:
-    """(arquivo, texto, codificacao) of HTML files, decoded as their first 2,000 bytes declare (UTF-8 where they do not, or where the name is unknown); `plain` takes the simpler reader."""
+    """(arquivo, texto, codificacao) of HTML files, decoded as their first 2,000 bytes declare (UTF-8 where they do not, or
+    where the name is unknown); `plain` takes the simpler reader.
+    """
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.htm*").load(path).select("path", "content")
     head = F.decode(F.substring("content", 1, 2000), "ISO-8859-1")
     said = F.upper(F.regexp_extract(head, r"(?i)charset\s*=\s*[\"']?([A-Za-z0-9_\-]+)", 1))
@@ -127,7 +144,10 @@ def zip_members(spark: SparkSession, path: str, endings: tuple[str, ...] = (".pd
                 except Exception as e:  # noqa: BLE001 - a broken archive must not end the job
                     rows = [(parent, None, None, str(e))]
                 cols = list(zip(*rows)) or [(), (), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.binary(), pa.string()))], ["zip_pai", "arquivo", "conteudo", "erro"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.binary(), pa.string()))],
+                    ["zip_pai", "arquivo", "conteudo", "erro"]
+                )
 
     return raw.mapInArrow(run, "zip_pai string, arquivo string, conteudo binary, erro string")
 
@@ -165,7 +185,9 @@ def _cells(row: ElementTree.Element, shared: list[str]) -> list[str]:
 
 
 def _sheets(content: bytes) -> str:
-    """Text of a workbook, sheets in the order shown, each by its own part: "[sheet]" and its rows, cells three spaces apart with empty ones kept, but for those at a row's end. Empty rows and sheets are left out."""
+    """Text of a workbook, sheets in the order shown, each by its own part: "[sheet]" and its rows, cells three spaces
+    apart with empty ones kept, but for those at a row's end. Empty rows and sheets are left out.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         names = set(z.namelist())
         shared = []
@@ -206,7 +228,9 @@ def workbooks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(arquivo, pagina, texto, erro) of PDF files where a PDF library (fitz) is installed on the executors; a broken file gives a row with erro."""
+    """(arquivo, pagina, texto, erro) of PDF files where a PDF library (fitz) is installed on the executors; a broken file
+    gives a row with erro.
+    """
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +246,8 @@ def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
                 except Exception as e:  # noqa: BLE001 - also where the library is missing
                     rows.append((name, None, None, f"{type(e).__name__}: {e}"))
             cols = list(zip(*rows)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.string()))], ["arquivo", "pagina", "texto", "erro"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.string()))], ["arquivo", "pagina", "texto", "erro"]
+            )
 
     return raw.mapInArrow(run, "arquivo string, pagina int, texto string, erro string")

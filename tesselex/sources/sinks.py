@@ -9,14 +9,20 @@ from tesselex.functions.metadata import file_stem
 
 
 def write_documents(documents: DataFrame, path: str, kind: str = "json") -> None:
-    """Documents by year. One of each (ano, zip_pai, file stem, type) is kept, the last received, as a later file of that name replaces an earlier one; archives are told apart."""
-    w = Window.partitionBy(F.coalesce("ano", F.lit(0)), F.coalesce("zip_pai", F.lit("")), file_stem(F.col("arquivo_origem")), "tipo_documento").orderBy(F.desc_nulls_last("recebido_em"), F.desc("registro_id"))
+    """Documents by year. One of each (ano, zip_pai, file stem, type) is kept, the last received, as a later file of that
+    name replaces an earlier one; archives are told apart.
+    """
+    w = Window.partitionBy(
+        F.coalesce("ano", F.lit(0)), F.coalesce("zip_pai", F.lit("")), file_stem(F.col("arquivo_origem")), "tipo_documento"
+    ).orderBy(F.desc_nulls_last("recebido_em"), F.desc("registro_id"))
     last = documents.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
     last.write.mode("overwrite").partitionBy("ano").format(kind).save(path)
 
 
 def write_read_documents(documents: DataFrame, path: str) -> None:
-    """Documents read from scans as JSON by year, beside those of write_documents: the file's name keeps its kind (stem, "_ocr_", type) as a column and folder, the year of the metadata stands in for a missing one, and every row is kept."""
+    """Documents read from scans as JSON by year, beside those of write_documents: the file's name keeps its kind (stem,
+    "_ocr_", type) as a column and folder, the year of the metadata stands in for a missing one, and every row is kept.
+    """
     name = F.concat_ws("_", file_stem(F.col("arquivo_origem")), F.lit("ocr"), "tipo_documento")
     rows = documents.withColumn("nome", name).withColumn("ano", F.coalesce(F.nullif("ano", F.lit(0)), "ano_json"))
     rows.drop("ano_json").write.mode("append").partitionBy("ano").json(path)
