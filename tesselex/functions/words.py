@@ -18,5 +18,4 @@ FEW_STOPWORDS = tuple("a o e de do da em no na um uma os as dos das que para com
 def search_words(t: Column, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
     """Lower-case words of more than two characters without stopwords, in order, repeats kept; none of a null text."""
     parts = F.split(F.regexp_replace(F.lower(F.coalesce(t, F.lit(""))), r"[^\p{L}\p{N}_]+", " "), " ")
-    stop = F.array(*[F.lit(w) for w in stopwords])
-    return F.filter(parts, lambda w: (F.length(w) > 2) & ~F.array_contains(stop, w))
+    return F.filter(parts, lambda w: (F.length(w) > 2) & ~w.isin(*stopwords))

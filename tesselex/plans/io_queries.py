@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tesselex.functions import metadata as M
 from tesselex.operators import acts, chunks, pages
-from tesselex.plans.catalog import _CHILDREN, _FAILED, _chunks, _documents, _stem, query
+from tesselex.plans.catalog import _CHILDREN, _FAILED, SQL, _chunks, _documents, _stem, parse_summary, query
 from tesselex.plans.lineage import folder
 from tesselex.sources import files, sinks
 from tesselex.sources.tables import table
@@ -78,6 +78,15 @@ def sink_upsert(spark: SparkSession, d: str) -> DataFrame:
     return sinks.upsert(old, old.where("vec_id % 3 = 0").withColumn("label", F.col("label") + 100), "vec_id")
 
 
+@query(SQL["parse_summary"])
+def sink_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary of what was read, written as a report and read again."""
+    path = folder(spark, "summary")
+    report = parse_summary(spark, d)
+    sinks.write_summary(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
 @query("select distinct arquivo_origem as chave from corpus_documentos where trim(arquivo_origem) <> ''")
 def source_ledger(spark: SparkSession, d: str) -> DataFrame:
     """Keys appended in two runs and read once each."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -227,27 +227,37 @@ def workbooks(spark: SparkSession, path: str) -> DataFrame:
     return raw.mapInArrow(run, "arquivo string, texto string, erro string")
 
 
-def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(arquivo, pagina, texto, erro) of PDF files where a PDF library (fitz) is installed on the executors; a broken file
-    gives a row with erro.
-    """
+def _of_pdf(spark: SparkSession, path: str, rows_of: Callable[[str, object], list[tuple]], schema: pa.Schema, kinds: str) -> DataFrame:
+    """Rows of PDF files by a function of (name, open document); a broken file, or a missing library, gives a row of its name and the error."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows: list[tuple] = []
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 name = path.rsplit("/", 1)[-1]
                 try:
                     import fitz
 
                     with fitz.open(stream=content, filetype="pdf") as doc:
-                        rows += [(name, i, page.get_text(), None) for i, page in enumerate(doc)]
+                        rows += rows_of(name, doc)
                 except Exception as e:  # noqa: BLE001 - also where the library is missing
-                    rows.append((name, None, None, f"{type(e).__name__}: {e}"))
-            cols = list(zip(*rows)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.string()))], ["arquivo", "pagina", "texto", "erro"]
-            )
+                    rows.append((name, *[None] * (len(schema) - 2), f"{type(e).__name__}: {e}"))
+            cols = list(zip(*rows)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+    return raw.mapInArrow(run, kinds)
+
+
+def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(arquivo, pagina, texto, erro) of PDF files where a PDF library (fitz) is installed on the executors; a broken file gives a row with erro."""
+    schema = pa.schema([("arquivo", pa.string()), ("pagina", pa.int32()), ("texto", pa.string()), ("erro", pa.string())])
+    pages = lambda name, doc: [(name, i, page.get_text(), None) for i, page in enumerate(doc)]
+    return _of_pdf(spark, path, pages, schema, "arquivo string, pagina int, texto string, erro string")
+
 
-    return raw.mapInArrow(run, "arquivo string, pagina int, texto string, erro string")
+def pdf_words(spark: SparkSession, path: str) -> DataFrame:
+    """(arquivo, pagina, x0, x1, y0, word, erro) of PDF files, for pages.layout_lines; the library and errors as in pdf_pages."""
+    kinds = [("arquivo", pa.string()), ("pagina", pa.int32()), ("x0", pa.float64()), ("x1", pa.float64()), ("y0", pa.float64()), ("word", pa.string()), ("erro", pa.string())]
+    words = lambda name, doc: [(name, i, w[0], w[2], w[1], w[4], None) for i, page in enumerate(doc) for w in page.get_text("words")]
+    return _of_pdf(spark, path, words, pa.schema(kinds), "arquivo string, pagina int, x0 double, x1 double, y0 double, word string, erro string")

@@ -45,5 +45,10 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def write_summary(report: DataFrame, path: str) -> None:
+    """A report of a few rows (counts, errors, files left out) as one JSON file."""
+    report.coalesce(1).write.mode("overwrite").json(path)
+
+
 def append_ledger(keys: DataFrame, column: str, path: str) -> None:
     keys.select(F.col(column).cast("string").alias("value")).where("value is not null").write.mode("append").text(path)

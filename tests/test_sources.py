@@ -130,6 +130,8 @@ def test_pdf_without_library_or_broken(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"no pdf")
     r = files.pdf_pages(spark, str(tmp_path)).first()
     assert r.arquivo == "a.pdf" and r.texto is None and r.erro
+    r = files.pdf_words(spark, str(tmp_path)).first()
+    assert r.arquivo == "a.pdf" and r.word is None and r.erro
 
 
 def test_stream_takes_old_deliveries(spark, tmp_path):
