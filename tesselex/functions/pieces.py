@@ -1,14 +1,30 @@
-"""The default tokenizer: pieces of a text that join back to it, each a word, number or sign with the white space before it."""
+"""Tokens as pieces of a text that join back to it; by default each is a word, number or sign with the white space before it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = r"[ \t\n\r\f]*(?:[\p{L}\p{N}_]+|[^ \t\n\r\f\p{L}\p{N}_])"
 
+#: The pre-splitting pattern of byte-level vocabularies, as another way of counting.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PATTERN: ContextVar[str] = ContextVar("pattern", default=PIECE)
+
+
+@contextmanager
+def counted_by(pattern: str) -> Iterator[None]:
+    """Sizes and windows of expressions built inside are in the pieces that `pattern` finds, which must join back to a text."""
+    token = _PATTERN.set(pattern)
+    try:
+        yield
+    finally:
+        _PATTERN.reset(token)
+
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) for a body that yields an array, `value` being computed once however often the body, and functions
@@ -30,12 +46,12 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def pieces(t: Column) -> Column:
-    return F.regexp_extract_all(t, F.lit(PIECE), F.lit(0))
+    return F.regexp_extract_all(t, F.lit(_PATTERN.get()), F.lit(0))
 
 
 def count(t: Column) -> Column:
     """Pieces of a text; 0 for null."""
-    return F.coalesce(F.regexp_count(t, F.lit(PIECE)), F.lit(0))
+    return F.coalesce(F.regexp_count(t, F.lit(_PATTERN.get())), F.lit(0))
 
 
 def head(t: Column, n: int) -> Column:

@@ -27,6 +27,17 @@ def test_windows_join_to_text(spark, text):
     assert "".join(got) == text.rstrip(" \t\n\r\f")
 
 
+def test_another_tokenizer(spark):
+    text = "a decisão, de 12/3:\n\n  segue   o voto\n" * 40
+    with P.counted_by(P.BYTE_LEVEL):
+        got = one(spark, text, lambda c: P.windows(c, 7))
+        n = one(spark, text, P.count)
+        df = spark.createDataFrame([(1, "a", "voto", 2020, "v.pdf", text)], "registro_id long, ato_id string, tipo_documento string, ano int, arquivo_origem string, texto string")
+        children = chunks.children(df)
+    assert "".join(got) == text and n == len(re.findall(r" ?[^\W\d_]+| ?\d+| ?[^\s\w]+|\s+(?!\S)|\s+", text)) and len(got) == math.ceil(n / 7)
+    assert children.count() == 1 + math.ceil((n - 256) / 206) != chunks.children(df).count()
+
+
 def test_article_segments(spark):
     parts = one(spark, "Preâmbulo\nArt. 1º a\n§ 2 b\nCapítulo IV c", lambda c: chunks.named(chunks.segments(c, chunks.ARTICLE_BEGINS), chunks.ARTICLE_NAME))
     assert [(p.contexto, p.texto) for p in parts] == [("", "Preâmbulo"), ("Art. 1º", "Art. 1º a"), ("§ 2", "§ 2 b"), ("Capítulo IV", "Capítulo IV c")]
