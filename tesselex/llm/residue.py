@@ -214,7 +214,7 @@ def evidence(text: str | None, boilerplate: frozenset[str] | set[str] = frozense
     if not boilerplate:
         return found(text)
     residual, usual = [], []
-    for x in text.splitlines():
+    for x in text.split("\n"):
         (usual if site_lines.line_key(x) in boilerplate else residual).append(x)
     left = "\n".join(residual)
     kind = found(left) if left.strip() else None
