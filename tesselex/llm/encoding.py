@@ -131,11 +131,18 @@ def words_of(text: str) -> list[str]:
     return [w for w in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if not w.isascii() or "?" in w]
 
 
-def lost_in(word: str, sign: str) -> list[str]:
-    """The word with `sign` for all its letters beyond ASCII, and for one of them where there are several."""
+def _lost(word: str) -> list[str]:
+    """The word with NUL for all its letters beyond ASCII, and for one of them where there are several."""
     at = [i for i, c in enumerate(word) if not c.isascii() and c.isalpha()]
-    some = [at] if len(at) == 1 else [at, *[[i] for i in at]] if at else []
-    return ["".join(sign if i in own else c for i, c in enumerate(word)) for own in some]
+    if not at:
+        return []
+    one = [word[:i] + "\0" + word[i + 1 :] for i in at]
+    return one if len(at) == 1 else ["".join("\0" if i in at else c for i, c in enumerate(word)), *one]
+
+
+def lost_in(word: str, sign: str) -> list[str]:
+    """The word as a writer leaves it that puts `sign` for all its letters beyond ASCII, or for one of them."""
+    return [x.replace("\0", sign) for x in _lost(word)]
 
 
 #: A byte as what it is part of: 256 for any letter.
@@ -155,18 +162,43 @@ def features(word: str) -> list[int]:
     return out
 
 
-def feature_counts(words: dict[str, float]) -> np.ndarray:
-    """Weighted counts of the buckets of many words."""
+def feature_places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, index of the word) of all features of many words."""
     raws = [(" " + w + " ").encode("utf-8", "replace") for w in words]
-    raw = np.frombuffer(b"".join(raws), np.uint8)
-    if not len(raw):
-        return np.zeros(BUCKETS)
-    weight = np.repeat(np.fromiter(words.values(), np.float64, len(raws)), np.fromiter(map(len, raws), np.int64, len(raws)))[:-1]
-    a, b = raw[:-1].astype(np.int64), raw[1:].astype(np.int64)  # two words meet in two spaces, which is no feature
-    mark = (a == _MARK) | (b == _MARK)
-    own = (a > 127) | (b > 127) | mark
-    count = lambda x, at: np.bincount(x[at] % 65537 % BUCKETS, weights=weight[at], minlength=BUCKETS)
-    return count((a * 257 + b) * 40503, own) + count((_KIND[a] * 257 + _KIND[b]) * 40503 + 1, mark)
+    raw = np.frombuffer(b"".join(raws), np.uint8).astype(np.int64)
+    owner = np.repeat(np.arange(len(raws)), np.fromiter(map(len, raws), np.int64, len(raws)))[:-1]
+    a, b = raw[:-1], raw[1:]  # two words meet in two spaces, which is no feature
+    mark = np.flatnonzero((a == _MARK) | (b == _MARK))
+    own = np.flatnonzero((a > 127) | (b > 127) | (a == _MARK) | (b == _MARK))
+    code = np.concatenate(((a[own] * 257 + b[own]) * 40503, (_KIND[a[mark]] * 257 + _KIND[b[mark]]) * 40503 + 1))
+    return code % 65537 % BUCKETS, owner[np.concatenate((own, mark))]
+
+
+class Garbled:
+    """Features of words and of what every class makes of them, found once and counted under any weights of the words."""
+
+    def __init__(self, words: Iterable[str]) -> None:
+        self.at = {w: i for i, w in enumerate(words)}
+        made: list[list[tuple[str, int]]] = [[] for _ in (*CHAINS, *LOSSY)]
+        for w, i in self.at.items():
+            if w.isascii():
+                continue
+            for own, chain in zip(made, CHAINS):
+                if (g := garble(w, chain)) is not None and g != w:
+                    own.append((g, i))
+            lost = _lost(w)
+            for own, sign in zip(made[len(CHAINS) :], LOSSY):
+                own += [(x.replace("\0", sign), i) for x in lost]
+        self.classes = []
+        for pairs in ([(w, i) for w, i in self.at.items()], *made):
+            buckets, owner = feature_places([w for w, _ in pairs])
+            self.classes.append((buckets, np.fromiter((i for _, i in pairs), np.int64, len(pairs))[owner]))
+
+    def counts(self, words: dict[str, int]) -> np.ndarray:
+        weight = np.zeros(len(self.at))
+        for w, n in words.items():
+            weight[self.at[w]] = n
+        return np.stack([np.bincount(buckets, weights=weight[own], minlength=BUCKETS) for buckets, own in self.classes])
 
 
 _TOKEN = re.compile(r"[^ \n\t\r]*\?[^ \n\t\r]*")
@@ -244,21 +276,6 @@ class Classifier:
         self.seen = counts[0] >= 2
         self.known: dict[str, tuple[int, str | None, bool]] = {}
 
-    @classmethod
-    def trained(cls, words: Counter[str], made: dict[str, list[list[str]]] | None = None) -> Classifier:
-        """From sound words; `made` remembers what each class makes of a word."""
-        made = {} if made is None else made
-        classes: list[Counter[str]] = [Counter(words), *[Counter() for _ in (*CHAINS, *LOSSY)]]
-        for w, n in words.items():
-            if w.isascii():
-                continue
-            if w not in made:
-                made[w] = [[g] if (g := garble(w, chain)) is not None and g != w else [] for chain in CHAINS] + [lost_in(w, sign) for sign in LOSSY]
-            for own, found in zip(classes[1:], made[w]):
-                for g in found:
-                    own[g] += n
-        return cls(np.stack([feature_counts(x) for x in classes]))
-
     def judge(self, word: str) -> tuple[int, str | None, bool]:
         """(class from 1, or 0 for a sound word, the word restored or None, whether a sound word has such bytes throughout)."""
         if (got := self.known.get(word)) is None:
@@ -305,19 +322,28 @@ def train(df: DataFrame, key: str, fields: list[str], rows: int = TRAIN_ROWS) ->
     return learned([Counter(dict(zip(r.w, r.n))) for r in part.mapInArrow(counted, "w array<string>, n array<long>").toLocalIterator()])
 
 
+def _signs(word: str) -> list[str]:
+    """The characters beyond ASCII and marks of a word, with the character after them where it is such a one too or follows a mark."""
+    tells = [c == "?" or ord(c) > 127 for c in word] + [False]
+    return [word[i : i + 2] if tells[i + 1] or c == "?" else c for i, c in enumerate(word) if tells[i]]
+
+
 def learned(texts: list[Counter[str]]) -> Classifier:
     """The classifier of these texts' words: the first pass leaves out texts that hold rare characters or pairs, the second
     those in which the first finds garbled words.
     """
     have: Counter[str] = Counter()
     pairs = []
-    tells = lambda c: ord(c) > 127 or c == "?"
+    known: dict[str, list[str]] = {}
     for words in texts:
-        own = {w[i : i + 2] if w[i + 1 : i + 2] and tells(w[i + 1]) or w[i] == "?" else w[i] for w in words for i in range(len(w)) if tells(w[i])}
+        for w in words:
+            if w not in known:
+                known[w] = _signs(w)
+        own = {x for w in words for x in known[w]}
         pairs.append(own)
         have.update(own)
     few = max(2, 0.005 * len(texts))
-    made: dict[str, list[list[str]]] = {}
+    made = Garbled(dict.fromkeys(w for words in texts for w in words))
     usual: Counter[str] = Counter()
     for words, own in zip(texts, pairs):
         if all(have[x] >= few for x in own):
@@ -325,7 +351,7 @@ def learned(texts: list[Counter[str]]) -> Classifier:
     if not usual:
         for words in texts:
             usual.update(words)
-    first = Classifier.trained(usual, made)
+    first = Classifier(made.counts(usual))
     clean: Counter[str] = Counter()
     doubted: Counter[str] = Counter()
     for words in texts:
@@ -334,7 +360,7 @@ def learned(texts: list[Counter[str]]) -> Classifier:
             doubted.update(bad)
             clean.update({w: n for w, n in words.items() if _LOST not in w})
     # a word that the first pass doubts is sound if several texts that are sound otherwise have it
-    return Classifier.trained(Counter({w: n for w, n in clean.items() if w not in doubted or doubted[w] >= 3}), made)
+    return Classifier(made.counts({w: n for w, n in clean.items() if w not in doubted or doubted[w] >= 3}))
 
 
 def examine(text: str, model: Classifier, known: Known = Known()) -> tuple[str | None, str | None, bool] | None:

@@ -99,6 +99,12 @@ def test_lossy_writers_are_classes_of_the_classifier(model):
 
 
 def test_counts_of_many_words_are_those_of_each():
-    words = {"não": 2.0, "n?o": 3.0, "plain": 1.0, "é": 1.0}
-    want = sum(n * np.bincount(E.features(w), minlength=E.BUCKETS) for w, n in words.items())
-    assert (E.feature_counts(words) == want).all() and not E.feature_counts({}).any()
+    words = {"não": 2, "n?o": 3, "plain": 1, "é": 1, "ação?": 4}
+    each = lambda xs: sum((n * np.bincount(E.features(w), minlength=E.BUCKETS) for w, n in xs), np.zeros(E.BUCKETS))
+    got = E.Garbled(words).counts(words)
+    assert (got[0] == each(words.items())).all()
+    for i, chain in enumerate(E.CHAINS, 1):
+        assert (got[i] == each((g, n) for w, n in words.items() if not w.isascii() and (g := E.garble(w, chain)) not in (None, w))).all()
+    for i, sign in enumerate(E.LOSSY, 1 + len(E.CHAINS)):
+        assert (got[i] == each((g, n) for w, n in words.items() for g in E.lost_in(w, sign))).all()
+    assert not E.Garbled(words).counts({}).any() and not E.Garbled([]).counts({}).any()
